@@ -62,5 +62,7 @@ def lenient_epoch(date_time: str | Column, formats: tuple[str, ...] = (DATETIME_
     values do not depend on the session time zone.
     """
     t = _c(date_time)
-    parsed = [F.unix_seconds(F.try_to_timestamp(t, F.lit(f))) for f in formats]
+    # parse -> wall clock (the round trip through the session zone is exact outside DST gaps)
+    # -> seconds of that wall clock read as UTC, so the value does not depend on the session zone
+    parsed = [epoch_seconds_ntz(F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz")) for f in formats]
     return F.coalesce(*parsed, F.lit(0).cast("bigint"))
