@@ -44,25 +44,36 @@ def hour_of(ts: str | Column) -> Column:
     return F.hour(_c(ts))
 
 
-def epoch_seconds_ntz(ts: str | Column) -> Column:
-    """Whole seconds since 1970-01-01 of a wall-clock timestamp, independent of the session
+def epoch_seconds_ntz_sql(ts: str) -> str:
+    """SQL: whole seconds since 1970-01-01 of a wall-clock timestamp, independent of the session
     time zone (used for ``timeKey``)."""
-    t = _c(ts)
+    return (f"(CAST(datediff(to_date({ts}), DATE'1970-01-01') AS BIGINT) * 86400 "
+            f"+ hour({ts}) * 3600 + minute({ts}) * 60 + second({ts}))")
+
+
+def epoch_seconds_ntz(ts: str | Column) -> Column:
+    """Column form of ``epoch_seconds_ntz_sql``."""
+    if isinstance(ts, str):
+        return F.expr(epoch_seconds_ntz_sql(f"`{ts}`"))
+    t = ts
     days = F.datediff(F.to_date(t), F.lit(_EPOCH))
     return (days.cast("bigint") * 86400 + F.hour(t) * 3600 + F.minute(t) * 60
             + F.second(t)).cast("bigint")
 
 
-def lenient_epoch(date_time: str | Column, formats: tuple[str, ...] = (DATETIME_FORMAT,)) -> Column:
-    """Parse text to epoch seconds, 0 when nothing parses.
+def lenient_epoch_sql(date_time: str, formats: tuple[str, ...] = (DATETIME_FORMAT,)) -> str:
+    """SQL: parse text to epoch seconds, 0 when nothing parses.
 
     Mirrors a "best effort, zero on failure" parse: the first format that parses wins, and text
     that parses with none of them becomes the epoch, so two broken values compare equal. Uses
-    ``try_to_timestamp`` because the plain parse raises under ANSI mode. Differences of two such
-    values do not depend on the session time zone.
-    """
-    t = _c(date_time)
-    # parse -> wall clock (the round trip through the session zone is exact outside DST gaps)
-    # -> seconds of that wall clock read as UTC, so the value does not depend on the session zone
-    parsed = [epoch_seconds_ntz(F.try_to_timestamp(t, F.lit(f)).cast("timestamp_ntz")) for f in formats]
-    return F.coalesce(*parsed, F.lit(0).cast("bigint"))
+    ``try_to_timestamp`` because the plain parse raises under ANSI mode. The parsed value is read
+    back as a wall clock (exact outside DST gaps) and counted as UTC, so the result does not
+    depend on the session time zone."""
+    parsed = [epoch_seconds_ntz_sql(f"CAST(try_to_timestamp({date_time}, '{f}') AS TIMESTAMP_NTZ)")
+              for f in formats]
+    return f"coalesce({', '.join(parsed)}, CAST(0 AS BIGINT))"
+
+
+def lenient_epoch(date_time: str, formats: tuple[str, ...] = (DATETIME_FORMAT,)) -> Column:
+    """Column form of ``lenient_epoch_sql`` for a column name."""
+    return F.expr(lenient_epoch_sql(f"`{date_time}`", formats))

@@ -1,7 +1,9 @@
 """Human-readable formatting as column expressions.
 
-Each function builds one native expression (``when`` ladders, ``format_string``,
-``array_join``) so a report over a billion-row job log stays a single codegen stage.
+Each function is one native expression (``CASE`` ladders, ``format_string``, ``concat_ws``), so a
+report over a billion-row job log stays inside whole-stage codegen. Every function has a SQL-text
+form (``*_sql``, taking a SQL expression) and a column form taking a column name, which parses
+the SQL text once on the JVM instead of building the expression node by node.
 """
 
 from __future__ import annotations
@@ -24,58 +26,76 @@ DELTA_UNITS = [
 ]
 
 
-def _c(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def minutes_2dp(ms: str | Column) -> Column:
-    """``round(ms / 1000 / 60, 2)`` with float rounding, ties to even.
+def minutes_2dp_sql(ms: str) -> str:
+    """``round(ms / 1000 / 60, 2)`` with float rounding, ties to even (F10). ``rint`` works on the
+    binary double, as the source dialect does; ``round``/``bround`` work on its decimal text and
+    differ on ties such as 74,700 ms."""
+    return f"rint(CAST({ms} AS DOUBLE) / 1000 / 60 * 100) / 100"
 
-    ``rint`` works on the binary double, as the source dialect does; ``round``/``bround`` work on
-    its decimal text and differ on ties such as 74,700 ms."""
-    return F.rint(_c(ms).cast("double") / 1000 / 60 * 100) / 100
 
-
-def clock_text(ms: str | Column) -> Column:
+def clock_text_sql(ms: str) -> str:
     """Milliseconds as ``HH:mm:ss`` of a UTC clock, wrapping after 24 hours."""
-    s = F.pmod(F.floor(_c(ms).cast("double") / 1000), F.lit(86400))
-    return F.format_string("%02d:%02d:%02d", (s / 3600).cast("int"),
-                           (F.pmod(s, F.lit(3600)) / 60).cast("int"), F.pmod(s, F.lit(60)).cast("int"))
-
-
-def readable_size(n: str | Column) -> Column:
-    """Bytes in 1024-based units with two decimals: ``0.00 B``, ``1.50 KiB``, ``953.67 MiB``."""
-    x = _c(n).cast("double")
-    ax = F.abs(x)
-    expr = None
-    for i in range(len(SIZE_UNITS) - 1, -1, -1):
-        scaled = F.format_string("%.2f %s", x / F.lit(float(1024 ** i)), F.lit(SIZE_UNITS[i]))
-        if expr is None:
-            expr = scaled
-        else:
-            expr = F.when(ax < F.lit(float(1024 ** (i + 1))), scaled).otherwise(expr)
-    return F.when(x.isNull(), F.lit(None).cast("string")).otherwise(expr)
-
-
-def readable_delta(seconds: str | Column) -> Column:
+    s = f"pmod(CAST(floor(CAST({ms} AS DOUBLE) / 1000) AS BIGINT), 86400)"
+    return f"format_string('%02d:%02d:%02d', {s} div 3600, ({s} % 3600) div 60, {s} % 60)"
+
+
+def readable_size_sql(n: str) -> str:
+    """Bytes in 1024-based units with two decimals: ``0.00 B``, ``1.50 KiB``, ``953.67 MiB``.
+    The value is cast to double first (``format_string('%.2f')`` rejects decimals)."""
+    x = f"CAST({n} AS DOUBLE)"
+    whens = " ".join(
+        f"WHEN abs({x}) < {float(1024 ** (i + 1))!r}D "
+        f"THEN format_string('%.2f {u}', {x} / {float(1024 ** i)!r}D)"
+        for i, u in enumerate(SIZE_UNITS[:-1]))
+    last = len(SIZE_UNITS) - 1
+    return (f"CASE WHEN {x} IS NULL THEN CAST(NULL AS STRING) {whens} "
+            f"ELSE format_string('%.2f {SIZE_UNITS[last]}', {x} / {float(1024 ** last)!r}D) END")
+
+
+def readable_delta_sql(seconds: str) -> str:
     """Seconds in words: ``1 hour, 2 minutes and 5 seconds``; zero is ``0 seconds``.
+    Whole seconds (the fraction is dropped); zero units are left out; a value of -1 or less
+    gets a leading ``-``. A year and a month are whole numbers of hours, so minutes and seconds
+    come straight from the total."""
+    (y1, yn, ys), (m1, mn, ms), (d1, dn, ds), (h1, hn, hs), (i1, i_n, i_s), (s1, sn, _) = DELTA_UNITS
+    x = f"CAST({seconds} AS DOUBLE)"
+    t = f"CAST(floor(abs({x})) AS BIGINT)"
+    after_months = f"(({t} % {ys}) % {ms})"
+    counts = [(f"({t} div {ys})", y1, yn), (f"(({t} % {ys}) div {ms})", m1, mn),
+              (f"({after_months} div {ds})", d1, dn), (f"(({after_months} % {ds}) div {hs})", h1, hn),
+              (f"(({t} % {hs}) div {i_s})", i1, i_n), (f"({t} % {i_s})", s1, sn)]
+    parts = [f"CASE WHEN {k} > 0 THEN concat(CAST({k} AS STRING), "
+             f"CASE WHEN {k} = 1 THEN ' {one}' ELSE ' {many}' END) END" for k, one, many in counts]
+    joined = f"concat_ws(', ', {', '.join(parts)})"
+    return (f"CASE WHEN {x} IS NULL THEN CAST(NULL AS STRING) "
+            f"ELSE concat(CASE WHEN {x} <= -1 THEN '-' ELSE '' END, "
+            f"CASE WHEN {t} = 0 THEN '0 seconds' "
+            f"ELSE regexp_replace({joined}, ', ([^,]*)$', ' and $1') END) END")
+
+
+def _col(sql_fn, name: str) -> Column:
+    if not isinstance(name, str):
+        raise TypeError("readable formatters take a column name; select the expression as a "
+                        "named column first")
+    return F.expr(sql_fn(_q(name)))
+
+
+def minutes_2dp(ms: str) -> Column:
+    return _col(minutes_2dp_sql, ms)
+
+
+def clock_text(ms: str) -> Column:
+    return _col(clock_text_sql, ms)
+
+
+def readable_size(n: str) -> Column:
+    return _col(readable_size_sql, n)
+
+
+def readable_delta(seconds: str) -> Column:
+    return _col(readable_delta_sql, seconds)
 
-    Whole seconds only (the fraction is dropped); units that come out zero are left out; a
-    negative value gets a leading ``-``."""
-    x = _c(seconds).cast("double")
-    total = F.floor(F.abs(x)).cast("bigint")
-    parts = []
-    rest = total
-    for single, plural, size in DELTA_UNITS:
-        k = (rest / F.lit(size)).cast("bigint") if size > 1 else rest
-        parts.append(F.when(k > 0, F.concat(k.cast("string"), F.lit(" "),
-                                            F.when(k == 1, F.lit(single)).otherwise(F.lit(plural)))))
-        rest = F.pmod(rest, F.lit(size)) if size > 1 else rest
-    present = F.filter(F.array(*parts), lambda p: p.isNotNull())
-    n = F.size(present)
-    words = (F.when(n == 0, F.lit("0 seconds"))
-             .when(n == 1, F.element_at(present, 1))
-             .otherwise(F.concat(F.array_join(F.slice(present, 1, n - 1), ", "), F.lit(" and "),
-                                 F.element_at(present, -1))))
-    return (F.when(x.isNull(), F.lit(None).cast("string"))
-            .when(x <= -1, F.concat(F.lit("-"), words)).otherwise(words))

@@ -119,6 +119,11 @@ def mark_capped(c: str | Column, cap: CapPlan, marker: str = "!") -> Column:
     return F.concat(F.lit(marker), col) if cap.on else col
 
 
+def mark_capped_sql(name: str, cap: CapPlan, marker: str = "!") -> str:
+    """SQL form of ``mark_capped`` for a column name."""
+    return f"concat('{marker}', `{name}`)" if cap.on else f"`{name}`"
+
+
 def apply_caps(df: DataFrame, cap: CapPlan, *, hour_col: str = "_hour",
                order_cols: Sequence[str] = ("eventDateTime", "record_id"),
                fanout: int = 32) -> DataFrame:

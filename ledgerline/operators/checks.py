@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from ..constants import (CALL_KEY, CAP_PER_HOUR, CAP_TOTAL, CAP_TRIGGER_ROWS, FIRST_LEVEL_CHECK,
                          FIRST_LEVEL_COLUMNS, KEY_LEVEL_CHECK, KEY_LEVEL_COLUMNS, KEY_LEVEL_LAG_DAYS,
                          KEY_LEVEL_LAG_DAYS_STH)
-from ..functions.datetime import date_part, days_before, lenient_epoch, time_part
-from .caps import CapPlan, apply_caps, cap_decision, mark_capped
+from ..functions.datetime import date_part, days_before, lenient_epoch_sql, time_part
+from .caps import CapPlan, apply_caps, cap_decision, mark_capped_sql
 from .recon import (HOUR_SHIFT, SAME_SECOND, Tolerance, counterpart_candidates, matched_pairs,
                     unmatched_by_key, unmatched_by_second)
 
@@ -32,6 +32,11 @@ class CapRule:
     fanout: int = 32
 
 
+def _lit(v: str) -> str:
+    """A SQL string literal."""
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def lag_for(dictionary: DataFrame, check: str, attr: str = "days_before") -> int:
     """``dictGet(dict, attr, check)``: one attribute of one check, a single scalar."""
     row = dictionary.where(F.col("cpName") == F.lit(check)).select(attr).first()
@@ -43,15 +48,14 @@ def lag_for(dictionary: DataFrame, check: str, attr: str = "days_before") -> int
 def first_level_source(start: DataFrame, day: _dt.date, check: str = FIRST_LEVEL_CHECK) -> DataFrame:
     """Source rows of one check and day, flag 0 (P1, P2). Literal filters: they reach the scan
     (partition pruning when ``eventDate`` is the partition column)."""
-    return start.where((F.col("eventDate") == F.lit(day)) & (F.col("cpName") == F.lit(check))
-                       & (F.col("iflag") == 0))
+    return start.where(f"eventDate = DATE'{day.isoformat()}' AND cpName = {_lit(check)} AND iflag = 0")
 
 
 def first_level_cap(source_day: DataFrame, rule: CapRule | None) -> CapPlan:
     """The cap decision counts shoulder-1 rows only."""
     if rule is None:
         return CapPlan(0, None, None)
-    return cap_decision(source_day.where(F.col("shoulder") == 1), trigger=rule.trigger,
+    return cap_decision(source_day.where("shoulder = 1"), trigger=rule.trigger,
                         per_group=rule.per_hour, total=rule.total)
 
 
@@ -76,14 +80,15 @@ def first_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, days_back:
     """
     day = days_before(as_of, days_back)
     capped, cap = first_level_capped(start, as_of, days_back=days_back, check=check, caps=caps)
-    capped = capped.withColumns({"date": date_part("dateTime"), "time": time_part("dateTime")})
-    counter = rnd.where(F.col("eventDate") == F.lit(day))
+    capped = capped.selectExpr("*", "substring(dateTime, 1, 10) AS date",
+                               "substring(dateTime, 12, 8) AS time")
+    counter = rnd.where(f"eventDate = DATE'{day.isoformat()}'")
     if reduce_by_imsi:
         counter = counterpart_candidates(counter, first_level_source(start, day, check))
     left = unmatched_by_second(capped, counter, tol=tol)
-    cols = [mark_capped("inputFileName", cap).alias("inputFileName") if c == "inputFileName"
-            else F.col(c) for c in FIRST_LEVEL_COLUMNS]
-    return left.select(*cols).distinct()
+    cols = [f"{mark_capped_sql('inputFileName', cap)} AS inputFileName" if c == "inputFileName"
+            else f"`{c}`" for c in FIRST_LEVEL_COLUMNS]
+    return left.selectExpr(*cols).distinct()
 
 
 def first_level_pairs(start: DataFrame, rnd: DataFrame, as_of, *, days_back: int,
@@ -93,9 +98,10 @@ def first_level_pairs(start: DataFrame, rnd: DataFrame, as_of, *, days_back: int
     dateTime with the counterpart's dateTime as ``dateTime2``."""
     day = days_before(as_of, days_back)
     capped, _ = first_level_capped(start, as_of, days_back=days_back, check=check, caps=caps)
-    counter = rnd.where(F.col("eventDate") == F.lit(day))
-    return matched_pairs(capped, counter, tol=tol, left_time=lenient_epoch("dateTime"),
-                         right_time=lenient_epoch("dateTime"), left_cols=("duration", "dateTime"),
+    counter = rnd.where(f"eventDate = DATE'{day.isoformat()}'")
+    t = lenient_epoch_sql("dateTime")
+    return matched_pairs(capped, counter, tol=tol, left_time=t,
+                         right_time=t, left_cols=("duration", "dateTime"),
                          right_cols=("dateTime",), right_prefix="r_").withColumnRenamed(
         "r_dateTime", "dateTime2")
 
@@ -110,9 +116,9 @@ def key_level_source(start: DataFrame, as_of, *, check: str = KEY_LEVEL_CHECK,
     """Source rows of the key-level check: day ``as_of - lag``, or ``as_of - lag_sth`` for the
     southern region (P3). The implied ``eventDate IN (d, d_sth)`` is stated so it prunes."""
     d, d_sth = key_level_days(as_of, lag, lag_sth)
-    target = F.when(F.col(region_col) == F.lit(sth), F.lit(d_sth)).otherwise(F.lit(d))
-    return start.where(F.col("eventDate").isin(d, d_sth) & (F.col("eventDate") == target)
-                       & (F.col("cpName") == F.lit(check)) & (F.col("iflag") == 0))
+    target = f"CASE WHEN `{region_col}` = {_lit(sth)} THEN DATE'{d_sth}' ELSE DATE'{d}' END"
+    return start.where(f"eventDate IN (DATE'{d}', DATE'{d_sth}') AND eventDate = {target} "
+                       f"AND cpName = {_lit(check)} AND iflag = 0")
 
 
 def key_level_counterpart(rnd: DataFrame, as_of, *, lag: int = KEY_LEVEL_LAG_DAYS,
@@ -122,9 +128,9 @@ def key_level_counterpart(rnd: DataFrame, as_of, *, lag: int = KEY_LEVEL_LAG_DAY
     code is upper case in this table; the comparison is literal, as in the original."""
     d, d_sth = key_level_days(as_of, lag, lag_sth)
     lo, hi = min(d, d_sth) - _dt.timedelta(days=1), max(d, d_sth) + _dt.timedelta(days=1)
-    target = F.when(F.col(region_col) == F.lit(sth), F.lit(d_sth)).otherwise(F.lit(d))
-    return rnd.where(F.col("eventDate").between(F.lit(lo), F.lit(hi))
-                     & F.col("eventDate").between(F.date_sub(target, 1), F.date_add(target, 1)))
+    target = f"CASE WHEN `{region_col}` = {_lit(sth)} THEN DATE'{d_sth}' ELSE DATE'{d}' END"
+    return rnd.where(f"eventDate BETWEEN DATE'{lo}' AND DATE'{hi}' "
+                     f"AND eventDate BETWEEN date_sub({target}, 1) AND date_add({target}, 1)")
 
 
 def key_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, check: str = KEY_LEVEL_CHECK,
@@ -146,7 +152,7 @@ def candidates_for_day(start: DataFrame, rnd: DataFrame, as_of, *, days_back: in
     """The counterpart set of the first-level check: distinct counterpart rows of the day whose
     IMSI occurs in the day's source (P5)."""
     day = days_before(as_of, days_back)
-    counter = rnd.where(F.col("eventDate") == F.lit(day))
+    counter = rnd.where(f"eventDate = DATE'{day.isoformat()}'")
     src = first_level_source(start, day, check)
     return (counterpart_candidates(counter, src)
             .select(*CALL_KEY, "duration", "dateTime").distinct())

@@ -60,65 +60,57 @@ SAME_SECOND = Tolerance(3, 3, (0,))
 HOUR_SHIFT = Tolerance(3, 3, (0, 3600, -3600))
 
 
-def _c(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _left_side(df: DataFrame, keys: Sequence[str], time: Column, duration: str,
+def _left_side(df: DataFrame, keys: Sequence[str], time: str, duration: str,
                tol: Tolerance, carry: Sequence[str]) -> DataFrame:
     """Left rows with their comparable time and each bucket their tolerance window touches."""
-    w = tol.bucket_width
-    s = int(tol.seconds)
-    t = F.col(_T)
-    lo = F.floor((t - F.lit(s)) / F.lit(w))
-    hi = F.floor((t + F.lit(s)) / F.lit(w))
-    return (df.select(*keys, *[c for c in carry if c not in keys], F.col(duration).alias(_D),
-                      time.cast("bigint").alias(_T))
-            .withColumn(_B, F.explode(F.array_distinct(F.array(lo, hi)))))
+    w, s = tol.bucket_width, int(tol.seconds)
+    cols = [_q(c) for c in dict.fromkeys([*keys, *carry])]
+    return (df.selectExpr(*cols, f"{_q(duration)} AS {_D}", f"CAST({time} AS BIGINT) AS {_T}")
+            .selectExpr("*", f"explode(array_distinct(array(floor(({_T} - {s}) / {w}), "
+                             f"floor(({_T} + {s}) / {w})))) AS {_B}"))
 
 
-def _right_side(df: DataFrame, keys: Sequence[str], time: Column, duration: str,
+def _right_side(df: DataFrame, keys: Sequence[str], time: str, duration: str,
                 tol: Tolerance, carry: Sequence[str] = ()) -> DataFrame:
     """Right rows, once per clock shift, with the shifted time and its bucket. A left time
     ``t1`` matches under shift ``k`` when ``|t1 + k - t2| < s``, i.e. ``|t1 - (t2 - k)| < s``."""
     w = tol.bucket_width
-    base = df.select(*keys, *[c for c in carry if c not in keys], F.col(duration).alias(_D),
-                     time.cast("bigint").alias("_t0"))
+    cols = [_q(c) for c in dict.fromkeys([*keys, *carry])]
     shifts = list(dict.fromkeys(int(k) for k in tol.shifts))
+    base = df.selectExpr(*cols, f"{_q(duration)} AS {_D}", f"CAST({time} AS BIGINT) AS _t0")
     if shifts == [0]:
-        shifted = base.withColumn(_T, F.col("_t0"))
-    else:
-        shifted = (base.withColumn("_shift", F.explode(F.array(*[F.lit(k) for k in shifts])))
-                   .withColumn(_T, F.col("_t0") - F.col("_shift")).drop("_shift"))
-    return shifted.withColumn(_B, F.floor(F.col(_T) / F.lit(w))).drop("_t0")
+        return base.selectExpr(*cols, _D, f"_t0 AS {_T}", f"floor(_t0 / {w}) AS {_B}")
+    return (base.selectExpr("*", f"explode(array({', '.join(str(k) for k in shifts)})) AS _shift")
+            .selectExpr(*cols, _D, f"_t0 - _shift AS {_T}", f"floor((_t0 - _shift) / {w}) AS {_B}"))
 
 
-def _residual(l: DataFrame, r: DataFrame, tol: Tolerance) -> Column:
-    return ((F.abs(l[_D] - r[_D]) < F.lit(int(tol.duration)))
-            & (F.abs(l[_T] - r[_T]) < F.lit(int(tol.seconds))))
+def _condition(keys: Sequence[str], tol: Tolerance) -> Column:
+    eq = [f"l.{_q(k)} = r.{_q(k)}" for k in [*keys, _B]]
+    return F.expr(" AND ".join(eq + [f"abs(l.{_D} - r.{_D}) < {int(tol.duration)}",
+                                     f"abs(l.{_T} - r.{_T}) < {int(tol.seconds)}"]))
 
 
 def matched_left(left: DataFrame, right: DataFrame, *, tol: Tolerance,
-                 left_time: str | Column, right_time: str | Column,
+                 left_time: str, right_time: str,
                  keys: Sequence[str] = CALL_KEY, duration: str = "duration",
                  carry: Sequence[str] = ()) -> DataFrame:
     """Left rows (``keys`` + ``carry`` columns) that have at least one matching right row.
+    ``left_time``/``right_time`` are SQL expressions giving seconds (e.g. ``"timeKey"``).
 
     A left row may come out more than once (once per bucket copy that found a match); callers
     reduce the result to the distinct removal units they need, so no extra pass is spent here."""
-    l = _left_side(left, keys, _c(left_time), duration, tol, carry).alias("l")
-    r = _right_side(right, keys, _c(right_time), duration, tol).alias("r")
-    cond = [F.col(f"l.{k}") == F.col(f"r.{k}") for k in keys] + [F.col(f"l.{_B}") == F.col(f"r.{_B}")]
-    cond_all = cond[0]
-    for c in cond[1:]:
-        cond_all = cond_all & c
-    cond_all = cond_all & _residual(l, r, tol)
-    out_cols = list(dict.fromkeys([*keys, *carry]))
-    return l.join(r, cond_all, "left_semi").select(*[F.col(f"l.{c}") for c in out_cols])
+    l = _left_side(left, keys, left_time, duration, tol, carry).alias("l")
+    r = _right_side(right, keys, right_time, duration, tol).alias("r")
+    out_cols = [f"l.{_q(c)}" for c in dict.fromkeys([*keys, *carry])]
+    return l.join(r, _condition(keys, tol), "left_semi").selectExpr(*out_cols)
 
 
 def matched_pairs(left: DataFrame, right: DataFrame, *, tol: Tolerance,
-                  left_time: str | Column, right_time: str | Column,
+                  left_time: str, right_time: str,
                   keys: Sequence[str] = CALL_KEY, duration: str = "duration",
                   left_cols: Sequence[str] = ("duration", "dateTime"),
                   right_cols: Sequence[str] = ("dateTime",),
@@ -126,16 +118,11 @@ def matched_pairs(left: DataFrame, right: DataFrame, *, tol: Tolerance,
     """The matched pairs themselves (J1 as an inner join): keys, ``left_cols`` of the left row and
     ``right_cols`` of the right row (prefixed). Distinct, as the original lists them. Only pairs
     within the tolerance are produced, found through the same bucketed equi join."""
-    l = _left_side(left, keys, _c(left_time), duration, tol, list(left_cols)).alias("l")
-    r = _right_side(right, keys, _c(right_time), duration, tol, list(right_cols)).alias("r")
-    cond = None
-    for k in [*keys, _B]:
-        c = F.col(f"l.{k}") == F.col(f"r.{k}")
-        cond = c if cond is None else cond & c
-    cond = cond & _residual(l, r, tol)
-    cols = ([F.col(f"l.{k}") for k in keys] + [F.col(f"l.{c}") for c in left_cols if c not in keys]
-            + [F.col(f"r.{c}").alias(f"{right_prefix}{c}") for c in right_cols])
-    return l.join(r, cond, "inner").select(*cols).distinct()
+    l = _left_side(left, keys, left_time, duration, tol, list(left_cols)).alias("l")
+    r = _right_side(right, keys, right_time, duration, tol, list(right_cols)).alias("r")
+    cols = ([f"l.{_q(k)}" for k in keys] + [f"l.{_q(c)}" for c in left_cols if c not in keys]
+            + [f"r.{_q(c)} AS {_q(right_prefix + c)}" for c in right_cols])
+    return l.join(r, _condition(keys, tol), "inner").selectExpr(*cols).distinct()
 
 
 def counterpart_candidates(counterpart: DataFrame, source: DataFrame, key: str = "IMSI") -> DataFrame:
@@ -149,12 +136,11 @@ def counterpart_candidates(counterpart: DataFrame, source: DataFrame, key: str =
 
 
 def unmatched_by_second(source: DataFrame, counterpart: DataFrame, *,
-                        tol: Tolerance = SAME_SECOND,
-                        time_of: callable | None = None,
+                        tol: Tolerance = SAME_SECOND, time_sql=None,
                         keys: Sequence[str] = CALL_KEY, second_col: str = "dateTime",
                         duration: str = "duration") -> DataFrame:
     """First-level removal (J1 + J3): source rows minus every (keys, ``second_col``) unit that has a
-    matched row. ``time_of(col)`` turns ``second_col`` into comparable seconds (default: lenient
+    matched row. ``time_sql(expr)`` turns ``second_col`` into comparable seconds (default: lenient
     parse of ``yyyy-MM-dd HH:mm:ss``, epoch when unparseable, so two broken values match).
 
     Returns all source columns; rows are not deduplicated here (the caller projects, then
@@ -164,14 +150,14 @@ def unmatched_by_second(source: DataFrame, counterpart: DataFrame, *,
     duration under 3 removes itself through the type-default fill of its outer join; that is an
     accident of the fill, not a rule.
     """
-    if time_of is None:
-        from ..functions.datetime import lenient_epoch
-        time_of = lenient_epoch
+    if time_sql is None:
+        from ..functions.datetime import lenient_epoch_sql
+        time_sql = lenient_epoch_sql
     unit = [*keys, second_col]
+    t = time_sql(_q(second_col))
     matched = matched_left(source, counterpart, tol=tol, keys=keys, duration=duration,
-                           left_time=time_of(F.col(second_col)), right_time=time_of(F.col(second_col)),
-                           carry=[second_col])
-    return source.join(matched.select(*unit), unit, "left_anti")
+                           left_time=t, right_time=t, carry=[second_col])
+    return source.join(matched, unit, "left_anti")
 
 
 def unmatched_by_key(source: DataFrame, counterpart: DataFrame, *,
@@ -183,9 +169,9 @@ def unmatched_by_key(source: DataFrame, counterpart: DataFrame, *,
     ``concat_key=True`` compares the keys glued together without a separator, as the original
     does (so ``('1','23')`` equals ``('12','3')``); the default compares the columns."""
     matched = matched_left(source, counterpart, tol=tol, keys=keys, duration=duration,
-                           left_time=F.col(time_col), right_time=F.col(time_col))
+                           left_time=_q(time_col), right_time=_q(time_col))
     if concat_key:
-        glued = F.concat(*[F.col(k) for k in keys])
-        mk = matched.select(glued.alias("_key"))
-        return (source.withColumn("_key", glued).join(mk, "_key", "left_anti").drop("_key"))
-    return source.join(matched.select(*keys), list(keys), "left_anti")
+        glued = f"concat({', '.join(_q(k) for k in keys)})"
+        mk = matched.selectExpr(f"{glued} AS _key")
+        return (source.selectExpr("*", f"{glued} AS _key").join(mk, "_key", "left_anti").drop("_key"))
+    return source.join(matched, list(keys), "left_anti")

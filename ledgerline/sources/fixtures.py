@@ -13,97 +13,96 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import REGION_ORDER
-from ..functions.datetime import DATETIME_FORMAT, epoch_seconds_ntz, time_part
+from ..functions.datetime import DATETIME_FORMAT
 from .tables import read_table
 
 TWIN_ID_OFFSET = 10_000_000
 TWIN_DURATION_OFFSET = 50
 
 
-def _region(code: F.Column) -> F.Column:
-    expr = F.lit(None).cast("string")
-    for i in range(len(REGION_ORDER) - 1, -1, -1):
-        expr = F.when(code == i, F.lit(REGION_ORDER[i])).otherwise(expr)
-    return expr
-
-
-def _s(c: F.Column) -> F.Column:
-    return c.cast("string")
+REGION_CASE = ("CASE user_id % 8 "
+               + " ".join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(REGION_ORDER)) + " END")
+_DT = f"date_format(ts, '{DATETIME_FORMAT}')"
+# whole seconds since 1970-01-01 of the wall clock, independent of the session time zone
+_EPOCH = ("CAST(datediff(to_date(ts), DATE'1970-01-01') AS BIGINT) * 86400 "
+          "+ hour(ts) * 3600 + minute(ts) * 60 + second(ts)")
+
+
+def _record_exprs(record_id: str, duration: str) -> list[str]:
+    """SQL expressions of the 34 record columns (one JVM parse per column instead of a chain of
+    column-API calls)."""
+    return [
+        f"{record_id} AS record_id",
+        "to_date(ts) AS eventDate",
+        "ts AS eventDateTime",
+        f"{REGION_CASE} AS MR",
+        "CASE WHEN event_id % 4 = 2 THEN 'Cp06' WHEN event_id % 4 = 3 THEN 'CH02' ELSE 'CH01' END AS cpName",
+        "CAST(1 + event_id % 2 AS INT) AS shoulder",
+        "CAST(CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS INT) AS iflag",
+        "concat('79', lpad(CAST(user_id AS STRING), 9, '0')) AS MSISDN",
+        "concat('25099', lpad(CAST(user_id AS STRING), 6, '0')) AS IMSI",
+        "concat('7918', lpad(CAST((user_id * 7919) % 1000000 AS STRING), 7, '0')) AS origToNumber",
+        "concat('MSC', CAST(user_id % 4 AS STRING)) AS MSCID",
+        "CAST(event_id % 3 AS STRING) AS recType",
+        "event_type AS service",
+        f"CAST({_EPOCH} AS BIGINT) AS timeKey",
+        f"{_DT} AS dateTime",
+        "concat('SRC', CAST(event_id % 3 AS STRING)) AS source",
+        f"{duration} AS duration",
+        "CAST(floor(value * 1000) AS BIGINT) AS volume",
+        "'+03:00' AS gmtOffset",
+        "concat('TP', CAST(user_id % 6 AS STRING)) AS TariffPlanName",
+        "CASE WHEN value >= 1 THEN 'RATED' ELSE 'ZERO' END AS RatingResult",
+        "CAST(event_id % 2 AS STRING) AS ratingRes",
+        "CAST(CASE WHEN user_id % 10 = 0 THEN 1 ELSE 0 END AS INT) AS isRoam",
+        "CAST(event_id % 2 AS INT) AS dch",
+        "concat('cdr_', CAST(user_id % 10 AS STRING), '.csv') AS inputFileName",
+        f"substring({_DT}, 12, 8) AS origTime",
+        "props AS udf",
+        "CAST(user_id % 100 AS STRING) AS cellid",
+        "CAST(user_id % 7 AS STRING) AS lac",
+        f"{REGION_CASE} AS region",
+        "concat('RP', CAST(user_id % 3 AS STRING)) AS ratingPlan",
+        "CAST(event_id AS STRING) AS reference",
+        "event_type AS filterGroup",
+        "'1' AS LOADED",
+    ]
 
 
 def cdr_base(events: DataFrame) -> DataFrame:
     """One call record per event (34 record columns plus ``eventDateTime`` and ``iflag``)."""
-    e = events
-    eid, uid = F.col("event_id"), F.col("user_id")
-    date_time = F.date_format("ts", DATETIME_FORMAT)
-    return e.select(
-        eid.alias("record_id"),
-        F.to_date("ts").alias("eventDate"),
-        F.col("ts").alias("eventDateTime"),
-        _region(uid % 8).alias("MR"),
-        F.when(eid % 4 == 2, F.lit("Cp06")).when(eid % 4 == 3, F.lit("CH02"))
-         .otherwise(F.lit("CH01")).alias("cpName"),
-        (F.lit(1) + eid % 2).cast("int").alias("shoulder"),
-        F.when(eid % 11 == 0, 1).otherwise(0).cast("int").alias("iflag"),
-        F.concat(F.lit("79"), F.lpad(_s(uid), 9, "0")).alias("MSISDN"),
-        F.concat(F.lit("25099"), F.lpad(_s(uid), 6, "0")).alias("IMSI"),
-        F.concat(F.lit("7918"), F.lpad(_s((uid * 7919) % 1_000_000), 7, "0")).alias("origToNumber"),
-        F.concat(F.lit("MSC"), _s(uid % 4)).alias("MSCID"),
-        _s(eid % 3).alias("recType"),
-        F.col("event_type").alias("service"),
-        epoch_seconds_ntz("ts").alias("timeKey"),
-        date_time.alias("dateTime"),
-        F.concat(F.lit("SRC"), _s(eid % 3)).alias("source"),
-        F.floor("value").cast("int").alias("duration"),
-        F.floor(F.col("value") * 1000).cast("bigint").alias("volume"),
-        F.lit("+03:00").alias("gmtOffset"),
-        F.concat(F.lit("TP"), _s(uid % 6)).alias("TariffPlanName"),
-        F.when(F.col("value") >= 1, F.lit("RATED")).otherwise(F.lit("ZERO")).alias("RatingResult"),
-        _s(eid % 2).alias("ratingRes"),
-        F.when(uid % 10 == 0, 1).otherwise(0).cast("int").alias("isRoam"),
-        (eid % 2).cast("int").alias("dch"),
-        F.concat(F.lit("cdr_"), _s(uid % 10), F.lit(".csv")).alias("inputFileName"),
-        time_part(date_time).alias("origTime"),
-        F.col("props").alias("udf"),
-        _s(uid % 100).alias("cellid"),
-        _s(uid % 7).alias("lac"),
-        _region(uid % 8).alias("region"),
-        F.concat(F.lit("RP"), _s(uid % 3)).alias("ratingPlan"),
-        _s(eid).alias("reference"),
-        F.col("event_type").alias("filterGroup"),
-        F.lit("1").alias("LOADED"),
-    )
+    return events.selectExpr(*_record_exprs("event_id", "CAST(floor(value) AS INT)"))
 
 
 def cdr_start(events: DataFrame) -> DataFrame:
     """Source stream: every base record, exact copies of every 17th (DISTINCT must fold them)
-    and a twin of every 13th with another id and a longer duration (same key and second)."""
-    base = cdr_base(events)
-    copies = base.where(F.col("record_id") % 17 == 0)
-    twins = (base.where(F.col("record_id") % 13 == 0)
-             .withColumn("record_id", F.col("record_id") + TWIN_ID_OFFSET)
-             .withColumn("duration", F.col("duration") + TWIN_DURATION_OFFSET))
-    return base.unionByName(copies).unionByName(twins)
+    and a twin of every 13th with another id and a longer duration (same key and second).
+
+    One scan: each event is exploded into its copies (kind 0 = record, 1 = exact copy,
+    2 = twin) rather than unioning three scans, which would also make Catalyst push every later
+    semi/anti join into each union branch."""
+    copies = events.selectExpr(
+        "*", "explode(filter(array(0, CASE WHEN event_id % 17 = 0 THEN 1 END, "
+             "CASE WHEN event_id % 13 = 0 THEN 2 END), k -> k IS NOT NULL)) AS _kind")
+    return copies.selectExpr(*_record_exprs(
+        f"CASE WHEN _kind = 2 THEN event_id + {TWIN_ID_OFFSET} ELSE event_id END",
+        f"CAST(floor(value) AS INT) + CASE WHEN _kind = 2 THEN {TWIN_DURATION_OFFSET} ELSE 0 END"))
 
 
 def cdr_rnd(events: DataFrame) -> DataFrame:
     """Counterpart stream: two records in three, with duration moved by 0-3, time by 0-4 s and,
     for every 7th, one more hour; region code in upper case."""
-    rid = F.col("event_id")
-    shift = rid % 5 + F.when(rid % 7 == 0, 3600).otherwise(0)
-    shifted_ts = F.col("ts") + F.make_dt_interval(secs=shift.cast("int"))
-    base = events.where(rid % 3 != 0)
-    return base.select(
-        F.to_date("ts").alias("eventDate"),
-        F.upper(_region(F.col("user_id") % 8)).alias("macroregion"),
-        F.concat(F.lit("25099"), F.lpad(_s(F.col("user_id")), 6, "0")).alias("IMSI"),
-        F.concat(F.lit("7918"), F.lpad(_s((F.col("user_id") * 7919) % 1_000_000), 7, "0"))
-         .alias("origToNumber"),
-        F.col("event_type").alias("service"),
-        _s(rid % 3).alias("recType"),
-        (F.floor("value").cast("int") + (rid % 4).cast("int")).alias("duration"),
-        F.date_format(shifted_ts, DATETIME_FORMAT).alias("dateTime"),
-        (epoch_seconds_ntz("ts") + shift).cast("bigint").alias("timeKey"),
+    shift = "(event_id % 5 + CASE WHEN event_id % 7 = 0 THEN 3600 ELSE 0 END)"
+    return events.where("event_id % 3 <> 0").selectExpr(
+        "to_date(ts) AS eventDate",
+        f"upper({REGION_CASE}) AS macroregion",
+        "concat('25099', lpad(CAST(user_id AS STRING), 6, '0')) AS IMSI",
+        "concat('7918', lpad(CAST((user_id * 7919) % 1000000 AS STRING), 7, '0')) AS origToNumber",
+        "event_type AS service",
+        "CAST(event_id % 3 AS STRING) AS recType",
+        "CAST(floor(value) AS INT) + CAST(event_id % 4 AS INT) AS duration",
+        f"date_format(ts + make_dt_interval(0, 0, 0, CAST({shift} AS INT)), '{DATETIME_FORMAT}') AS dateTime",
+        f"CAST({_EPOCH} + {shift} AS BIGINT) AS timeKey",
     )
 
 
@@ -126,43 +125,40 @@ def stat_daily(start: DataFrame) -> DataFrame:
 
 def job_log(events: DataFrame) -> DataFrame:
     """A finished-jobs log: one job per event."""
-    eid, uid, v = F.col("event_id"), F.col("user_id"), F.col("value")
-    nbytes = F.floor(v * 1_000_000).cast("bigint")
-    return events.select(
-        F.when(F.col("event_type") == "purchase", F.lit("QueryFinish"))
-         .otherwise(F.col("event_type")).alias("type"),
-        F.to_date("ts").alias("event_date"),
-        F.col("ts").alias("event_time"),
-        F.floor(v * 1000).cast("bigint").alias("query_duration_ms"),
-        uid.alias("read_rows"),
-        nbytes.alias("read_bytes"),
-        nbytes.alias("memory_usage"),
-        (eid % 100).alias("result_rows"),
-        nbytes.alias("result_bytes"),
-        F.lit("default").alias("current_database"),
-        F.concat(F.when(eid % 5 == 0, F.lit("select from system.")).otherwise(F.lit("select from t")),
-                 F.lit(" "), F.col("props")).alias("query"),
-        F.lit("Select").alias("query_kind"),
-        F.concat(F.lit("db."), F.col("event_type")).alias("tables"),
-        F.when(uid % 2 == 0, F.lit("airflow")).otherwise(F.lit("other")).alias("user"),
-        F.lit("etl").alias("os_user"),
+    nbytes = "CAST(floor(value * 1000000) AS BIGINT)"
+    return events.selectExpr(
+        "CASE WHEN event_type = 'purchase' THEN 'QueryFinish' ELSE event_type END AS type",
+        "to_date(ts) AS event_date",
+        "ts AS event_time",
+        "CAST(floor(value * 1000) AS BIGINT) AS query_duration_ms",
+        "user_id AS read_rows",
+        f"{nbytes} AS read_bytes",
+        f"{nbytes} AS memory_usage",
+        "event_id % 100 AS result_rows",
+        f"{nbytes} AS result_bytes",
+        "'default' AS current_database",
+        "concat(CASE WHEN event_id % 5 = 0 THEN 'select from system.' ELSE 'select from t' END, "
+        "' ', props) AS query",
+        "'Select' AS query_kind",
+        "concat('db.', event_type) AS tables",
+        "CASE WHEN user_id % 2 = 0 THEN 'airflow' ELSE 'other' END AS user",
+        "'etl' AS os_user",
     )
 
 
 def running_jobs(events: DataFrame) -> DataFrame:
     """A snapshot of running jobs: one per event, elapsed seconds from the event value."""
-    eid, uid, v = F.col("event_id"), F.col("user_id"), F.col("value")
-    nbytes = F.floor(v * 1_000_000).cast("bigint")
-    return events.select(
-        F.when(uid % 2 == 0, F.lit("airflow")).otherwise(F.lit("other")).alias("user"),
-        _s(eid).alias("query_id"),
-        F.floor(v * 1000).cast("double").alias("elapsed"),
-        uid.alias("read_rows"),
-        nbytes.alias("read_bytes"),
-        nbytes.alias("memory_usage"),
-        (nbytes * 2).alias("peak_memory_usage"),
-        F.concat(F.when(eid % 5 == 0, F.lit("select from system.processes"))
-                 .otherwise(F.lit("select from t")), F.lit(" "), F.col("props")).alias("query"),
+    nbytes = "CAST(floor(value * 1000000) AS BIGINT)"
+    return events.selectExpr(
+        "CASE WHEN user_id % 2 = 0 THEN 'airflow' ELSE 'other' END AS user",
+        "CAST(event_id AS STRING) AS query_id",
+        "CAST(floor(value * 1000) AS DOUBLE) AS elapsed",
+        "user_id AS read_rows",
+        f"{nbytes} AS read_bytes",
+        f"{nbytes} AS memory_usage",
+        f"{nbytes} * 2 AS peak_memory_usage",
+        "concat(CASE WHEN event_id % 5 = 0 THEN 'select from system.processes' "
+        "ELSE 'select from t' END, ' ', props) AS query",
     )
 
 
