@@ -9,8 +9,8 @@ library; the reports are DataFrames.
 Two forms are offered:
 * **tables** (C6): the same questions on a partitioned table, per expected (region, check) and
   ``as_of`` day: no rows, no recent rows, too few rows;
-* **files** (C1-C5): on file facts (path, directory, mtime, length, lines) from
-  ``sources.files.file_facts``.
+* **files** (C1-C5): on file facts (path, directory, name, length, mtime) from
+  ``sources.files.list_tree``, line counts from ``sources.files.line_counts``.
 
 Expected pairs are configuration (a few dozen rows), built as a DataFrame from Python lists; the
 data side is always reduced by a partial aggregation before it meets them.
@@ -22,11 +22,11 @@ import datetime as _dt
 import itertools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.datetime import as_date
-from ..functions.text import eligible_file_name, last_component, parent_dir
+from ..functions.text import eligible_file_name, last_component
 
 
 def expected_pairs(spark: SparkSession, regions: Sequence[str], checks: Sequence[str],
@@ -120,48 +120,94 @@ def status_rows(report: DataFrame, passes: DataFrame, *, pass_col: str, item_col
 
 def latest_eligible_files(facts: DataFrame, *, suffix: str, excludes: Sequence[str]) -> DataFrame:
     """Newest eligible file of every directory (W3): ends with ``suffix``, name contains none of
-    ``excludes``; ties on mtime go to the greater path. One window partitioned by directory."""
-    name = last_component("path")
-    elig = facts.where(eligible_file_name(name, suffix, excludes))
-    w = Window.partitionBy("dir").orderBy(F.col("mtime").desc(), F.col("path").desc())
-    return elig.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") == 1).drop("_rn")
+    ``excludes``; ties on mtime go to the greater path. A ``max`` over (mtime, path) structs, so
+    each task pre-aggregates its share of a directory before the shuffle."""
+    elig = facts.where(eligible_file_name(last_component("path"), suffix, excludes))
+    newest = elig.groupBy("dir").agg(F.max(F.struct("mtime", "path")).alias("_m"))
+    return newest.select("dir", F.col("_m.path").alias("path"), F.col("_m.mtime").alias("mtime"))
 
 
 def file_reports(facts: DataFrame, channel_dirs: DataFrame, as_of, *, suffix: str,
                  excludes: Sequence[str], not_empty_checked: Sequence[str],
-                 max_lines: int = 1) -> tuple[DataFrame, DataFrame]:
+                 line_counter=None, max_lines: int = 1) -> tuple[DataFrame, DataFrame]:
     """Stale/missing and empty reports over landed files.
 
-    ``facts``: path, dir, mtime, length, lines (lines only needed for the newest files).
-    ``channel_dirs``: dir, pass, channel for every channel directory to check (including empty
-    ones, which the file listing cannot show).
-    Returns (stale_or_missing: pass, dir, status; empty: pass, dir, lines). A directory that does
-    not exist cannot be listed, so it is reported by ``expected_minus_found`` only, as in the
-    original."""
+    ``facts``: path, dir, name, length, mtime (``sources.files.list_tree``).
+    ``channel_dirs``: pass, dir, channel for every channel directory to check, including empty
+    ones, which a file scan cannot show.
+    ``line_counter(paths)`` returns (path, lines) for the newest file of each directory only; it is
+    called with that bounded list (one path per channel directory).
+    Returns (stale_or_missing: pass, dir, status; empty: pass, dir, lines). The newest file is
+    dated by its modification time; a fresh file is checked for emptiness only when its channel is
+    not in ``not_empty_checked``. A directory that does not exist cannot be listed, so it is
+    reported by ``expected_minus_found`` only, as in the original."""
     day = as_date(as_of)
     latest = latest_eligible_files(facts, suffix=suffix, excludes=excludes)
-    per_dir = channel_dirs.join(latest.select("dir", "path", "mtime", "lines"), "dir", "left")
+    per_dir = channel_dirs.join(latest.select("dir", "path", "mtime"), "dir", "left")
     stale = (per_dir.where(F.col("path").isNull() | (F.to_date("mtime") != F.lit(day)))
              .select("pass", "dir", F.when(F.col("path").isNull(), F.lit("missing"))
                      .otherwise(F.lit("stale")).alias("status")))
-    empty = (per_dir.where(F.col("path").isNotNull() & (F.to_date("mtime") == F.lit(day))
-                           & ~F.col("channel").isin(list(not_empty_checked))
-                           & (F.coalesce(F.col("lines"), F.lit(0)) <= F.lit(int(max_lines))))
-             .select("pass", "dir", F.col("lines").cast("bigint").alias("lines")))
+    fresh = per_dir.where(F.col("path").isNotNull() & (F.to_date("mtime") == F.lit(day))
+                          & ~F.col("channel").isin(list(not_empty_checked)))
+    paths = [r[0] for r in fresh.select("path").collect()]
+    counts = line_counter(paths)
+    empty = (fresh.join(counts, "path", "left")
+             .where(F.coalesce(F.col("lines"), F.lit(0)) <= F.lit(int(max_lines)))
+             .select("pass", "dir", F.coalesce(F.col("lines"), F.lit(0)).cast("bigint").alias("lines")))
     return stale, empty
 
 
+def landed_file_check(spark: SparkSession, base: str, as_of, *, passes: Sequence[str],
+                      channels: Sequence[str], not_empty_checked: Sequence[str],
+                      suffix: str = ".csv", excludes: Sequence[str] = (),
+                      max_lines: int = 1) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The daily landed-file check over ``<base>/<pass>/.../<channel>/``.
+
+    Returns (stale_or_missing, empty, status) where ``status`` has one row per pass and report
+    kind: ``OK`` or ``NOK`` with the directories joined by newlines."""
+    from ..sources.files import line_counts, list_tree
+    facts_all, dirs_all = None, None
+    for p in passes:
+        files, dirs = list_tree(spark, f"{base.rstrip('/')}/{p}")
+        files = files.withColumn("pass", F.lit(p))
+        dirs = dirs.withColumn("pass", F.lit(p))
+        facts_all = files if facts_all is None else facts_all.unionByName(files)
+        dirs_all = dirs if dirs_all is None else dirs_all.unionByName(dirs)
+    channel_dirs = (dirs_all.where(F.col("name").isin(list(channels)))
+                    .select("pass", "dir", F.col("name").alias("channel")))
+    stale, empty = file_reports(facts_all, channel_dirs, as_of, suffix=suffix, excludes=excludes,
+                                not_empty_checked=not_empty_checked,
+                                line_counter=lambda paths: line_counts(spark, paths),
+                                max_lines=max_lines)
+    pass_df = spark.createDataFrame([(p,) for p in passes], "pass string")
+    status = (status_rows(stale, pass_df, pass_col="pass", item_col="dir", kind="stale")
+              .unionByName(status_rows(empty, pass_df, pass_col="pass", item_col="dir", kind="empty")))
+    return stale, empty, status
+
+
 def fresh_found(facts: DataFrame, since: _dt.datetime, *, suffix: str,
                 region_words: Sequence[str], channel_words: Sequence[str]) -> DataFrame:
     """Distinct (region, channel) with at least one file newer than ``since`` ending in ``suffix``
-    under a path naming both (W4, P10, P12, F14)."""
+    (case-insensitive) under a path with a segment naming the region and one naming the channel
+    (W4, P10, P12, F14). Segments are matched whole, not by fixed character offsets."""
     from ..functions.text import path_segment_matching
-    f = facts.where((F.col("mtime") > F.lit(since)) & F.lower(last_component("path"))
-                    .endswith(suffix.lower()))
+    f = facts.where((F.col("mtime") > F.lit(since))
+                    & F.lower(F.col("name")).endswith(suffix.lower()))
     return (f.select(F.upper(path_segment_matching("path", region_words)).alias("region"),
                      F.upper(path_segment_matching("path", channel_words)).alias("channel"))
             .where((F.col("region") != "") & (F.col("channel") != "")).distinct())
 
 
-def dir_of(path_col: str = "path"):
-    return parent_dir(path_col)
+def expected_minus_found_files(spark: SparkSession, root: str, as_of, *, regions: Sequence[str],
+                               channels: Sequence[str], suffix: str = ".csv") -> DataFrame:
+    """Expected region x channel pairs with no file written since ``as_of`` midnight under
+    ``root`` (C4, J8), with the directory text to report (``<root>/<region>/<channel>``)."""
+    from ..sources.files import list_tree
+    since = _dt.datetime.combine(as_date(as_of), _dt.time())
+    files, _ = list_tree(spark, root)
+    found = fresh_found(files, since, suffix=suffix, region_words=regions, channel_words=channels)
+    expected = expected_pairs(spark, [r.upper() for r in regions], [c.upper() for c in channels],
+                              "region", "channel")
+    missing = expected_minus_found(expected, found, ["region", "channel"])
+    return missing.select("region", "channel",
+                          F.concat_ws("/", F.lit(root.rstrip("/")), "region", "channel").alias("path"))
