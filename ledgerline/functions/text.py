@@ -12,23 +12,35 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_text(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def list_rank(c: str | Column, values: Sequence[str], unknown: str = "") -> Column:
     """Rank of a value in a fixed list as text ``'0'``, ``'1'``, ...; anything else gets
     ``unknown`` (``''`` sorts before every digit, so unknown values come first) (W5)."""
-    col = _c(c)
+    if isinstance(c, str):
+        whens = " ".join(f"WHEN {_sql_text(v)} THEN '{i}'" for i, v in enumerate(values))
+        return F.expr(f"CASE {_q(c)} {whens} ELSE {_sql_text(unknown)} END")
     expr = F.lit(unknown)
     for i in range(len(values) - 1, -1, -1):
-        expr = F.when(col == F.lit(values[i]), F.lit(str(i))).otherwise(expr)
+        expr = F.when(c == F.lit(values[i]), F.lit(str(i))).otherwise(expr)
     return expr
 
 
 def list_ordinal(c: str | Column, values: Sequence[str]) -> Column:
     """Replace each listed value with its two-digit 1-based position; others stay as they are
     (F15, W7)."""
-    col = _c(c)
-    expr = col
+    if isinstance(c, str):
+        whens = " ".join(f"WHEN {_sql_text(v)} THEN '{i + 1:02d}'" for i, v in enumerate(values))
+        return F.expr(f"CASE {_q(c)} {whens} ELSE {_q(c)} END")
+    expr = c
     for i in range(len(values) - 1, -1, -1):
-        expr = F.when(col == F.lit(values[i]), F.lit(f"{i + 1:02d}")).otherwise(expr)
+        expr = F.when(c == F.lit(values[i]), F.lit(f"{i + 1:02d}")).otherwise(expr)
     return expr
 
 

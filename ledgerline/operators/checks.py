@@ -18,6 +18,7 @@ from ..constants import (CALL_KEY, CAP_PER_HOUR, CAP_TOTAL, CAP_TRIGGER_ROWS, FI
                          FIRST_LEVEL_COLUMNS, KEY_LEVEL_CHECK, KEY_LEVEL_COLUMNS, KEY_LEVEL_LAG_DAYS,
                          KEY_LEVEL_LAG_DAYS_STH)
 from ..functions.datetime import date_part, days_before, lenient_epoch_sql, time_part
+from ..session import ensure_checkpoint_dir
 from .caps import CapPlan, apply_caps, cap_decision, mark_capped_sql
 from .recon import (HOUR_SHIFT, SAME_SECOND, Tolerance, counterpart_candidates, matched_pairs,
                     unmatched_by_key, unmatched_by_second)
@@ -66,6 +67,12 @@ def first_level_capped(start: DataFrame, as_of, *, days_back: int, check: str =
     src = first_level_source(start, day, check)
     cap = first_level_cap(src, caps)
     capped = apply_caps(src, cap, fanout=caps.fanout if caps else 32)
+    if cap.on:
+        # The capped set is used twice (rows to report, rows to match) and is bounded by
+        # 25 x per_hour rows; write it once to the session's checkpoint folder so both uses read
+        # the same rows and a lost executor recomputes nothing upstream.
+        ensure_checkpoint_dir(capped.sparkSession)
+        capped = capped.checkpoint(eager=True)
     return capped, cap
 
 

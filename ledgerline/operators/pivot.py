@@ -2,8 +2,8 @@
 
 ``stat_pivot`` turns a daily statistics table (date x region x check, one column per metric)
 into one row per (region, check, metric) with one column per date, newest first, as the daily
-report shows it. It is ``unpivot`` -> ``groupBy(...).pivot(date, dates).sum`` -> ``fillna(0)``: one
-shuffle, with partial sums in every map task, and the list of dates given up front so Spark does
+report shows it: ``stack`` for the metric rows, then one conditional aggregation per (region,
+check, metric) (one shuffle, partial sums in every map task). Given the list of dates up front, Spark does
 not run an extra distinct job to find them.
 
 Semantics kept from the original report (a pandas pivot table):
@@ -33,6 +33,10 @@ def _date_text(d) -> str:
     return d.isoformat() if isinstance(d, _dt.date) else str(d)
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def stat_pivot(stat: DataFrame, metrics: Sequence[str], dates: Sequence | None = None, *,
                date_col: str = "eventDate", region_col: str = "macroRegion",
                check_col: str = "cpName", metric_order: Sequence[str] = STAT_METRICS,
@@ -40,10 +44,14 @@ def stat_pivot(stat: DataFrame, metrics: Sequence[str], dates: Sequence | None =
     """Metrics x region x check in rows, dates (``yyyy-MM-dd``, newest first) in columns.
 
     ``dates`` limits and orders the date columns; without it the distinct dates of the table are
-    used (one small aggregate, a row per day)."""
-    keys = [date_col, region_col, check_col]
-    base = stat.where(F.col(date_col).isNotNull() & F.col(region_col).isNotNull()
-                      & F.col(check_col).isNotNull())
+    read first (one small aggregate, a row per day).
+
+    Plan: ``stack`` turns the metric columns into rows (a narrow ``Expand``), then one aggregation
+    per (region, check, metric) with a conditional sum per date: partial sums in every map task
+    and a single shuffle. Spark's own ``pivot`` would aggregate twice (by date, then
+    ``PivotFirst``)."""
+    base = stat.where(f"{_q(date_col)} IS NOT NULL AND {_q(region_col)} IS NOT NULL "
+                      f"AND {_q(check_col)} IS NOT NULL")
     if dates is None:
         dates = [r[0] for r in base.select(date_col).distinct().collect()]
     else:
@@ -51,20 +59,25 @@ def stat_pivot(stat: DataFrame, metrics: Sequence[str], dates: Sequence | None =
     date_names = sorted({_date_text(d) for d in dates}, reverse=True)
     integral = all(isinstance(stat.schema[m].dataType, (T.IntegerType, T.LongType, T.ShortType,
                                                         T.ByteType)) for m in metrics)
-    vtype = "bigint" if integral else "double"
-    long = (base.select(*keys, *[F.col(m).cast(vtype).alias(m) for m in metrics])
-            .unpivot(keys, list(metrics), type_col, "_value")
-            .withColumn("_day", F.date_format(F.col(date_col), "yyyy-MM-dd")))
-    wide = (long.groupBy(region_col, check_col, type_col)
-            .pivot("_day", date_names)
-            .agg(F.coalesce(F.sum("_value"), F.lit(0).cast(vtype)))
-            .fillna(0, subset=date_names))
-    row_sum = sum((F.col(f"`{d}`") for d in date_names), F.lit(0).cast(vtype))
-    out = wide.where(row_sum != 0) if date_names else wide.limit(0)
+    vtype = "BIGINT" if integral else "DOUBLE"
+    keys = [region_col, check_col]
+    if not date_names:
+        return stat.sparkSession.createDataFrame(
+            [], f"{_q(region_col)} string, {_q(check_col)} string, {_q(type_col)} string")
+    stacked = base.selectExpr(
+        *[_q(k) for k in keys], _q(date_col),
+        f"stack({len(metrics)}, " + ", ".join(f"'{m}', CAST({_q(m)} AS {vtype})" for m in metrics)
+        + f") AS ({_q(type_col)}, _value)")
+    aggs = [F.expr(f"CAST(coalesce(sum(CASE WHEN {_q(date_col)} = DATE'{d}' THEN _value END), 0) "
+                   f"AS {vtype})").alias(d) for d in date_names]
+    out_cols = [*keys, type_col]
+    rows = stacked.groupBy(*out_cols).agg(*aggs)
+    row_sum = " + ".join(_q(d) for d in date_names)
+    out = rows.where(f"({row_sum}) <> 0")
     if sort:
         out = (out.withColumn(ORDINAL_COL, list_ordinal(type_col, metric_order))
                .orderBy(region_col, check_col, ORDINAL_COL).drop(ORDINAL_COL))
-    return out.select(region_col, check_col, type_col, *[F.col(f"`{d}`") for d in date_names])
+    return out
 
 
 def extract_order(check_col: str = "chName", region_col: str = "macroRegion",
