@@ -45,15 +45,18 @@ def clock_text_sql(ms: str) -> str:
 
 def readable_size_sql(n: str) -> str:
     """Bytes in 1024-based units with two decimals: ``0.00 B``, ``1.50 KiB``, ``953.67 MiB``.
-    The value is cast to double first (``format_string('%.2f')`` rejects decimals)."""
+    The value is cast to double first (``format_string('%.2f')`` rejects decimals). One unit index
+    from a comparison ladder, one ``format_string``: small enough to stay in codegen next to other
+    formatters."""
     x = f"CAST({n} AS DOUBLE)"
-    whens = " ".join(
-        f"WHEN abs({x}) < {float(1024 ** (i + 1))!r}D "
-        f"THEN format_string('%.2f {u}', {x} / {float(1024 ** i)!r}D)"
-        for i, u in enumerate(SIZE_UNITS[:-1]))
     last = len(SIZE_UNITS) - 1
-    return (f"CASE WHEN {x} IS NULL THEN CAST(NULL AS STRING) {whens} "
-            f"ELSE format_string('%.2f {SIZE_UNITS[last]}', {x} / {float(1024 ** last)!r}D) END")
+    idx = ("CASE " + " ".join(f"WHEN abs({x}) < {float(1024 ** (i + 1))!r}D THEN {i + 1}"
+                              for i in range(last)) + f" ELSE {last + 1} END")
+    divisors = ", ".join(f"{float(1024 ** i)!r}D" for i in range(last + 1))
+    units = ", ".join(f"'{u}'" for u in SIZE_UNITS)
+    return (f"CASE WHEN {x} IS NULL THEN CAST(NULL AS STRING) ELSE "
+            f"format_string('%.2f %s', {x} / element_at(array({divisors}), {idx}), "
+            f"element_at(array({units}), {idx})) END")
 
 
 def readable_delta_sql(seconds: str) -> str:

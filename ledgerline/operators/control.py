@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.datetime import as_date
+from ..sources.tables import local_frame
 from ..functions.text import eligible_file_name, last_component
 
 
@@ -33,7 +34,7 @@ def expected_pairs(spark: SparkSession, regions: Sequence[str], checks: Sequence
                    region_col: str = "region", check_col: str = "check") -> DataFrame:
     """Every configured region with every configured check (the expected grid)."""
     rows = list(itertools.product(list(regions), list(checks)))
-    return spark.createDataFrame(rows, f"{region_col} string, {check_col} string")
+    return local_frame(spark, rows, f"{region_col} string, {check_col} string")
 
 
 # ---------------------------------------------------------------------------------------------
@@ -179,7 +180,7 @@ def landed_file_check(spark: SparkSession, base: str, as_of, *, passes: Sequence
                                 not_empty_checked=not_empty_checked,
                                 line_counter=lambda paths: line_counts(spark, paths),
                                 max_lines=max_lines)
-    pass_df = spark.createDataFrame([(p,) for p in passes], "pass string")
+    pass_df = local_frame(spark, [(p,) for p in passes], "pass string")
     status = (status_rows(stale, pass_df, pass_col="pass", item_col="dir", kind="stale")
               .unionByName(status_rows(empty, pass_df, pass_col="pass", item_col="dir", kind="empty")))
     return stale, empty, status

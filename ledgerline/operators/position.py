@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
+from ..sources.tables import local_frame
 
 _MID = "_mono_id"
 _PART = "_part"
@@ -36,7 +37,7 @@ def with_position(df: DataFrame, order_cols: Sequence[str | Column], pos_col: st
     for part, n in counts:
         offsets.append((int(part), running))
         running += int(n)
-    off_df = spark.createDataFrame(offsets or [(0, 0)], f"{_PART} long, _offset long")
+    off_df = local_frame(spark, offsets or [(0, 0)], f"{_PART} bigint, _offset bigint")
     out = (with_part.join(F.broadcast(off_df), _PART, "inner")
            .withColumn(pos_col, F.col("_offset") + F.col(_MID).bitwiseAND(F.lit(_LOW_BITS)) + 1)
            .drop(_PART, "_offset", _MID))

@@ -401,6 +401,12 @@ SELECT record_id, dateTime,
 FROM cdr_start"""
 
 
+def _csv_roundtrip() -> str:
+    days = sorted((d.isoformat() for d in P.PIVOT_DAYS), reverse=True)
+    cols = ", ".join(f'CAST("{d}" AS VARCHAR) AS "{d}"' for d in days)
+    return f"SELECT macroRegion, cpName, cpType, {cols} FROM ({_stat_pivot()}) p"
+
+
 ORACLE_SQL: dict[str, str] = {
     "recon_key_unmatched": _key_level(False),
     "recon_key_unmatched_concat": _key_level(True),
@@ -421,4 +427,6 @@ ORACLE_SQL: dict[str, str] = {
     "joblog_finished": _joblog_finished(),
     "joblog_running": _joblog_running(),
     "scalar_datetime_cut": _scalar_cut(),
+    "sink_partitioned_roundtrip": _first_level(False),
+    "sink_csv_roundtrip": _csv_roundtrip(),
 }

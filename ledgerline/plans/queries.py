@@ -3,6 +3,7 @@ input tables. Column names match the DuckDB forms in ``oracle.py``."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,10 @@ from pyspark.sql import functions as F
 from ..functions.datetime import date_part, days_before, hour_of, lenient_epoch, time_part
 from ..operators import caps as caps_op
 from ..operators import checks, control, joblog, pivot
+from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as fx
+from ..sources import sinks
+from ..sources.tables import local_frame
 from . import params as P
 
 
@@ -126,7 +130,7 @@ def control_low_volume(spark, sf_dir):
 
 
 def control_status(spark, sf_dir):
-    passes = spark.createDataFrame([(c,) for c in P.CONTROL_CHECKS], "check string")
+    passes = local_frame(spark, [(c,) for c in P.CONTROL_CHECKS], "check string")
     stale = control_stale(spark, sf_dir)
     low = control_low_volume(spark, sf_dir)
     a = control.status_rows(stale, passes, pass_col="check", item_col="region", kind="stale")
@@ -154,6 +158,28 @@ def scalar_datetime_cut(spark, sf_dir):
                         F.concat(F.lit("!"), F.col("inputFileName")).alias("marked_file"))
 
 
+def _scratch(spark: SparkSession, kind: str) -> str:
+    """A fresh folder under the shared checkpoint folder the session names."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}/{uuid.uuid4().hex}"
+
+
+def sink_partitioned_roundtrip(spark, sf_dir):
+    """The first-level result written twice by (eventDate, cpName) slice replacement and read
+    back; a rerun must not duplicate it."""
+    path = _scratch(spark, "results")
+    for _ in range(2):
+        sinks.write_partitions(recon_second_unmatched(spark, sf_dir), path, ("eventDate", "cpName"))
+    return spark.read.parquet(path)
+
+
+def sink_csv_roundtrip(spark, sf_dir):
+    """The statistics pivot exported as the daily CSV (``;``, quoted, header, windows-1251,
+    dated folder) and read back as text columns."""
+    out = sinks.export_csv(stat_pivot(spark, sf_dir), _scratch(spark, "exports"),
+                           "pivot-statistics", P.AS_OF)
+    return spark.read.options(sep=";", header=True, encoding="windows-1251", quote='"').csv(out)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recon_key_unmatched": recon_key_unmatched,
     "recon_key_unmatched_concat": recon_key_unmatched_concat,
@@ -174,4 +200,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "joblog_finished": joblog_finished,
     "joblog_running": joblog_running,
     "scalar_datetime_cut": scalar_datetime_cut,
+    "sink_partitioned_roundtrip": sink_partitioned_roundtrip,
+    "sink_csv_roundtrip": sink_csv_roundtrip,
 }

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..constants import REGION_ORDER
 from ..functions.datetime import DATETIME_FORMAT
-from .tables import read_table
+from .tables import local_frame, read_table
 
 TWIN_ID_OFFSET = 10_000_000
 TWIN_DURATION_OFFSET = 50
@@ -109,8 +109,8 @@ def cdr_rnd(events: DataFrame) -> DataFrame:
 def check_dictionary(spark: SparkSession, lags: dict[str, int]) -> DataFrame:
     """The check dictionary (check name -> days before the run day): configuration, a handful
     of rows."""
-    return spark.createDataFrame([(k, int(v)) for k, v in sorted(lags.items())],
-                                 "cpName string, days_before int")
+    return local_frame(spark, [(k, int(v)) for k, v in sorted(lags.items())],
+                       "cpName string, days_before int")
 
 
 def stat_daily(start: DataFrame) -> DataFrame:
