@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..constants import (CALL_KEY, CAP_PER_HOUR, CAP_TOTAL, CAP_TRIGGER_ROWS, FIRST_LEVEL_CHECK,
                          FIRST_LEVEL_COLUMNS, KEY_LEVEL_CHECK, KEY_LEVEL_COLUMNS, KEY_LEVEL_LAG_DAYS,
                          KEY_LEVEL_LAG_DAYS_STH)
-from ..functions.datetime import date_part, days_before, lenient_epoch_sql, time_part
+from ..functions.datetime import days_before, lenient_epoch_sql
 from ..session import ensure_checkpoint_dir
 from .caps import CapPlan, apply_caps, cap_decision, mark_capped_sql
 from .recon import (HOUR_SHIFT, SAME_SECOND, Tolerance, counterpart_candidates, matched_pairs,
@@ -150,8 +150,10 @@ def key_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, check: str =
     counter = key_level_counterpart(rnd, as_of, lag=lag, lag_sth=lag_sth)
     if reduce_by_imsi:
         counter = counterpart_candidates(counter, src)
-    left = unmatched_by_key(src, counter, tol=tol, concat_key=concat_key)
-    return left.select(*KEY_LEVEL_COLUMNS).distinct()
+    # DISTINCT first (spread over all output columns, partial aggregation), removal last: the
+    # anti join on the key is then the final operator and AQE may split a hot key's partition.
+    rows = src.selectExpr(*[f"`{c}`" for c in KEY_LEVEL_COLUMNS]).distinct()
+    return unmatched_by_key(rows, counter, tol=tol, concat_key=concat_key)
 
 
 def candidates_for_day(start: DataFrame, rnd: DataFrame, as_of, *, days_back: int,

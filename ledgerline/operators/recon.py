@@ -157,7 +157,9 @@ def unmatched_by_second(source: DataFrame, counterpart: DataFrame, *,
     t = time_sql(_q(second_col))
     matched = matched_left(source, counterpart, tol=tol, keys=keys, duration=duration,
                            left_time=t, right_time=t, carry=[second_col])
-    return source.join(matched, unit, "left_anti")
+    # one row per removal unit (partial aggregation; the anti join reuses its partitioning). The
+    # anti join is partitioned by (keys, second), so a hot subscriber spreads over its seconds.
+    return source.join(matched.distinct(), unit, "left_anti")
 
 
 def unmatched_by_key(source: DataFrame, counterpart: DataFrame, *,
@@ -167,11 +169,16 @@ def unmatched_by_key(source: DataFrame, counterpart: DataFrame, *,
     """Key-level removal (J2 + J4): source rows whose key has no matched record at all.
 
     ``concat_key=True`` compares the keys glued together without a separator, as the original
-    does (so ``('1','23')`` equals ``('12','3')``); the default compares the columns."""
+    does (so ``('1','23')`` equals ``('12','3')``); the default compares the columns.
+
+    The matched keys are reduced to one row per key before the anti join. Nothing after the anti
+    join should depend on its key partitioning (deduplicate the source first, as
+    ``checks.key_level_unmatched`` does): then AQE is free to split the partition of a hot key
+    across tasks."""
     matched = matched_left(source, counterpart, tol=tol, keys=keys, duration=duration,
                            left_time=_q(time_col), right_time=_q(time_col))
     if concat_key:
         glued = f"concat({', '.join(_q(k) for k in keys)})"
-        mk = matched.selectExpr(f"{glued} AS _key")
+        mk = matched.selectExpr(f"{glued} AS _key").distinct()
         return (source.selectExpr("*", f"{glued} AS _key").join(mk, "_key", "left_anti").drop("_key"))
-    return source.join(matched, list(keys), "left_anti")
+    return source.join(matched.distinct(), list(keys), "left_anti")

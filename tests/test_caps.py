@@ -71,3 +71,12 @@ def test_caps_never_raise_count_and_ignore_input_partitioning(spark):
     random.Random(9).shuffle(shuffled)
     b = {r.record_id for r in apply_caps(spark.createDataFrame(shuffled, SCHEMA).repartition(7), plan).collect()}
     assert a == b and len(a) <= 150
+
+
+def test_mark_capped(spark):
+    from ledgerline.operators.caps import mark_capped, mark_capped_sql
+    df = spark.createDataFrame([("f.csv",)], "inputFileName string")
+    on, off = CapPlan(10, 5, 100), CapPlan(1, None, None)
+    assert df.select(mark_capped("inputFileName", on)).first()[0] == "!f.csv"
+    assert df.select(mark_capped("inputFileName", off)).first()[0] == "f.csv"
+    assert df.selectExpr(mark_capped_sql("inputFileName", on)).first()[0] == "!f.csv"
