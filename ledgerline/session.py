@@ -53,13 +53,18 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder; only when none is configured (local tests)
-    create a scratch one. A cluster always names a shared folder in spark.checkpoint.dir."""
+    """Return the session's checkpoint folder. Only in local mode, when none is configured (as in
+    tests), a scratch folder is created; on a cluster the shared folder must be named in
+    ``spark.checkpoint.dir``."""
     d = checkpoint_dir(spark)
     if d:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
         return spark.sparkContext.getCheckpointDir() or d
+    master = spark.sparkContext.master or ""
+    if not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster; a "
+                           "machine-local scratch folder is only used in local mode")
     d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir()

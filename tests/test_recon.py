@@ -137,3 +137,33 @@ def test_result_is_subset_and_key_level_within_record_level(spark):
     key_level = set(ids(unmatched_by_key(s, r, tol=SAME_SECOND)))
     assert first <= set(range(200))
     assert key_level <= first
+
+
+def test_hot_subscriber_matches_brute_force(spark):
+    # one key holds most records, many within the same few seconds: the bucketed join and the
+    # removals must stay exact
+    rng = random.Random(17)
+    hot = ("25099000001", "79180000001", "voice", "1")
+    rows, rrows = [], []
+    for i in range(3000):
+        k = hot if i % 4 else ("2509900%04d" % rng.randint(0, 50), "7918", "sms", "0")
+        rows.append((i, k, rng.randint(0, 8), T0 + rng.randint(0, 600)))
+    for j in range(1500):
+        k = hot if j % 3 else ("2509900%04d" % rng.randint(0, 50), "7918", "sms", "0")
+        rrows.append((k, rng.randint(0, 8), T0 + rng.randint(-5, 605)))
+    s, r = src(spark, rows), rnd(spark, rrows)
+
+    def match(l, rr, shifts):
+        return (l[1] == rr[0] and abs(l[2] - rr[1]) < 3
+                and any(abs(l[3] + k - rr[2]) < 3 for k in shifts))
+
+    by_key = {}
+    for rr in rrows:
+        by_key.setdefault(rr[0], []).append(rr)
+    matched = [l for l in rows if any(match(l, rr, (0,)) for rr in by_key.get(l[1], []))]
+    units = {(l[1], l[3]) for l in matched}
+    want_second = sorted(l[0] for l in rows if (l[1], l[3]) not in units)
+    keys = {l[1] for l in rows if any(match(l, rr, (0, 3600, -3600)) for rr in by_key.get(l[1], []))}
+    want_key = sorted(l[0] for l in rows if l[1] not in keys)
+    assert ids(unmatched_by_second(s, r)) == want_second
+    assert ids(unmatched_by_key(s, r)) == want_key
