@@ -101,18 +101,23 @@ def table_low_volume(data: DataFrame, expected: DataFrame, as_of, *, region_col:
 
 
 def status_rows(report: DataFrame, passes: DataFrame, *, pass_col: str, item_col: str,
-                kind: str, sep: str = "\n") -> DataFrame:
+                kind: str, sep: str = "\n", checked_at: _dt.datetime | None = None,
+                stamp_format: str = "dd.MM.yyyy HH:mm") -> DataFrame:
     """One status row per pass: ``OK`` when the report has nothing for it, else ``NOK`` with the
     sorted items joined by ``sep`` (A8, C5). The items of a pass are bounded by its expected list,
-    so the per-pass list is small by construction."""
+    so the per-pass list is small by construction. With ``checked_at`` a ``checked_at`` text in
+    ``stamp_format`` is added, as the status subject shows it (F16)."""
     lists = (report.groupBy(pass_col)
              .agg(F.array_join(F.sort_array(F.collect_list(item_col)), sep).alias("items"),
                   F.count(F.lit(1)).alias("n_items")))
-    return (passes.join(lists, pass_col, "left")
-            .select(F.col(pass_col), F.lit(kind).alias("kind"),
-                    F.when(F.coalesce(F.col("n_items"), F.lit(0)) > 0, F.lit("NOK"))
-                    .otherwise(F.lit("OK")).alias("status"),
-                    F.coalesce(F.col("items"), F.lit("")).alias("items")))
+    cols = [F.col(pass_col), F.lit(kind).alias("kind"),
+            F.when(F.coalesce(F.col("n_items"), F.lit(0)) > 0, F.lit("NOK"))
+            .otherwise(F.lit("OK")).alias("status"),
+            F.coalesce(F.col("items"), F.lit("")).alias("items")]
+    if checked_at is not None:
+        stamp = F.lit(checked_at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+        cols.append(F.date_format(stamp, stamp_format).alias("checked_at"))
+    return passes.join(lists, pass_col, "left").select(*cols)
 
 
 # ---------------------------------------------------------------------------------------------

@@ -298,7 +298,8 @@ def _control_status() -> str:
         return f"""
 SELECT c."check", '{kind}' AS kind,
        CASE WHEN count(x.region) > 0 THEN 'NOK' ELSE 'OK' END AS status,
-       coalesce(string_agg(x.region, chr(10) ORDER BY x.region), '') AS items
+       coalesce(string_agg(x.region, chr(10) ORDER BY x.region), '') AS items,
+       strftime(TIMESTAMP '{P.CONTROL_CHECKED_AT.isoformat(sep=" ")}', '%d.%m.%Y %H:%M') AS checked_at
 FROM checks c LEFT JOIN {src} x ON x."check" = c."check"
 GROUP BY c."check\""""
     return _with(_expected(), _STALE, _LOW) + part("stale", "stale") + "\nUNION ALL" + part("low", "empty")

@@ -26,6 +26,7 @@ CONTROL_REGIONS = list(REGION_ORDER)
 CONTROL_CHECKS = ["CH01", "CH02", "Cp06"]
 CONTROL_MAX_ROWS = 1
 CONTROL_NOT_EMPTY_CHECKED = ["CH02"]
+CONTROL_CHECKED_AT = _dt.datetime(2024, 1, 15, 5, 0)   # the daily control runs at 05:00
 
 PIVOT_METRICS = ["firstStream", "secondStream", "firstDlt", "dsc", "2pass"]
 # the days present in the test tables; the oracle lists them, the Spark side reads them from data

@@ -133,8 +133,10 @@ def control_status(spark, sf_dir):
     passes = local_frame(spark, [(c,) for c in P.CONTROL_CHECKS], "check string")
     stale = control_stale(spark, sf_dir)
     low = control_low_volume(spark, sf_dir)
-    a = control.status_rows(stale, passes, pass_col="check", item_col="region", kind="stale")
-    b = control.status_rows(low, passes, pass_col="check", item_col="region", kind="empty")
+    a = control.status_rows(stale, passes, pass_col="check", item_col="region", kind="stale",
+                            checked_at=P.CONTROL_CHECKED_AT)
+    b = control.status_rows(low, passes, pass_col="check", item_col="region", kind="empty",
+                            checked_at=P.CONTROL_CHECKED_AT)
     return a.unionByName(b)
 
 

@@ -38,10 +38,10 @@ def test_entry_runs(spark):
 
 
 EXPECTED = {  # FIXTURES.md section 3
-    "0.001": dict(start=(1136, 1937242100287), rnd=(666, 1135743832861), cp01=(7, 3548),
-                  cp01_capped=(7, 3548), cp06=(6, 10003028), candidates=14),
-    "0.01": dict(start=(11359, 19371205898806), rnd=(6666, 11367946159820), cp01=(106, 90511040),
-                 cp01_capped=(75, 40361821), cp06=(43, 20207434), candidates=164),
+    "0.001": dict(start=(1136, 1937242100287), rnd=(666, 1135743832861), first=(7, 3548),
+                  first_capped=(7, 3548), key_level=(6, 10003028), candidates=14),
+    "0.01": dict(start=(11359, 19371205898806), rnd=(6666, 11367946159820), first=(106, 90511040),
+                 first_capped=(75, 40361821), key_level=(43, 20207434), candidates=164),
 }
 
 
@@ -58,12 +58,12 @@ def test_fixture_counts(spark):
     assert cs(start, "timeKey") == e["start"]
     assert cs(rnd, "timeKey") == e["rnd"]
     assert cs(checks.first_level_unmatched(start, rnd, "2024-01-18", days_back=3, caps=None),
-              "record_id") == e["cp01"]
+              "record_id") == e["first"]
     assert cs(checks.first_level_unmatched(start, rnd, "2024-01-18", days_back=3,
-                                           caps=checks.CapRule(50, 5, 1_000_000)), "record_id") == e["cp01_capped"]
+                                           caps=checks.CapRule(50, 5, 1_000_000)), "record_id") == e["first_capped"]
     from ledgerline.operators.recon import HOUR_SHIFT, unmatched_by_key
     src = checks.key_level_source(start, "2024-01-18")
     cnt = checks.key_level_counterpart(rnd, "2024-01-18")
     assert cs(unmatched_by_key(src, cnt, tol=HOUR_SHIFT).select("record_id").distinct(),
-              "record_id") == e["cp06"]
+              "record_id") == e["key_level"]
     assert checks.candidates_for_day(start, rnd, "2024-01-18", days_back=3).count() == e["candidates"]
