@@ -41,4 +41,6 @@ def with_position(df: DataFrame, order_cols: Sequence[str | Column], pos_col: st
     out = (with_part.join(F.broadcast(off_df), _PART, "inner")
            .withColumn(pos_col, F.col("_offset") + F.col(_MID).bitwiseAND(F.lit(_LOW_BITS)) + 1)
            .drop(_PART, "_offset", _MID))
-    return out.orderBy(pos_col)
+    # the checkpointed rows are range-partitioned in sort order and the broadcast join keeps each
+    # partition's order, so sorting inside partitions restores full order without a shuffle
+    return out.sortWithinPartitions(pos_col)

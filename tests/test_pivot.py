@@ -38,3 +38,16 @@ def test_ordered_extract_positions(spark):
     assert [(r.chName, r.macroRegion, r.eventDate) for r in out] == [
         ("CH00", "Msk", D1), ("CH01", "Xyz", D3), ("CH01", "Msk", D3), ("CH01", "Msk", D2),
         ("CH01", "Fea", D1)]
+
+
+def test_with_position_property(spark):
+    import random
+    from pyspark.sql import functions as F
+    from ledgerline.operators.position import with_position
+    rng = random.Random(5)
+    rows = [(rng.randint(0, 50), rng.random(), i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "a int, b double, id long").repartition(9)
+    out = with_position(df, [F.col("a").desc(), "b", "id"]).collect()
+    assert [r.pos for r in out] == list(range(1, 3001))
+    want = [r[2] for r in sorted(rows, key=lambda r: (-r[0], r[1], r[2]))]
+    assert [r.id for r in out] == want
