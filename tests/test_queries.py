@@ -67,3 +67,26 @@ def test_fixture_counts(spark):
     assert cs(unmatched_by_key(src, cnt, tol=HOUR_SHIFT).select("record_id").distinct(),
               "record_id") == e["key_level"]
     assert checks.candidates_for_day(start, rnd, "2024-01-18", days_back=3).count() == e["candidates"]
+
+
+@pytest.mark.parametrize("sf,after,cancelled", [("0.001", 93, 3), ("0.01", 96, 0)])
+def test_pivot_counts_of_fixtures(spark, sf, after, cancelled):
+    import datetime as dt
+    from ledgerline.operators.pivot import stat_pivot
+    from ledgerline.plans import params as P
+    d = f"/root/testdata/sf{sf}"
+    if not os.path.isdir(d):
+        pytest.skip("test data not present")
+    stat = fx.stat_daily(fx.cdr_start(fx.load_events(spark, d)))
+    days = [dt.date(2024, 1, 13), dt.date(2024, 1, 14), dt.date(2024, 1, 15)]
+    out = stat_pivot(stat, P.PIVOT_METRICS, days)
+    assert out.count() == after
+    # rows with some non-zero day whose days cancel: observed rows minus kept minus all-zero rows
+    obs = stat.where(F.col("eventDate").isin(days)).select("macroRegion", "cpName").distinct().count()
+    cells = stat.where(F.col("eventDate").isin(days))
+    all_zero = 0
+    for m in P.PIVOT_METRICS:
+        nz = cells.groupBy("macroRegion", "cpName").agg(F.max(F.abs(F.col(f"`{m}`"))).alias("mx"))
+        all_zero += nz.where(F.col("mx") == 0).count()
+    assert obs * len(P.PIVOT_METRICS) == 120
+    assert obs * len(P.PIVOT_METRICS) - after - all_zero == cancelled
