@@ -64,14 +64,19 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def _bucket(t: str, w: int) -> str:
+    """Exact integer floor division ``floor(t / w)``, negatives included."""
+    return f"(({t}) - pmod({t}, {w})) div {w}"
+
+
 def _left_side(df: DataFrame, keys: Sequence[str], time: str, duration: str,
                tol: Tolerance, carry: Sequence[str]) -> DataFrame:
     """Left rows with their comparable time and each bucket their tolerance window touches."""
     w, s = tol.bucket_width, int(tol.seconds)
     cols = [_q(c) for c in dict.fromkeys([*keys, *carry])]
     return (df.selectExpr(*cols, f"{_q(duration)} AS {_D}", f"CAST({time} AS BIGINT) AS {_T}")
-            .selectExpr("*", f"explode(array_distinct(array(floor(({_T} - {s}) / {w}), "
-                             f"floor(({_T} + {s}) / {w})))) AS {_B}"))
+            .selectExpr("*", f"explode(array_distinct(array({_bucket(f'{_T} - {s}', w)}, "
+                             f"{_bucket(f'{_T} + {s}', w)}))) AS {_B}"))
 
 
 def _right_side(df: DataFrame, keys: Sequence[str], time: str, duration: str,
@@ -83,9 +88,9 @@ def _right_side(df: DataFrame, keys: Sequence[str], time: str, duration: str,
     shifts = list(dict.fromkeys(int(k) for k in tol.shifts))
     base = df.selectExpr(*cols, f"{_q(duration)} AS {_D}", f"CAST({time} AS BIGINT) AS _t0")
     if shifts == [0]:
-        return base.selectExpr(*cols, _D, f"_t0 AS {_T}", f"floor(_t0 / {w}) AS {_B}")
+        return base.selectExpr(*cols, _D, f"_t0 AS {_T}", f"{_bucket('_t0', w)} AS {_B}")
     return (base.selectExpr("*", f"explode(array({', '.join(str(k) for k in shifts)})) AS _shift")
-            .selectExpr(*cols, _D, f"_t0 - _shift AS {_T}", f"floor((_t0 - _shift) / {w}) AS {_B}"))
+            .selectExpr(*cols, _D, f"_t0 - _shift AS {_T}", f"{_bucket('_t0 - _shift', w)} AS {_B}"))
 
 
 def _condition(keys: Sequence[str], tol: Tolerance) -> Column:
