@@ -27,7 +27,8 @@ def _norm(uri: str) -> str:
 
 
 def _norm_col(c):
-    return F.regexp_replace(c, "^file:///", "file:/")
+    """Spark reports ``_metadata.file_path`` URL-encoded (a space is ``%20``); the listing is not."""
+    return F.regexp_replace(F.url_decode(c), "^file:///", "file:/")
 
 
 def list_tree(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:

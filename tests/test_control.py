@@ -46,7 +46,7 @@ def test_landed_file_check(spark, tmp_dir):
     base = os.path.join(tmp_dir, "out")
     _write(f"{base}/A01/x/CH01/a.csv", "")                                  # zero bytes -> empty
     _write(f"{base}/A01/x/CH02/a.csv", "h1;h2\n")                           # header only -> empty
-    _write(f"{base}/A01/x/CH03/a.csv", "h1;h2\n1;2\n")                      # fine
+    _write(f"{base}/A01/x/CH03/a b.csv", "h1;h2\n1;2\n")                    # fine (space in name)
     _write(f"{base}/A01/x/CH04/a.csv", "h1;h2\n1;2\n", mtime=yesterday)     # stale
     _write(f"{base}/A01/x/CH05/b_SMS.csv", "h\n1\n")                        # ignored -> missing
     os.makedirs(f"{base}/A01/y/CH01", exist_ok=True)                         # empty dir -> missing
