@@ -80,3 +80,23 @@ def test_expected_minus_found_files(spark, tmp_dir):
     got = {(r.region, r.channel) for r in control.expected_minus_found_files(
         spark, root, today, regions=["MSK", "CNT", "STH"], channels=["CH01", "CH02"]).collect()}
     assert got == {("MSK", "CH02"), ("CNT", "CH02"), ("STH", "CH01"), ("STH", "CH02")}
+
+
+def test_freshness_lookback(spark):
+    rows = [("Msk", "CH01", DAY - dt.timedelta(days=10), 1), ("Cnt", "CH01", DAY - dt.timedelta(days=1), 1)]
+    data = spark.createDataFrame(rows, "MR string, cpName string, eventDate date, iflag int")
+    expected = control.expected_pairs(spark, ["Msk", "Cnt"], ["CH01"])
+    full = {(r.region, r.status, r.last_date) for r in control.table_freshness(
+        data, expected, DAY, region_col="MR", check_col="cpName").collect()}
+    assert full == {("Msk", "stale", DAY - dt.timedelta(days=10)), ("Cnt", "stale", DAY - dt.timedelta(days=1))}
+    recent = {(r.region, r.status) for r in control.table_freshness(
+        data, expected, DAY, region_col="MR", check_col="cpName", lookback_days=7).collect()}
+    assert recent == {("Msk", "missing"), ("Cnt", "stale")}
+
+
+def test_local_frame_values(spark):
+    from ledgerline.sources.tables import local_frame
+    df = local_frame(spark, [("it's", 1, 2.5, DAY, None), ("a\\b", -3, 0.0, None, "x")],
+                     "s string, i int, f double, d date, n string")
+    assert [tuple(r) for r in df.collect()] == [("it's", 1, 2.5, DAY, None), ("a\\b", -3, 0.0, None, "x")]
+    assert [f.dataType.simpleString() for f in df.schema] == ["string", "int", "double", "date", "string"]
