@@ -20,8 +20,8 @@ key never matches, so such a record is reported as unmatched.
 
 Scale: the match is an existence test, so it is a ``left_semi`` join, never a pair list. Its
 equi keys are the four call keys **plus a time bucket** of width ``2 * tol.seconds``: a left row is
-copied into the (at most two) buckets its tolerance window touches, a right row into one bucket
-per clock shift. Each join group is then one subscriber within a few seconds, so a hot subscriber
+copied into the (at most two) buckets its tolerance window touches, and the rows of one side (the
+smaller, by default the source) once per clock shift. Each join group is then one subscriber within a few seconds, so a hot subscriber
 holding a third of all records spreads over many groups and tasks instead of one quadratic
 group; AQE's skew-join split handles what remains. No broadcast is forced: Spark broadcasts a
 side only when its measured size is under the threshold.
@@ -70,29 +70,43 @@ def _bucket(t: str, w: int) -> str:
 
 
 def _left_side(df: DataFrame, keys: Sequence[str], time: str, duration: str,
-               tol: Tolerance, carry: Sequence[str]) -> DataFrame:
-    """Left rows with their comparable time and each bucket their tolerance window touches."""
+               tol: Tolerance, carry: Sequence[str], shifts: Sequence[int] = (0,)) -> DataFrame:
+    """Left rows with their comparable time (shifted, once per shift in ``shifts``) and each bucket
+    the tolerance window of that time touches."""
     w, s = tol.bucket_width, int(tol.seconds)
     cols = [_q(c) for c in dict.fromkeys([*keys, *carry])]
-    return (df.selectExpr(*cols, f"{_q(duration)} AS {_D}", f"CAST({time} AS BIGINT) AS {_T}")
-            .selectExpr("*", f"explode(array_distinct(array({_bucket(f'{_T} - {s}', w)}, "
-                             f"{_bucket(f'{_T} + {s}', w)}))) AS {_B}"))
+    base = df.selectExpr(*cols, f"{_q(duration)} AS {_D}", f"CAST({time} AS BIGINT) AS {_T}")
+    if list(shifts) != [0]:
+        base = (base.selectExpr("*", f"explode(array({', '.join(str(k) for k in shifts)})) AS _shift")
+                .selectExpr(*cols, _D, f"{_T} + _shift AS {_T}"))
+    return base.selectExpr("*", f"explode(array_distinct(array({_bucket(f'{_T} - {s}', w)}, "
+                                f"{_bucket(f'{_T} + {s}', w)}))) AS {_B}")
 
 
 def _right_side(df: DataFrame, keys: Sequence[str], time: str, duration: str,
-                tol: Tolerance, carry: Sequence[str] = ()) -> DataFrame:
-    """Right rows, once per clock shift, with the shifted time and its bucket. A left time
+                tol: Tolerance, carry: Sequence[str] = (), shifts: Sequence[int] = (0,)) -> DataFrame:
+    """Right rows, once per shift in ``shifts``, with the shifted time and its bucket. A left time
     ``t1`` matches under shift ``k`` when ``|t1 + k - t2| < s``, i.e. ``|t1 - (t2 - k)| < s``."""
     w = tol.bucket_width
     cols = [_q(c) for c in dict.fromkeys([*keys, *carry])]
-    shifts = list(dict.fromkeys(int(k) for k in tol.shifts))
     base = df.selectExpr(*cols, f"{_q(duration)} AS {_D}", f"CAST({time} AS BIGINT) AS _t0")
-    if shifts == [0]:
+    if list(shifts) == [0]:
         return base.selectExpr(*cols, _D, f"_t0 AS {_T}", f"{_bucket('_t0', w)} AS {_B}")
     return (base.selectExpr("*", f"explode(array({', '.join(str(k) for k in shifts)})) AS _shift")
             .selectExpr(*cols, _D, f"_t0 - _shift AS {_T}", f"{_bucket('_t0 - _shift', w)} AS {_B}"))
 
 
+def _sides(left, right, keys, left_time, right_time, duration, tol, left_carry, right_carry,
+           shift_on):
+    shifts = list(dict.fromkeys(int(k) for k in tol.shifts))
+    if shift_on not in ("left", "right"):
+        raise ValueError("shift_on is 'left' or 'right'")
+    ls, rs = (shifts, [0]) if shift_on == "left" else ([0], shifts)
+    l = _left_side(left, keys, left_time, duration, tol, left_carry, ls).alias("l")
+    r = _right_side(right, keys, right_time, duration, tol, right_carry, rs).alias("r")
+    return l, r
+
+
 def _condition(keys: Sequence[str], tol: Tolerance) -> Column:
     eq = [f"l.{_q(k)} = r.{_q(k)}" for k in [*keys, _B]]
     return F.expr(" AND ".join(eq + [f"abs(l.{_D} - r.{_D}) < {int(tol.duration)}",
@@ -102,14 +116,15 @@ def _condition(keys: Sequence[str], tol: Tolerance) -> Column:
 def matched_left(left: DataFrame, right: DataFrame, *, tol: Tolerance,
                  left_time: str, right_time: str,
                  keys: Sequence[str] = CALL_KEY, duration: str = "duration",
-                 carry: Sequence[str] = ()) -> DataFrame:
+                 carry: Sequence[str] = (), shift_on: str = "left") -> DataFrame:
     """Left rows (``keys`` + ``carry`` columns) that have at least one matching right row.
     ``left_time``/``right_time`` are SQL expressions giving seconds (e.g. ``"timeKey"``).
 
-    A left row may come out more than once (once per bucket copy that found a match); callers
-    reduce the result to the distinct removal units they need, so no extra pass is spent here."""
-    l = _left_side(left, keys, left_time, duration, tol, carry).alias("l")
-    r = _right_side(right, keys, right_time, duration, tol).alias("r")
+    ``shift_on`` names the side copied once per clock shift; put the shifts on the smaller side
+    (by default the left, the one check's day of source records, against a counterpart of several
+    days of all records). A left row may come out more than once (once per copy that found a
+    match); callers reduce the result to the distinct removal units they need."""
+    l, r = _sides(left, right, keys, left_time, right_time, duration, tol, carry, (), shift_on)
     out_cols = [f"l.{_q(c)}" for c in dict.fromkeys([*keys, *carry])]
     return l.join(r, _condition(keys, tol), "left_semi").selectExpr(*out_cols)
 
@@ -119,12 +134,12 @@ def matched_pairs(left: DataFrame, right: DataFrame, *, tol: Tolerance,
                   keys: Sequence[str] = CALL_KEY, duration: str = "duration",
                   left_cols: Sequence[str] = ("duration", "dateTime"),
                   right_cols: Sequence[str] = ("dateTime",),
-                  right_prefix: str = "r_") -> DataFrame:
+                  right_prefix: str = "r_", shift_on: str = "left") -> DataFrame:
     """The matched pairs themselves (J1 as an inner join): keys, ``left_cols`` of the left row and
     ``right_cols`` of the right row (prefixed). Distinct, as the original lists them. Only pairs
     within the tolerance are produced, found through the same bucketed equi join."""
-    l = _left_side(left, keys, left_time, duration, tol, list(left_cols)).alias("l")
-    r = _right_side(right, keys, right_time, duration, tol, list(right_cols)).alias("r")
+    l, r = _sides(left, right, keys, left_time, right_time, duration, tol, list(left_cols),
+                  list(right_cols), shift_on)
     cols = ([f"l.{_q(k)}" for k in keys] + [f"l.{_q(c)}" for c in left_cols if c not in keys]
             + [f"r.{_q(c)} AS {_q(right_prefix + c)}" for c in right_cols])
     return l.join(r, _condition(keys, tol), "inner").selectExpr(*cols).distinct()
@@ -170,7 +185,7 @@ def unmatched_by_second(source: DataFrame, counterpart: DataFrame, *,
 def unmatched_by_key(source: DataFrame, counterpart: DataFrame, *,
                      tol: Tolerance = HOUR_SHIFT, time_col: str = "timeKey",
                      keys: Sequence[str] = CALL_KEY, duration: str = "duration",
-                     concat_key: bool = False) -> DataFrame:
+                     concat_key: bool = False, shift_on: str = "left") -> DataFrame:
     """Key-level removal (J2 + J4): source rows whose key has no matched record at all.
 
     ``concat_key=True`` compares the keys glued together without a separator, as the original
@@ -181,7 +196,7 @@ def unmatched_by_key(source: DataFrame, counterpart: DataFrame, *,
     ``checks.key_level_unmatched`` does): then AQE is free to split the partition of a hot key
     across tasks."""
     matched = matched_left(source, counterpart, tol=tol, keys=keys, duration=duration,
-                           left_time=_q(time_col), right_time=_q(time_col))
+                           left_time=_q(time_col), right_time=_q(time_col), shift_on=shift_on)
     if concat_key:
         glued = f"concat({', '.join(_q(k) for k in keys)})"
         mk = matched.selectExpr(f"{glued} AS _key").distinct()

@@ -106,11 +106,12 @@ def test_bucketed_semi_join_equals_brute_force(spark):
                  for _ in range(300)]
         ldf = spark.createDataFrame(left, "k string, duration int, t long, id long")
         rdf = spark.createDataFrame(right, "k string, duration int, t long")
-        got = {r.id for r in matched_left(ldf, rdf, tol=tol, keys=["k"], left_time="t",
-                                          right_time="t", carry=["id"]).collect()}
         want = _brute([(k, d, t, i) for k, d, t, i in left], [(k, d, t, None) for k, d, t in right],
                       tol, 1)
-        assert got == want, tol
+        for side in ("left", "right"):
+            got = {r.id for r in matched_left(ldf, rdf, tol=tol, keys=["k"], left_time="t",
+                                              right_time="t", carry=["id"], shift_on=side).collect()}
+            assert got == want, (tol, side)
 
 
 def test_matched_pairs_equals_brute_force(spark):
@@ -167,3 +168,4 @@ def test_hot_subscriber_matches_brute_force(spark):
     want_key = sorted(l[0] for l in rows if l[1] not in keys)
     assert ids(unmatched_by_second(s, r)) == want_second
     assert ids(unmatched_by_key(s, r)) == want_key
+    assert ids(unmatched_by_key(s, r, shift_on="right")) == want_key
