@@ -55,7 +55,22 @@ def rows_of_duck(con, sql):
     return [cols[i] for i in order], sorted((tuple(_norm(r[i]) for i in order) for r in data), key=_key)
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
+def types_differ(spark_df, con, sql) -> dict:
+    s = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+         for f in spark_df.schema}
+    rel = con.sql(sql)
+    d = {c: str(t) for c, t in zip(rel.columns, rel.types)}
+    return {k: (s.get(k), d.get(k)) for k in set(s) | set(d) if s.get(k) != d.get(k)}
+
+
 def compare(spark_df, con, sql) -> tuple[bool, str]:
+    diff = types_differ(spark_df, con, sql)
+    if diff:
+        return False, f"types differ: {diff}"
     sc, sr = rows_of_spark(spark_df)
     dc, dr = rows_of_duck(con, sql)
     if sc != dc:
