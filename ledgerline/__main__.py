@@ -77,9 +77,9 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"ledgerline-{args.cmd}").getOrCreate()
-    from .constants import STAT_METRICS
-    from .operators import checks, control, joblog, pivot
-    from .sources import sinks
+    from ledgerline.constants import STAT_METRICS
+    from ledgerline.operators import checks, control, joblog, pivot
+    from ledgerline.sources import sinks
 
     if args.cmd == "recon-first":
         caps = None if args.no_caps else checks.CapRule(
