@@ -82,8 +82,8 @@ def cdr_start(events: DataFrame) -> DataFrame:
     2 = twin) rather than unioning three scans, which would also make Catalyst push every later
     semi/anti join into each union branch."""
     copies = events.selectExpr(
-        "*", "explode(filter(array(0, CASE WHEN event_id % 17 = 0 THEN 1 END, "
-             "CASE WHEN event_id % 13 = 0 THEN 2 END), k -> k IS NOT NULL)) AS _kind")
+        "*", "explode(array(0, CASE WHEN event_id % 17 = 0 THEN 1 END, "
+             "CASE WHEN event_id % 13 = 0 THEN 2 END)) AS _kind").where("_kind IS NOT NULL")
     return copies.selectExpr(*_record_exprs(
         f"CASE WHEN _kind = 2 THEN event_id + {TWIN_ID_OFFSET} ELSE event_id END",
         f"CAST(floor(value) AS INT) + CASE WHEN _kind = 2 THEN {TWIN_DURATION_OFFSET} ELSE 0 END"))
