@@ -58,6 +58,24 @@ def expected_minus_found(expected: DataFrame, found: DataFrame, keys: Sequence[s
     return expected.join(found, list(keys), "left_anti")
 
 
+def table_day_summary(data: DataFrame, as_of, *, region_col: str, check_col: str,
+                      date_col: str = "eventDate", eligible=None, lookback_days: int | None = None,
+                      out_region: str = "region", out_check: str = "check") -> DataFrame:
+    """Per (region, check): the newest eligible day up to ``as_of`` and the eligible rows on
+    ``as_of``, from one scan and one partially-aggregated shuffle. Both table reports derive from
+    it; built with the same arguments it is the same subtree, so one query computing both reports
+    shares its exchange."""
+    day = as_date(as_of)
+    d = data.where(F.col(date_col) <= F.lit(day))
+    if lookback_days is not None:
+        d = d.where(F.col(date_col) >= F.lit(day - _dt.timedelta(days=int(lookback_days))))
+    if eligible is not None:
+        d = d.where(eligible)
+    return (d.groupBy(F.col(region_col).alias(out_region), F.col(check_col).alias(out_check))
+            .agg(F.max(date_col).alias("last_date"),
+                 F.count(F.when(F.col(date_col) == F.lit(day), 1)).alias("rows_on_day")))
+
+
 def table_freshness(data: DataFrame, expected: DataFrame, as_of, *, region_col: str,
                     check_col: str, date_col: str = "eventDate", eligible=None,
                     lookback_days: int | None = None,
@@ -68,14 +86,10 @@ def table_freshness(data: DataFrame, expected: DataFrame, as_of, *, region_col:
     ``lookback_days`` bounds the scan to recent partitions; by default the whole history is read
     (three columns only)."""
     day = as_date(as_of)
-    d = data.where(F.col(date_col) <= F.lit(day))
-    if lookback_days is not None:
-        d = d.where(F.col(date_col) >= F.lit(day - _dt.timedelta(days=int(lookback_days))))
-    if eligible is not None:
-        d = d.where(eligible)
-    newest = (d.groupBy(F.col(region_col).alias(out_region), F.col(check_col).alias(out_check))
-              .agg(F.max(date_col).alias("last_date")))
-    joined = expected.join(newest, [out_region, out_check], "left")
+    summary = table_day_summary(data, day, region_col=region_col, check_col=check_col,
+                                date_col=date_col, eligible=eligible, lookback_days=lookback_days,
+                                out_region=out_region, out_check=out_check)
+    joined = expected.join(summary, [out_region, out_check], "left")
     return (joined.where(F.col("last_date").isNull() | (F.col("last_date") != F.lit(day)))
             .select(out_region, out_check, "last_date",
                     F.when(F.col("last_date").isNull(), F.lit("missing"))
@@ -85,19 +99,17 @@ def table_freshness(data: DataFrame, expected: DataFrame, as_of, *, region_col:
 def table_low_volume(data: DataFrame, expected: DataFrame, as_of, *, region_col: str,
                      check_col: str, date_col: str = "eventDate", eligible=None,
                      max_rows: int = 1, exclude_checks: Sequence[str] = (),
+                     lookback_days: int | None = None,
                      out_region: str = "region", out_check: str = "check") -> DataFrame:
     """Expected pairs that did land on ``as_of`` but with at most ``max_rows`` eligible rows, checks
     in ``exclude_checks`` left out (C3 on tables: a header-only file is a file with no data)."""
-    day = as_date(as_of)
-    d = data.where(F.col(date_col) == F.lit(day))
-    if eligible is not None:
-        d = d.where(eligible)
-    counts = (d.groupBy(F.col(region_col).alias(out_region), F.col(check_col).alias(out_check))
-              .agg(F.count(F.lit(1)).alias("rows")))
+    summary = table_day_summary(data, as_of, region_col=region_col, check_col=check_col,
+                                date_col=date_col, eligible=eligible, lookback_days=lookback_days,
+                                out_region=out_region, out_check=out_check)
     exp = expected.where(~F.col(out_check).isin(list(exclude_checks))) if exclude_checks else expected
-    return (exp.join(counts, [out_region, out_check], "inner")
-            .where(F.col("rows") <= F.lit(int(max_rows)))
-            .select(out_region, out_check, F.col("rows").cast("bigint").alias("rows")))
+    return (exp.join(summary, [out_region, out_check], "inner")
+            .where((F.col("rows_on_day") >= 1) & (F.col("rows_on_day") <= F.lit(int(max_rows))))
+            .select(out_region, out_check, F.col("rows_on_day").cast("bigint").alias("rows")))
 
 
 def status_rows(report: DataFrame, passes: DataFrame, *, pass_col: str, item_col: str,
