@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..constants import (CALL_KEY, CAP_PER_HOUR, CAP_TOTAL, CAP_TRIGGER_ROWS, FIRST_LEVEL_CHECK,
                          FIRST_LEVEL_COLUMNS, KEY_LEVEL_CHECK, KEY_LEVEL_COLUMNS, KEY_LEVEL_LAG_DAYS,
-                         KEY_LEVEL_LAG_DAYS_STH)
+                         KEY_LEVEL_LAG_DAYS_STH, NO_CAP)
 from ..functions.datetime import days_before, lenient_epoch_sql
 from ..session import ensure_checkpoint_dir
 from .caps import CapPlan, apply_caps, cap_decision, mark_capped_sql
@@ -26,11 +26,26 @@ from .recon import (HOUR_SHIFT, SAME_SECOND, Tolerance, counterpart_candidates,
 
 @dataclass(frozen=True)
 class CapRule:
-    """Cap parameters of the first-level check; ``None`` switches caps off."""
+    """Cap parameters of the first-level check; ``None`` switches caps off.
+
+    When the cap is on, the capped source has at most ``min(total, 25 * per_hour)`` rows (24
+    hours and NULL). If that bound times ``row_bytes`` (a generous estimate of one matching row:
+    four keys, duration, second text, time and bucket) stays under ``max_broadcast_bytes``, the
+    match broadcasts the capped source and streams the counterpart, so the counterpart day is
+    never shuffled; otherwise both sides are shuffled on (keys, time bucket)."""
     trigger: int = CAP_TRIGGER_ROWS
     per_hour: int = CAP_PER_HOUR
     total: int = CAP_TOTAL
     fanout: int = 32
+    row_bytes: int = 256
+    max_broadcast_bytes: int = 128 * 1024 * 1024
+
+    def broadcast_ok(self, cap: CapPlan) -> bool:
+        if not cap.on:
+            return False
+        bound = min(cap.total if cap.total is not None else NO_CAP,
+                    25 * cap.per_group if cap.per_group is not None else NO_CAP)
+        return bound * self.row_bytes <= self.max_broadcast_bytes
 
 
 def _lit(v: str) -> str:
@@ -83,16 +98,20 @@ def first_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, days_back:
 
     ``reduce_by_imsi`` adds the original ``IMSI IN (...)`` reduction of the counterpart (against the
     uncapped source, as written). It never changes the result, since the match joins on IMSI; on a
-    cluster Spark's runtime bloom filter usually gives the same reduction for free.
+    cluster Spark's runtime bloom filter usually gives the same reduction for free. When the cap is
+    on and the capped source is small enough to broadcast (``CapRule.broadcast_ok``), the match
+    streams the counterpart past the broadcast source and the reduction is skipped.
     """
     day = days_before(as_of, days_back)
     capped, cap = first_level_capped(start, as_of, days_back=days_back, check=check, caps=caps)
     capped = capped.selectExpr("*", "substring(dateTime, 1, 10) AS date",
                                "substring(dateTime, 12, 8) AS time")
     counter = rnd.where(f"eventDate = DATE'{day.isoformat()}'")
-    if reduce_by_imsi:
+    bounded = caps is not None and caps.broadcast_ok(cap)
+    if reduce_by_imsi and not bounded:
+        # with a broadcast source the join itself filters the counterpart by key, without a shuffle
         counter = counterpart_candidates(counter, first_level_source(start, day, check))
-    left = unmatched_by_second(capped, counter, tol=tol)
+    left = unmatched_by_second(capped, counter, tol=tol, broadcast_source=bounded)
     cols = [f"{mark_capped_sql('inputFileName', cap)} AS inputFileName" if c == "inputFileName"
             else f"`{c}`" for c in FIRST_LEVEL_COLUMNS]
     return left.selectExpr(*cols).distinct()

@@ -116,16 +116,24 @@ def _condition(keys: Sequence[str], tol: Tolerance) -> Column:
 def matched_left(left: DataFrame, right: DataFrame, *, tol: Tolerance,
                  left_time: str, right_time: str,
                  keys: Sequence[str] = CALL_KEY, duration: str = "duration",
-                 carry: Sequence[str] = (), shift_on: str = "left") -> DataFrame:
+                 carry: Sequence[str] = (), shift_on: str = "left",
+                 broadcast_left: bool = False) -> DataFrame:
     """Left rows (``keys`` + ``carry`` columns) that have at least one matching right row.
     ``left_time``/``right_time`` are SQL expressions giving seconds (e.g. ``"timeKey"``).
 
     ``shift_on`` names the side copied once per clock shift; put the shifts on the smaller side
     (by default the left, the one check's day of source records, against a counterpart of several
     days of all records). A left row may come out more than once (once per copy that found a
-    match); callers reduce the result to the distinct removal units they need."""
+    match); callers reduce the result to the distinct removal units they need.
+
+    ``broadcast_left`` is for a left side whose size has a proven bound (the capped source): the
+    right side then streams past a broadcast of the left in an inner join, and is never shuffled.
+    A semi join cannot broadcast its left side, hence the inner join; its output is one row per
+    matching pair within the tolerance, reduced by the caller's ``DISTINCT``."""
     l, r = _sides(left, right, keys, left_time, right_time, duration, tol, carry, (), shift_on)
     out_cols = [f"l.{_q(c)}" for c in dict.fromkeys([*keys, *carry])]
+    if broadcast_left:
+        return r.join(F.broadcast(l), _condition(keys, tol), "inner").selectExpr(*out_cols)
     return l.join(r, _condition(keys, tol), "left_semi").selectExpr(*out_cols)
 
 
@@ -158,13 +166,14 @@ def counterpart_candidates(counterpart: DataFrame, source: DataFrame, key: str =
 def unmatched_by_second(source: DataFrame, counterpart: DataFrame, *,
                         tol: Tolerance = SAME_SECOND, time_sql=None,
                         keys: Sequence[str] = CALL_KEY, second_col: str = "dateTime",
-                        duration: str = "duration") -> DataFrame:
+                        duration: str = "duration", broadcast_source: bool = False) -> DataFrame:
     """First-level removal (J1 + J3): source rows minus every (keys, ``second_col``) unit that has a
     matched row. ``time_sql(expr)`` turns ``second_col`` into comparable seconds (default: lenient
     parse of ``yyyy-MM-dd HH:mm:ss``, epoch when unparseable, so two broken values match).
 
     Returns all source columns; rows are not deduplicated here (the caller projects, then
-    deduplicates the output columns once).
+    deduplicates the output columns once). ``broadcast_source`` only for a source with a proven
+    size bound (see ``matched_left``).
 
     Not built on purpose: in the original, an *unmatched* record with an unparseable time and a
     duration under 3 removes itself through the type-default fill of its outer join; that is an
@@ -176,7 +185,8 @@ def unmatched_by_second(source: DataFrame, counterpart: DataFrame, *,
     unit = [*keys, second_col]
     t = time_sql(_q(second_col))
     matched = matched_left(source, counterpart, tol=tol, keys=keys, duration=duration,
-                           left_time=t, right_time=t, carry=[second_col])
+                           left_time=t, right_time=t, carry=[second_col],
+                           broadcast_left=broadcast_source)
     # one row per removal unit (partial aggregation; the anti join reuses its partitioning). The
     # anti join is partitioned by (keys, second), so a hot subscriber spreads over its seconds.
     return source.join(matched.distinct(), unit, "left_anti")

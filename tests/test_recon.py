@@ -109,9 +109,11 @@ def test_bucketed_semi_join_equals_brute_force(spark):
         want = _brute([(k, d, t, i) for k, d, t, i in left], [(k, d, t, None) for k, d, t in right],
                       tol, 1)
         for side in ("left", "right"):
-            got = {r.id for r in matched_left(ldf, rdf, tol=tol, keys=["k"], left_time="t",
-                                              right_time="t", carry=["id"], shift_on=side).collect()}
-            assert got == want, (tol, side)
+            for bc in (False, True):
+                got = {r.id for r in matched_left(ldf, rdf, tol=tol, keys=["k"], left_time="t",
+                                                  right_time="t", carry=["id"], shift_on=side,
+                                                  broadcast_left=bc).collect()}
+                assert got == want, (tol, side, bc)
 
 
 def test_matched_pairs_equals_brute_force(spark):
