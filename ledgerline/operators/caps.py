@@ -36,10 +36,13 @@ RANK_COL = "_rank_in_group"
 
 @dataclass(frozen=True)
 class CapPlan:
-    """Outcome of the cap decision: ``per_group``/``total`` are ``None`` when no cap applies."""
+    """Outcome of the cap decision: ``per_group``/``total`` are ``None`` when no cap applies.
+    ``day_rows`` is the count the decision was taken on; ``source_rows``, when known, all rows
+    the cap applies to."""
     day_rows: int
     per_group: int | None
     total: int | None
+    source_rows: int | None = None
 
     @property
     def on(self) -> bool:

@@ -26,26 +26,29 @@ from .recon import (HOUR_SHIFT, SAME_SECOND, Tolerance, counterpart_candidates,
 
 @dataclass(frozen=True)
 class CapRule:
-    """Cap parameters of the first-level check; ``None`` switches caps off.
-
-    When the cap is on, the capped source has at most ``min(total, 25 * per_hour)`` rows (24
-    hours and NULL). If that bound times ``row_bytes`` (a generous estimate of one matching row:
-    four keys, duration, second text, time and bucket) stays under ``max_broadcast_bytes``, the
-    match broadcasts the capped source and streams the counterpart, so the counterpart day is
-    never shuffled; otherwise both sides are shuffled on (keys, time bucket)."""
+    """Cap parameters of the first-level check; ``None`` switches caps off."""
     trigger: int = CAP_TRIGGER_ROWS
     per_hour: int = CAP_PER_HOUR
     total: int = CAP_TOTAL
     fanout: int = 32
+
+
+@dataclass(frozen=True)
+class BroadcastRule:
+    """When to broadcast the (possibly capped) source of the first-level match.
+
+    The number of source rows is known exactly before the plan is built (the cap decision's count
+    job counts them too) and, with a cap on, is at most ``min(total, 25 * per_hour)`` (24 hours and
+    NULL). If that count times ``row_bytes`` (a generous size of one matching row: four keys,
+    duration, second text, time and bucket) is at most ``max_bytes``, the counterpart streams past
+    a broadcast of the source and is never shuffled; otherwise both sides are shuffled on (keys,
+    time bucket). A semi join cannot broadcast its left side, so Spark would not choose this
+    plan by itself."""
     row_bytes: int = 256
-    max_broadcast_bytes: int = 128 * 1024 * 1024
+    max_bytes: int = 128 * 1024 * 1024
 
-    def broadcast_ok(self, cap: CapPlan) -> bool:
-        if not cap.on:
-            return False
-        bound = min(cap.total if cap.total is not None else NO_CAP,
-                    25 * cap.per_group if cap.per_group is not None else NO_CAP)
-        return bound * self.row_bytes <= self.max_broadcast_bytes
+    def allows(self, rows: int) -> bool:
+        return rows * self.row_bytes <= self.max_bytes
 
 
 def _lit(v: str) -> str:
@@ -68,19 +71,34 @@ def first_level_source(start: DataFrame, day: _dt.date, check: str = FIRST_LEVEL
 
 
 def first_level_cap(source_day: DataFrame, rule: CapRule | None) -> CapPlan:
-    """The cap decision counts shoulder-1 rows only."""
-    if rule is None:
-        return CapPlan(0, None, None)
-    return cap_decision(source_day.where("shoulder = 1"), trigger=rule.trigger,
-                        per_group=rule.per_hour, total=rule.total)
+    """The cap decision counts shoulder-1 rows only (A1, A4, P9); the same aggregation counts all
+    source rows of the day (``CapPlan.source_rows``)."""
+    row = source_day.agg(F.count(F.lit(1)).alias("n"),
+                         F.count(F.when(F.col("shoulder") == 1, 1)).alias("n1")).first()
+    n_all, n1 = int(row["n"]), int(row["n1"])
+    if rule is not None and n1 >= rule.trigger:
+        return CapPlan(n1, int(rule.per_hour), int(rule.total), source_rows=n_all)
+    return CapPlan(n1, None, None, source_rows=n_all)
+
+
+def capped_rows_bound(cap: CapPlan) -> int:
+    """Most rows the capped source can have."""
+    bound = cap.source_rows if cap.source_rows is not None else NO_CAP
+    if cap.per_group is not None:
+        bound = min(bound, 25 * cap.per_group)
+    if cap.total is not None:
+        bound = min(bound, cap.total)
+    return bound
 
 
 def first_level_capped(start: DataFrame, as_of, *, days_back: int, check: str = FIRST_LEVEL_CHECK,
-                       caps: CapRule | None = CapRule()) -> tuple[DataFrame, CapPlan]:
-    """The (possibly capped) source rows of the first-level check and the cap decision."""
+                       caps: CapRule | None = CapRule(),
+                       count_rows: bool = True) -> tuple[DataFrame, CapPlan]:
+    """The (possibly capped) source rows of the first-level check and the cap decision. Without
+    caps and without ``count_rows`` no count job runs."""
     day = days_before(as_of, days_back)
     src = first_level_source(start, day, check)
-    cap = first_level_cap(src, caps)
+    cap = first_level_cap(src, caps) if (caps is not None or count_rows) else CapPlan(0, None, None)
     capped = apply_caps(src, cap, fanout=caps.fanout if caps else 32)
     if cap.on:
         # The capped set is used twice (rows to report, rows to match) and is bounded by
@@ -93,21 +111,23 @@ def first_level_capped(start: DataFrame, as_of, *, days_back: int, check: str =
 
 def first_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, days_back: int,
                           check: str = FIRST_LEVEL_CHECK, caps: CapRule | None = CapRule(),
-                          tol: Tolerance = SAME_SECOND, reduce_by_imsi: bool = False) -> DataFrame:
+                          tol: Tolerance = SAME_SECOND, reduce_by_imsi: bool = False,
+                          broadcast: BroadcastRule | None = BroadcastRule()) -> DataFrame:
     """First-level check: source records of the day with no counterpart, removed by key + second.
 
     ``reduce_by_imsi`` adds the original ``IMSI IN (...)`` reduction of the counterpart (against the
     uncapped source, as written). It never changes the result, since the match joins on IMSI; on a
-    cluster Spark's runtime bloom filter usually gives the same reduction for free. When the cap is
-    on and the capped source is small enough to broadcast (``CapRule.broadcast_ok``), the match
-    streams the counterpart past the broadcast source and the reduction is skipped.
+    cluster Spark's runtime bloom filter usually gives the same reduction for free. When the
+    (capped) source is small enough to broadcast (``BroadcastRule``), the match streams the
+    counterpart past the broadcast source and the reduction is skipped.
     """
     day = days_before(as_of, days_back)
-    capped, cap = first_level_capped(start, as_of, days_back=days_back, check=check, caps=caps)
+    capped, cap = first_level_capped(start, as_of, days_back=days_back, check=check, caps=caps,
+                                     count_rows=broadcast is not None)
     capped = capped.selectExpr("*", "substring(dateTime, 1, 10) AS date",
                                "substring(dateTime, 12, 8) AS time")
     counter = rnd.where(f"eventDate = DATE'{day.isoformat()}'")
-    bounded = caps is not None and caps.broadcast_ok(cap)
+    bounded = broadcast is not None and broadcast.allows(capped_rows_bound(cap))
     if reduce_by_imsi and not bounded:
         # with a broadcast source the join itself filters the counterpart by key, without a shuffle
         counter = counterpart_candidates(counter, first_level_source(start, day, check))
@@ -123,7 +143,8 @@ def first_level_pairs(start: DataFrame, rnd: DataFrame, as_of, *, days_back: int
     """Matched pairs of the first-level check (J1 as an inner join): the source key, duration and
     dateTime with the counterpart's dateTime as ``dateTime2``."""
     day = days_before(as_of, days_back)
-    capped, _ = first_level_capped(start, as_of, days_back=days_back, check=check, caps=caps)
+    capped, _ = first_level_capped(start, as_of, days_back=days_back, check=check, caps=caps,
+                                   count_rows=False)
     counter = rnd.where(f"eventDate = DATE'{day.isoformat()}'")
     t = lenient_epoch_sql("dateTime")
     return matched_pairs(capped, counter, tol=tol, left_time=t,

@@ -59,6 +59,13 @@ def test_fixture_counts(spark):
     assert cs(rnd, "timeKey") == e["rnd"]
     assert cs(checks.first_level_unmatched(start, rnd, "2024-01-18", days_back=3, caps=None),
               "record_id") == e["first"]
+    # the shuffled plan (source above the broadcast bound) gives the same rows
+    for rule in (None, checks.BroadcastRule(max_bytes=0)):
+        assert cs(checks.first_level_unmatched(start, rnd, "2024-01-18", days_back=3, caps=None,
+                                               broadcast=rule), "record_id") == e["first"]
+        assert cs(checks.first_level_unmatched(start, rnd, "2024-01-18", days_back=3,
+                                               caps=checks.CapRule(50, 5, 1_000_000), broadcast=rule),
+                  "record_id") == e["first_capped"]
     assert cs(checks.first_level_unmatched(start, rnd, "2024-01-18", days_back=3,
                                            caps=checks.CapRule(50, 5, 1_000_000)), "record_id") == e["first_capped"]
     from ledgerline.operators.recon import HOUR_SHIFT, unmatched_by_key
