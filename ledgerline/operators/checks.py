@@ -47,8 +47,9 @@ class BroadcastRule:
     row_bytes: int = 256
     max_bytes: int = 128 * 1024 * 1024
 
-    def allows(self, rows: int) -> bool:
-        return rows * self.row_bytes <= self.max_bytes
+    def allows(self, rows: int, copies: int = 2) -> bool:
+        """``copies``: rows the broadcast side holds per source row (time buckets x shifts)."""
+        return rows * copies * self.row_bytes <= self.max_bytes
 
 
 def _lit(v: str) -> str:
@@ -127,7 +128,8 @@ def first_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, days_back:
     capped = capped.selectExpr("*", "substring(dateTime, 1, 10) AS date",
                                "substring(dateTime, 12, 8) AS time")
     counter = rnd.where(f"eventDate = DATE'{day.isoformat()}'")
-    bounded = broadcast is not None and broadcast.allows(capped_rows_bound(cap))
+    bounded = broadcast is not None and broadcast.allows(capped_rows_bound(cap),
+                                                         copies=2 * len(set(tol.shifts)))
     if reduce_by_imsi and not bounded:
         # with a broadcast source the join itself filters the counterpart by key, without a shuffle
         counter = counterpart_candidates(counter, first_level_source(start, day, check))
@@ -183,17 +185,25 @@ def key_level_counterpart(rnd: DataFrame, as_of, *, lag: int = KEY_LEVEL_LAG_DAY
 def key_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, check: str = KEY_LEVEL_CHECK,
                         lag: int = KEY_LEVEL_LAG_DAYS, lag_sth: int = KEY_LEVEL_LAG_DAYS_STH,
                         tol: Tolerance = HOUR_SHIFT, concat_key: bool = False,
-                        reduce_by_imsi: bool = False) -> DataFrame:
+                        reduce_by_imsi: bool = False,
+                        broadcast: BroadcastRule | None = BroadcastRule()) -> DataFrame:
     """Key-level check: source records whose key has no counterpart within the tolerances, one
-    hour of clock shift either way allowed (J2, J4, J5)."""
+    hour of clock shift either way allowed (J2, J4, J5).
+
+    With ``broadcast``, the source day is counted first (one scan of the pruned, filtered
+    partition); if the count passes the size check the counterpart streams past a broadcast of
+    the source, otherwise both sides are shuffled on (keys, time bucket)."""
     src = key_level_source(start, as_of, check=check, lag=lag, lag_sth=lag_sth)
     counter = key_level_counterpart(rnd, as_of, lag=lag, lag_sth=lag_sth)
-    if reduce_by_imsi:
+    bounded = broadcast is not None and broadcast.allows(src.count(),
+                                                         copies=2 * len(set(tol.shifts)))
+    if reduce_by_imsi and not bounded:
         counter = counterpart_candidates(counter, src)
     # DISTINCT first (spread over all output columns, partial aggregation), removal last: the
     # anti join on the key is then the final operator and AQE may split a hot key's partition.
     rows = src.selectExpr(*[f"`{c}`" for c in KEY_LEVEL_COLUMNS]).distinct()
-    return unmatched_by_key(rows, counter, tol=tol, concat_key=concat_key)
+    return unmatched_by_key(rows, counter, tol=tol, concat_key=concat_key,
+                            broadcast_source=bounded)
 
 
 def candidates_for_day(start: DataFrame, rnd: DataFrame, as_of, *, days_back: int,

@@ -195,7 +195,8 @@ def unmatched_by_second(source: DataFrame, counterpart: DataFrame, *,
 def unmatched_by_key(source: DataFrame, counterpart: DataFrame, *,
                      tol: Tolerance = HOUR_SHIFT, time_col: str = "timeKey",
                      keys: Sequence[str] = CALL_KEY, duration: str = "duration",
-                     concat_key: bool = False, shift_on: str = "left") -> DataFrame:
+                     concat_key: bool = False, shift_on: str = "left",
+                     broadcast_source: bool = False) -> DataFrame:
     """Key-level removal (J2 + J4): source rows whose key has no matched record at all.
 
     ``concat_key=True`` compares the keys glued together without a separator, as the original
@@ -206,7 +207,8 @@ def unmatched_by_key(source: DataFrame, counterpart: DataFrame, *,
     ``checks.key_level_unmatched`` does): then AQE is free to split the partition of a hot key
     across tasks."""
     matched = matched_left(source, counterpart, tol=tol, keys=keys, duration=duration,
-                           left_time=_q(time_col), right_time=_q(time_col), shift_on=shift_on)
+                           left_time=_q(time_col), right_time=_q(time_col), shift_on=shift_on,
+                           broadcast_left=broadcast_source)
     if concat_key:
         glued = f"concat({', '.join(_q(k) for k in keys)})"
         mk = matched.selectExpr(f"{glued} AS _key").distinct()

@@ -74,6 +74,10 @@ def test_fixture_counts(spark):
     assert cs(unmatched_by_key(src, cnt, tol=HOUR_SHIFT).select("record_id").distinct(),
               "record_id") == e["key_level"]
     assert checks.candidates_for_day(start, rnd, "2024-01-18", days_back=3).count() == e["candidates"]
+    kl = {tuple(r) for r in checks.key_level_unmatched(start, rnd, "2024-01-18").collect()}
+    for rule in (None, checks.BroadcastRule(max_bytes=0)):
+        assert {tuple(r) for r in checks.key_level_unmatched(start, rnd, "2024-01-18",
+                                                             broadcast=rule).collect()} == kl
 
 
 @pytest.mark.parametrize("sf,after,cancelled", [("0.001", 93, 3), ("0.01", 96, 0)])
