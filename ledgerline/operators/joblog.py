@@ -35,7 +35,9 @@ def finished_jobs(log: DataFrame, *, user: str | None = "airflow", kind: str = "
                     "result_rows",
                     readable_size("result_bytes").alias("result"),
                     "current_database", "query", "query_kind", "tables", "user", "os_user")
-            .orderBy(F.col("event_time").desc()))
+            # newest first; the tiebreaks only let the range partitioner split a run of equal
+            # times across tasks (the order among equal times is not defined by the report)
+            .orderBy(F.col("event_time").desc(), "query", "read_rows", "result_rows"))
 
 
 def running_jobs(snapshot: DataFrame, *, user: str | None = None,
@@ -47,7 +49,7 @@ def running_jobs(snapshot: DataFrame, *, user: str | None = None,
     for pat in exclude_like:
         cond = cond & ~F.col("query").like(pat)
     return (snapshot.where(cond)
-            .orderBy(F.col("elapsed").desc())
+            .orderBy(F.col("elapsed").desc(), "query_id")
             .select("user", "query_id",
                     readable_delta("elapsed").alias("elapsed_time"),
                     "read_rows",

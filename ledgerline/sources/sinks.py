@@ -28,13 +28,17 @@ CSV_OPTIONS = {
 
 
 def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str] = ("eventDate", "cpName"),
-                     fmt: str = "parquet") -> None:
+                     fmt: str = "parquet", max_records_per_file: int = 5_000_000) -> None:
     """Write ``df`` under ``path`` partitioned by ``partition_cols``, replacing only the slices that
-    occur in ``df``. Rows are clustered by the partition columns first so each task writes few
-    slices (one shuffle, which also sizes the files)."""
-    (df.repartition(*partition_cols)
+    occur in ``df``.
+
+    No shuffle by the partition columns: a daily result is one or two slices, and hashing on them
+    would send a whole slice to one task. Each task sorts its own rows by slice and writes one file
+    per slice it holds (at most ``max_records_per_file`` rows per file)."""
+    (df.sortWithinPartitions(*partition_cols)
        .write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
+       .option("maxRecordsPerFile", int(max_records_per_file))
        .partitionBy(*partition_cols)
        .format(fmt)
        .save(path))
