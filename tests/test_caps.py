@@ -80,3 +80,17 @@ def test_mark_capped(spark):
     assert df.select(mark_capped("inputFileName", on)).first()[0] == "!f.csv"
     assert df.select(mark_capped("inputFileName", off)).first()[0] == "f.csv"
     assert df.selectExpr(mark_capped_sql("inputFileName", on)).first()[0] == "!f.csv"
+
+
+def test_limit_total_boundaries_and_null_hour(spark):
+    rows = _rows(400, seed=8) + [(10_000 + i, None, 0) for i in range(3)]   # NULL times sort first
+    df = spark.createDataFrame(rows, SCHEMA).withColumn("h", F.hour("eventDateTime"))
+    ranked = limit_by(df, ["h"], ["eventDateTime", "record_id"], 4, keep_rank=True).cache()
+    per_hour = {}
+    for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or dt.datetime.min, r[0])):
+        per_hour.setdefault(None if r[1] is None else r[1].hour, []).append(r)
+    capped = [r for h in sorted(per_hour, key=lambda h: (h is not None, h or 0)) for r in per_hour[h][:4]]
+    first_group = len(per_hour[None][:4])
+    for total in (0, first_group, first_group + 1, 17, len(capped) - 1, len(capped), len(capped) + 5):
+        got = {r.record_id for r in limit_total(ranked, "h", total).collect()}
+        assert got == {r[0] for r in capped[:total]}, total
