@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import quote_ident as _q
+
 # Size units, each 1024 times the previous.
 SIZE_UNITS = ["B", "KiB", "MiB", "GiB", "TiB", "PiB", "EiB"]
 
@@ -26,10 +28,6 @@ DELTA_UNITS = [
 ]
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def minutes_2dp_sql(ms: str) -> str:
     """``round(ms / 1000 / 60, 2)`` with float rounding, ties to even (F10). ``rint`` works on the
     binary double, as the source dialect does; ``round``/``bround`` work on its decimal text and

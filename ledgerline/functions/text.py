@@ -12,12 +12,18 @@ def _c(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _q(name: str) -> str:
+def quote_ident(name: str) -> str:
+    """A column name as a SQL identifier (back-quoted)."""
     return "`" + name.replace("`", "``") + "`"
 
 
-def _sql_text(v: str) -> str:
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def sql_string(v) -> str:
+    """A value as a SQL string literal."""
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+_q = quote_ident
+_sql_text = sql_string
 
 
 def list_rank(c: str | Column, values: Sequence[str], unknown: str = "") -> Column:

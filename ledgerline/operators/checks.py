@@ -18,6 +18,7 @@ from ..constants import (CALL_KEY, CAP_PER_HOUR, CAP_TOTAL, CAP_TRIGGER_ROWS, FI
                          FIRST_LEVEL_COLUMNS, KEY_LEVEL_CHECK, KEY_LEVEL_COLUMNS, KEY_LEVEL_LAG_DAYS,
                          KEY_LEVEL_LAG_DAYS_STH, NO_CAP)
 from ..functions.datetime import days_before, lenient_epoch_sql
+from ..functions.text import sql_string as _lit
 from ..session import ensure_checkpoint_dir
 from .caps import CapPlan, apply_caps, cap_decision, mark_capped_sql
 from .recon import (HOUR_SHIFT, SAME_SECOND, Tolerance, counterpart_candidates, matched_pairs,
@@ -52,11 +53,6 @@ class BroadcastRule:
         return rows * copies * self.row_bytes <= self.max_bytes
 
 
-def _lit(v: str) -> str:
-    """A SQL string literal."""
-    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def lag_for(dictionary: DataFrame, check: str, attr: str = "days_before") -> int:
     """``dictGet(dict, attr, check)``: one attribute of one check, a single scalar."""
     row = dictionary.where(F.col("cpName") == F.lit(check)).select(attr).first()

@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 
 from ..constants import REGION_ORDER, STAT_METRICS
 from ..functions.text import list_ordinal, list_rank
+from ..functions.text import quote_ident as _q
 from .position import with_position
 
 ORDINAL_COL = "_ordinal"
@@ -33,10 +34,6 @@ def _date_text(d) -> str:
     return d.isoformat() if isinstance(d, _dt.date) else str(d)
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def stat_pivot(stat: DataFrame, metrics: Sequence[str], dates: Sequence | None = None, *,
                date_col: str = "eventDate", region_col: str = "macroRegion",
                check_col: str = "cpName", metric_order: Sequence[str] = STAT_METRICS,

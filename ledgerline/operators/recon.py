@@ -36,6 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..constants import CALL_KEY
+from ..functions.text import quote_ident as _q
 
 _T = "_t"          # comparable time (seconds) of a row
 _B = "_bucket"     # time bucket used as an extra equi key
@@ -60,10 +61,6 @@ SAME_SECOND = Tolerance(3, 3, (0,))
 HOUR_SHIFT = Tolerance(3, 3, (0, 3600, -3600))
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _bucket(t: str, w: int) -> str:
     """Exact integer floor division ``floor(t / w)``, negatives included."""
     return f"(({t}) - pmod({t}, {w})) div {w}"
