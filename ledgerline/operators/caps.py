@@ -38,11 +38,12 @@ RANK_COL = "_rank_in_group"
 class CapPlan:
     """Outcome of the cap decision: ``per_group``/``total`` are ``None`` when no cap applies.
     ``day_rows`` is the count the decision was taken on; ``source_rows``, when known, all rows
-    the cap applies to."""
+    the cap applies to; ``row_bytes``, when known, the widest row of the matched text columns."""
     day_rows: int
     per_group: int | None
     total: int | None
     source_rows: int | None = None
+    row_bytes: int | None = None   # widest row of the matched columns, when measured
 
     @property
     def on(self) -> bool:

@@ -36,21 +36,30 @@ class CapRule:
 
 @dataclass(frozen=True)
 class BroadcastRule:
-    """When to broadcast the (possibly capped) source of the first-level match.
-
-    The number of source rows is known exactly before the plan is built (the cap decision's count
-    job counts them too) and, with a cap on, is at most ``min(total, 25 * per_hour)`` (24 hours and
-    NULL). If that count times ``row_bytes`` (a generous size of one matching row: four keys,
-    duration, second text, time and bucket) is at most ``max_bytes``, the counterpart streams past
-    a broadcast of the source and is never shuffled; otherwise both sides are shuffled on (keys,
-    time bucket). A semi join cannot broadcast its left side, so Spark would not choose this
-    plan by itself."""
-    row_bytes: int = 256
+    """When to broadcast the (possibly capped) source of a reconciliation match.
+
+    Before the plan is built, one aggregation over the source day counts its rows and measures its
+    widest row (bytes of the key and text columns the broadcast side carries); with a cap on, the
+    rows are further bounded by ``min(total, 25 * per_hour)`` (24 hours and NULL). The broadcast
+    side then holds at most ``rows * copies * (fixed_row_bytes + widest text bytes)`` bytes, where
+    ``copies`` counts time buckets and clock shifts and ``fixed_row_bytes`` covers the row header
+    and the numeric columns with room for the hash table. Within ``max_bytes`` the counterpart
+    streams past a broadcast of the source and is never shuffled; otherwise both sides are
+    shuffled on (keys, time bucket). A semi join cannot broadcast its left side, so Spark would not
+    choose this plan by itself."""
+    fixed_row_bytes: int = 128
     max_bytes: int = 128 * 1024 * 1024
 
-    def allows(self, rows: int, copies: int = 2) -> bool:
-        """``copies``: rows the broadcast side holds per source row (time buckets x shifts)."""
-        return rows * copies * self.row_bytes <= self.max_bytes
+    def allows(self, rows: int, copies: int = 2, text_bytes: int = 0) -> bool:
+        return rows * copies * (self.fixed_row_bytes + int(text_bytes or 0)) <= self.max_bytes
+
+
+def _text_bytes(cols) -> F.Column:
+    """Bytes of the given columns of one row (NULL counts 0)."""
+    total = F.lit(0)
+    for c in cols:
+        total = total + F.coalesce(F.octet_length(F.col(c)), F.lit(0))
+    return total
 
 
 def lag_for(dictionary: DataFrame, check: str, attr: str = "days_before") -> int:
@@ -69,13 +78,15 @@ def first_level_source(start: DataFrame, day: _dt.date, check: str = FIRST_LEVEL
 
 def first_level_cap(source_day: DataFrame, rule: CapRule | None) -> CapPlan:
     """The cap decision counts shoulder-1 rows only (A1, A4, P9); the same aggregation counts all
-    source rows of the day (``CapPlan.source_rows``)."""
+    source rows of the day and measures the widest row the match carries (keys + dateTime), for
+    the broadcast size check."""
     row = source_day.agg(F.count(F.lit(1)).alias("n"),
-                         F.count(F.when(F.col("shoulder") == 1, 1)).alias("n1")).first()
-    n_all, n1 = int(row["n"]), int(row["n1"])
+                         F.count(F.when(F.col("shoulder") == 1, 1)).alias("n1"),
+                         F.max(_text_bytes([*CALL_KEY, "dateTime"])).alias("w")).first()
+    n_all, n1, width = int(row["n"]), int(row["n1"]), int(row["w"] or 0)
     if rule is not None and n1 >= rule.trigger:
-        return CapPlan(n1, int(rule.per_hour), int(rule.total), source_rows=n_all)
-    return CapPlan(n1, None, None, source_rows=n_all)
+        return CapPlan(n1, int(rule.per_hour), int(rule.total), source_rows=n_all, row_bytes=width)
+    return CapPlan(n1, None, None, source_rows=n_all, row_bytes=width)
 
 
 def capped_rows_bound(cap: CapPlan) -> int:
@@ -125,7 +136,8 @@ def first_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, days_back:
                                "substring(dateTime, 12, 8) AS time")
     counter = rnd.where(f"eventDate = DATE'{day.isoformat()}'")
     bounded = broadcast is not None and broadcast.allows(capped_rows_bound(cap),
-                                                         copies=2 * len(set(tol.shifts)))
+                                                         copies=2 * len(set(tol.shifts)),
+                                                         text_bytes=cap.row_bytes)
     if reduce_by_imsi and not bounded:
         # with a broadcast source the join itself filters the counterpart by key, without a shuffle
         counter = counterpart_candidates(counter, first_level_source(start, day, check))
@@ -186,13 +198,16 @@ def key_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, check: str =
     """Key-level check: source records whose key has no counterpart within the tolerances, one
     hour of clock shift either way allowed (J2, J4, J5).
 
-    With ``broadcast``, the source day is counted first (one scan of the pruned, filtered
-    partition); if the count passes the size check the counterpart streams past a broadcast of
-    the source, otherwise both sides are shuffled on (keys, time bucket)."""
+    With ``broadcast``, the source day is counted and its widest key measured first (one scan of
+    the pruned, filtered partition); if that passes the size check the counterpart streams past a
+    broadcast of the source, otherwise both sides are shuffled on (keys, time bucket)."""
     src = key_level_source(start, as_of, check=check, lag=lag, lag_sth=lag_sth)
     counter = key_level_counterpart(rnd, as_of, lag=lag, lag_sth=lag_sth)
-    bounded = broadcast is not None and broadcast.allows(src.count(),
-                                                         copies=2 * len(set(tol.shifts)))
+    bounded = False
+    if broadcast is not None:
+        stats = src.agg(F.count(F.lit(1)).alias("n"), F.max(_text_bytes(CALL_KEY)).alias("w")).first()
+        bounded = broadcast.allows(int(stats["n"]), copies=2 * len(set(tol.shifts)),
+                                   text_bytes=int(stats["w"] or 0))
     if reduce_by_imsi and not bounded:
         counter = counterpart_candidates(counter, src)
     # DISTINCT first (spread over all output columns, partial aggregation), removal last: the
