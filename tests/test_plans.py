@@ -78,3 +78,19 @@ def test_pivot_single_aggregation_shuffle(big):
     # one shuffle for the statistics, one for the pivot, one range shuffle for the report order
     assert p.count("Exchange hashpartitioning") == 2
     assert p.count("Exchange rangepartitioning") == 1
+
+
+def test_broadcast_decision_uses_measured_width(spark):
+    from pyspark.sql import functions as F
+    s, _ = tables(spark)
+    day = __import__("datetime").date(2024, 1, 15)
+    src = checks.first_level_source(s, day)
+    cap = checks.first_level_cap(src, None)
+    assert cap.source_rows == 11 and 30 < cap.row_bytes < 80
+    rule = checks.BroadcastRule(max_bytes=10_000)
+    assert rule.allows(checks.capped_rows_bound(cap), copies=2, text_bytes=cap.row_bytes)
+    wide = src.withColumn("service", F.when(F.col("record_id") == F.lit(src.first().record_id),
+                                            F.lit("x" * 50_000)).otherwise(F.col("service")))
+    wcap = checks.first_level_cap(wide, None)
+    assert wcap.row_bytes > 50_000
+    assert not rule.allows(checks.capped_rows_bound(wcap), copies=2, text_bytes=wcap.row_bytes)
