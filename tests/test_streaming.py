@@ -41,3 +41,35 @@ def test_stream_rechecks_landed_days_idempotently(spark, tmp_dir):
         a = sorted(r.record_id for r in got.where(F.col("eventDate") == day).collect())
         b = sorted(r.record_id for r in want.collect())
         assert a == b and len(a) > 0
+
+
+def test_stream_rechecks_when_counterpart_lands_later(spark, tmp_dir):
+    from ledgerline.streaming.daily import Watched, day_and_neighbours
+    ev = fx.load_events(spark, SF_DIR)
+    start, rnd = fx.cdr_start(ev), fx.cdr_rnd(ev)
+    day = dt.date(2024, 1, 15)
+    src_path, rnd_path, res_path = (os.path.join(tmp_dir, n) for n in ("src", "rnd", "res"))
+    start.where(F.col("eventDate") == day).write.partitionBy("eventDate").parquet(src_path)
+    # the counterpart lands in two parts; the first holds nothing for the checked day
+    rnd.where(F.col("eventDate") == day - dt.timedelta(days=5)).write.partitionBy("eventDate").parquet(rnd_path)
+
+    def check(d):
+        s = spark.read.parquet(src_path)
+        r = spark.read.parquet(rnd_path)
+        return checks.first_level_unmatched(s, r, d + dt.timedelta(days=LAG), days_back=LAG, caps=None)
+
+    src_schema = spark.read.parquet(src_path).schema
+    rnd_schema = spark.read.parquet(rnd_path).schema
+    ckpt = os.path.join(tmp_dir, "ckpt2")
+    watch = [Watched(rnd_path, rnd_schema, affects=day_and_neighbours)]
+    recheck_landed_days(spark, src_path, src_schema, check, res_path, watch=watch, checkpoint_location=ckpt)
+    before = spark.read.parquet(res_path).where(F.col("eventDate") == day).count()
+    assert before == start.where((F.col("eventDate") == day) & (F.col("cpName") == "CH01")
+                                 & (F.col("iflag") == 0)).select(*[c for c in start.columns]).distinct().count()
+    # the counterpart of the day lands: the day is re-checked without any new source file
+    rnd.where(F.col("eventDate") == day).write.mode("append").partitionBy("eventDate").parquet(rnd_path)
+    recheck_landed_days(spark, src_path, src_schema, check, res_path, watch=watch, checkpoint_location=ckpt)
+    got = sorted(r.record_id for r in spark.read.parquet(res_path).where(F.col("eventDate") == day).collect())
+    want = sorted(r.record_id for r in checks.first_level_unmatched(
+        start, rnd, day + dt.timedelta(days=LAG), days_back=LAG, caps=None).collect())
+    assert got == want and len(got) < before
