@@ -51,3 +51,11 @@ def test_with_position_property(spark):
     assert [r.pos for r in out] == list(range(1, 3001))
     want = [r[2] for r in sorted(rows, key=lambda r: (-r[0], r[1], r[2]))]
     assert [r.id for r in out] == want
+
+
+def test_empty_inputs(spark):
+    from ledgerline.operators.position import with_position
+    empty = spark.createDataFrame([], SCHEMA)
+    out = stat_pivot(empty, ["firstStream"])
+    assert out.count() == 0 and out.columns[:3] == ["macroRegion", "cpName", "cpType"]
+    assert with_position(empty, ["eventDate"]).count() == 0
