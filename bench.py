@@ -30,19 +30,28 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
 
     spark = local_session(cpus, shuffle_partitions=cpus, app="ledgerline-bench")
-    times: dict[str, float] = {}
+    times: dict[str, float | None] = {}
+    errors: dict[str, str] = {}
     for name in names:
         fn = QUERIES[name]
-        fn(spark, sf_dir).write.format("noop").mode("overwrite").save()   # warm-up
-        samples = []
-        for _ in range(runs):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 4)
+        try:
+            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()   # warm-up
+            samples = []
+            for _ in range(runs):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                samples.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(samples), 4)
+        except Exception as e:  # keep measuring the others; report the failure
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
     spark.stop()
-    print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(times.values()), 4),
-                      "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "runs": runs}))
+    out = {"metric": "sum_of_median_query_seconds",
+           "value": round(sum(v for v in times.values() if v is not None), 4),
+           "unit": "sec", "queries": times, "sf": sf, "cpus": cpus, "runs": runs}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
