@@ -148,9 +148,8 @@ def _key_level(concat_key: bool) -> str:
     ON s.IMSI = r.IMSI AND s.origToNumber = r.origToNumber
    AND s.service = r.service AND s.recType = r.recType
   WHERE abs(s.duration - r.duration) < 3
-    AND (abs(s.timeKey - r.timeKey) < 3
-         OR abs((s.timeKey + 3600) - r.timeKey) < 3
-         OR abs(s.timeKey - (r.timeKey + 3600)) < 3))"""
+    AND least(abs(s.timeKey - r.timeKey), abs(s.timeKey - r.timeKey + 3600),
+              abs(s.timeKey - r.timeKey - 3600)) < 3)"""
     if concat_key:
         cond = "concat(k.IMSI, k.origToNumber, k.service, k.recType) = concat(s.IMSI, s.origToNumber, s.service, s.recType)"
     else:
