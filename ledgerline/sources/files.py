@@ -20,15 +20,19 @@ DIR_SCHEMA = "dir string, name string, depth int"
 
 
 def _norm(uri: str) -> str:
-    """One spelling per file: ``file:///x`` and ``file:/x`` become ``file:/x``."""
-    if uri.startswith("file:///"):
-        return "file:/" + uri[len("file:///"):]
+    """One spelling per file: local files as plain paths (``file:///x`` and ``file:/x`` become
+    ``/x``), other file systems as URIs."""
+    if uri.startswith("file://"):
+        return uri[len("file://"):]
+    if uri.startswith("file:"):
+        return uri[len("file:"):]
     return uri
 
 
 def _norm_col(c):
-    """Spark reports ``_metadata.file_path`` URL-encoded (a space is ``%20``); the listing is not."""
-    return F.regexp_replace(F.url_decode(c), "^file:///", "file:/")
+    """The same spelling for ``_metadata.file_path``, which Spark reports URL-encoded (a space is
+    ``%20``); the listing is not."""
+    return F.regexp_replace(F.url_decode(c), "^file:(//)?", "")
 
 
 def list_tree(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
