@@ -23,8 +23,10 @@ equi keys are the four call keys **plus a time bucket** of width ``2 * tol.secon
 copied into the (at most two) buckets its tolerance window touches, and the rows of one side (the
 smaller, by default the source) once per clock shift. Each join group is then one subscriber within a few seconds, so a hot subscriber
 holding a third of all records spreads over many groups and tasks instead of one quadratic
-group; AQE's skew-join split handles what remains. No broadcast is forced: Spark broadcasts a
-side only when its measured size is under the threshold.
+group; AQE's skew-join split handles what remains. A broadcast is used only when the caller has
+proved the source side small (``broadcast_left``, decided in ``checks`` from an exact row count or
+the cap bound and the measured row width): the counterpart then streams past it unshuffled.
+Otherwise Spark broadcasts a side only when its measured size is under its own threshold.
 """
 
 from __future__ import annotations
