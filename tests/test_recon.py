@@ -171,3 +171,10 @@ def test_hot_subscriber_matches_brute_force(spark):
     assert ids(unmatched_by_second(s, r)) == want_second
     assert ids(unmatched_by_key(s, r)) == want_key
     assert ids(unmatched_by_key(s, r, shift_on="right")) == want_key
+
+
+def test_counterpart_candidates_null_safe(spark):
+    from ledgerline.operators.recon import counterpart_candidates
+    s = spark.createDataFrame([("a",), (None,)], "IMSI string")
+    r = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "IMSI string, v int")
+    assert sorted(x.v for x in counterpart_candidates(r, s).collect()) == [1]
