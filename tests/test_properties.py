@@ -66,3 +66,30 @@ def test_clock_and_minutes_match_rule(spark, values):
     assert [r.c for r in rows] == [py_clock(v) for v in values]
     # float rounding of the binary double, ties to even (Python's round does the same)
     assert [r.m for r in rows] == [round(v / 1000 / 60 * 100) / 100 for v in values]
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 6), st.integers(0, 12)),
+                min_size=1, max_size=40),
+       st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.integers(0, 6), st.integers(0, 12)),
+                min_size=0, max_size=40))
+def test_first_level_removal_matches_brute_force(spark, src, cnt):
+    import datetime as dt
+    from ledgerline.operators.recon import unmatched_by_second
+
+    def text(t):
+        return (dt.datetime(2024, 1, 15, 10) + dt.timedelta(seconds=t)).strftime("%Y-%m-%d %H:%M:%S")
+
+    s_rows = [(i, k, "o", "v", "1", d, text(t)) for i, (k, d, t) in enumerate(src)]
+    r_rows = [(k, "o", "v", "1", d, text(t)) for k, d, t in cnt]
+    schema = "IMSI string, origToNumber string, service string, recType string, duration int, dateTime string"
+    s = spark.createDataFrame(s_rows, "record_id long, " + schema)
+    r = spark.createDataFrame(r_rows, schema)
+    matched_units = {(k, t) for _, k, _, _, _, d, t in s_rows if k is not None and any(
+        rk == k and abs(d - rd) < 3 and abs((dt.datetime.strptime(t, "%Y-%m-%d %H:%M:%S")
+                                             - dt.datetime.strptime(rt, "%Y-%m-%d %H:%M:%S")).total_seconds()) < 3
+        for rk, _, _, _, rd, rt in r_rows)}
+    want = sorted(i for i, k, _, _, _, _, t in s_rows if (k, t) not in matched_units)
+    for bc in (False, True):
+        got = sorted(x.record_id for x in unmatched_by_second(s, r, broadcast_source=bc).collect())
+        assert got == want, bc
