@@ -93,3 +93,26 @@ def test_first_level_removal_matches_brute_force(spark, src, cnt):
     for bc in (False, True):
         got = sorted(x.record_id for x in unmatched_by_second(s, r, broadcast_source=bc).collect())
         assert got == want, bc
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 6),
+                          st.integers(-5, 5).map(lambda x: x * 1200)), min_size=1, max_size=40),
+       st.lists(st.tuples(st.sampled_from(["a", "b", "c", None]), st.integers(0, 6),
+                          st.integers(-5, 5).map(lambda x: x * 1200)), min_size=0, max_size=40),
+       st.integers(-3, 3))
+def test_key_level_removal_matches_brute_force(spark, src, cnt, jitter):
+    from ledgerline.operators.recon import HOUR_SHIFT, unmatched_by_key
+    t0 = 1_705_314_030
+    s_rows = [(i, k, "o", "v", "1", d, t0 + t) for i, (k, d, t) in enumerate(src)]
+    r_rows = [(k, "o", "v", "1", d, t0 + t + jitter) for k, d, t in cnt]
+    schema = "IMSI string, origToNumber string, service string, recType string, duration int, timeKey long"
+    s = spark.createDataFrame(s_rows, "record_id long, " + schema)
+    r = spark.createDataFrame(r_rows, schema)
+    keys = {k for _, k, _, _, _, d, t in s_rows if k is not None and any(
+        rk == k and abs(d - rd) < 3 and min(abs(t - rt), abs(t - rt + 3600), abs(t - rt - 3600)) < 3
+        for rk, _, _, _, rd, rt in r_rows)}
+    want = sorted(i for i, k, *_ in s_rows if k not in keys)
+    for bc in (False, True):
+        got = sorted(x.record_id for x in unmatched_by_key(s, r, tol=HOUR_SHIFT, broadcast_source=bc).collect())
+        assert got == want, bc
