@@ -3,6 +3,8 @@
 
 from decimal import ROUND_HALF_UP, Decimal
 
+import pytest
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -116,3 +118,33 @@ def test_key_level_removal_matches_brute_force(spark, src, cnt, jitter):
     for bc in (False, True):
         got = sorted(x.record_id for x in unmatched_by_key(s, r, tol=HOUR_SHIFT, broadcast_source=bc).collect())
         assert got == want, bc
+
+
+@pytest.mark.filterwarnings("ignore::FutureWarning")
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.sampled_from(["Msk", "Cnt", None]),
+                          st.sampled_from(["CH01", "CH02"]),
+                          st.one_of(st.none(), st.integers(-5, 5)), st.integers(-5, 5)),
+                min_size=1, max_size=30))
+def test_pivot_matches_pandas_pivot_table(spark, rows):
+    import datetime as dt
+    import pandas as pd
+    from ledgerline.operators.pivot import stat_pivot
+    days = [dt.date(2024, 1, 13) + dt.timedelta(days=i) for i in range(3)]
+    data = [(days[d], r, c, a, b) for d, r, c, a, b in rows]
+    sdf = spark.createDataFrame(data, "eventDate date, macroRegion string, cpName string, m1 long, m2 long")
+    got = {(r.macroRegion, r.cpName, r.cpType, tuple(r[c] for c in r.__fields__[3:]))
+           for r in stat_pivot(sdf, ["m1", "m2"], metric_order=["m1", "m2"]).collect()}
+
+    pdf = pd.DataFrame(data, columns=["eventDate", "macroRegion", "cpName", "m1", "m2"])
+    want = set()
+    if pdf.dropna(subset=["macroRegion"]).shape[0]:
+        pt = pd.pivot_table(pdf, index=["eventDate"], columns=["macroRegion", "cpName"],
+                            values=["m1", "m2"], aggfunc="sum", fill_value=0)
+        pt = pt.sort_index(ascending=False).transpose().reset_index()
+        date_cols = [c for c in pt.columns if isinstance(c, dt.date)]
+        for _, rr in pt.iterrows():
+            vals = tuple(int(rr[c]) for c in date_cols)
+            if sum(vals) != 0:
+                want.add((rr["macroRegion"], rr["cpName"], rr["level_0"], vals))
+    assert got == want
