@@ -12,8 +12,9 @@ Two forms are offered:
 * **files** (C1-C5): on file facts (path, directory, name, length, mtime) from
   ``sources.files.list_tree``, line counts from ``sources.files.line_counts``.
 
-Expected pairs are configuration (a few dozen rows), built as a DataFrame from Python lists; the
-data side is always reduced by a partial aggregation before it meets them.
+Expected pairs and passes are configuration (a few dozen rows), built as inline frames from Python
+lists (broadcast where an inner join allows it); the data side is always reduced by a partial
+aggregation before it meets them.
 """
 
 from __future__ import annotations
@@ -89,6 +90,8 @@ def table_freshness(data: DataFrame, expected: DataFrame, as_of, *, region_col:
     summary = table_day_summary(data, day, region_col=region_col, check_col=check_col,
                                 date_col=date_col, eligible=eligible, lookback_days=lookback_days,
                                 out_region=out_region, out_check=out_check)
+    # every expected pair is kept (an outer join can only build its other side, so the small
+    # expected frame streams and Spark/AQE size the summary side)
     joined = expected.join(summary, [out_region, out_check], "left")
     return (joined.where(F.col("last_date").isNull() | (F.col("last_date") != F.lit(day)))
             .select(out_region, out_check, "last_date",
@@ -107,7 +110,8 @@ def table_low_volume(data: DataFrame, expected: DataFrame, as_of, *, region_col:
                                 date_col=date_col, eligible=eligible, lookback_days=lookback_days,
                                 out_region=out_region, out_check=out_check)
     exp = expected.where(~F.col(out_check).isin(list(exclude_checks))) if exclude_checks else expected
-    return (exp.join(summary, [out_region, out_check], "inner")
+    # an inner join may build either side: broadcast the expected pairs (configuration)
+    return (summary.join(F.broadcast(exp), [out_region, out_check], "inner")
             .where((F.col("rows_on_day") >= 1) & (F.col("rows_on_day") <= F.lit(int(max_rows))))
             .select(out_region, out_check, F.col("rows_on_day").cast("bigint").alias("rows")))
 
