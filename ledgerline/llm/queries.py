@@ -5,18 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F  # noqa: F401
 
-from ledgerline.llm import minhash
+from ledgerline.llm import minhash, substring_dedup
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.word_digests(table(spark, sf_dir, "documents"), window=20)
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
 }
 
