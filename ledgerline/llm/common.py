@@ -145,6 +145,28 @@ def long_list(values: list[np.ndarray], kind: pa.DataType = pa.int64()) -> pa.Li
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=kind))
 
 
+def groups(batches, keys: list[str], load) -> Iterator[dict[str, np.ndarray]]:
+    """The groups of a stream of batches sorted by ``keys``, as arrays. ``load`` turns a batch into
+    arrays of equal first dimension. A group may span batches; only it is kept back."""
+    rest: dict[str, np.ndarray] | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = load(batch)
+        if rest is not None:
+            cols = {k: np.concatenate([rest[k], v]) for k, v in cols.items()}
+        n = len(cols[keys[0]])
+        new = np.zeros(n, dtype=bool)
+        for k in keys:
+            new[1:] |= cols[k][1:] != cols[k][:-1]
+        at = [0, *np.flatnonzero(new).tolist()]
+        for a, b in zip(at[:-1], at[1:], strict=True):
+            yield {k: v[a:b] for k, v in cols.items()}
+        rest = {k: v[at[-1]:].copy() for k, v in cols.items()}
+    if rest is not None:
+        yield rest
+
+
 # ---------------------------------------------------------------- connected components
 
 def components(edges: DataFrame) -> DataFrame:

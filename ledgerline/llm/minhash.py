@@ -44,7 +44,7 @@ VALUES = CHUNKS * WIDTH
 #: a distance has mean 19.6 and deviation 4, so this is 6 deviations away
 LOOK = 44
 #: members of one key, or of one family, that meet in one task at a time
-BLOCK = 512
+BLOCK = 1024
 #: node lists up to this many rows (8 bytes each) may be broadcast; longer ones are shuffled
 BROADCAST_ROWS = 1_000_000
 
@@ -177,14 +177,46 @@ def _in_blocks(members: DataFrame, group: str) -> DataFrame:
             .drop("size", "blocks", "other"))
 
 
+def _first_slot(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The first of the VALUES masked keys that signature ``a`` shares with each row of ``b``."""
+    differ = (b != a).reshape(len(b), CHUNKS, WIDTH)
+    shared = differ.sum(axis=2) <= 1
+    chunk = shared.argmax(axis=1)
+    return chunk * WIDTH + differ[np.arange(len(b)), chunk].argmax(axis=1)
+
+
 def _families(members: DataFrame) -> DataFrame:
     """(a, b): each member that is near one of another component under the same key, and the
-    smallest member it is chained to by such nearness in its block."""
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        node, comp = pdf["node"].to_numpy(), pdf["comp"].to_numpy()
-        sigs, own = sig_matrix(pdf["sig"]), pdf["own"].to_numpy()
-        ls, rs = np.flatnonzero(own == pdf["left"].iat[0]), np.flatnonzero(own == pdf["right"].iat[0])
-        root = np.arange(len(node))
+    smallest member it is chained to by such nearness in its block. A pair counts under the first
+    key that it shares."""
+    def load(batch):
+        cols = {c: batch.column(c).to_numpy(zero_copy_only=False)
+                for c in ("key", "left", "right", "slot", "node", "comp", "own")}
+        return cols | {"sig": sig_matrix(batch.column("sig").to_pylist())}
+
+    def run(batches):
+        pairs: list[tuple[int, int]] = []
+        for g in C.groups(batches, ["key", "left", "right"], load):
+            pairs += chains(g)
+            if len(pairs) > 100_000:
+                yield rows(pairs)
+                pairs = []
+        yield rows(pairs)
+
+    def rows(pairs):
+        flat = np.array(pairs, dtype=np.int64).reshape(-1, 2)
+        flat = np.unique(flat, axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["a", "b"])
+
+    def chains(g) -> list[tuple[int, int]]:
+        node, comp, sigs, slot = g["node"], g["comp"], g["sig"], g["slot"][0]
+        ls, rs = np.flatnonzero(g["own"] == g["left"][0]), np.flatnonzero(g["own"] == g["right"][0])
+        # one side of every pair lies outside the block's largest component
+        names, which, count = np.unique(comp, return_inverse=True, return_counts=True)
+        if len(names) < 2:
+            return []
+        minor = which != count.argmax()
+        root = list(range(len(node)))
 
         def find(i):
             while root[i] != i:
@@ -192,29 +224,24 @@ def _families(members: DataFrame) -> DataFrame:
                 i = root[i]
             return i
 
-        touched = np.zeros(len(node), dtype=bool)
-        # one side of every such pair lies outside the block's largest component
-        names, which, count = np.unique(comp, return_inverse=True, return_counts=True)
-        minor = which != count.argmax()
-        for mine, others in ((ls, rs), (rs, ls)):
+        for mine, others in ((ls, rs), (rs, ls)) if g["left"][0] != g["right"][0] else ((ls, rs),):
             for i in mine[minor[mine]]:
                 js = others[comp[others] != comp[i]]
                 js = js[(sigs[js] != sigs[i]).sum(axis=1) <= LOOK]
                 if len(js):
-                    touched[i] = touched[js] = True
-                    a = find(i)
-                    for j in js:
-                        b = find(j)
-                        if a != b:
-                            root[b] = a
-        at = np.flatnonzero(touched)
-        top = np.array([find(i) for i in at], dtype=np.int64)
-        least = {}
-        for t, v in zip(top, node[at], strict=True):
-            least[t] = min(v, least.get(t, v))
-        return pd.DataFrame({"a": node[at], "b": np.array([least[t] for t in top], dtype=np.int64)})
-
-    return members.groupBy("key", "left", "right").applyInPandas(run, "a long, b long")
+                    js = js[_first_slot(sigs[i], sigs[js]) == slot]
+                for j in js.tolist():
+                    a, b = find(i), find(j)
+                    if a != b:                               # the smaller node stays on top
+                        if node[a] > node[b]:
+                            a, b = b, a
+                        root[b] = a
+        tops = [find(i) for i in range(len(root))]
+        return [(int(node[i]), int(node[t])) for i, t in enumerate(tops) if i != t]
+
+    by = ["key", "left", "right"]
+    return (members.repartition(*by).sortWithinPartitions(*by)
+            .mapInArrow(run, "a long, b long"))
 
 
 def _family_links(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -326,10 +353,11 @@ def _apart(comp: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.ravel()),
                  pa.array(np.repeat(batch.column(0).to_numpy(zero_copy_only=False), VALUES)),
-                 pa.array(np.repeat(batch.column(2).to_numpy(zero_copy_only=False), VALUES))],
-                ["key", "node", "comp"])
+                 pa.array(np.repeat(batch.column(2).to_numpy(zero_copy_only=False), VALUES)),
+                 pa.array(np.tile(np.arange(VALUES, dtype=np.int32), batch.num_rows))],
+                ["key", "node", "comp", "slot"])
 
-    keyed = comp.mapInArrow(run, "key long, node long, comp long")
+    keyed = comp.mapInArrow(run, "key long, node long, comp long, slot int")
     spread = keyed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where(
         "x <> y").select("key")
     return keyed.join(spread, "key").join(comp.select("node", "sig"), "node")
