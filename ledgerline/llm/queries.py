@@ -3,9 +3,21 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F  # noqa: F401
+from pyspark.sql import functions as F
 
-from ledgerline.llm import minhash, substring_dedup
+from ledgerline.llm import (
+    minhash,
+    packing,
+    substring_dedup,
+    token_counts,
+    token_output,
+    toxicity,
+)
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,9 +32,34 @@ def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=2)
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("offending").alias("offending_sentences"))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.best_fit(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_output.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
+    "op6_toxicity": op6_toxicity,
+    "op7_token_counts": op7_token_counts,
+    "op8_best_fit_packing": op8_best_fit_packing,
+    "op10_token_output": op10_token_output,
 }
 
 ORACLE_SQL: dict[str, str] = {}
