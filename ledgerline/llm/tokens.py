@@ -13,6 +13,7 @@ import hashlib
 import json
 import os
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -21,8 +22,8 @@ import pyarrow.compute as pc
 from ledgerline.llm import common as C
 
 PIECE_BYTES = 6 << 20
-#: words that a worker remembers; beyond it the cache starts anew
-CACHE_WORDS = 400_000
+#: words that a worker remembers (about 250 MB); beyond it the cache starts anew
+CACHE_WORDS = 1_200_000
 
 _READY: dict[str, Encoder] = {}
 
@@ -62,7 +63,9 @@ class Encoder:
         self.tk = Tokenizer.from_buffer(blob)
         self.tk.no_truncation()
         self.tk.no_padding()
-        self.by_word = drops_white_space(self.tk, json.loads(blob))
+        spec = json.loads(blob)
+        self.lowers = any(n["type"] == "Lowercase" for n in (spec.get("normalizer") or {}).get("normalizers", []))
+        self.by_word = drops_white_space(self.tk, spec)
         self.forget()
 
     def forget(self):
@@ -75,7 +78,7 @@ class Encoder:
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tk.encode_batch_fast(texts, add_special_tokens=False)]
         counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        return np.fromiter((i for x in ids for i in x), dtype=np.int32, count=int(counts.sum())), counts
+        return np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(counts.sum())), counts
 
     def _learn(self, words: list[str]):
         """Add words to the cache, or what of them fits."""
@@ -112,6 +115,10 @@ class Encoder:
             if not self.by_word:
                 yield lo, hi, *self._plain(part.to_pylist())
                 continue
+            # capitals that the normaliser lowers anyway need no entries of their own; the strings of special
+            # tokens are matched before it
+            if self.lowers and not pc.any(pc.match_substring(part, "<|")).as_py():
+                part = pc.ascii_lower(part)
             lists = pc.ascii_split_whitespace(part)
             coded = lists.flatten().dictionary_encode()
             code = self._codes(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
