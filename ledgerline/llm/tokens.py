@@ -25,6 +25,9 @@ PIECE_BYTES = 6 << 20
 #: words that a worker remembers (about 250 MB); beyond it the cache starts anew
 CACHE_WORDS = 1_200_000
 
+#: a character of one id that hardly occurs; words with it are encoded one by one
+MARKER = "\x7f"
+
 _READY: dict[str, Encoder] = {}
 
 
@@ -65,6 +68,13 @@ class Encoder:
         self.tk.no_padding()
         spec = json.loads(blob)
         self.lowers = any(n["type"] == "Lowercase" for n in (spec.get("normalizer") or {}).get("normalizers", []))
+        suffix = spec["model"].get("end_of_word_suffix")
+        vocab = self.tk.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
+        if suffix:
+            self.ends[[i for w, i in vocab.items() if w.endswith(suffix)]] = True
+        marker = self.tk.encode(MARKER, add_special_tokens=False).ids
+        self.marker_id = marker[0] if len(marker) == 1 else None
         self.by_word = drops_white_space(self.tk, spec)
         self.forget()
 
@@ -80,19 +90,39 @@ class Encoder:
         counts = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
         return np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(counts.sum())), counts
 
+    def _joined(self, words: list[str], alpha: bool) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_plain`` for words, many to a text: faster, for white space separates them all the same. The
+        words' ids are told apart by the end-of-word ids, of which a word of letters alone has one, or
+        by a marker between words. Should the count not come out, the words are encoded one by one."""
+        if alpha and not self.ends.any() or not alpha and self.marker_id is None:
+            return self._plain(words)
+        between = " " if alpha else f" {MARKER} "
+        texts = [between.join(words[i:i + 200]) + ("" if alpha else f" {MARKER}") for i in range(0, len(words), 200)]
+        flat, _ = self._plain(texts)
+        last = self.ends[flat] if alpha else flat == self.marker_id
+        at = np.flatnonzero(last)
+        if len(at) != len(words):
+            return self._plain(words)
+        counts = np.diff(at, prepend=-1)
+        return (flat, counts) if alpha else (flat[~last], counts - 1)
+
     def _learn(self, words: list[str]):
-        """Add words to the cache, or what of them fits."""
-        for lo in range(0, len(words), 5000):
-            part = words[lo:lo + 5000]
-            flat, counts = self._plain(part)
-            n, used = len(self.known), self.used
-            if used + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(flat)), dtype=np.int32)])
-            self.ids[used:used + len(flat)] = flat
-            self.count[n:n + len(part)] = counts
-            self.start[n:n + len(part)] = used + np.cumsum(counts) - counts
-            self.known.update(zip(part, range(n, n + len(part)), strict=True))
-            self.used = used + len(flat)
+        """Add words to the cache."""
+        kinds = [], [], []
+        for w in words:
+            kinds[0 if w.isalpha() else 2 if MARKER in w else 1].append(w)
+        for kind, chosen in enumerate(kinds):
+            for lo in range(0, len(chosen), 5000):
+                part = chosen[lo:lo + 5000]
+                flat, counts = self._plain(part) if kind == 2 else self._joined(part, kind == 0)
+                n, used = len(self.known), self.used
+                if used + len(flat) > len(self.ids):
+                    self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(flat)), dtype=np.int32)])
+                self.ids[used:used + len(flat)] = flat
+                self.count[n:n + len(part)] = counts
+                self.start[n:n + len(part)] = used + np.cumsum(counts) - counts
+                self.known.update(zip(part, range(n, n + len(part)), strict=True))
+                self.used = used + len(flat)
 
     def _codes(self, words: list[str]) -> np.ndarray:
         new = [w for w in words if w not in self.known]
