@@ -343,6 +343,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
+                            shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """``docs`` without the documents that are linked to one of a smaller id. Rows that share a doc_id stay or
+    go together; rows without one stay."""
+    found = C.written(near_duplicates(docs, id_col, text_col, shingle=shingle, num=num, den=den)
+                      .where("NOT kept").select(F.col("doc_id").alias("__linked")).distinct(), "linked")
+    return docs.join(_sized(found), F.col(f"`{id_col}`").cast("long") == F.col("__linked"), "left_anti")
+
+
 def _apart(comp: DataFrame) -> DataFrame:
     """(key, node, sig, comp, ...) of all members of those keys that lie in several components."""
     def run(batches):

@@ -1,7 +1,7 @@
 """Token ids on disk: frequency-ranked, byte-aligned, with separate control bytes.
 
 All ids of the corpus are counted; the commonest id gets rank 0. A rank is written in as many bytes (1 to
-4) as it needs, least significant first; the lengths of four ranks, two bits each, share one control byte.
+4) as it needs, least significant first; the lengths of four ranks, two bits each, share one control byte, and each document starts a new one.
 Decoding looks each control byte up in a table of lengths and gathers the bytes with numpy, no loop over
 ids.
 
@@ -42,26 +42,42 @@ _LENGTHS = np.stack([(np.arange(256) >> (2 * k) & 3) + 1 for k in range(4)], axi
 _COLUMN = np.arange(4, dtype=np.uint8)
 
 
-def pack_ranks(ranks: np.ndarray) -> tuple[bytes, bytes]:
-    """(control bytes, data bytes) of an array of ranks below 2**32."""
-    r = ranks.astype("<u4")
+def pack_ranks(ranks: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(control bytes, data bytes, control bytes of each document, data bytes of each) of the ranks of
+    consecutive documents. Each document starts a control byte of its own."""
+    r = np.ascontiguousarray(ranks, dtype="<u4")
     n = 1 + (r > 0xFF).astype(np.uint8) + (r > 0xFFFF) + (r > 0xFFFFFF)
-    code = np.zeros(-(-len(r) // 4) * 4, dtype=np.uint8)
-    code[:len(r)] = n - 1
+    controls = -(-counts // 4)
+    ends = np.cumsum(counts)
+    pad = 4 * (np.cumsum(controls) - controls) - (ends - counts)
+    code = np.zeros(4 * int(controls.sum()), dtype=np.uint8)
+    code[np.arange(len(r)) + np.repeat(pad, counts)] = n - 1
     code = code.reshape(-1, 4)
     control = code[:, 0] | code[:, 1] << 2 | code[:, 2] << 4 | code[:, 3] << 6
     data = r.view(np.uint8).reshape(-1, 4)[_COLUMN < n[:, None]]
-    return control.astype(np.uint8).tobytes(), data.tobytes()
+    sums = np.concatenate(([0], np.cumsum(n, dtype=np.int64)))
+    return control.astype(np.uint8), data, controls, sums[ends] - sums[ends - counts]
 
 
-def unpack_ranks(control: bytes, data: bytes, count: int) -> np.ndarray:
+def unpack_ranks(control: bytes, data: bytes, counts: np.ndarray) -> np.ndarray:
     """The ranks again, by table lookup of the control bytes."""
-    n = _LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()[:count]
-    out = np.zeros((count, 4), dtype=np.uint8)
+    n = _LENGTHS[np.frombuffer(control, dtype=np.uint8)].ravel()
+    controls = -(-counts // 4)
+    pad = 4 * (np.cumsum(controls) - controls) - (np.cumsum(counts) - counts)
+    n = n[np.arange(int(counts.sum())) + np.repeat(pad, counts)]
+    out = np.zeros((len(n), 4), dtype=np.uint8)
     out[_COLUMN < n[:, None]] = np.frombuffer(data, dtype=np.uint8)
     return out.view("<u4").ravel()
 
 
+def _binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """A binary column of consecutive values of these sizes in bytes."""
+    offsets = np.zeros(len(sizes) + 1, dtype=np.int64)
+    np.cumsum(sizes, out=offsets[1:])
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(sizes), [
+        None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(flat))]).cast(pa.binary())
+
+
 def _encoded(docs: DataFrame, blob: bytes, end_id: int, width: str) -> DataFrame:
     """(doc_id, n_tokens, ids) with the end id."""
     name = tokens.version(blob)
@@ -72,13 +88,9 @@ def _encoded(docs: DataFrame, blob: bytes, end_id: int, width: str) -> DataFrame
             for lo, hi, ids, counts in enc.encode(batch.column(1)):
                 ends = np.cumsum(counts)
                 full = np.insert(ids, ends, end_id).astype(width)
-                stop = (ends + np.arange(1, len(ends) + 1)) * full.itemsize
-                offsets = np.concatenate(([0], stop)).astype(np.int64)
-                flat = pa.LargeBinaryArray.from_buffers(
-                    pa.large_binary(), hi - lo, [None, pa.py_buffer(offsets), pa.py_buffer(full)])
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(counts + 1), flat.cast(pa.binary())],
-                    ["doc_id", "n_tokens", "ids"])
+                    [batch.column(0).slice(lo, hi - lo), pa.array(counts + 1),
+                     _binary(full, (counts + 1) * full.itemsize)], ["doc_id", "n_tokens", "ids"])
 
     return docs.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
@@ -88,8 +100,9 @@ def _ranked(encoded: DataFrame, width: str) -> list[int]:
     def run(batches):
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                c = np.bincount(np.frombuffer(ids.as_buffer(), dtype=width))
+            for lo in range(0, batch.num_rows, 1000):
+                ids = np.frombuffer(b"".join(batch.column(0).slice(lo, 1000).to_pylist()), dtype=width)
+                c = np.bincount(ids)
                 if len(c) > len(total):
                     c, total = total, c.astype(np.int64)
                 total[:len(c)] += c
@@ -129,29 +142,27 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 2, id_col
 
     def recode(batches):
         for batch in batches:
-            control, data = [], []
-            for ids in batch.column(2):
-                c, d = pack_ranks(rank_of[np.frombuffer(ids.as_buffer(), dtype=width)])
-                control.append(c)
-                data.append(d)
-            doc = batch.column(0)
-            part = np.searchsorted(bounds, doc.fill_null(-1 << 63).to_numpy(), side="right")
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(part.astype(np.int32)), doc, batch.column(1), pa.array(control, type=pa.binary()),
-                 pa.array(data, type=pa.binary())], ["part", "doc_id", "n_tokens", "control", "data"])
+            for lo in range(0, batch.num_rows, 1000):
+                part = batch.slice(lo, 1000)
+                counts = part.column(1).to_numpy()
+                ids = np.frombuffer(b"".join(part.column(2).to_pylist()), dtype=width)
+                control, data, controls, sizes = pack_ranks(rank_of[ids], counts)
+                doc = part.column(0)
+                number = np.searchsorted(bounds, doc.fill_null(-1 << 63).to_numpy(), side="right")
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(number.astype(np.int32)), doc, part.column(1), _binary(control, controls),
+                     _binary(data, sizes)], ["part", "doc_id", "n_tokens", "control", "data"])
 
     def blocks(batches):
         open_, size, part, block, before = [], 0, None, 0, 0
 
         def closed():
             ids, counts, control, data = zip(*open_, strict=True)
-            ranks = np.concatenate([unpack_ranks(c, d, n) for n, c, d in zip(counts, control, data, strict=True)])
-            c, d = pack_ranks(ranks)
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], type=pa.int32()), pa.array([block], type=pa.int32()), pa.array([before]),
                  pa.array([list(ids)], type=pa.list_(pa.int64())),
-                 pa.array([list(counts)], type=pa.list_(pa.int32())), pa.array([c], type=pa.binary()),
-                 pa.array([d], type=pa.binary())],
+                 pa.array([list(counts)], type=pa.list_(pa.int32())), pa.array([b"".join(control)], type=pa.binary()),
+                 pa.array([b"".join(data)], type=pa.binary())],
                 ["part", "block", "first_token", "doc_ids", "counts", "control", "data"])
 
         for batch in batches:
@@ -188,7 +199,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for r in batch.to_pylist():
                 counts = np.array(r["counts"], dtype=np.int64)
-                ids = by_rank[unpack_ranks(r["control"], r["data"], int(counts.sum()))]
+                ids = by_rank[unpack_ranks(r["control"], r["data"], counts)]
                 ends = np.cumsum(counts)
                 view = memoryview(np.ascontiguousarray(ids, dtype="<u4")).cast("B")
                 crc = [zlib.crc32(view[4 * a:4 * b]) for a, b in zip((ends - counts).tolist(), ends.tolist(), strict=True)]

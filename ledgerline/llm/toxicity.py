@@ -142,15 +142,14 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, id_col: s
     return fit(rows.column("text"), y)
 
 
-def score(docs: DataFrame, model: tuple[np.ndarray, float], *, id_col: str = "doc_id", text_col: str = "text",
-          offends: float = 0.5) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``offending``: the sentences scoring ``offends`` or more, as
-    (sentence, score)."""
+def _scored(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str, text_col: str, offends: float) -> DataFrame:
+    """(id, text, rest, score, offending): the other columns wait in a struct, so no name can clash."""
     weights, bias = model[0].astype(np.float32), model[1]
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
-    inner = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"),
-                        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in rest]).alias("rest"))
-    kinds = {f.name: f.dataType.simpleString() for f in inner.schema}
+    inner = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
+                        F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])
+                        .alias("rest"))
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in inner.schema)
 
     def run(batches):
         for batch in batches:
@@ -168,15 +167,27 @@ def score(docs: DataFrame, model: tuple[np.ndarray, float], *, id_col: str = "do
                  pa.array(spans, type=pa.list_(pa.struct([("sentence", pa.string()), ("score", pa.float64())])))],
                 [*batch.schema.names, "score", "offending"])
 
-    schema = ", ".join(f"{n} {t}" for n, t in kinds.items())
-    out = inner.mapInArrow(run, schema + ", score double, offending array<struct<sentence:string,score:double>>")
-    of = {id_col: F.col("id"), text_col: F.col("text")}
-    return out.select(*[of[c].alias(c) if c in of else F.col(f"rest.`{c}`").alias(c) for c in docs.columns],
-                      "score", "offending")
+    return inner.mapInArrow(run, schema + ", score double, offending array<struct<sentence:string,score:double>>")
+
+
+def _own_columns(docs: DataFrame, id_col: str, text_col: str) -> list:
+    rest = [c for c in docs.columns if c not in (id_col, text_col)]
+    of = {id_col: F.col("id"), text_col: F.col("text")} | {c: F.col(f"rest.c{i}") for i, c in enumerate(rest)}
+    return [of[c].alias(c) for c in docs.columns]
+
+
+def score(docs: DataFrame, model: tuple[np.ndarray, float], *, id_col: str = "doc_id", text_col: str = "text",
+          offends: float = 0.5) -> DataFrame:
+    """The columns of ``docs`` with ``score`` (0 to 1) and ``offending``: the sentences that score ``offends`` or
+    more, as (sentence, score). Columns of ``docs`` of these two names give way."""
+    slim = docs.drop("score", "offending")
+    return _scored(slim, model, id_col, text_col, offends).select(
+        *_own_columns(slim, id_col, text_col), "score", "offending")
 
 
-def clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7) -> DataFrame:
+def clean(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, *, id_col: str = "doc_id",
+          text_col: str = "text") -> DataFrame:
     """The documents scoring below ``threshold``, with their own columns only."""
-    scored = score(docs.withColumn("__row", F.struct(*[F.col(f"`{c}`") for c in docs.columns]))
-                   .select(F.col("doc_id"), F.col("text"), "__row"), train(docs, labels))
-    return scored.where(F.col("score") < threshold).select("__row.*")
+    model = train(docs, labels, id_col=id_col, text_col=text_col)
+    scored = _scored(docs, model, id_col, text_col, 2.0)
+    return scored.where(F.col("score") < threshold).select(*_own_columns(docs, id_col, text_col))
