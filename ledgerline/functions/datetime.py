@@ -13,6 +13,10 @@ from pyspark.sql import functions as F
 
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
+#: text forms of a time that the checks read; the pseudo form ``epoch`` is whole seconds as digits
+LENIENT_FORMATS = (DATETIME_FORMAT, "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd'T'HH:mm",
+                   "dd.MM.yyyy HH:mm:ss", "epoch")
+
 _EPOCH = _dt.date(1970, 1, 1)
 
 
@@ -61,19 +65,30 @@ def epoch_seconds_ntz(ts: str | Column) -> Column:
             + F.second(t)).cast("bigint")
 
 
-def lenient_epoch_sql(date_time: str, formats: tuple[str, ...] = (DATETIME_FORMAT,)) -> str:
+def lenient_epoch_sql(date_time: str, formats: tuple[str, ...] = LENIENT_FORMATS) -> str:
     """SQL: parse text to epoch seconds, 0 when nothing parses.
 
     Mirrors a "best effort, zero on failure" parse: the first format that parses wins, and text
     that parses with none of them becomes the epoch, so two broken values compare equal. Uses
     ``try_to_timestamp`` because the plain parse raises under ANSI mode. The parsed value is read
     back as a wall clock (exact outside DST gaps) and counted as UTC, so the result does not
-    depend on the session time zone."""
-    parsed = [epoch_seconds_ntz_sql(f"CAST(try_to_timestamp({date_time}, '{f}') AS TIMESTAMP_NTZ)")
-              for f in formats]
-    return f"coalesce({', '.join(parsed)}, CAST(0 AS BIGINT))"
+    depend on the session time zone. A fraction of a second after the seconds is dropped; the later
+    formats are only tried where the earlier ones fail."""
+    whole = f"regexp_replace({date_time}, '(:[0-9][0-9]:[0-9][0-9])[.][0-9]+$', '$1')"
+
+    def parse(text: str, f: str) -> str:
+        quoted = f.replace("'", "\\'")
+        return f"CAST(try_to_timestamp({text}, '{quoted}') AS TIMESTAMP_NTZ)"
+
+    times = [f for f in formats if f != "epoch"]
+    parsed = [parse(date_time, times[0]), *(parse(whole, f) for f in times)]
+    # the clock time is counted from the epoch once, whatever the form
+    found = [f"timestampdiff(SECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', coalesce({', '.join(parsed)}))"]
+    if "epoch" in formats:
+        found.append(f"CASE WHEN {date_time} RLIKE '^[0-9]{{9,11}}$' THEN CAST({date_time} AS BIGINT) END")
+    return f"coalesce({', '.join(found)}, CAST(0 AS BIGINT))"
 
 
-def lenient_epoch(date_time: str, formats: tuple[str, ...] = (DATETIME_FORMAT,)) -> Column:
+def lenient_epoch(date_time: str, formats: tuple[str, ...] = LENIENT_FORMATS) -> Column:
     """Column form of ``lenient_epoch_sql`` for a column name."""
     return F.expr(lenient_epoch_sql(f"`{date_time}`", formats))

@@ -1,24 +1,25 @@
 """Volume caps of the first-level reconciliation.
 
-When the day's source volume reaches a trigger, the job keeps at most ``per_group`` rows per hour
-of day and at most ``total`` rows overall, and marks the capped output (``'!'`` before the input
-file name). The original limits have no ORDER BY, so which rows survive is arbitrary there; here
-the order is total (``eventDateTime, record_id``; rows equal in both are exact copies), so a rerun
-or a recomputation after a lost executor picks the same rows, and the capped set used twice in the
-plan is the same set.
+When the day's source volume reaches a trigger, the original job keeps at most ``per_group`` rows per
+hour of day and at most ``total`` rows overall, and marks the capped output (``'!'`` before the input
+file name). The caps cut rows, so they are opt-in here; nothing applies them unless a ``CapRule`` is
+passed. The original limits have no ORDER BY, so which rows survive is arbitrary there; here the order
+is total (``eventDateTime, record_id``; rows equal in both are exact copies), so a rerun or a
+recomputation after a lost executor picks the same rows, and the capped set used twice in the plan is
+the same set.
 
 Scale notes:
 
-* The decision is one filtered ``count`` (partial counts per task, one number to the driver). It is
-  taken before the plan is built, so the per-group limit is a literal and Catalyst plans a
-  ``WindowGroupLimit`` that trims each group inside every map task before the shuffle. Without a
-  cap no window is planned at all.
-* ``limit_by`` is a two-level top-n: first per (group, salt), then per group. A top-n of a union is
-  the top-n of the union of per-part top-n, so the result is exact, and the task that ranks one
-  hot group receives at most ``fanout * n`` rows, however large the group is.
-* ``limit_total`` never sorts everything in one task: it counts the rows of each (ordered) group,
-  finds on the driver the group where the running count crosses the limit (one small row per
-  group), and filters with the in-group rank that ``limit_by`` already produced.
+* The decision is one filtered ``count`` (partial counts per task, one number to the driver).
+* ``cut_by_hour`` counts rows per (hour, second) of the day with partial aggregation: at most 86,400
+  rows, whatever the day holds. From them the driver finds, for each hour, the second in which its limit
+  falls. Rows before it are kept by a literal filter, without a shuffle; only the rows of the cut seconds are
+  ranked, with a salt, so a second that holds a third of the day is ranked by many tasks. The plan does not
+  depend on a limit being small enough for ``WindowGroupLimit``. The total cap is the same filter with
+  smaller limits for the last hours.
+* ``limit_by`` is the general per-group top-n, a two-level top-n: first per (group, salt), then per group.
+  Up to ``spark.sql.optimizer.windowGroupLimitThreshold`` (1000) rows a group Spark trims every group inside the
+  map tasks; above it the first level sorts all rows, spread over groups times ``fanout`` tasks.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ from pyspark.sql import functions as F
 from ..constants import CAP_PER_HOUR, CAP_TOTAL, CAP_TRIGGER_ROWS
 
 RANK_COL = "_rank_in_group"
+#: groups that ``limit_total`` may count on the driver
+MAX_GROUPS = 100_000
 
 
 @dataclass(frozen=True)
@@ -50,16 +53,74 @@ class CapPlan:
         return self.per_group is not None or self.total is not None
 
 
+def decide(day_rows: int, *, trigger: int, per_group: int, total: int, source_rows: int | None = None,
+           row_bytes: int | None = None) -> CapPlan:
+    """The cap decision for a counted day."""
+    on = day_rows >= trigger
+    return CapPlan(day_rows, int(per_group) if on else None, int(total) if on else None,
+                   source_rows=source_rows, row_bytes=row_bytes)
+
+
 def cap_decision(counted: DataFrame, *, trigger: int = CAP_TRIGGER_ROWS,
                  per_group: int = CAP_PER_HOUR, total: int = CAP_TOTAL) -> CapPlan:
     """Count ``counted`` (already filtered to the rows that decide, e.g. shoulder 1) and decide.
 
     The original wraps the count in a NULL default; a count is never NULL, so the default can
     never apply and is not modelled."""
-    n = counted.count()
-    if n >= trigger:
-        return CapPlan(n, int(per_group), int(total))
-    return CapPlan(n, None, None)
+    return decide(counted.count(), trigger=trigger, per_group=per_group, total=total)
+
+
+def _second_counts(df: DataFrame, time_col: str) -> dict:
+    """hour -> sorted [(second, rows)], NULL first: at most 86,400 entries for a day of rows."""
+    sec = F.date_trunc("second", F.col(time_col)).cast("timestamp_ntz")
+    rows = (df.groupBy(F.hour(time_col).alias("h"), sec.alias("s")).agg(F.count(F.lit(1)).alias("n")).collect())
+    out: dict = {}
+    for r in sorted(rows, key=lambda r: (r["s"] is not None, r["s"])):
+        out.setdefault(r["h"], []).append((r["s"], r["n"]))
+    return out
+
+
+def cut_by_hour(df: DataFrame, n: int, *, total: int | None = None, time_col: str = "eventDateTime",
+                order_cols: Sequence[str] = ("eventDateTime", "record_id"), fanout: int = 32) -> DataFrame:
+    """The first ``n`` rows of every hour of a day by ``order_cols`` (which start with ``time_col``), and of these
+    the first ``total`` in (hour, order). Rows without a time are a group of their own, first in order."""
+    counts = _second_counts(df, time_col)
+    left = float("inf") if total is None else int(total)
+    keep, cuts = [], []                      # SQL conditions; (condition of the cut second, rows to keep of it)
+    for hour in sorted(counts, key=lambda h: (h is not None, h)):
+        limit = min(int(n), left)
+        held = min(limit, sum(c for _, c in counts[hour]))
+        left -= held
+        of_hour = "_h IS NULL" if hour is None else f"_h = {hour}"
+        before = 0
+        cut = None
+        for second, c in counts[hour]:
+            if before + c > limit:
+                cut = (second, limit - before)
+                break
+            before += c
+        if cut is None:
+            keep.append(of_hour)
+            continue
+        second, rest = cut
+        if second is not None:
+            keep.append(f"({of_hour} AND _s < TIMESTAMP_NTZ'{second}')")
+        if rest:
+            same = "_s IS NULL" if second is None else f"_s = TIMESTAMP_NTZ'{second}'"
+            cuts.append((f"({of_hour} AND {same})", int(rest)))
+    sec = F.date_trunc("second", F.col(time_col)).cast("timestamp_ntz")
+    timed = df.withColumn("_h", F.hour(time_col)).withColumn("_s", sec)
+    whole = timed.where(" OR ".join(keep) if keep else "FALSE")
+    if cuts:
+        rest = "CASE " + " ".join(f"WHEN {c} THEN {k}" for c, k in cuts) + " END"
+        order = [F.col(o) for o in order_cols]
+        salt = F.pmod(F.xxhash64(*order), F.lit(int(fanout)))
+        at_cut = timed.where(" OR ".join(c for c, _ in cuts)).withColumn("_k", F.expr(rest))
+        for group in ([F.col("_h"), salt], [F.col("_h")]):
+            rank = F.row_number().over(Window.partitionBy(*group).orderBy(*order))
+            at_cut = at_cut.withColumn("_r", rank).where("_r <= _k").drop("_r")
+        whole = whole.unionByName(at_cut.drop("_k"))
+    return whole.drop("_h", "_s")
 
 
 def limit_by(df: DataFrame, group_cols: Sequence[str | Column], order_cols: Sequence[str | Column],
@@ -85,10 +146,12 @@ def limit_total(ranked: DataFrame, group_col: str, total: int) -> DataFrame:
     """Keep the first ``total`` rows in the order (``group_col``, in-group rank).
 
     ``ranked`` must carry ``_rank_in_group`` (``limit_by(..., keep_rank=True)``) and ``group_col``
-    must be an orderable value with few distinct values (hour of day). Exact, with no global sort:
-    one count per group goes to the driver."""
+    must be an orderable value with few distinct values (hour of day, at most ``MAX_GROUPS``). Exact, with no
+    global sort: one count per group goes to the driver."""
     total = int(total)
-    rows = ranked.groupBy(group_col).count().collect()
+    rows = ranked.groupBy(group_col).count().limit(MAX_GROUPS + 1).collect()
+    if len(rows) > MAX_GROUPS:
+        raise ValueError(f"{group_col} has more than {MAX_GROUPS} values; a total limit needs a coarse group")
     # NULL groups sort first in an ascending order
     counts = [(None, c) for g, c in rows if g is None] + sorted((g, c) for g, c in rows if g is not None)
     remaining = total
@@ -128,20 +191,11 @@ def mark_capped_sql(name: str, cap: CapPlan, marker: str = "!") -> str:
     return f"concat('{marker}', `{name}`)" if cap.on else f"`{name}`"
 
 
-def apply_caps(df: DataFrame, cap: CapPlan, *, hour_col: str = "_hour",
-               order_cols: Sequence[str] = ("eventDateTime", "record_id"),
+def apply_caps(df: DataFrame, cap: CapPlan, *, order_cols: Sequence[str] = ("eventDateTime", "record_id"),
                fanout: int = 32) -> DataFrame:
-    """Per-hour and total caps of the first-level check on a day of source rows.
-
-    The total cap counts in (hour, eventDateTime, record_id) order. With the shipped constants
-    (25 groups x 10,000 < 1,000,000; 24 hours and NULL) it can never cut, and then costs nothing."""
+    """Per-hour and total caps of the first-level check on a day of source rows. The total cap counts
+    in (hour, eventDateTime, record_id) order."""
     if not cap.on:
         return df
-    with_hour = df.withColumn(hour_col, F.hour(order_cols[0]))
-    per = cap.per_group
-    if per is None:
-        per = cap.total
-    ranked = limit_by(with_hour, [hour_col], list(order_cols), per, fanout=fanout, keep_rank=True)
-    if cap.total is not None and cap.total < 25 * per:
-        ranked = limit_total(ranked, hour_col, cap.total)
-    return ranked.drop(hour_col, RANK_COL)
+    per = cap.total if cap.per_group is None else cap.per_group
+    return cut_by_hour(df, per, total=cap.total, time_col=order_cols[0], order_cols=order_cols, fanout=fanout)

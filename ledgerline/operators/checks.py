@@ -17,10 +17,9 @@ from pyspark.sql import functions as F
 from ..constants import (CALL_KEY, CAP_PER_HOUR, CAP_TOTAL, CAP_TRIGGER_ROWS, FIRST_LEVEL_CHECK,
                          FIRST_LEVEL_COLUMNS, KEY_LEVEL_CHECK, KEY_LEVEL_COLUMNS, KEY_LEVEL_LAG_DAYS,
                          KEY_LEVEL_LAG_DAYS_STH, NO_CAP)
-from ..functions.datetime import days_before, lenient_epoch_sql
+from ..functions.datetime import LENIENT_FORMATS, days_before, lenient_epoch_sql
 from ..functions.text import sql_string as _lit
-from ..session import ensure_checkpoint_dir
-from .caps import CapPlan, apply_caps, cap_decision, mark_capped_sql
+from .caps import CapPlan, apply_caps, decide, mark_capped_sql
 from .recon import (HOUR_SHIFT, SAME_SECOND, Tolerance, counterpart_candidates, matched_pairs,
                     unmatched_by_key, unmatched_by_second)
 
@@ -84,9 +83,10 @@ def first_level_cap(source_day: DataFrame, rule: CapRule | None) -> CapPlan:
                          F.count(F.when(F.col("shoulder") == 1, 1)).alias("n1"),
                          F.max(_text_bytes([*CALL_KEY, "dateTime"])).alias("w")).first()
     n_all, n1, width = int(row["n"]), int(row["n1"]), int(row["w"] or 0)
-    if rule is not None and n1 >= rule.trigger:
-        return CapPlan(n1, int(rule.per_hour), int(rule.total), source_rows=n_all, row_bytes=width)
-    return CapPlan(n1, None, None, source_rows=n_all, row_bytes=width)
+    if rule is None:
+        return CapPlan(n1, None, None, source_rows=n_all, row_bytes=width)
+    return decide(n1, trigger=rule.trigger, per_group=rule.per_hour, total=rule.total, source_rows=n_all,
+                  row_bytes=width)
 
 
 def capped_rows_bound(cap: CapPlan) -> int:
@@ -100,29 +100,27 @@ def capped_rows_bound(cap: CapPlan) -> int:
 
 
 def first_level_capped(start: DataFrame, as_of, *, days_back: int, check: str = FIRST_LEVEL_CHECK,
-                       caps: CapRule | None = CapRule(),
-                       count_rows: bool = True) -> tuple[DataFrame, CapPlan]:
+                       caps: CapRule | None = None,
+                       count_rows: bool = False) -> tuple[DataFrame, CapPlan]:
     """The (possibly capped) source rows of the first-level check and the cap decision. Without
-    caps and without ``count_rows`` no count job runs."""
+    caps and without ``count_rows`` no count job runs. The cap filters by literals, so both uses of
+    the capped set read the same rows without keeping it anywhere."""
     day = days_before(as_of, days_back)
     src = first_level_source(start, day, check)
     cap = first_level_cap(src, caps) if (caps is not None or count_rows) else CapPlan(0, None, None)
-    capped = apply_caps(src, cap, fanout=caps.fanout if caps else 32)
-    if cap.on:
-        # The capped set is used twice (rows to report, rows to match) and is bounded by
-        # 25 x per_hour rows; write it once to the session's checkpoint folder so both uses read
-        # the same rows and a lost executor recomputes nothing upstream.
-        ensure_checkpoint_dir(capped.sparkSession)
-        capped = capped.checkpoint(eager=True)
-    return capped, cap
+    return apply_caps(src, cap, fanout=caps.fanout if caps else 32), cap
 
 
 def first_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, days_back: int,
-                          check: str = FIRST_LEVEL_CHECK, caps: CapRule | None = CapRule(),
+                          check: str = FIRST_LEVEL_CHECK, caps: CapRule | None = None,
                           tol: Tolerance = SAME_SECOND, reduce_by_imsi: bool = False,
-                          broadcast: BroadcastRule | None = BroadcastRule()) -> DataFrame:
+                          broadcast: BroadcastRule | None = None,
+                          formats: tuple[str, ...] = LENIENT_FORMATS) -> DataFrame:
     """First-level check: source records of the day with no counterpart, removed by key + second.
 
+    Caps are off unless a ``CapRule`` is given. ``formats`` are the text forms of ``dateTime`` (see
+    ``lenient_epoch_sql``). Without caps and without a ``BroadcastRule`` no count job runs.
+
     ``reduce_by_imsi`` adds the original ``IMSI IN (...)`` reduction of the counterpart (against the
     uncapped source, as written). It never changes the result, since the match joins on IMSI; on a
     cluster Spark's runtime bloom filter usually gives the same reduction for free. When the
@@ -141,7 +139,8 @@ def first_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, days_back:
     if reduce_by_imsi and not bounded:
         # with a broadcast source the join itself filters the counterpart by key, without a shuffle
         counter = counterpart_candidates(counter, first_level_source(start, day, check))
-    left = unmatched_by_second(capped, counter, tol=tol, broadcast_source=bounded)
+    left = unmatched_by_second(capped, counter, tol=tol, broadcast_source=bounded,
+                               time_sql=lambda c: lenient_epoch_sql(c, formats))
     cols = [f"{mark_capped_sql('inputFileName', cap)} AS inputFileName" if c == "inputFileName"
             else f"`{c}`" for c in FIRST_LEVEL_COLUMNS]
     return left.selectExpr(*cols).distinct()
@@ -149,14 +148,15 @@ def first_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, days_back:
 
 def first_level_pairs(start: DataFrame, rnd: DataFrame, as_of, *, days_back: int,
                       check: str = FIRST_LEVEL_CHECK, caps: CapRule | None = None,
-                      tol: Tolerance = SAME_SECOND) -> DataFrame:
+                      tol: Tolerance = SAME_SECOND,
+                      formats: tuple[str, ...] = LENIENT_FORMATS) -> DataFrame:
     """Matched pairs of the first-level check (J1 as an inner join): the source key, duration and
     dateTime with the counterpart's dateTime as ``dateTime2``."""
     day = days_before(as_of, days_back)
     capped, _ = first_level_capped(start, as_of, days_back=days_back, check=check, caps=caps,
                                    count_rows=False)
     counter = rnd.where(f"eventDate = DATE'{day.isoformat()}'")
-    t = lenient_epoch_sql("dateTime")
+    t = lenient_epoch_sql("dateTime", formats)
     return matched_pairs(capped, counter, tol=tol, left_time=t,
                          right_time=t, left_cols=("duration", "dateTime"),
                          right_cols=("dateTime",), right_prefix="r_").withColumnRenamed(
@@ -194,11 +194,12 @@ def key_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, check: str =
                         lag: int = KEY_LEVEL_LAG_DAYS, lag_sth: int = KEY_LEVEL_LAG_DAYS_STH,
                         tol: Tolerance = HOUR_SHIFT, concat_key: bool = False,
                         reduce_by_imsi: bool = False,
-                        broadcast: BroadcastRule | None = BroadcastRule()) -> DataFrame:
+                        broadcast: BroadcastRule | None = None) -> DataFrame:
     """Key-level check: source records whose key has no counterpart within the tolerances, one
     hour of clock shift either way allowed (J2, J4, J5).
 
-    With ``broadcast``, the source day is counted and its widest key measured first (one scan of
+    The match reads only the key, duration and time of the day's records, distinct; the day is read twice, once
+    for the rows to report and once for the match. With ``broadcast``, the source day is counted and its widest key measured first (one scan of
     the pruned, filtered partition); if that passes the size check the counterpart streams past a
     broadcast of the source, otherwise both sides are shuffled on (keys, time bucket)."""
     src = key_level_source(start, as_of, check=check, lag=lag, lag_sth=lag_sth)
@@ -213,8 +214,9 @@ def key_level_unmatched(start: DataFrame, rnd: DataFrame, as_of, *, check: str =
     # DISTINCT first (spread over all output columns, partial aggregation), removal last: the
     # anti join on the key is then the final operator and AQE may split a hot key's partition.
     rows = src.selectExpr(*[f"`{c}`" for c in KEY_LEVEL_COLUMNS]).distinct()
-    return unmatched_by_key(rows, counter, tol=tol, concat_key=concat_key,
-                            broadcast_source=bounded)
+    narrow = src.select(*CALL_KEY, "duration", "timeKey").distinct()
+    return unmatched_by_key(rows, counter, tol=tol, concat_key=concat_key, broadcast_source=bounded,
+                            match_source=narrow)
 
 
 def candidates_for_day(start: DataFrame, rnd: DataFrame, as_of, *, days_back: int,
@@ -224,18 +226,17 @@ def candidates_for_day(start: DataFrame, rnd: DataFrame, as_of, *, days_back: in
     day = days_before(as_of, days_back)
     counter = rnd.where(f"eventDate = DATE'{day.isoformat()}'")
     src = first_level_source(start, day, check)
-    return (counterpart_candidates(counter, src)
-            .select(*CALL_KEY, "duration", "dateTime").distinct())
+    # DISTINCT first, the semi join last: nothing above it fixes its partitioning, so AQE may split a hot IMSI
+    return counterpart_candidates(counter.select(*CALL_KEY, "duration", "dateTime").distinct(), src)
 
 
 def lag_lookup(start: DataFrame, dictionary: DataFrame, as_of) -> DataFrame:
     """For every check of the dictionary, its target day (``as_of - days_before``) and the
-    source rows on it (S4 as a join, P2). The dictionary is configuration (one row per check), so
-    it is broadcast; the candidate days are stated as literals so the scan prunes."""
+    source rows on it (S4 as a join, P2). The dictionary is configuration (one row per check);
+    Spark sizes the join; the candidate days are stated as literals so the scan prunes."""
     lags = [(r["cpName"], int(r["days_before"])) for r in dictionary.collect()]
     days = sorted({days_before(as_of, n) for _, n in lags})
-    d = F.broadcast(dictionary.withColumn("target_date", F.date_sub(F.lit(as_of).cast("date"),
-                                                                     F.col("days_before"))))
+    d = dictionary.withColumn("target_date", F.date_sub(F.lit(as_of).cast("date"), F.col("days_before")))
     s = start.where(F.col("eventDate").isin(days)).select("cpName", "eventDate")
     joined = s.join(d, (s["cpName"] == d["cpName"]) & (s["eventDate"] == d["target_date"]), "inner")
     counts = joined.groupBy(d["cpName"]).agg(F.count(F.lit(1)).alias("source_rows"))

@@ -13,8 +13,8 @@ Two forms are offered:
   ``sources.files.list_tree``, line counts from ``sources.files.line_counts``.
 
 Expected pairs and passes are configuration (a few dozen rows), built as inline frames from Python
-lists (broadcast where an inner join allows it); the data side is always reduced by a partial
-aggregation before it meets them.
+lists; the data side is always reduced by a partial aggregation before it meets them, and Spark sizes
+the joins.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from ..functions.datetime import as_date
 from ..sources.tables import local_frame
-from ..functions.text import eligible_file_name, last_component
+from ..functions.text import eligible_file_name, last_component, sql_string
 
 
 def expected_pairs(spark: SparkSession, regions: Sequence[str], checks: Sequence[str],
@@ -59,61 +59,49 @@ def expected_minus_found(expected: DataFrame, found: DataFrame, keys: Sequence[s
     return expected.join(found, list(keys), "left_anti")
 
 
-def table_day_summary(data: DataFrame, as_of, *, region_col: str, check_col: str,
-                      date_col: str = "eventDate", eligible=None, lookback_days: int | None = None,
-                      out_region: str = "region", out_check: str = "check") -> DataFrame:
-    """Per (region, check): the newest eligible day up to ``as_of`` and the eligible rows on
-    ``as_of``, from one scan and one partially-aggregated shuffle. Both table reports derive from
-    it; built with the same arguments it is the same subtree, so one query computing both reports
-    shares its exchange."""
-    day = as_date(as_of)
-    d = data.where(F.col(date_col) <= F.lit(day))
-    if lookback_days is not None:
-        d = d.where(F.col(date_col) >= F.lit(day - _dt.timedelta(days=int(lookback_days))))
-    if eligible is not None:
-        d = d.where(eligible)
-    return (d.groupBy(F.col(region_col).alias(out_region), F.col(check_col).alias(out_check))
-            .agg(F.max(date_col).alias("last_date"),
-                 F.count(F.when(F.col(date_col) == F.lit(day), 1)).alias("rows_on_day")))
-
-
 def table_freshness(data: DataFrame, expected: DataFrame, as_of, *, region_col: str,
                     check_col: str, date_col: str = "eventDate", eligible=None,
-                    lookback_days: int | None = None,
                     out_region: str = "region", out_check: str = "check") -> DataFrame:
     """Per expected pair whose newest eligible day up to ``as_of`` is not ``as_of``: the newest day
     (NULL when none) and a status, ``missing`` or ``stale`` (C2 on tables).
 
-    ``lookback_days`` bounds the scan to recent partitions; by default the whole history is read
-    (three columns only)."""
+    The run day is read first, one day of partitions. Only the pairs not found there (configuration, at
+    most the expected grid, listed on the driver) are looked for in older days, as a literal filter."""
     day = as_date(as_of)
-    summary = table_day_summary(data, day, region_col=region_col, check_col=check_col,
-                                date_col=date_col, eligible=eligible, lookback_days=lookback_days,
-                                out_region=out_region, out_check=out_check)
-    # every expected pair is kept (an outer join can only build its other side, so the small
-    # expected frame streams and Spark/AQE size the summary side)
-    joined = expected.join(summary, [out_region, out_check], "left")
-    return (joined.where(F.col("last_date").isNull() | (F.col("last_date") != F.lit(day)))
-            .select(out_region, out_check, "last_date",
-                    F.when(F.col("last_date").isNull(), F.lit("missing"))
-                    .otherwise(F.lit("stale")).alias("status")))
+    found = landed_pairs(data, day, region_col=region_col, check_col=check_col, date_col=date_col,
+                         eligible=eligible, out_region=out_region, out_check=out_check)
+    absent = [tuple(r) for r in expected_minus_found(
+        expected.select(out_region, out_check), found, [out_region, out_check]).distinct().collect()]
+    gap = local_frame(data.sparkSession, absent, f"{out_region} string, {out_check} string")
+    if not absent:
+        return gap.select(out_region, out_check, F.lit(None).cast("date").alias("last_date"),
+                          F.lit("").alias("status"))
+    older = data.where(F.col(date_col) < F.lit(day))
+    if eligible is not None:
+        older = older.where(eligible)
+    pairs = ", ".join(f"({sql_string(r)}, {sql_string(c)})" for r, c in absent if r is not None and c is not None)
+    older = older.where(f"(`{region_col}`, `{check_col}`) IN ({pairs})" if pairs else "FALSE")
+    newest = (older.groupBy(F.col(region_col).alias(out_region), F.col(check_col).alias(out_check))
+              .agg(F.max(date_col).alias("last_date")))
+    return gap.join(newest, [out_region, out_check], "left").select(
+        out_region, out_check, "last_date",
+        F.when(F.col("last_date").isNull(), F.lit("missing")).otherwise(F.lit("stale")).alias("status"))
 
 
 def table_low_volume(data: DataFrame, expected: DataFrame, as_of, *, region_col: str,
                      check_col: str, date_col: str = "eventDate", eligible=None,
                      max_rows: int = 1, exclude_checks: Sequence[str] = (),
-                     lookback_days: int | None = None,
                      out_region: str = "region", out_check: str = "check") -> DataFrame:
     """Expected pairs that did land on ``as_of`` but with at most ``max_rows`` eligible rows, checks
-    in ``exclude_checks`` left out (C3 on tables: a header-only file is a file with no data)."""
-    summary = table_day_summary(data, as_of, region_col=region_col, check_col=check_col,
-                                date_col=date_col, eligible=eligible, lookback_days=lookback_days,
-                                out_region=out_region, out_check=out_check)
+    in ``exclude_checks`` left out (C3 on tables: a header-only file is a file with no data). Only the
+    run day is read."""
+    d = data.where(F.col(date_col) == F.lit(as_date(as_of)))
+    if eligible is not None:
+        d = d.where(eligible)
+    rows = (d.groupBy(F.col(region_col).alias(out_region), F.col(check_col).alias(out_check))
+            .agg(F.count(F.lit(1)).alias("rows")).where(F.col("rows") <= F.lit(int(max_rows))))
     exp = expected.where(~F.col(out_check).isin(list(exclude_checks))) if exclude_checks else expected
-    # an inner join may build either side: broadcast the expected pairs (configuration)
-    return (summary.join(F.broadcast(exp), [out_region, out_check], "inner")
-            .where((F.col("rows_on_day") >= 1) & (F.col("rows_on_day") <= F.lit(int(max_rows))))
-            .select(out_region, out_check, F.col("rows_on_day").cast("bigint").alias("rows")))
+    return rows.join(exp, [out_region, out_check]).select(out_region, out_check, F.col("rows").cast("bigint"))
 
 
 def status_rows(report: DataFrame, passes: DataFrame, *, pass_col: str, item_col: str,
@@ -207,13 +195,14 @@ def landed_file_check(spark: SparkSession, base: str, as_of, *, passes: Sequence
     return stale, empty, status
 
 
-def fresh_found(facts: DataFrame, since: _dt.datetime, *, suffix: str,
+def fresh_found(facts: DataFrame, as_of, *, suffix: str,
                 region_words: Sequence[str], channel_words: Sequence[str]) -> DataFrame:
-    """Distinct (region, channel) with at least one file newer than ``since`` ending in ``suffix``
+    """Distinct (region, channel) with at least one file of ``as_of`` or later ending in ``suffix``. A file is
+    dated in the session's time zone, here as in ``file_reports``
     (case-insensitive) under a path with a segment naming the region and one naming the channel
     (W4, P10, P12, F14). Segments are matched whole, not by fixed character offsets."""
     from ..functions.text import path_segment_matching
-    f = facts.where((F.col("mtime") > F.lit(since))
+    f = facts.where((F.to_date("mtime") >= F.lit(as_date(as_of)))
                     & F.lower(F.col("name")).endswith(suffix.lower()))
     return (f.select(F.upper(path_segment_matching("path", region_words)).alias("region"),
                      F.upper(path_segment_matching("path", channel_words)).alias("channel"))
@@ -225,9 +214,8 @@ def expected_minus_found_files(spark: SparkSession, root: str, as_of, *, regions
     """Expected region x channel pairs with no file written since ``as_of`` midnight under
     ``root`` (C4, J8), with the directory text to report (``<root>/<region>/<channel>``)."""
     from ..sources.files import list_tree
-    since = _dt.datetime.combine(as_date(as_of), _dt.time())
     files, _ = list_tree(spark, root)
-    found = fresh_found(files, since, suffix=suffix, region_words=regions, channel_words=channels)
+    found = fresh_found(files, as_of, suffix=suffix, region_words=regions, channel_words=channels)
     expected = expected_pairs(spark, [r.upper() for r in regions], [c.upper() for c in channels],
                               "region", "channel")
     missing = expected_minus_found(expected, found, ["region", "channel"])

@@ -12,9 +12,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .position import with_position
 from ..functions.readable import clock_text, minutes_2dp, readable_delta, readable_size
 
 
+def with_report_position(report: DataFrame, newest: str, ties: Sequence[str]) -> DataFrame:
+    """The report with ``pos``, its 1-based place by ``newest`` descending and ``ties`` (W6), from a
+    distributed sort."""
+    return with_position(report, [F.col(newest).desc(), *[F.col(t).asc() for t in ties]], "pos")
+
+
 def finished_jobs(log: DataFrame, *, user: str | None = "airflow", kind: str = "QueryFinish",
                   exclude_like: Sequence[str] = ("%system%",)) -> DataFrame:
     """Finished jobs of one user, newest first, with duration in minutes (2 decimals) and as a

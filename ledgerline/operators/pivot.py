@@ -30,6 +30,21 @@ from .position import with_position
 ORDINAL_COL = "_ordinal"
 
 
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
+def _value_type(kinds: Sequence[T.DataType]) -> str:
+    """The one type of the value cells that holds every metric: BIGINT when all are whole numbers, an exact
+    decimal when some are decimals, DOUBLE only when some metric is itself a floating-point number."""
+    if all(type(k) in _DIGITS for k in kinds):
+        return "BIGINT"
+    if any(not isinstance(k, T.DecimalType) and type(k) not in _DIGITS for k in kinds):
+        return "DOUBLE"
+    scale = max(k.scale for k in kinds if isinstance(k, T.DecimalType))
+    whole = max(k.precision - k.scale if isinstance(k, T.DecimalType) else _DIGITS[type(k)] for k in kinds)
+    return f"DECIMAL({min(38, whole + scale + 6)}, {scale})"
+
+
 def _date_text(d) -> str:
     return d.isoformat() if isinstance(d, _dt.date) else str(d)
 
@@ -37,11 +52,12 @@ def _date_text(d) -> str:
 def stat_pivot(stat: DataFrame, metrics: Sequence[str], dates: Sequence | None = None, *,
                date_col: str = "eventDate", region_col: str = "macroRegion",
                check_col: str = "cpName", metric_order: Sequence[str] = STAT_METRICS,
-               type_col: str = "cpType", sort: bool = True) -> DataFrame:
+               type_col: str = "cpType", sort: bool = True, ordinal_col: str | None = None) -> DataFrame:
     """Metrics x region x check in rows, dates (``yyyy-MM-dd``, newest first) in columns.
 
     ``dates`` limits and orders the date columns; without it the distinct dates of the table are
-    read first (one small aggregate, a row per day).
+    read first (one small aggregate, a row per day). ``ordinal_col`` names an output column for the metric's
+    two-digit ordinal, so that the order is part of the result.
 
     Plan: ``stack`` turns the metric columns into rows (a narrow ``Expand``), then one aggregation
     per (region, check, metric) with a conditional sum per date: partial sums in every map task
@@ -54,9 +70,7 @@ def stat_pivot(stat: DataFrame, metrics: Sequence[str], dates: Sequence | None =
     else:
         base = base.where(F.col(date_col).isin(list(dates)))
     date_names = sorted({_date_text(d) for d in dates}, reverse=True)
-    integral = all(isinstance(stat.schema[m].dataType, (T.IntegerType, T.LongType, T.ShortType,
-                                                        T.ByteType)) for m in metrics)
-    vtype = "BIGINT" if integral else "DOUBLE"
+    vtype = _value_type([stat.schema[m].dataType for m in metrics])
     keys = [region_col, check_col]
     if not date_names:
         return stat.sparkSession.createDataFrame(
@@ -74,6 +88,8 @@ def stat_pivot(stat: DataFrame, metrics: Sequence[str], dates: Sequence | None =
     if sort:
         out = (out.withColumn(ORDINAL_COL, list_ordinal(type_col, metric_order))
                .orderBy(region_col, check_col, ORDINAL_COL).drop(ORDINAL_COL))
+    if ordinal_col:
+        out = out.withColumn(ordinal_col, list_ordinal(type_col, metric_order))
     return out
 
 

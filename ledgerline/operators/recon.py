@@ -188,28 +188,33 @@ def unmatched_by_second(source: DataFrame, counterpart: DataFrame, *,
                            broadcast_left=broadcast_source)
     # one row per removal unit (partial aggregation; the anti join reuses its partitioning). The
     # anti join is partitioned by (keys, second), so a hot subscriber spreads over its seconds.
-    return source.join(matched.distinct(), unit, "left_anti")
+    return source.join(matched.distinct(), unit, "left_anti").select(*[_q(c) for c in source.columns])
 
 
 def unmatched_by_key(source: DataFrame, counterpart: DataFrame, *,
                      tol: Tolerance = HOUR_SHIFT, time_col: str = "timeKey",
                      keys: Sequence[str] = CALL_KEY, duration: str = "duration",
                      concat_key: bool = False, shift_on: str = "left",
-                     broadcast_source: bool = False) -> DataFrame:
+                     broadcast_source: bool = False, match_source: DataFrame | None = None) -> DataFrame:
     """Key-level removal (J2 + J4): source rows whose key has no matched record at all.
 
     ``concat_key=True`` compares the keys glued together without a separator, as the original
     does (so ``('1','23')`` equals ``('12','3')``); the default compares the columns.
 
+    ``match_source`` is what the match reads instead of ``source``: the same records with only the match columns,
+    when ``source`` is wide or deduplicated over more columns.
+
     The matched keys are reduced to one row per key before the anti join. Nothing after the anti
     join should depend on its key partitioning (deduplicate the source first, as
     ``checks.key_level_unmatched`` does): then AQE is free to split the partition of a hot key
     across tasks."""
-    matched = matched_left(source, counterpart, tol=tol, keys=keys, duration=duration,
-                           left_time=_q(time_col), right_time=_q(time_col), shift_on=shift_on,
+    matched = matched_left(source if match_source is None else match_source, counterpart, tol=tol, keys=keys,
+                           duration=duration, left_time=_q(time_col), right_time=_q(time_col), shift_on=shift_on,
                            broadcast_left=broadcast_source)
     if concat_key:
         glued = f"concat({', '.join(_q(k) for k in keys)})"
         mk = matched.selectExpr(f"{glued} AS _key").distinct()
-        return (source.selectExpr("*", f"{glued} AS _key").join(mk, "_key", "left_anti").drop("_key"))
-    return source.join(matched.distinct(), list(keys), "left_anti")
+        out = source.selectExpr("*", f"{glued} AS _key").join(mk, "_key", "left_anti")
+    else:
+        out = source.join(matched.distinct(), list(keys), "left_anti")
+    return out.select(*[_q(c) for c in source.columns])        # a join on names puts them first

@@ -5,7 +5,7 @@ rows. Scheduling and sending are left to whatever runs this (a scheduler, a stre
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,7 +23,7 @@ class DayConfig:
     regions: Sequence[str]
     control_checks: Sequence[str]
     pivot_metrics: Sequence[str]
-    caps: checks.CapRule | None = field(default_factory=checks.CapRule)
+    caps: checks.CapRule | None = None            # the volume caps cut rows: opt-in
     key_lag: int = KEY_LEVEL_LAG_DAYS
     key_lag_sth: int = KEY_LEVEL_LAG_DAYS_STH
     pivot_days: Sequence[_dt.date] | None = None
@@ -44,29 +44,28 @@ class DayResult:
 
 def run_day(spark: SparkSession, *, start: DataFrame, rnd: DataFrame, stat: DataFrame, as_of,
             out_base: str, cfg: DayConfig) -> DayResult:
-    """Run the day for ``as_of``. Result slices of the run's days are cleared before writing, so a
-    rerun that finds nothing leaves nothing behind (a plain slice overwrite would keep old rows)."""
+    """Run the day for ``as_of``. Results are written first; then the slices of the run's days that the new
+    result no longer contains are removed, so a rerun that finds nothing leaves nothing behind and a failed
+    job keeps the old result."""
     as_of = as_date(as_of)
     base = out_base.rstrip("/")
 
     lag = checks.lag_for(cfg.dictionary, FIRST_LEVEL_CHECK)
     first = checks.first_level_unmatched(start, rnd, as_of, days_back=lag, caps=cfg.caps)
     first_path = f"{base}/first_level"
-    sinks.clear_slices(spark, first_path, [{"eventDate": days_before(as_of, lag),
-                                            "cpName": FIRST_LEVEL_CHECK}])
-    sinks.write_partitions(first, first_path)
+    sinks.replace_slices(first, first_path, [{"eventDate": days_before(as_of, lag), "cpName": FIRST_LEVEL_CHECK}])
 
     key = checks.key_level_unmatched(start, rnd, as_of, lag=cfg.key_lag, lag_sth=cfg.key_lag_sth)
     key_path = f"{base}/key_level"
     key_days = sorted(set(checks.key_level_days(as_of, cfg.key_lag, cfg.key_lag_sth)))
-    sinks.clear_slices(spark, key_path, [{"eventDate": d, "cpName": KEY_LEVEL_CHECK} for d in key_days])
-    sinks.write_partitions(key, key_path)
+    sinks.replace_slices(key, key_path, [{"eventDate": d, "cpName": KEY_LEVEL_CHECK} for d in key_days])
 
-    # reports of bounded size (days x regions x checks x metrics): one file each, as delivered
+    # the pivot is bounded (regions x checks x metrics rows): one file, as delivered. The extract is the whole
+    # history: sorted part files, in name order
     pivot_csv = sinks.export_csv(pivot.stat_pivot(stat, cfg.pivot_metrics, cfg.pivot_days),
                                  f"{base}/exports", "pivot-statistics", as_of, single_file=True)
     extract = pivot.ordered_extract(stat.withColumnRenamed("cpName", "chName"), pos_col=None)
-    extract_csv = sinks.export_csv(extract, f"{base}/exports", "statistics", as_of, single_file=True)
+    extract_csv = sinks.export_csv(extract, f"{base}/exports", "statistics", as_of)
 
     expected = control.expected_pairs(spark, cfg.regions, cfg.control_checks)
     stale = control.table_freshness(start, expected, as_of, region_col="MR", check_col="cpName",

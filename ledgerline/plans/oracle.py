@@ -25,8 +25,8 @@ base AS (
          CASE WHEN event_id % 4 = 2 THEN 'Cp06' WHEN event_id % 4 = 3 THEN 'CH02' ELSE 'CH01' END AS cpName,
          CAST(1 + event_id % 2 AS INTEGER) AS shoulder,
          CAST(CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS INTEGER) AS iflag,
-         '79' || lpad(CAST(user_id AS VARCHAR), 9, '0') AS MSISDN,
-         '25099' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS IMSI,
+         '79' || lpad(CAST(user_id AS VARCHAR), greatest(9, length(CAST(user_id AS VARCHAR)))::INTEGER, '0') AS MSISDN,
+         '25099' || lpad(CAST(user_id AS VARCHAR), greatest(6, length(CAST(user_id AS VARCHAR)))::INTEGER, '0') AS IMSI,
          '7918' || lpad(CAST((user_id * 7919) % 1000000 AS VARCHAR), 7, '0') AS origToNumber,
          'MSC' || CAST(user_id % 4 AS VARCHAR) AS MSCID,
          CAST(event_id % 3 AS VARCHAR) AS recType,
@@ -56,12 +56,12 @@ base AS (
 cdr_start AS (
   SELECT * FROM base
   UNION ALL SELECT * FROM base WHERE record_id % 17 = 0
-  UNION ALL SELECT * REPLACE (record_id + 10000000 AS record_id, duration + 50 AS duration)
+  UNION ALL SELECT * REPLACE (-record_id - 1 AS record_id, duration + 50 AS duration)
             FROM base WHERE record_id % 13 = 0),
 cdr_rnd AS (
   SELECT CAST(ts AS DATE) AS eventDate,
          upper({_REGION_CASE}) AS macroregion,
-         '25099' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS IMSI,
+         '25099' || lpad(CAST(user_id AS VARCHAR), greatest(6, length(CAST(user_id AS VARCHAR)))::INTEGER, '0') AS IMSI,
          '7918' || lpad(CAST((user_id * 7919) % 1000000 AS VARCHAR), 7, '0') AS origToNumber,
          event_type AS service,
          CAST(event_id % 3 AS VARCHAR) AS recType,
@@ -101,6 +101,40 @@ _FIRST_SRC = f"""first_src AS (
 _CAP_ON = f"(SELECT count(*) >= {P.CAP_TRIGGER} FROM first_src WHERE shoulder = 1)"
 
 
+_PE_MIXED = (
+    "coalesce(epoch(try_strptime({x}, '%Y-%m-%d %H:%M:%S')), "
+    "epoch(try_strptime(regexp_replace({x}, '(:[0-9][0-9]:[0-9][0-9])[.][0-9]+$', '\\1'), "
+    "['%Y-%m-%d %H:%M:%S', '%Y-%m-%dT%H:%M:%S', '%Y-%m-%d %H:%M', '%Y-%m-%dT%H:%M', '%d.%m.%Y %H:%M:%S'])), "
+    "CASE WHEN regexp_matches({x}, '^[0-9]{{9,11}}$') THEN CAST({x} AS DOUBLE) END, 0)")
+
+
+def _mixed(table: str, number: str) -> str:
+    return f"""SELECT * REPLACE (CASE (({number}) % 7 + 7) % 7
+      WHEN 1 THEN replace(dateTime, ' ', 'T') WHEN 2 THEN dateTime || '.5'
+      WHEN 3 THEN strftime(CAST(dateTime AS TIMESTAMP), '%d.%m.%Y %H:%M:%S') WHEN 4 THEN substr(dateTime, 1, 16)
+      WHEN 5 THEN CAST(timeKey AS VARCHAR) WHEN 6 THEN 'at ' || dateTime ELSE dateTime END AS dateTime)
+    FROM {table}"""
+
+
+def _first_level_mixed() -> str:
+    out = ", ".join(f"s.{c}" for c in FIRST_LEVEL_COLUMNS)
+    src = f"""src AS (
+  SELECT *, substr(dateTime, 1, 10) AS date, substr(dateTime, 12, 8) AS time
+  FROM ({_mixed("cdr_start", "record_id")}) WHERE eventDate = {_TARGET} AND cpName = 'CH01' AND iflag = 0)"""
+    matched = f"""matched AS (
+  SELECT DISTINCT s.IMSI, s.origToNumber, s.service, s.recType, s.dateTime
+  FROM src s JOIN ({_mixed("cdr_rnd", "timeKey")}) r
+    ON r.eventDate = {_TARGET} AND s.IMSI = r.IMSI AND s.origToNumber = r.origToNumber
+   AND s.service = r.service AND s.recType = r.recType
+  WHERE abs(s.duration - r.duration) < 3
+    AND abs({_PE_MIXED.format(x='s.dateTime')} - {_PE_MIXED.format(x='r.dateTime')}) < 3)"""
+    return _with(src, matched) + f"""
+SELECT DISTINCT {out} FROM src s
+WHERE NOT EXISTS (SELECT 1 FROM matched m
+                  WHERE m.IMSI = s.IMSI AND m.origToNumber = s.origToNumber
+                    AND m.service = s.service AND m.recType = s.recType AND m.dateTime = s.dateTime)"""
+
+
 def _first_level(capped: bool) -> str:
     if capped:
         src = f"""src AS (
@@ -131,11 +165,16 @@ WHERE NOT EXISTS (SELECT 1 FROM matched m
                     AND m.dateTime = s.dateTime)"""
 
 
-def _key_level(concat_key: bool) -> str:
+_MOVED = """(SELECT * FROM cdr_start UNION ALL
+        SELECT * REPLACE (substr(IMSI, 1, length(IMSI) - 1) AS IMSI, right(IMSI, 1) || origToNumber AS origToNumber)
+        FROM cdr_start)"""
+
+
+def _key_level(concat_key: bool, lag_sth: int = KEY_LEVEL_LAG_DAYS_STH, table: str = "cdr_start") -> str:
     d = f"DATE '{(P.AS_OF - _dt.timedelta(days=KEY_LEVEL_LAG_DAYS)).isoformat()}'"
-    d_sth = f"DATE '{(P.AS_OF - _dt.timedelta(days=KEY_LEVEL_LAG_DAYS_STH)).isoformat()}'"
+    d_sth = f"DATE '{(P.AS_OF - _dt.timedelta(days=lag_sth)).isoformat()}'"
     src = f"""src AS (
-  SELECT * FROM cdr_start
+  SELECT * FROM {table}
   WHERE eventDate = CASE WHEN MR = 'Sth' THEN {d_sth} ELSE {d} END
     AND cpName = 'Cp06' AND iflag = 0)"""
     cnt = f"""cnt AS (
@@ -401,6 +440,70 @@ SELECT record_id, dateTime,
 FROM cdr_start"""
 
 
+def _stat_pivot_full() -> str:
+    from ..constants import STAT_METRICS
+    days = sorted((d.isoformat() for d in P.PIVOT_DAYS), reverse=True)
+    metrics = ", ".join(f"({i}, '{m}')" for i, m in enumerate(STAT_METRICS))
+    sums = ",\n       ".join(
+        f"CAST(count(*) FILTER (WHERE eventDate = DATE '{d}') AS BIGINT) AS \"{d}\"" for d in days)
+    return _with(f"metrics(i, m) AS (VALUES {metrics})") + f"""
+SELECT MR AS macroRegion, cpName, m AS cpType,
+       {sums}, printf('%02d', i + 1) AS ordinal
+FROM cdr_start JOIN metrics ON i = ((record_id % 31) + 31) % 31
+WHERE eventDate IN ({", ".join(f"DATE '{d}'" for d in days)})
+GROUP BY MR, cpName, m, i"""
+
+
+def _joblog_finished_ordered() -> str:
+    body = _joblog_finished().rsplit("ORDER BY", 1)[0]
+    return (f"SELECT *, row_number() OVER (ORDER BY event_time DESC, query, read_rows, result_rows) AS pos "
+            f"FROM ({body}) f")
+
+
+def _joblog_running_ordered() -> str:
+    return """SELECT CAST(event_id AS VARCHAR) AS query_id,
+       row_number() OVER (ORDER BY CAST(floor(value * 1000) AS DOUBLE) DESC, CAST(event_id AS VARCHAR)) AS pos
+FROM events WHERE event_id % 5 <> 0"""
+
+
+def _path_parts() -> str:
+    back = "replace(url, '/', chr(92))"
+    return f"""SELECT page_id,
+       contains(lower(url), 'blog') OR contains(lower(url), 'example.com') AS matches_any,
+       ends_with(url, '.html') AND NOT contains(url, 'SMS') AND NOT contains(url, 'DateTime')
+         AND NOT contains(url, 'DateCharge-Other') AND NOT contains(url, 'www') AS eligible,
+       list_last(string_split(url, '/')) AS last_component,
+       list_last(string_split(url, '/')) AS last_component_back,
+       array_to_string(list_slice(string_split(url, '/'), 1, -2), '/') AS parent_dir,
+       coalesce(list_filter(string_split(url, '/'), lambda x: lower(x) IN ('de', 'fr', 'en'))[1], '') AS segment,
+       replace({back}, chr(92), '') AS stripped
+FROM pages"""
+
+
+def _latest_per_file() -> str:
+    return _with() + """
+SELECT dir, path, mtime FROM (
+  SELECT '/landing/' || MR || '/' || cpName AS dir,
+         '/landing/' || MR || '/' || cpName || '/f' || CAST(record_id AS VARCHAR) || '.csv' AS path,
+         eventDateTime AS mtime,
+         row_number() OVER (PARTITION BY MR, cpName ORDER BY eventDateTime DESC,
+           '/landing/' || MR || '/' || cpName || '/f' || CAST(record_id AS VARCHAR) || '.csv' DESC) AS nth
+  FROM cdr_start WHERE recType <> '1') t
+WHERE nth = 1"""
+
+
+def _empty_rerun() -> str:
+    return f"SELECT * REPLACE (CAST(eventDate - 1 AS DATE) AS eventDate) FROM ({_first_level(False)}) f"
+
+
+def _gzip_roundtrip() -> str:
+    return _with() + f"""SELECT strftime(eventDate, '%Y-%m-%d') AS eventDate, macroRegion, cpName,
+       CAST(firstStream AS VARCHAR) AS firstStream, CAST(secondStream AS VARCHAR) AS secondStream,
+       CAST(firstDlt AS VARCHAR) AS firstDlt, CAST(dsc AS VARCHAR) AS dsc, CAST("2pass" AS VARCHAR) AS "2pass",
+       DATE '{P.AS_OF.isoformat()}' AS export_date
+FROM stat"""
+
+
 def _csv_roundtrip() -> str:
     days = sorted((d.isoformat() for d in P.PIVOT_DAYS), reverse=True)
     cols = ", ".join(f'CAST("{d}" AS VARCHAR) AS "{d}"' for d in days)
@@ -429,4 +532,15 @@ ORACLE_SQL: dict[str, str] = {
     "scalar_datetime_cut": _scalar_cut(),
     "sink_partitioned_roundtrip": _first_level(False),
     "sink_csv_roundtrip": _csv_roundtrip(),
+    "recon_key_lag_sth": _key_level(False, lag_sth=P.LAG_STH),
+    "recon_key_glued_plain": _key_level(False, table=_MOVED),
+    "recon_key_glued_concat": _key_level(True, table=_MOVED),
+    "recon_second_mixed_formats": _first_level_mixed(),
+    "stat_pivot_full": _stat_pivot_full(),
+    "joblog_finished_ordered": _joblog_finished_ordered(),
+    "joblog_running_ordered": _joblog_running_ordered(),
+    "path_parts": _path_parts(),
+    "latest_per_file": _latest_per_file(),
+    "sink_partitioned_empty_rerun": _empty_rerun(),
+    "sink_gzip_roundtrip": _gzip_roundtrip(),
 }

@@ -32,4 +32,6 @@ PIVOT_METRICS = ["firstStream", "secondStream", "firstDlt", "dsc", "2pass"]
 # the days present in the test tables; the oracle lists them, the Spark side reads them from data
 PIVOT_DAYS = [_dt.date(2024, 1, 1) + _dt.timedelta(days=i) for i in range(30)]
 
+LAG_STH = 5                                 # southern lag of the query that tells the two lags apart
+
 JOBLOG_USER = "airflow"

@@ -9,6 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..constants import FILE_NAME_EXCLUDES, STAT_METRICS
+from ..functions import text as tx
 from ..functions.datetime import date_part, days_before, hour_of, lenient_epoch, time_part
 from ..operators import caps as caps_op
 from ..operators import checks, control, joblog, pivot
@@ -38,6 +40,31 @@ def recon_key_unmatched_concat(spark, sf_dir):
     return checks.key_level_unmatched(start, rnd, P.AS_OF, concat_key=True, reduce_by_imsi=True)
 
 
+def recon_key_lag_sth(spark, sf_dir):
+    """P3, P4 with lags that differ: the southern region's day is another one."""
+    start, rnd = _cdr(spark, sf_dir)
+    return checks.key_level_unmatched(start, rnd, P.AS_OF, lag_sth=P.LAG_STH)
+
+
+def recon_key_glued_plain(spark, sf_dir):
+    """J4 on keys that collide when glued: compared column by column."""
+    start, rnd = _cdr(spark, sf_dir)
+    return checks.key_level_unmatched(fx.with_moved_keys(start), rnd, P.AS_OF)
+
+
+def recon_key_glued_concat(spark, sf_dir):
+    """J7 on the same records: a key goes when its glued text is that of a matched key."""
+    start, rnd = _cdr(spark, sf_dir)
+    return checks.key_level_unmatched(fx.with_moved_keys(start), rnd, P.AS_OF, concat_key=True)
+
+
+def recon_second_mixed_formats(spark, sf_dir):
+    """source and counterpart write the same times in different forms."""
+    start, rnd = _cdr(spark, sf_dir)
+    return checks.first_level_unmatched(fx.mixed_times(start, "record_id"), fx.mixed_times(rnd, "timeKey"), P.AS_OF,
+                                        days_back=_first_level_lag(spark))
+
+
 def recon_second_unmatched(spark, sf_dir):
     start, rnd = _cdr(spark, sf_dir)
     return checks.first_level_unmatched(start, rnd, P.AS_OF, days_back=_first_level_lag(spark),
@@ -77,8 +104,10 @@ def _capped_day(spark, sf_dir, total):
 def limit_by_hour(spark, sf_dir):
     start, _ = _cdr(spark, sf_dir)
     src = checks.first_level_source(start, days_before(P.AS_OF, _first_level_lag(spark)))
-    ranked = caps_op.limit_by(src.withColumn("hour", hour_of("eventDateTime")), ["hour"],
-                              ["eventDateTime", "record_id"], P.CAP_PER_HOUR, keep_rank=True)
+    # the cut leaves at most CAP_PER_HOUR rows an hour, which one task can rank
+    first = caps_op.cut_by_hour(src, P.CAP_PER_HOUR).withColumn("hour", hour_of("eventDateTime"))
+    ranked = caps_op.limit_by(first, ["hour"], ["eventDateTime", "record_id"], P.CAP_PER_HOUR, fanout=0,
+                              keep_rank=True)
     return ranked.select("record_id", "eventDateTime", "hour",
                          F.col(caps_op.RANK_COL).cast("bigint").alias("hour_rank"))
 
@@ -97,6 +126,12 @@ def stat_pivot(spark, sf_dir):
     return pivot.stat_pivot(stat_daily(spark, sf_dir), P.PIVOT_METRICS)
 
 
+def stat_pivot_full(spark, sf_dir):
+    """A3 with all 30 metrics and the ordinal (F15, W7) in the result."""
+    start, _ = _cdr(spark, sf_dir)
+    return pivot.stat_pivot(fx.stat_full(start), STAT_METRICS, P.PIVOT_DAYS, ordinal_col="ordinal")
+
+
 def stat_extract_ordered(spark, sf_dir):
     stat = stat_daily(spark, sf_dir).withColumnRenamed("cpName", "chName")
     return pivot.ordered_extract(stat, check_col="chName")
@@ -148,6 +183,44 @@ def joblog_running(spark, sf_dir):
     return joblog.running_jobs(fx.running_jobs(fx.load_events(spark, sf_dir)))
 
 
+def joblog_finished_ordered(spark, sf_dir):
+    """L1 with its order (W6) as a position."""
+    return joblog.with_report_position(joblog_finished(spark, sf_dir), "event_time", ["query", "read_rows", "result_rows"])
+
+
+def joblog_running_ordered(spark, sf_dir):
+    """L2 with its order (W6) as a position."""
+    log = fx.running_jobs(fx.load_events(spark, sf_dir))
+    ranked = joblog.with_report_position(joblog.running_jobs(log).join(log.select("query_id", "elapsed"), "query_id"),
+                                         "elapsed", ["query_id"])
+    return ranked.select("query_id", "pos")
+
+
+def path_parts(spark, sf_dir):
+    """P10, P11, F14, F17, F18 over the addresses of ``pages``."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
+    back = F.translate("url", "/", "\\")
+    return pages.select(
+        "page_id",
+        tx.matches_any("url", ["BLOG", "example.com"]).alias("matches_any"),
+        tx.eligible_file_name("url", ".html", [*FILE_NAME_EXCLUDES, "www"]).alias("eligible"),
+        tx.last_component("url").alias("last_component"),
+        tx.last_component(back).alias("last_component_back"),
+        tx.parent_dir("url").alias("parent_dir"),
+        tx.path_segment_matching("url", ["DE", "FR", "EN"]).alias("segment"),
+        tx.strip_backslashes(back).alias("stripped"))
+
+
+def latest_per_file(spark, sf_dir):
+    """The newest eligible record file of each directory, over files described by records."""
+    start, _ = _cdr(spark, sf_dir)
+    facts = start.select(F.concat_ws("/", F.lit("/landing"), "MR", "cpName", F.concat(
+        F.lit("f"), F.col("record_id").cast("string"), F.when(F.col("recType") == "1", "_SMS").otherwise(""),
+        F.lit(".csv"))).alias("path"), F.concat_ws("/", F.lit("/landing"), "MR", "cpName").alias("dir"),
+        F.col("eventDateTime").alias("mtime"))
+    return control.latest_eligible_files(facts, suffix=".csv", excludes=FILE_NAME_EXCLUDES)
+
+
 def scalar_datetime_cut(spark, sf_dir):
     start, _ = _cdr(spark, sf_dir)
     return start.select("record_id", "dateTime",
@@ -174,12 +247,36 @@ def sink_partitioned_roundtrip(spark, sf_dir):
     return spark.read.parquet(path)
 
 
+def _read_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Text columns of an export. The statistics are ASCII, which windows-1251 shares with ISO 8859-1; reading that
+    needs no legacy switch in the session."""
+    return spark.read.options(sep=";", header=True, encoding="iso-8859-1", quote='"').csv(path)
+
+
 def sink_csv_roundtrip(spark, sf_dir):
     """The statistics pivot exported as the daily CSV (``;``, quoted, header, windows-1251,
     dated folder) and read back as text columns."""
     out = sinks.export_csv(stat_pivot(spark, sf_dir), _scratch(spark, "exports"),
                            "pivot-statistics", P.AS_OF)
-    return spark.read.options(sep=";", header=True, encoding="windows-1251", quote='"').csv(out)
+    return _read_csv(spark, out)
+
+
+def sink_partitioned_empty_rerun(spark, sf_dir):
+    """A re-check that finds nothing leaves nothing of the old slice, and other slices alone."""
+    path = _scratch(spark, "results")
+    result = recon_second_unmatched(spark, sf_dir)
+    kept = result.withColumn("eventDate", F.date_sub("eventDate", 1))
+    sinks.write_partitions(result.unionByName(kept), path)
+    day = days_before(P.AS_OF, _first_level_lag(spark))
+    sinks.replace_slices(result.where(F.lit(False)), path, [{"eventDate": day, "cpName": "CH01"}])
+    return spark.read.schema(result.schema).parquet(path)
+
+
+def sink_gzip_roundtrip(spark, sf_dir):
+    """The statistics as compressed CSV, read back with the date that its folder name carries."""
+    base = _scratch(spark, "exports")
+    sinks.export_csv(stat_daily(spark, sf_dir), base, "statistics", P.AS_OF, compression="gzip")
+    return _read_csv(spark, f"{base}/statistics")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -204,4 +301,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scalar_datetime_cut": scalar_datetime_cut,
     "sink_partitioned_roundtrip": sink_partitioned_roundtrip,
     "sink_csv_roundtrip": sink_csv_roundtrip,
+    "recon_key_lag_sth": recon_key_lag_sth,
+    "recon_key_glued_plain": recon_key_glued_plain,
+    "recon_key_glued_concat": recon_key_glued_concat,
+    "recon_second_mixed_formats": recon_second_mixed_formats,
+    "stat_pivot_full": stat_pivot_full,
+    "joblog_finished_ordered": joblog_finished_ordered,
+    "joblog_running_ordered": joblog_running_ordered,
+    "path_parts": path_parts,
+    "latest_per_file": latest_per_file,
+    "sink_partitioned_empty_rerun": sink_partitioned_empty_rerun,
+    "sink_gzip_roundtrip": sink_gzip_roundtrip,
 }

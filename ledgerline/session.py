@@ -7,7 +7,6 @@ the bench and small scripts. On a cluster, pass your own session and keep its se
 from __future__ import annotations
 
 import os
-import tempfile
 
 from pyspark.sql import SparkSession
 
@@ -53,18 +52,13 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint folder. Only in local mode, when none is configured (as in
-    tests), a scratch folder is created; on a cluster the shared folder must be named in
-    ``spark.checkpoint.dir``."""
+    """Return the session's checkpoint folder: the one named in ``spark.checkpoint.dir`` or set on
+    the context, else a folder inside the session's warehouse, which driver and executors share."""
     d = checkpoint_dir(spark)
     if d:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(d)
         return spark.sparkContext.getCheckpointDir() or d
-    master = spark.sparkContext.master or ""
-    if not master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster; a "
-                           "machine-local scratch folder is only used in local mode")
-    d = tempfile.mkdtemp(prefix="ledgerline-ckpt-")
-    spark.sparkContext.setCheckpointDir(d)
+    spark.sparkContext.setCheckpointDir(
+        spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/ledgerline-checkpoints")
     return spark.sparkContext.getCheckpointDir()

@@ -9,7 +9,6 @@ counts are a distributed job: ``read.text`` over the chosen files, grouped by
 
 from __future__ import annotations
 
-import datetime as _dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -55,9 +54,10 @@ def list_tree(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
                     stack.append((p, depth + 1))
                 else:
                     parent = _norm(p.getParent().toString())
-                    mtime = _dt.datetime.fromtimestamp(st.getModificationTime() / 1000.0)
-                    files.append((uri, parent, p.getName(), int(st.getLen()), mtime))
-    return (spark.createDataFrame(files, FILE_SCHEMA), spark.createDataFrame(dirs, DIR_SCHEMA))
+                    files.append((uri, parent, p.getName(), int(st.getLen()), int(st.getModificationTime())))
+    facts = spark.createDataFrame(files, "path string, dir string, name string, length bigint, ms bigint")
+    return (facts.select("path", "dir", "name", "length", F.timestamp_millis("ms").alias("mtime")),
+            spark.createDataFrame(dirs, DIR_SCHEMA))
 
 
 def line_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:

@@ -12,16 +12,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import REGION_ORDER
+from ..constants import REGION_ORDER, STAT_METRICS
 from ..functions.datetime import DATETIME_FORMAT
 from .tables import local_frame, read_table
 
-TWIN_ID_OFFSET = 10_000_000
 TWIN_DURATION_OFFSET = 50
 
 
 REGION_CASE = ("CASE user_id % 8 "
                + " ".join(f"WHEN {i} THEN '{r}'" for i, r in enumerate(REGION_ORDER)) + " END")
+
+def _padded(number: str, digits: int) -> str:
+    """A number as text of at least ``digits`` digits; longer numbers keep all of theirs."""
+    return f"lpad(CAST({number} AS STRING), greatest({digits}, length(CAST({number} AS STRING))), '0')"
+
+
 _DT = f"date_format(ts, '{DATETIME_FORMAT}')"
 # whole seconds since 1970-01-01 of the wall clock, independent of the session time zone
 _EPOCH = ("CAST(datediff(to_date(ts), DATE'1970-01-01') AS BIGINT) * 86400 "
@@ -39,8 +44,8 @@ def _record_exprs(record_id: str, duration: str) -> list[str]:
         "CASE WHEN event_id % 4 = 2 THEN 'Cp06' WHEN event_id % 4 = 3 THEN 'CH02' ELSE 'CH01' END AS cpName",
         "CAST(1 + event_id % 2 AS INT) AS shoulder",
         "CAST(CASE WHEN event_id % 11 = 0 THEN 1 ELSE 0 END AS INT) AS iflag",
-        "concat('79', lpad(CAST(user_id AS STRING), 9, '0')) AS MSISDN",
-        "concat('25099', lpad(CAST(user_id AS STRING), 6, '0')) AS IMSI",
+        f"concat('79', {_padded('user_id', 9)}) AS MSISDN",
+        f"concat('25099', {_padded('user_id', 6)}) AS IMSI",
         "concat('7918', lpad(CAST((user_id * 7919) % 1000000 AS STRING), 7, '0')) AS origToNumber",
         "concat('MSC', CAST(user_id % 4 AS STRING)) AS MSCID",
         "CAST(event_id % 3 AS STRING) AS recType",
@@ -76,7 +81,8 @@ def cdr_base(events: DataFrame) -> DataFrame:
 
 def cdr_start(events: DataFrame) -> DataFrame:
     """Source stream: every base record, exact copies of every 17th (DISTINCT must fold them)
-    and a twin of every 13th with another id and a longer duration (same key and second).
+    and a twin of every 13th with another id (negative, so it meets no event's) and a longer duration (same key
+    and second).
 
     One scan: each event is exploded into its copies (kind 0 = record, 1 = exact copy,
     2 = twin) rather than unioning three scans, which would also make Catalyst push every later
@@ -85,7 +91,7 @@ def cdr_start(events: DataFrame) -> DataFrame:
         "*", "explode(array(0, CASE WHEN event_id % 17 = 0 THEN 1 END, "
              "CASE WHEN event_id % 13 = 0 THEN 2 END)) AS _kind").where("_kind IS NOT NULL")
     return copies.selectExpr(*_record_exprs(
-        f"CASE WHEN _kind = 2 THEN event_id + {TWIN_ID_OFFSET} ELSE event_id END",
+        "CASE WHEN _kind = 2 THEN -event_id - 1 ELSE event_id END",
         f"CAST(floor(value) AS INT) + CASE WHEN _kind = 2 THEN {TWIN_DURATION_OFFSET} ELSE 0 END"))
 
 
@@ -96,7 +102,7 @@ def cdr_rnd(events: DataFrame) -> DataFrame:
     return events.where("event_id % 3 <> 0").selectExpr(
         "to_date(ts) AS eventDate",
         f"upper({REGION_CASE}) AS macroregion",
-        "concat('25099', lpad(CAST(user_id AS STRING), 6, '0')) AS IMSI",
+        f"concat('25099', {_padded('user_id', 6)}) AS IMSI",
         "concat('7918', lpad(CAST((user_id * 7919) % 1000000 AS STRING), 7, '0')) AS origToNumber",
         "event_type AS service",
         "CAST(event_id % 3 AS STRING) AS recType",
@@ -106,6 +112,26 @@ def cdr_rnd(events: DataFrame) -> DataFrame:
     )
 
 
+def with_moved_keys(start: DataFrame) -> DataFrame:
+    """The records and a second one of each whose IMSI has given its last digit to the head of the number: another
+    key, but the same text when the parts are glued."""
+    moved = start.selectExpr(*[
+        "substring(IMSI, 1, length(IMSI) - 1) AS IMSI" if c == "IMSI"
+        else "concat(right(IMSI, 1), origToNumber) AS origToNumber" if c == "origToNumber" else f"`{c}`"
+        for c in start.columns])
+    return start.unionByName(moved)
+
+
+def mixed_times(df: DataFrame, number: str) -> DataFrame:
+    """``dateTime`` rewritten in one of six forms by ``number``: as it is, with ``T``, with a fraction, day
+    first, without seconds, as epoch seconds, and sometimes as no time at all."""
+    t = "CAST(dateTime AS TIMESTAMP_NTZ)"
+    return df.selectExpr("* EXCEPT (dateTime)", f"""CASE pmod({number}, 7)
+        WHEN 1 THEN replace(dateTime, ' ', 'T') WHEN 2 THEN concat(dateTime, '.5')
+        WHEN 3 THEN date_format({t}, 'dd.MM.yyyy HH:mm:ss') WHEN 4 THEN substring(dateTime, 1, 16)
+        WHEN 5 THEN CAST(timeKey AS STRING) WHEN 6 THEN concat('at ', dateTime) ELSE dateTime END AS dateTime""")
+
+
 def check_dictionary(spark: SparkSession, lags: dict[str, int]) -> DataFrame:
     """The check dictionary (check name -> days before the run day): configuration, a handful
     of rows."""
@@ -123,6 +149,13 @@ def stat_daily(start: DataFrame) -> DataFrame:
                  F.count(F.when(F.col("recType") == "9", 1)).alias("2pass")))
 
 
+def stat_full(start: DataFrame) -> DataFrame:
+    """Daily statistics with all 30 metrics: metric number i counts the records whose id leaves i modulo 31."""
+    return (start.groupBy("eventDate", F.col("MR").alias("macroRegion"), "cpName")
+            .agg(*[F.count(F.when(F.expr(f"pmod(record_id, 31) = {i}"), 1)).alias(m)
+                   for i, m in enumerate(STAT_METRICS)]))
+
+
 def job_log(events: DataFrame) -> DataFrame:
     """A finished-jobs log: one job per event."""
     nbytes = "CAST(floor(value * 1000000) AS BIGINT)"

@@ -13,13 +13,11 @@ _SCHEMAS: dict[tuple[str, float], object] = {}
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One parquet table of a data directory. Column pruning and filter pushdown reach the scan
-    because everything downstream is declarative. The schema is read once per file version and
-    reused, so repeated reads skip Spark's schema-inference job."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    try:
-        key = (path, os.path.getmtime(path))
-    except OSError:
-        key = None
+    because everything downstream is declarative. The schema of a single file is read once per file version
+    and reused, so repeated reads skip Spark's schema-inference job; a folder's may change deeper down
+    and is read each time, as is that of a path only Spark can open."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (path, os.path.getmtime(path)) if os.path.isfile(path) else None
     if key is not None and key in _SCHEMAS:
         return spark.read.schema(_SCHEMAS[key]).parquet(path)
     df = spark.read.parquet(path)

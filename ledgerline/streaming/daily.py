@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from ..sources.sinks import write_partitions
+from ..sources.sinks import replace_slices
 
 DayCheck = Callable[[_dt.date], DataFrame]
 
@@ -58,14 +58,18 @@ def recheck_landed_days(spark: SparkSession, source_path: str | None = None, sou
                         check: DayCheck | None = None, result_path: str | None = None, *,
                         watch: Sequence[Watched] = (), name: str = "daily-check",
                         date_col: str = "eventDate", checkpoint_location: str | None = None,
-                        partition_cols=("eventDate", "cpName"), once: bool = True):
+                        partition_cols=("eventDate", "cpName"), once: bool = True,
+                        slice_of: Callable[[_dt.date], dict] | None = None):
     """Start (and, with ``once``, finish) a stream over the parquet files of the watched inputs.
 
     ``source_path``/``source_schema`` is shorthand for one ``Watched`` input on ``date_col``;
     ``watch`` adds more (e.g. the counterpart with ``day_and_neighbours``). ``check(day)`` returns
     the result rows for one data day (e.g. a closure over ``checks.first_level_unmatched`` with
     ``as_of = day + lag``); they are written to ``result_path`` partitioned by ``partition_cols``.
+    ``slice_of(day)`` names the result slice of a day (default: all of ``eventDate=day``; name the check too
+    where several checks share a table); what a re-check leaves untouched of it is removed.
     Returns the streaming query."""
+    slice_of = slice_of or (lambda day: {partition_cols[0]: day})
     inputs = list(watch)
     if source_path is not None:
         inputs.insert(0, Watched(source_path, source_schema, date_col))
@@ -80,7 +84,7 @@ def recheck_landed_days(spark: SparkSession, source_path: str | None = None, sou
             if d is not None:
                 days.update(affects[i](d))
         for day in sorted(days):
-            write_partitions(check(day), result_path, partition_cols)
+            replace_slices(check(day), result_path, [slice_of(day)], partition_cols)
 
     streams = [spark.readStream.schema(w.schema).parquet(w.path)
                .select(F.lit(i).alias("_input"), F.col(w.date_col).cast("date").alias("_day"))

@@ -94,3 +94,38 @@ def test_limit_total_boundaries_and_null_hour(spark):
     for total in (0, first_group, first_group + 1, 17, len(capped) - 1, len(capped), len(capped) + 5):
         got = {r.record_id for r in limit_total(ranked, "h", total).collect()}
         assert got == {r[0] for r in capped[:total]}, total
+
+
+def test_cut_by_hour_equals_brute_force_with_hot_second_and_null(spark):
+    from ledgerline.operators.caps import cut_by_hour
+    hot = dt.datetime(2024, 1, 15, 7, 30, 1)
+    rows = _rows(900, seed=11) + [(20_000 + i, hot + dt.timedelta(microseconds=i % 97), 0) for i in range(700)]
+    rows += [(30_000 + i, None, 0) for i in range(9)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    per_hour = {}
+    for r in sorted(rows, key=lambda r: (r[1] is not None, r[1] or dt.datetime.min, r[0])):
+        per_hour.setdefault(None if r[1] is None else r[1].hour, []).append(r)
+    for n, total in ((1, None), (5, None), (300, None), (5, 37), (5, 0), (300, 711), (10_000, None), (10_000, 1200)):
+        want = [r[0] for h in sorted(per_hour, key=lambda h: (h is not None, h or 0)) for r in per_hour[h][:n]][:total]
+        got = [r.record_id for r in cut_by_hour(df, n, total=total).collect()]
+        assert sorted(got) == sorted(want), (n, total)
+
+
+def test_no_cap_unless_asked_for(spark):
+    """A day above the trigger keeps every unmatched row by default."""
+    from ledgerline.operators import checks
+    from ledgerline.sources import fixtures as fx
+    ev = fx.load_events(spark, "/root/testdata/sf0.001")
+    start, rnd = fx.cdr_start(ev), fx.cdr_rnd(ev)
+    got = checks.first_level_unmatched(start, rnd, "2024-01-18", days_back=3)
+    none = rnd.where("FALSE")
+    assert checks.first_level_unmatched(start, none, "2024-01-18", days_back=3).count() == \
+        checks.first_level_source(start, dt.date(2024, 1, 15)).select("record_id").distinct().count()
+    assert not [r for r in got.collect() if r.inputFileName.startswith("!")]
+
+
+def test_long_user_ids_keep_their_digits(spark):
+    from ledgerline.sources import fixtures as fx
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 15), u, "a", 1.0, "{}") for u in (7, 1_234_567, 1_234_568)],
+                               "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string")
+    assert [r.IMSI for r in fx.cdr_base(df).collect()] == ["25099000007", "250991234567", "250991234568"]

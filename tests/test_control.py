@@ -82,16 +82,38 @@ def test_expected_minus_found_files(spark, tmp_dir):
     assert got == {("MSK", "CH02"), ("CNT", "CH02"), ("STH", "CH01"), ("STH", "CH02")}
 
 
-def test_freshness_lookback(spark):
-    rows = [("Msk", "CH01", DAY - dt.timedelta(days=10), 1), ("Cnt", "CH01", DAY - dt.timedelta(days=1), 1)]
+def test_freshness_looks_back_only_for_absent_pairs(spark):
+    rows = [("Msk", "CH01", DAY - dt.timedelta(days=400), 1), ("Cnt", "CH01", DAY - dt.timedelta(days=1), 1),
+            ("Cnt", "CH01", DAY - dt.timedelta(days=3), 1), ("Sib", "CH01", DAY, 1), ("Sib", "CH01", DAY - dt.timedelta(days=1), 1)]
     data = spark.createDataFrame(rows, "MR string, cpName string, eventDate date, iflag int")
-    expected = control.expected_pairs(spark, ["Msk", "Cnt"], ["CH01"])
-    full = {(r.region, r.status, r.last_date) for r in control.table_freshness(
+    expected = control.expected_pairs(spark, ["Msk", "Cnt", "Sib", "Fea"], ["CH01"])
+    got = {(r.region, r.status, r.last_date) for r in control.table_freshness(
         data, expected, DAY, region_col="MR", check_col="cpName").collect()}
-    assert full == {("Msk", "stale", DAY - dt.timedelta(days=10)), ("Cnt", "stale", DAY - dt.timedelta(days=1))}
-    recent = {(r.region, r.status) for r in control.table_freshness(
-        data, expected, DAY, region_col="MR", check_col="cpName", lookback_days=7).collect()}
-    assert recent == {("Msk", "missing"), ("Cnt", "stale")}
+    assert got == {("Msk", "stale", DAY - dt.timedelta(days=400)), ("Cnt", "stale", DAY - dt.timedelta(days=1)),
+                   ("Fea", "missing", None)}
+    full = control.expected_pairs(spark, ["Sib"], ["CH01"])
+    assert control.table_freshness(data, full, DAY, region_col="MR", check_col="cpName").count() == 0
+
+
+def test_one_midnight_in_another_driver_zone(spark, tmp_dir):
+    """A file is dated in the session's zone by both file reports, whatever the driver's zone."""
+    root = os.path.join(tmp_dir, "zone")
+    late = dt.datetime(2024, 1, 14, 22, 30, tzinfo=dt.timezone.utc).timestamp()
+    _write(f"{root}/A01/MSK/CH01/a.csv", "h\n1\n", mtime=late)
+    before = os.environ.get("TZ")
+    os.environ["TZ"] = "Europe/Moscow"
+    time.tzset()
+    try:
+        stale, _, _ = control.landed_file_check(spark, root, DAY, passes=["A01"], channels=["CH01"], not_empty_checked=[])
+        assert [r.status for r in stale.collect()] == ["stale"]
+        gap = control.expected_minus_found_files(spark, root, DAY, regions=["MSK"], channels=["CH01"]).collect()
+        assert len(gap) == 1
+    finally:
+        if before is None:
+            del os.environ["TZ"]
+        else:
+            os.environ["TZ"] = before
+        time.tzset()
 
 
 def test_local_frame_values(spark):

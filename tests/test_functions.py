@@ -96,3 +96,11 @@ def test_path_helpers(spark):
     assert got[0].r == "" and got[0].c == "CH01" and got[0].e is False and got[0].m is False
     assert got[1].n == "a.csv" and got[1].r == "MSK" and got[1].c == "CH02" and got[1].e is True
     assert got[1].m is True and got[1].s == "Y:rootMSKCH02a.csv"
+
+
+def test_lenient_parse_of_other_forms(spark):
+    from ledgerline.functions.datetime import lenient_epoch
+    texts = ["2024-01-15 10:00:00", "2024-01-15T10:00:00", "2024-01-15 10:00:00.5", "1705312800",
+             "15.01.2024 10:00:00", "2024-01-15 10:00", "2024-01-15T10:00:00.123", "never", None]
+    df = spark.createDataFrame([(t,) for t in texts], "dt string")
+    assert [r[0] for r in df.select(lenient_epoch("dt")).collect()] == [1705312800] * 7 + [0, 0]

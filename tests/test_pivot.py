@@ -59,3 +59,15 @@ def test_empty_inputs(spark):
     out = stat_pivot(empty, ["firstStream"])
     assert out.count() == 0 and out.columns[:3] == ["macroRegion", "cpName", "cpType"]
     assert with_position(empty, ["eventDate"]).count() == 0
+
+
+def test_decimal_metrics_stay_exact(spark):
+    import datetime as dt
+    from decimal import Decimal
+    from ledgerline.operators.pivot import stat_pivot
+    d = dt.date(2024, 1, 15)
+    df = spark.createDataFrame([(d, "Msk", "CH01", 9_007_199_254_740_993, Decimal("0.10")),
+                                (d, "Msk", "CH01", 0, Decimal("0.20"))],
+                               "eventDate date, macroRegion string, cpName string, firstStream long, dsc decimal(10,2)")
+    out = {r.cpType: r[str(d)] for r in stat_pivot(df, ["firstStream", "dsc"], [d]).collect()}
+    assert out == {"firstStream": Decimal("9007199254740993.00"), "dsc": Decimal("0.30")}

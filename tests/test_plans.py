@@ -43,7 +43,8 @@ def test_key_level_anti_join_is_last(big):
 def test_capped_match_streams_counterpart(big):
     s, r = tables(big)
     p = plan(checks.first_level_unmatched(s, r, "2024-01-18", days_back=3,
-                                          caps=checks.CapRule(1, 5, 1_000_000)))
+                                          caps=checks.CapRule(1, 5, 1_000_000),
+                                          broadcast=checks.BroadcastRule()))
     assert "BroadcastHashJoin" in p and "BroadcastExchange" in p
     assert "LeftSemi" not in p
     # the counterpart scan (reads no props column) feeds the broadcast join without an exchange
@@ -67,6 +68,44 @@ def test_caps_plan_window_group_limit(spark):
     assert p.count("WindowGroupLimit") >= 2      # trimmed inside map tasks before each shuffle
 
 
+def test_production_cap_ranks_only_the_cut_seconds(big):
+    """At the shipped cap no window sees the day: rows before the cut pass a literal filter, unshuffled."""
+    from ledgerline.operators.caps import cut_by_hour
+    s, _ = tables(big)
+    src = checks.first_level_source(s, __import__("datetime").date(2024, 1, 15))
+    whole = plan(cut_by_hour(src, 10_000))
+    assert "Window" not in whole and "Exchange" not in whole      # nothing to cut in this day
+    assert "Window" not in plan(cut_by_hour(src, 1))              # every limit falls between two seconds
+    hot = big.range(40_000).selectExpr(
+        "id AS record_id", "CASE WHEN id < 20000 THEN TIMESTAMP_NTZ'2024-01-15 07:30:01' "
+        "ELSE TIMESTAMP_NTZ'2024-01-15 07:00:00' + make_dt_interval(0, 0, 0, id % 1500) END AS eventDateTime")
+    kept, ranked = plan(cut_by_hour(hot, 25_000)).split("Union", 1)[1].split("Window", 1)
+    assert "2024-01-15 07:30:01" in ranked                          # only the rows of the cut second are ranked
+    assert ranked.count("Exchange hashpartitioning") == 2 and "Exchange" not in kept
+
+
+def test_key_level_reads_the_day_twice_and_narrow(big):
+    s, r = tables(big)
+    p = plan(checks.key_level_unmatched(s, r, "2024-01-18"))
+    scans = [ln for ln in p.splitlines() if "FileScan" in ln]
+    assert len(scans) == 3                                          # rows, match, counterpart
+    # one DISTINCT over the 19 output columns, not two
+    assert len([ln for ln in p.splitlines() if "HashAggregate(keys=" in ln and "TariffPlanName" in ln]) == 2
+
+
+def test_candidates_distinct_below_semi_join(big):
+    s, r = tables(big)
+    p = plan(checks.candidates_for_day(s, r, "2024-01-18", days_back=3))
+    body = [ln for ln in p.splitlines() if "Join" in ln or "Aggregate" in ln]
+    assert "LeftSemi" in body[0]
+
+
+def test_low_volume_scans_one_day(spark):
+    from ledgerline.plans.queries import control_low_volume
+    p = plan(control_low_volume(spark, SF_DIR))
+    assert re.search(r"PushedFilters: \[.*GreaterThanOrEqual\(ts,2024-01-15T00:00\).*LessThan\(ts,2024-01-16T00:00\)", p)
+
+
 def test_day_filter_reaches_scan(spark):
     s, r = tables(spark)
     p = plan(checks.first_level_source(s, __import__("datetime").date(2024, 1, 15)))

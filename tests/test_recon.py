@@ -178,3 +178,14 @@ def test_counterpart_candidates_null_safe(spark):
     s = spark.createDataFrame([("a",), (None,)], "IMSI string")
     r = spark.createDataFrame([("a", 1), ("b", 2), (None, 3)], "IMSI string, v int")
     assert sorted(x.v for x in counterpart_candidates(r, s).collect()) == [1]
+
+
+def test_result_columns_keep_their_order(spark):
+    from ledgerline.constants import FIRST_LEVEL_COLUMNS, KEY_LEVEL_COLUMNS
+    from ledgerline.operators import checks
+    from ledgerline.sources import fixtures as fx
+    ev = fx.load_events(spark, "/root/testdata/sf0.001")
+    start, rnd = fx.cdr_start(ev), fx.cdr_rnd(ev)
+    for glued in (False, True):
+        assert checks.key_level_unmatched(start, rnd, "2024-01-18", concat_key=glued).columns == KEY_LEVEL_COLUMNS
+    assert checks.first_level_unmatched(start, rnd, "2024-01-18", days_back=3).columns == FIRST_LEVEL_COLUMNS

@@ -73,3 +73,24 @@ def test_stream_rechecks_when_counterpart_lands_later(spark, tmp_dir):
     want = sorted(r.record_id for r in checks.first_level_unmatched(
         start, rnd, day + dt.timedelta(days=LAG), days_back=LAG, caps=None).collect())
     assert got == want and len(got) < before
+
+
+def test_stream_empty_recheck_clears_the_old_slice(spark, tmp_dir):
+    ev = fx.load_events(spark, SF_DIR)
+    start, rnd = fx.cdr_start(ev), fx.cdr_rnd(ev)
+    day = dt.date(2024, 1, 15)
+    src_path, res_path, ckpt = (os.path.join(tmp_dir, n) for n in ("src3", "res3", "ckpt3"))
+    start.where(F.col("eventDate") == day).write.partitionBy("eventDate").parquet(src_path)
+    schema = spark.read.parquet(src_path).schema
+    other = start.where((F.col("eventDate") == day - dt.timedelta(days=1))).limit(3)
+    other.write.partitionBy("eventDate", "cpName").parquet(res_path)
+
+    def full(d):
+        return checks.first_level_unmatched(spark.read.parquet(src_path), rnd, d + dt.timedelta(days=LAG), days_back=LAG)
+
+    recheck_landed_days(spark, src_path, schema, full, res_path, checkpoint_location=ckpt)
+    assert spark.read.parquet(res_path).where(F.col("eventDate") == day).count() > 0
+    start.where(F.col("eventDate") == day).limit(1).write.mode("append").partitionBy("eventDate").parquet(src_path)
+    recheck_landed_days(spark, src_path, schema, lambda d: full(d).where(F.lit(False)), res_path, checkpoint_location=ckpt)
+    left = spark.read.parquet(res_path)
+    assert left.where(F.col("eventDate") == day).count() == 0 and left.count() == 3
