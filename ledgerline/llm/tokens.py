@@ -21,9 +21,9 @@ import pyarrow.compute as pc
 
 from ledgerline.llm import common as C
 
-PIECE_BYTES = 6 << 20
-#: words that a worker remembers (about 170 MB); beyond it the cache starts anew
-CACHE_WORDS = 800_000
+PIECE_BYTES = 4 << 20
+#: words that a worker remembers (about 110 MB); beyond it the cache starts anew
+CACHE_WORDS = 500_000
 
 #: a character of one id that hardly occurs; words with it are encoded one by one
 MARKER = "\x7f"
