@@ -7,6 +7,7 @@ Python object per word.
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Iterator
 from functools import reduce
@@ -31,6 +32,15 @@ _BASES = tuple((b, pow(b, -1, 1 << 64)) for b in (0x9E3779B97F4A7C15, 0xD6E8FEB8
 _POWERS: dict[int, np.ndarray] = {}
 
 
+def importable(spark: SparkSession) -> None:
+    """Let the Python workers import this package where it is not installed: the folder that the driver has it in joins
+    their search path."""
+    folder = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if folder not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [folder, known]))
+
+
 # ---------------------------------------------------------------- tables between the steps
 
 def shared_folder(spark: SparkSession) -> str:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import (
     ann,
     chat,
+    common,
     decontamination,
     minhash,
     packing,
@@ -26,6 +27,7 @@ def tokenizer(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    common.importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

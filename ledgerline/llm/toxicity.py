@@ -27,8 +27,10 @@ from ledgerline.llm import common as C
 BITS = 18
 KINDS = 3
 #: most labelled documents that a model is fitted on
-SAMPLE = 6_000
+SAMPLE = 4_000
 STEPS = 120
+#: pull of every weight towards 0 (L1): a feature needs the evidence of many documents to count at all
+SPARSE = 1.5e-4
 #: what a toxic document counts in the fit, a clean one counting 1
 TOXIC_WEIGHT = 2.5
 
@@ -78,29 +80,30 @@ def _sums(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
 
 def fit(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, float]:
     """(weights, bias) of the sentence scores, from document labels."""
-    fs, sentences, docs, rows, count = [], [], [], 0, 0
-    for lo, _, data, offsets in C.pieces(texts):
+    n, count = len(labels), 0
+    fs, sentences, docs = [], [], []
+    df = np.zeros(1 << BITS, dtype=np.int64)                 # documents that have a feature
+    for lo, hi, data, offsets in C.pieces(texts):
         f, s, d, _ = features(data, offsets)
+        pair = np.unique(f.ravel() * np.int64(hi - lo) + np.repeat(d[s], KINDS))
+        df += np.bincount(pair // (hi - lo), minlength=1 << BITS)
         fs.append(f)
-        sentences.append(s + count)
-        docs.append(d + lo)
+        sentences.append((s + count).astype(np.int32))
+        docs.append((d + lo).astype(np.int32))
         count += len(d)
     weights = np.zeros(1 << BITS, dtype=np.float64)
     if not count or not labels.any() or labels.all():
         return weights, -30.0
-    f, s, d = np.concatenate(fs), np.concatenate(sentences), np.concatenate(docs)
-    # features by the number of documents that have them
-    n = len(labels)
-    flat = f.ravel()
-    pair = np.unique(flat * np.int64(n) + np.repeat(d[s], KINDS))
-    df = np.bincount(pair // n, minlength=1 << BITS)
-    del pair
     used = df >= 5
     used[0] = False
     number = (np.cumsum(used) - 1).astype(np.int32)
-    some = used[flat]
-    sentence = np.repeat(s.astype(np.int32), KINDS)[some]
-    col = number[flat[some]]
+    sentence, col = [], []
+    for i, f in enumerate(fs):
+        some = used[f.ravel()]
+        sentence.append(np.repeat(sentences[i], KINDS)[some])
+        col.append(number[f.ravel()[some]])
+        fs[i] = sentences[i] = None
+    sentence, col, d = np.concatenate(sentence), np.concatenate(col), np.concatenate(docs)
     m = int(used.sum())
     y = labels.astype(bool)
     w, b = np.zeros(m), -5.0
@@ -112,7 +115,7 @@ def fit(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, float]:
         no = np.exp(_sums(np.log1p(-np.minimum(p, 1 - 1e-9)), d, n))      # chance of no toxic sentence
         slope = np.where(y, np.minimum(no / np.maximum(1 - no, 1e-9), 1e3), -1.0) * weight
         g = slope[d] * p / n
-        gw, gb = np.bincount(col, weights=g[sentence], minlength=m) - 2e-5 * w, g.sum()
+        gw, gb = np.bincount(col, weights=g[sentence], minlength=m) - SPARSE, g.sum()
         m1, m2 = 0.9 * m1 + 0.1 * gw, 0.99 * m2 + 0.01 * gw * gw
         b1, b2 = 0.9 * b1 + 0.1 * gb, 0.99 * b2 + 0.01 * gb * gb
         k1, k2 = 1 - 0.9 ** step, 1 - 0.99 ** step
