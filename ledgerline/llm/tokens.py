@@ -22,8 +22,8 @@ import pyarrow.compute as pc
 from ledgerline.llm import common as C
 
 PIECE_BYTES = 4 << 20
-#: words that a worker remembers (about 110 MB); beyond it the cache starts anew
-CACHE_WORDS = 500_000
+#: words that a worker remembers (about 50 bytes each); beyond it only the common ones stay
+CACHE_WORDS = 1_500_000
 
 #: a character of one id that hardly occurs; words with it are encoded one by one
 MARKER = "\x7f"
@@ -49,16 +49,40 @@ def encoder(blob: bytes, name: str) -> Encoder:
     return _READY[name]
 
 
+def _first_split(spec: dict) -> dict:
+    pre = spec.get("pre_tokenizer") or {}
+    return (pre.get("pretokenizers") or [pre])[0]
+
+
+def split_pattern(spec: dict) -> str:
+    return (_first_split(spec).get("pattern") or {}).get("Regex", "")
+
+
 def drops_white_space(tk, spec: dict) -> bool:
     """Whether white space yields no token and separates what does."""
-    pre = spec.get("pre_tokenizer") or {}
-    first = (pre.get("pretokenizers") or [pre])[0]
+    first = _first_split(spec)
     added = [a for a in spec.get("added_tokens") or []
              if a["lstrip"] or a["rstrip"] or a["single_word"] or any(c.isspace() for c in a["content"])]
     return (first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
             and not added and not tk.pre_tokenizer.pre_tokenize_str(" \t\n\x0b\x0c\r"))
 
 
+def _string_spans(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(starts, ends, bytes) of a string column without NULLs."""
+    _, offsets, data = column.cast(pa.large_string()).buffers()
+    offsets = np.frombuffer(offsets, dtype=np.int64)[column.offset:column.offset + len(column) + 1]
+    data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
+    return offsets[:-1], offsets[1:], data
+
+
+def _gather(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each run, one run after the other."""
+    before = np.cumsum(count, dtype=np.int32) - count
+    at = np.repeat(start - before, count)
+    at += np.arange(len(at), dtype=np.int32)
+    return at
+
+
 class Encoder:
     def __init__(self, blob: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"       # a task is one core
@@ -76,14 +100,41 @@ class Encoder:
         marker = self.tk.encode(MARKER, add_special_tokens=False).ids
         self.marker_id = marker[0] if len(marker) == 1 else None
         self.by_word = drops_white_space(self.tk, spec)
+        # marks that the split pattern parts from letters, of one id each
+        parted = all(x in split_pattern(spec) for x in (r"[\p{L}]+", r"[^\s\p{L}\p{N}]+"))
+        ids = {m: self.tk.encode(m, add_special_tokens=False).ids for m in ",.;!?"}
+        self.marks = {m: i[0] for m, i in ids.items() if len(i) == 1 and self.by_word and parted}
         self.forget()
 
     def forget(self):
-        self.known: dict[str, int] = {}
-        self.count = np.zeros(CACHE_WORDS + 1, dtype=np.int32)
-        self.start = np.zeros(CACHE_WORDS + 1, dtype=np.int64)
-        self.ids = np.zeros(4 * CACHE_WORDS, dtype=np.int32)
-        self.used = 0
+        """An empty cache: entries sorted by the first of two 64-bit hashes of a word, each with the place and number
+        of its ids and the number of pieces that had it."""
+        self.key = np.zeros(0, dtype=np.uint64)
+        self.check = np.zeros(0, dtype=np.uint64)
+        self.start, self.count, self.uses = (np.zeros(0, dtype=np.int32) for _ in range(3))
+        self.ids = np.zeros(0, dtype=np.int32)
+
+    def _thin_out(self):
+        """Keep the words that most pieces had, at most a third of the cache."""
+        n = len(self.key) // 3
+        least = np.partition(self.uses, -n)[-n] + 1
+        keep = self.uses >= least
+        self.ids = self.ids[_gather(self.start[keep], self.count[keep])]
+        self.key, self.check, self.count, self.uses = (x[keep] for x in (self.key, self.check, self.count, self.uses))
+        self.start = np.cumsum(self.count, dtype=np.int32) - self.count
+        self.uses //= 2
+
+    def _find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(entry of each word or -1, the two hashes)."""
+        starts, ends, data = _string_spans(words)
+        key, check = (C.span_hashes(data, starts, ends, which) for which in (0, 1))
+        entry = np.full(len(words), -1, dtype=np.int64)
+        if len(self.key):
+            order = np.argsort(key)
+            at = np.minimum(np.searchsorted(self.key, key[order]), len(self.key) - 1)
+            hit = (self.key[at] == key[order]) & (self.check[at] == check[order])
+            entry[order[hit]] = at[hit]
+        return entry, key, check
 
     def _plain(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         ids = [e.ids for e in self.tk.encode_batch_fast(texts, add_special_tokens=False)]
@@ -106,34 +157,60 @@ class Encoder:
         counts = np.diff(at, prepend=-1)
         return (flat, counts) if alpha else (flat[~last], counts - 1)
 
-    def _learn(self, words: list[str]):
-        """Add words to the cache."""
-        kinds = [], [], []
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, number of ids of each word), in the words' order."""
+        place: dict[str, int] = {}
+        kinds = alpha, other, alone = [], [], []
+        marked = []
         for w in words:
-            kinds[0 if w.isalpha() else 2 if MARKER in w else 1].append(w)
+            if w.isalpha():
+                alpha.append(w)
+            elif w[-1:] in self.marks and w[:-1].isalpha():
+                marked.append(w)                              # letters and one mark: two parts with ids of their own
+            else:
+                (alone if MARKER in w else other).append(w)
+        alpha[:] = dict.fromkeys(chain(alpha, (w[:-1] for w in marked)))
+        flat, counts = [], []
         for kind, chosen in enumerate(kinds):
             for lo in range(0, len(chosen), 5000):
                 part = chosen[lo:lo + 5000]
-                flat, counts = self._plain(part) if kind == 2 else self._joined(part, kind == 0)
-                n, used = len(self.known), self.used
-                if used + len(flat) > len(self.ids):
-                    self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(flat)), dtype=np.int32)])
-                self.ids[used:used + len(flat)] = flat
-                self.count[n:n + len(part)] = counts
-                self.start[n:n + len(part)] = used + np.cumsum(counts) - counts
-                self.known.update(zip(part, range(n, n + len(part)), strict=True))
-                self.used = used + len(flat)
-
-    def _codes(self, words: list[str]) -> np.ndarray:
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.forget()
-            new = words
-            if len(new) > CACHE_WORDS:                        # one huge text: room for its words only
-                self.count = np.zeros(len(new), dtype=np.int32)
-                self.start = np.zeros(len(new), dtype=np.int64)
-        self._learn(new)
-        return np.fromiter(map(self.known.__getitem__, words), dtype=np.int64, count=len(words))
+                f, c = self._plain(part) if kind == 2 else self._joined(part, kind == 0)
+                flat.append(f)
+                counts.append(c)
+            place.update(zip(chosen, range(len(place), len(place) + len(chosen)), strict=True))
+        flat = np.concatenate(flat) if flat else np.zeros(0, dtype=np.int32)
+        counts = np.concatenate(counts) if counts else np.zeros(0, dtype=np.int64)
+        start = np.cumsum(counts) - counts
+        known = set(marked)
+        at = np.fromiter((place[w[:-1] if w in known else w] for w in words), dtype=np.int64, count=len(words))
+        flat, counts = flat[_gather(start[at].astype(np.int32), counts[at].astype(np.int32))], counts[at]
+        if marked:
+            ends = np.cumsum(counts)
+            which = np.fromiter((w in known for w in words), dtype=bool, count=len(words))
+            flat = np.insert(flat, ends[which], [self.marks[w[-1]] for w in words if w in known])
+            counts = counts + which
+        return flat, counts
+
+    def _entries(self, words: pa.Array) -> np.ndarray:
+        """The cache entry of each of these distinct words, learned where new."""
+        entry, key, check = self._find(words)
+        if len(self.key) + (entry < 0).sum() > CACHE_WORDS and len(self.key) > 2:
+            self._thin_out()
+            entry, key, check = self._find(words)
+        new = np.flatnonzero(entry < 0)
+        if len(new):
+            flat, counts = self._encode_words(words.take(pa.array(new)).to_pylist())
+            start = (len(self.ids) + np.cumsum(counts) - counts).astype(np.int32)
+            order = np.argsort(key[new])
+            new = new[order]
+            at = np.searchsorted(self.key, key[new])
+            for name, values in (("key", key[new]), ("check", check[new]), ("start", start[order]),
+                                 ("count", counts[order].astype(np.int32)), ("uses", np.zeros(len(new), dtype=np.int32))):
+                setattr(self, name, np.insert(getattr(self, name), at, values))
+            self.ids = np.concatenate([self.ids, flat])
+            entry, _, _ = self._find(words)
+        self.uses[entry] += 1
+        return entry
 
     def encode(self, column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
         """(first row, last row + 1, ids of these texts, number of ids of each); NULL is empty."""
@@ -151,10 +228,8 @@ class Encoder:
                 part = pc.ascii_lower(part)
             lists = pc.ascii_split_whitespace(part)
             coded = lists.flatten().dictionary_encode()
-            code = self._codes(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False)]
-            count, start = self.count[code], self.start[code]
-            total = np.zeros(len(code) + 1, dtype=np.int64)
-            np.cumsum(count, out=total[1:])
-            at = np.arange(total[-1]) + np.repeat(start - total[:-1], count)
+            entry = self._entries(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+            count, start = self.count[entry], self.start[entry]
+            total = np.concatenate(([0], np.cumsum(count, dtype=np.int64)))
             bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
-            yield lo, hi, self.ids[at], np.diff(total[bounds])
+            yield lo, hi, self.ids[_gather(start, count)], np.diff(total[bounds])
