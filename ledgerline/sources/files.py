@@ -1,21 +1,23 @@
 """Facts about landed files (C1, A7): path, directory, length, modification time, line count.
 
-Listing is file-system metadata, done on the driver through the cluster's Hadoop file system
-client, as Spark's own file sources list their inputs; it also sees zero-length files and empty
-directories, which a Spark file scan skips (a zero-byte file yields no rows and no split). Line
-counts are a distributed job: ``read.text`` over the chosen files, grouped by
-``_metadata.file_path``; files that yield no rows get 0.
+The tree is listed level by level: each level's directories are a table, its tasks list them through Arrow's file
+systems (local and mounted paths, HDFS, S3, GCS), and the driver only learns whether there is a next level. Unlike a
+Spark file scan this sees zero-length files and empty directories. Line counts are a distributed job too:
+``read.text`` over the chosen files, grouped by ``_metadata.file_path``; files that yield no rows get 0.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
+from functools import reduce
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-FILE_SCHEMA = "path string, dir string, name string, length bigint, mtime timestamp"
-DIR_SCHEMA = "dir string, name string, depth int"
+from ..session import ensure_checkpoint_dir
+from .tables import local_frame
 
 
 def _norm(uri: str) -> str:
@@ -34,30 +36,45 @@ def _norm_col(c):
     return F.regexp_replace(F.url_decode(c), "^file:(//)?", "")
 
 
+def _lister(scheme: str):
+    """Task code: the entries of each directory."""
+    def run(frames):
+        import pandas as pd
+        from pyarrow import fs
+
+        for pdf in frames:
+            rows = []
+            for uri, depth in zip(pdf["dir"], pdf["depth"]):
+                files, path = fs.FileSystem.from_uri(uri if scheme else "file://" + quote(uri))
+                for x in files.get_file_info(fs.FileSelector(path, allow_not_found=True)):
+                    child = f"{uri.rstrip('/')}/{x.base_name}"
+                    is_dir = x.type == fs.FileType.Directory
+                    rows.append((child, uri.rstrip("/"), x.base_name, 0 if is_dir else x.size,
+                                 x.mtime_ns // 1_000_000 if x.mtime_ns else 0, is_dir, int(depth) + 1))
+            yield pd.DataFrame(rows, columns=["path", "dir", "name", "length", "ms", "is_dir", "depth"])
+
+    return run
+
+
 def list_tree(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    """All files and all directories under ``root`` (recursive), as two small DataFrames.
+    """All files and all directories under ``root`` (recursive), as two DataFrames.
     A missing root gives two empty frames."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    top = jvm.org.apache.hadoop.fs.Path(root)
-    fs = top.getFileSystem(conf)
-    files, dirs = [], []
-    if fs.exists(top):
-        stack = [(top, 0)]
-        while stack:
-            d, depth = stack.pop()
-            for st in fs.listStatus(d):
-                p = st.getPath()
-                uri = _norm(p.toString())
-                if st.isDirectory():
-                    dirs.append((uri, p.getName(), depth + 1))
-                    stack.append((p, depth + 1))
-                else:
-                    parent = _norm(p.getParent().toString())
-                    files.append((uri, parent, p.getName(), int(st.getLen()), int(st.getModificationTime())))
-    facts = spark.createDataFrame(files, "path string, dir string, name string, length bigint, ms bigint")
-    return (facts.select("path", "dir", "name", "length", F.timestamp_millis("ms").alias("mtime")),
-            spark.createDataFrame(dirs, DIR_SCHEMA))
+    root = _norm(root.rstrip("/")) or "/"
+    scheme = root.split("://", 1)[0] if "://" in root else ""
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/listings/{uuid.uuid4().hex}"
+    kind = "path string, dir string, name string, length bigint, ms bigint, is_dir boolean, depth int"
+    level, n, levels = local_frame(spark, [(root, 0)], "dir string, depth int"), 0, []
+    while True:
+        path = f"{base}/{n}"
+        level.repartition("dir").mapInPandas(_lister(scheme), kind).write.parquet(path)
+        listed = spark.read.schema(kind).parquet(path)
+        levels.append(listed)
+        level, n = listed.where("is_dir").select(F.col("path").alias("dir"), "depth"), n + 1
+        if level.isEmpty():
+            break
+    found = reduce(DataFrame.unionByName, levels)
+    return (found.where("NOT is_dir").select("path", "dir", "name", "length", F.timestamp_millis("ms").alias("mtime")),
+            found.where("is_dir").select(F.col("path").alias("dir"), "name", "depth"))
 
 
 def line_counts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
