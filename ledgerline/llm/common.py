@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: texts are worked on in pieces of about this many bytes, so memory does not follow batch sizes
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
