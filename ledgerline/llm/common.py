@@ -7,17 +7,16 @@ Python object per word.
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.tables import importable, shared_folder, union_all, written  # noqa: F401
+
 #: texts are worked on in pieces of about this many bytes, so memory does not follow batch sizes
 PIECE_BYTES = 1 << 20
 
@@ -32,39 +31,6 @@ _BASES = tuple((b, pow(b, -1, 1 << 64)) for b in (0x9E3779B97F4A7C15, 0xD6E8FEB8
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def importable(spark: SparkSession) -> None:
-    """Let the Python workers import this package where it is not installed: the folder that the driver has it in joins
-    their search path."""
-    folder = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-    known = spark.sparkContext.environment.get("PYTHONPATH", "")
-    if folder not in known.split(os.pathsep):
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [folder, known]))
-
-
-# ---------------------------------------------------------------- tables between the steps
-
-def shared_folder(spark: SparkSession) -> str:
-    """Folder that driver and executors share: ``spark.checkpoint.dir``, else the folder set on the
-    context, else one inside the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not folder:
-        folder = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/llm-tables"
-    return folder.rstrip("/")
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: cuts the lineage, and survives
-    the loss of executors. The folder's owner clears it."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)
-
-
 # ---------------------------------------------------------------- words of Arrow columns
 
 def pieces(column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:

@@ -8,7 +8,7 @@ overlap. Each hit is verified token by token: some window of WINDOW tokens aroun
 alignment, must agree in NEED tokens or more. Test items shorter than a window need the same share of
 their own length.
 
-The joined side with the test hashes is broadcast while it has at most BROADCAST_ROWS rows, and the hits are
+The side with the test hashes is broadcast while it has at most BROADCAST_ROWS rows, and the hits are
 verified in the row where they occur; beyond that the hashes are joined by shuffle and the hits meet
 their texts again.
 
@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.llm.tables import written
+
 SPAN = 7
 MASKS = ((0, 1, 2, 6), (0, 3, 4, 6))
 WINDOW, NEED = 13, 10
@@ -34,7 +36,7 @@ SEPARATORS = r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+"
 
 def token_hashes(text: Column) -> Column:
     """array<long>, one hash a token."""
-    words = F.filter(F.split(F.lower(text), SEPARATORS), lambda w: w != "")
+    words = F.array_remove(F.split(F.lower(text), SEPARATORS), "")
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
@@ -82,11 +84,6 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     return hits.where(verified).select("doc_id", "text_hash", "item_id").distinct()
 
 
-def _marked(docs: DataFrame, found: DataFrame, how: str, id_col: str, text_col: str) -> DataFrame:
-    same = docs[id_col].eqNullSafe(found["found_id"]) & (F.xxhash64(docs[text_col]) == found["found_hash"])
-    return docs.join(found, same, how)
-
-
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Per row: the id, contaminated, n_items, and the overlapping items in ascending order."""
@@ -94,7 +91,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     found = (overlaps(slim, benchmark, id_col, text_col)
              .groupBy(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"))
              .agg(F.array_sort(F.collect_set("item_id")).alias("items")))            # at most the benchmark's items
-    out = _marked(slim, found, "left", id_col, text_col)
+    named = slim.select(F.col(id_col), F.xxhash64(text_col).alias("own_hash"))        # no text is shuffled
+    out = named.join(found, named[id_col].eqNullSafe(F.col("found_id")) & (F.col("own_hash") == F.col("found_hash")), "left")
     return out.select(id_col, F.col("items").isNotNull().alias("contaminated"),
                       F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                       F.coalesce("items", F.expr("cast(array() as array<bigint>)")).alias("items"))
@@ -103,6 +101,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
     """The documents that overlap with no test item, unchanged."""
-    found = overlaps(docs.select(id_col, text_col), benchmark, id_col, text_col).select(
-        F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")).distinct()
-    return _marked(docs, found, "left_anti", id_col, text_col)
+    found = written(overlaps(docs.select(id_col, text_col), benchmark, id_col, text_col).select(
+        F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")).distinct(), "leaks")
+    few = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
+    same = docs[id_col].eqNullSafe(F.col("found_id")) & (F.xxhash64(docs[text_col]) == F.col("found_hash"))
+    return docs.join(few, same, "left_anti")
