@@ -131,7 +131,7 @@ def _searched(reps: DataFrame, queries: DataFrame, size: int, n: int, window: in
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(lo))), pa.array(lo), pa.array(hi)],
                                              ["axis", "lo", "hi"])
 
-    ends = (reps.select("v").mapInArrow(extent, "axis long, lo double, hi double").groupBy("axis")
+    ends = (reps.select("v").mapInArrow(C.lean(extent), "axis long, lo double, hi double").groupBy("axis")
             .agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).orderBy("axis").collect())
     lo, hi = np.array([r["lo"] for r in ends]), np.array([r["hi"] for r in ends])
 
@@ -145,7 +145,7 @@ def _searched(reps: DataFrame, queries: DataFrame, size: int, n: int, window: in
                  batch.column(1).take(rows)], ["curve", "key", "rep", "vkey"])
 
     order = ["curve", "key", "rep", "vkey"]
-    ranked = C.written(reps.mapInArrow(keyed, "curve int, key long, rep long, vkey long")
+    ranked = C.written(reps.mapInArrow(C.lean(keyed), "curve int, key long, rep long, vkey long")
                        .repartitionByRange(*order).sortWithinPartitions(*order)
                        .withColumn("place", F.monotonically_increasing_id()), "orderings")
     part = F.shiftright("place", 33)
@@ -194,4 +194,4 @@ def _searched(reps: DataFrame, queries: DataFrame, size: int, n: int, window: in
                      pa.array(score)], ["q", "qkey", "rep", "vkey", "score"])
 
     return (meets.repartition("block").sortWithinPartitions("block", "asks", "at")
-            .mapInArrow(search, "q long, qkey long, rep long, vkey long, score double"))
+            .mapInArrow(C.lean(search), "q long, qkey long, rep long, vkey long, score double"))

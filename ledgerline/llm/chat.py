@@ -38,9 +38,6 @@ _UNESCAPE = re.compile(rf"<\\(?=\\*{_INSIDE})")
 #: the roles whose texts are learned
 LEARNED = frozenset({"assistant"})
 
-_READY: dict[str, object] = {}
-
-
 def escape(text: str) -> str:
     return _ESCAPE.sub(r"<\\", text)
 
@@ -51,15 +48,15 @@ def unescape(text: str) -> str:
 
 def _library(blob: bytes, name: str):
     """This worker's tokenizer, which reads the strings of special tokens as ordinary text."""
-    if name not in _READY:
+    if name not in C.KEPT:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         tk = Tokenizer.from_buffer(blob)
         tk.encode_special_tokens = True
         tk.no_truncation()
         tk.no_padding()
-        _READY[name] = tk
-    return _READY[name]
+        C.KEPT[name] = tk
+    return C.KEPT[name]
 
 
 _TURN = "conv_id long, turn_no long, position long, ids array<int>, text_at int, loss_from long, loss_to long"
@@ -70,7 +67,7 @@ def format_turns(conversations: DataFrame, tokenizer: str) -> DataFrame:
     the text's ids begin), and the span [loss_from, loss_to) of the conversation's ids under the loss mask (empty
     for other roles)."""
     blob = tokens.read_file(tokenizer)
-    name = tokens.version(blob)
+    name = "chat-" + tokens.version(blob)
 
     def encode(batches):
         tk = _library(blob, name)
@@ -114,16 +111,16 @@ def format_turns(conversations: DataFrame, tokenizer: str) -> DataFrame:
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     rows = rows.withColumn("text_key", F.sha2("text", 256))          # orders turns of equal number and role
     encoded = rows.mapInArrow(
-        encode, "conv_id long, turn long, role string, text_key string, ids array<int>, text_at int")
+        C.lean(encode, name), "conv_id long, turn long, role string, text_key string, ids array<int>, text_at int")
     return (encoded.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text_key")
-            .mapInArrow(place, _TURN))
+            .mapInArrow(C.lean(place), _TURN))
 
 
 def read_back(formatted: DataFrame, tokenizer: str) -> DataFrame:
     """Per conversation, from the ids and masks alone: conv_id, n_turns, turns_sha256, loss_chars,
     loss_sha256, formatted_chars."""
     blob = tokens.read_file(tokenizer)
-    name = tokens.version(blob)
+    name = "chat-" + tokens.version(blob)
 
     class Digest:
         def __init__(self):
@@ -181,7 +178,7 @@ def read_back(formatted: DataFrame, tokenizer: str) -> DataFrame:
     kind = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, "
             "formatted_chars long")
     return (formatted.select("conv_id", "turn_no", "position", "ids", "text_at", "loss_from", "loss_to")
-            .repartition("conv_id").sortWithinPartitions("conv_id", "turn_no").mapInArrow(run, kind))
+            .repartition("conv_id").sortWithinPartitions("conv_id", "turn_no").mapInArrow(C.lean(run, name), kind))
 
 
 def formatted_table(conversations: DataFrame, tokenizer: str) -> DataFrame:

@@ -115,16 +115,14 @@ def _signed_documents(docs: DataFrame, shingle: int) -> DataFrame:
                  pa.array(np.array(s2, dtype=np.uint64).view(np.int64)),
                  pa.array(sigs, type=pa.binary())], ["doc_id", "n_shingles", "s1", "s2", "sig"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, s1 long, s2 long, sig binary")
+    return docs.mapInArrow(C.lean(run), "doc_id long, n_shingles long, s1 long, s2 long, sig binary")
 
 
 def _keys(nodes: DataFrame) -> DataFrame:
     """(key, a, b): a set under a key; or, with b, a set and the smallest one that its batch has
     under one of its keys, which then stands for both."""
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(lo, 4000) for b in batches for lo in range(0, b.num_rows, 4000)):
             node = batch.column(0).to_numpy(zero_copy_only=False)
             order = np.argsort(node, kind="stable")
             keys = masked_keys(sig_matrix(batch.column(1).to_pylist()))[order].ravel()
@@ -143,7 +141,7 @@ def _keys(nodes: DataFrame) -> DataFrame:
                     [pa.array(C.mix(pair[:, 0].astype(np.uint64)).view(np.int64)),
                      pa.array(pair[:, 0]), pa.array(pair[:, 1])], ["key", "a", "b"])
 
-    return nodes.select("node", "sig").mapInArrow(run, "key long, a long, b long")
+    return nodes.select("node", "sig").mapInArrow(C.lean(run), "key long, a long, b long")
 
 
 def _distance(a, b):
@@ -241,7 +239,7 @@ def _families(members: DataFrame) -> DataFrame:
 
     by = ["key", "left", "right"]
     return (members.repartition(*by).sortWithinPartitions(*by)
-            .mapInArrow(run, "a long, b long"))
+            .mapInArrow(C.lean(run), "a long, b long"))
 
 
 def _family_links(members: DataFrame, num: int, den: int) -> DataFrame:
@@ -310,13 +308,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     def sets(batches):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), C.long_list([g.view(np.int64) for g in
-                                               shingle_sets(batch.column(1), shingle)])],
-                ["node", "grams"])
+            for lo in range(0, batch.num_rows, 500):
+                part = batch.slice(lo, 500)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), C.long_list([g.view(np.int64) for g in shingle_sets(part.column(1), shingle)])],
+                    ["node", "grams"])
 
     wanted = texts.join(_sized(met.select(F.col("node").alias("doc_id"))), "doc_id")
-    sets = C.written(wanted.mapInArrow(sets, "node long, grams array<long>"), "grams")
+    sets = C.written(wanted.mapInArrow(C.lean(sets), "node long, grams array<long>"), "grams")
     links = C.written(_confirmed(near, sets, num, den), "confirmed")
     comps = C.components(links)
 
@@ -355,9 +354,7 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
 def _apart(comp: DataFrame) -> DataFrame:
     """(key, node, sig, comp, ...) of all members of those keys that lie in several components."""
     def run(batches):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(lo, 2000) for b in batches for lo in range(0, b.num_rows, 2000)):
             keys = masked_keys(sig_matrix(batch.column(1).to_pylist())).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(keys.ravel()),
@@ -366,7 +363,7 @@ def _apart(comp: DataFrame) -> DataFrame:
                  pa.array(np.tile(np.arange(VALUES, dtype=np.int32), batch.num_rows))],
                 ["key", "node", "comp", "slot"])
 
-    keyed = comp.mapInArrow(run, "key long, node long, comp long, slot int")
+    keyed = comp.mapInArrow(C.lean(run), "key long, node long, comp long, slot int")
     spread = keyed.groupBy("key").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where(
         "x <> y").select("key")
     return keyed.join(spread, "key").join(comp.select("node", "sig"), "node")

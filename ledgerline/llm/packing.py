@@ -67,7 +67,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, id_col: str
                     ["doc_id", "piece", "start", "length", "ids_crc32"])
 
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
-                       ).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+                       ).mapInArrow(C.lean(run, name), "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 class _Bins:

@@ -45,6 +45,8 @@ from ledgerline.llm import common as C
 ROUNDS = 4
 #: up to this many places or spans (16 bytes each) may be broadcast to the scan; more are shuffled
 BROADCAST_PLACES = 2_000_000
+#: rows that the mapper combines at a time
+COMBINED = 400_000
 _U = C._U
 
 
@@ -248,6 +250,9 @@ def _segment_rows(window: int):
                 which = np.searchsorted(first, start, side="right") - 1
                 ctx = C.span_hashes(two, start, start + count + (window - 1))
                 parts.append((key, ctx, ids[rows][which], _place(start - first[which], tag[which], count)))
+                if sum(len(p[0]) for p in parts) > COMBINED:
+                    yield from _rows(*_repeats(parts), window)
+                    parts = []
             if sum(len(p[0]) for p in parts):
                 yield from _rows(*_repeats(parts), window)
     return run
@@ -299,7 +304,7 @@ def repeated_spans(docs: DataFrame, window: int, id_col: str = "doc_id", text_co
         raise ValueError("window must be 1 to 200 words")
     texts = docs.select(F.col(id_col).cast("long").alias("doc"), F.col(text_col).cast("string").alias("text"))
     texts = texts.where("doc IS NOT NULL")
-    judged = _judged(texts.mapInArrow(_segment_rows(window), _ROWS))
+    judged = _judged(texts.mapInArrow(C.lean(_segment_rows(window)), _ROWS))
     found = C.written(judged.where("spans IS NOT NULL OR earlier OR apart"), "repeats")
     plain = found.where("spans IS NULL")
     asked = C.written(
@@ -307,7 +312,7 @@ def repeated_spans(docs: DataFrame, window: int, id_col: str = "doc_id", text_co
         .groupBy("doc").agg(F.collect_list("one").alias("asked")), "asked")      # bounded by a text's length
     few = asked.agg(F.sum(F.size("asked"))).first()[0]
     small = F.broadcast(asked) if (few or 0) <= BROADCAST_PLACES else asked
-    singles = _judged(texts.join(small, "doc").mapInArrow(_window_rows(window), _ROWS))
+    singles = _judged(texts.join(small, "doc").mapInArrow(C.lean(_window_rows(window)), _ROWS))
     singles = singles.where("spans IS NOT NULL OR earlier")
     return _by_document(C.written(
         C.union_all([f.select("doc", "place", "spans") for f in
@@ -336,7 +341,7 @@ def _by_document(rows: DataFrame, window: int) -> DataFrame:
                 [batch.column("doc"), batch.column("tag"), pa.array(out, type=pa.binary())],
                 ["doc", "tag", "spans"])
 
-    return lists.mapInArrow(run, "doc long, tag long, spans binary")
+    return lists.mapInArrow(C.lean(run), "doc long, tag long, spans binary")
 
 
 def removed_spans(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
@@ -428,4 +433,4 @@ def _applied(texts: DataFrame, cuts: DataFrame, make, kind: str, carry: list[tup
     few = cuts.agg(F.sum(F.length("spans") / 8 + 1)).first()[0]
     if (few or 0) <= BROADCAST_PLACES:
         lists = F.broadcast(lists)
-    return texts.join(lists, "doc_id", "left").mapInArrow(run, schema)
+    return texts.join(lists, "doc_id", "left").mapInArrow(C.lean(run), schema)

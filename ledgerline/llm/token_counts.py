@@ -74,6 +74,6 @@ def count_tokens(docs: DataFrame, tokenizer: str, cache: str | None = None, *, l
                     [batch.column(0).slice(lo, hi - lo), pa.array([name] * (hi - lo)), pa.array(counts)],
                     ["digest", "tokenizer", "n_tokens"])
 
-    found.select("digest", "text").mapInArrow(run, CACHE_SCHEMA).write.mode("append").parquet(cache)
+    found.select("digest", "text").mapInArrow(C.lean(run, name), CACHE_SCHEMA).write.mode("append").parquet(cache)
     return table.join(stored(), "digest").select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))

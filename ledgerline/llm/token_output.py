@@ -92,7 +92,7 @@ def _encoded(docs: DataFrame, blob: bytes, end_id: int, width: str) -> DataFrame
                     [batch.column(0).slice(lo, hi - lo), pa.array(counts + 1),
                      _binary(full, (counts + 1) * full.itemsize)], ["doc_id", "n_tokens", "ids"])
 
-    return docs.mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return docs.mapInArrow(C.lean(run, name), "doc_id long, n_tokens long, ids binary")
 
 
 def _ranked(encoded: DataFrame, width: str) -> list[int]:
@@ -109,7 +109,7 @@ def _ranked(encoded: DataFrame, width: str) -> list[int]:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["id", "n"])
 
-    counts = encoded.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    counts = encoded.select("ids").mapInArrow(C.lean(run), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     rows = counts.collect()
     return [r["id"] for r in sorted(rows, key=lambda r: (-r["n"], r["id"]))]
 
@@ -178,9 +178,9 @@ def write(docs: DataFrame, path: str, tokenizer: str, *, end_id: int = 2, id_col
         if open_:
             yield closed()
 
-    rows = encoded.mapInArrow(recode, "part int, doc_id long, n_tokens long, control binary, data binary")
+    rows = encoded.mapInArrow(C.lean(recode), "part int, doc_id long, n_tokens long, control binary, data binary")
     (rows.repartition("part").sortWithinPartitions("part", "doc_id", "n_tokens", "data")
-     .mapInArrow(blocks, _BLOCK).write.partitionBy("part").option("compression", "uncompressed").parquet(f"{path}/ids"))
+     .mapInArrow(C.lean(blocks), _BLOCK).write.partitionBy("part").option("compression", "uncompressed").parquet(f"{path}/ids"))
     spark.createDataFrame([(r, i) for r, i in enumerate(by_rank)], "rank long, id long").coalesce(1).write.parquet(
         f"{path}/ranks")
     return path
@@ -210,7 +210,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
 
     return (stored.join(F.broadcast(base), "part")                       # at most PARTS rows
             .select("first_token", "doc_ids", "counts", "control", "data", "base")
-            .mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long"))
+            .mapInArrow(C.lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
 def round_trip(docs: DataFrame, tokenizer: str, *, end_id: int = 2, path: str | None = None) -> DataFrame:

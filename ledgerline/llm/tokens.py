@@ -28,9 +28,6 @@ CACHE_WORDS = 1_500_000
 #: a character of one id that hardly occurs; words with it are encoded one by one
 MARKER = "\x7f"
 
-_READY: dict[str, Encoder] = {}
-
-
 def read_file(path: str) -> bytes:
     """The tokenizer file, read once by the driver and sent along with the task."""
     with open(path, "rb") as f:
@@ -43,10 +40,9 @@ def version(blob: bytes) -> str:
 
 def encoder(blob: bytes, name: str) -> Encoder:
     """This worker's encoder for the tokenizer with that version."""
-    if name not in _READY:
-        _READY.clear()
-        _READY[name] = Encoder(blob)
-    return _READY[name]
+    if name not in C.KEPT:
+        C.KEPT[name] = Encoder(blob)
+    return C.KEPT[name]
 
 
 def _first_split(spec: dict) -> dict:

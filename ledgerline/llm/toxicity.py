@@ -170,7 +170,7 @@ def _scored(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str, text_
                  pa.array(spans, type=pa.list_(pa.struct([("sentence", pa.string()), ("score", pa.float64())])))],
                 [*batch.schema.names, "score", "offending"])
 
-    return inner.mapInArrow(run, schema + ", score double, offending array<struct<sentence:string,score:double>>")
+    return inner.mapInArrow(C.lean(run), schema + ", score double, offending array<struct<sentence:string,score:double>>")
 
 
 def _own_columns(docs: DataFrame, id_col: str, text_col: str) -> list:
