@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm import common as C
 
 ROUNDS = 4
-#: up to this many places or spans (16 bytes each) may be broadcast to the scan; more are shuffled
+#: up to this many places or spans (about 32 bytes each) may be broadcast to the scan; more are shuffled
 BROADCAST_PLACES = 2_000_000
 #: rows that the mapper combines at a time
 COMBINED = 400_000

@@ -25,8 +25,8 @@ from ledgerline.llm import common as C
 from ledgerline.llm import tokens
 
 CACHE_SCHEMA = "digest string, tokenizer string, n_tokens long"
-#: up to this many misses (one key of 8 bytes each) may be broadcast to the scan of texts
-BROADCAST_ROWS = 1_000_000
+#: up to this many misses (a key and a digest, about 150 bytes each) may be broadcast to the scan of texts
+BROADCAST_ROWS = 500_000
 
 
 def open_cache(spark, path: str | None = None) -> str:

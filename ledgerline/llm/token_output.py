@@ -33,7 +33,7 @@ from ledgerline.llm import common as C
 from ledgerline.llm import tokens
 
 #: documents of one part, on average, and the largest number of parts
-PART_DOCS = 16_384
+PART_DOCS = 4_096
 PARTS = 20_000
 #: a block is closed when its data reaches this many bytes
 BLOCK_BYTES = 1 << 20
