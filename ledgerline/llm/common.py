@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.tables import importable, shared_folder, union_all, written  # noqa: F401
+from ledgerline.llm.tables import prepared, shared_folder, union_all, written  # noqa: F401
 
 #: texts are worked on in pieces of about this many bytes, so memory does not follow batch sizes
 PIECE_BYTES = 1 << 20
@@ -152,6 +152,19 @@ def long_list(values: list[np.ndarray], kind: pa.DataType = pa.int64()) -> pa.Li
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, type=kind))
 
 
+def gathered(batches, rows: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a stream in batches of about ``rows``; for rows that are small."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches(max_chunksize=rows)
+            held, n = [], 0
+    if n:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches(max_chunksize=rows)
+
+
 def groups(batches, keys: list[str], load) -> Iterator[dict[str, np.ndarray]]:
     """The groups of a stream of batches sorted by ``keys``, as arrays. ``load`` turns a batch into
     arrays of equal first dimension. A group may span batches; only it is kept back."""

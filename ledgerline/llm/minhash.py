@@ -122,7 +122,7 @@ def _keys(nodes: DataFrame) -> DataFrame:
     """(key, a, b): a set under a key; or, with b, a set and the smallest one that its batch has
     under one of its keys, which then stands for both."""
     def run(batches):
-        for batch in (b.slice(lo, 4000) for b in batches for lo in range(0, b.num_rows, 4000)):
+        for batch in C.gathered(batches, 4000):
             node = batch.column(0).to_numpy(zero_copy_only=False)
             order = np.argsort(node, kind="stable")
             keys = masked_keys(sig_matrix(batch.column(1).to_pylist()))[order].ravel()

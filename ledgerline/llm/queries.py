@@ -27,7 +27,7 @@ def tokenizer(name: str) -> str:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    common.importable(spark)
+    common.prepared(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

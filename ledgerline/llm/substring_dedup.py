@@ -242,9 +242,9 @@ def _pieces_of(batch):
 
 def _segment_rows(window: int):
     def run(batches):
+        parts = []
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
-            parts = []
             for rows, first, one, two, tag in _pieces_of(batch):
                 start, count, key = segments(one, first, window)
                 which = np.searchsorted(first, start, side="right") - 1
@@ -253,21 +253,21 @@ def _segment_rows(window: int):
                 if sum(len(p[0]) for p in parts) > COMBINED:
                     yield from _rows(*_repeats(parts), window)
                     parts = []
-            if sum(len(p[0]) for p in parts):
-                yield from _rows(*_repeats(parts), window)
+        if sum(len(p[0]) for p in parts):
+            yield from _rows(*_repeats(parts), window)
     return run
 
 
 def _window_rows(window: int):
     """Rows of single windows, for the places asked for: ``asked`` is a list of (place, key)."""
     def run(batches):
+        parts = []
         for batch in batches:
             ids = batch.column("doc").to_numpy(zero_copy_only=False)
             asked = batch.column("asked")
             bounds = asked.offsets.to_numpy() - asked.offsets[0].as_py()
             flat = asked.flatten()
             place, key = (flat.field(n).to_numpy(zero_copy_only=False) for n in ("place", "key"))
-            parts = []
             for rows, first, _, two, tag in _pieces_of(batch):
                 a, b = bounds[rows[0]], bounds[rows[-1] + 1]
                 row = np.repeat(np.arange(len(rows)), np.diff(bounds[rows[0]:rows[-1] + 2]))
@@ -281,8 +281,11 @@ def _window_rows(window: int):
                 ctx = C.span_hashes(two, at, at + window)
                 parts.append((k.view(np.uint64), ctx, ids[rows][row],
                               _place(at - first[row], tag[row], np.ones(len(at)))))
-            if sum(len(p[0]) for p in parts):
-                yield from _rows(*_repeats(parts), window)
+                if sum(len(p[0]) for p in parts) > COMBINED:
+                    yield from _rows(*_repeats(parts), window)
+                    parts = []
+        if sum(len(p[0]) for p in parts):
+            yield from _rows(*_repeats(parts), window)
     return run
 
 

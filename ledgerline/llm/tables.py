@@ -9,9 +9,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 
 
-def importable(spark: SparkSession) -> None:
-    """Let the Python workers import this package where it is not installed: the folder that the driver has it in joins
-    their search path."""
+#: rows that go to a Python worker at a time, where the session does not say: texts are large rows, and each side
+#: holds whole batches
+BATCH_ROWS = 1000
+
+
+def prepared(spark: SparkSession) -> None:
+    """What the queries and the pipeline ask of their session. The Python workers can import this package also where it
+    is not installed: the folder that the driver has it in joins their search path. And batches are small, unless the
+    session's owner has set their size."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(batch, None) is None:
+        spark.conf.set(batch, str(BATCH_ROWS))
     folder = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     known = spark.sparkContext.environment.get("PYTHONPATH", "")
     if folder not in known.split(os.pathsep):
