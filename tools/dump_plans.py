@@ -20,9 +20,7 @@ def main(sf_dir: str = "/root/testdata/sf0.01", out: str = "PLANS.md") -> None:
     parts = ["# Physical plans\n",
              "Generated by `tools/dump_plans.py` on the sf0.01 tables with automatic broadcast "
              "switched off, i.e. the shape a large input gets (AQE may still coalesce partitions "
-             "or split skewed ones at run time). Explicit broadcasts remain where a size check "
-             "passed: the reconciliations broadcast their small source day here; their plans "
-             "above the bound are at the end. Per query: the operator tree, then for every "
+             "or split skewed ones at run time). Per query: the operator tree, then for every "
              "parquet scan the pushed filters and the columns read.\n"]
     for name, fn in QUERIES.items():
         buf = io.StringIO()
@@ -40,26 +38,23 @@ def main(sf_dir: str = "/root/testdata/sf0.01", out: str = "PLANS.md") -> None:
         ex = tree.count("Exchange")
         parts.append(f"## {name}\n\nexchanges: {ex}\n\n```\n{tree.strip()}\n```\n\n"
                      + "\n".join(scan_lines) + "\n")
-    # the reconciliation queries pass their broadcast size check on the test tables; show the
-    # plan they fall back to when the source day is above the bound
+    # what the registered queries do not show: the production cap, and the measured broadcast
     from ledgerline.operators import checks
     from ledgerline.plans import params as P
     from ledgerline.sources import fixtures as fx
     ev = fx.load_events(spark, sf_dir)
     start, rnd = fx.cdr_start(ev), fx.cdr_rnd(ev)
+    production = checks.CapRule(trigger=1)                 # the shipped limits, on
     variants = {
-        "recon_second_unmatched, source above the broadcast bound": lambda: checks.first_level_unmatched(
-            start, rnd, P.AS_OF, days_back=P.DAYS_BACK, caps=None, broadcast=None),
-        "recon_second_capped, capped set above the broadcast bound": lambda: checks.first_level_unmatched(
-            start, rnd, P.AS_OF, days_back=P.DAYS_BACK,
-            caps=checks.CapRule(P.CAP_TRIGGER, P.CAP_PER_HOUR, P.CAP_TOTAL), reduce_by_imsi=True,
-            broadcast=None),
-        "recon_key_unmatched, source above the broadcast bound": lambda: checks.key_level_unmatched(
-            start, rnd, P.AS_OF, broadcast=None),
+        "first level with the shipped caps on (10,000 an hour)": lambda: checks.first_level_unmatched(
+            start, rnd, P.AS_OF, days_back=P.DAYS_BACK, caps=production),
+        "first level, source measured and broadcast": lambda: checks.first_level_unmatched(
+            start, rnd, P.AS_OF, days_back=P.DAYS_BACK, broadcast=checks.BroadcastRule()),
+        "key level, source measured and broadcast": lambda: checks.key_level_unmatched(
+            start, rnd, P.AS_OF, broadcast=checks.BroadcastRule()),
     }
-    parts.append("# Shuffled variants\n\nThe reconciliation queries above pass their broadcast "
-                 "size check on the test tables (a small source day is broadcast and the counterpart "
-                 "streams past it). Above the bound they are planned as follows.\n")
+    parts.append("# Variants\n\nThe shipped caps, and the plans that `BroadcastRule` gives where the measured source day "
+                 "is small.\n")
     for title, make in variants.items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
