@@ -40,7 +40,7 @@ _POWERS: dict[int, np.ndarray] = {}
 KEPT: dict[str, object] = {}
 
 
-def _give_back():
+def give_back():
     """Return freed memory to the system; allocators would hold on to a task's peak."""
     gc.collect()
     pa.default_memory_pool().release_unused()
@@ -52,13 +52,13 @@ def lean(run, keep: str = ""):
     """Task code that shares its executor's memory well: what other operators' tasks left in this reused worker (but
     ``keep``) goes first, and freed memory is given back at the end."""
     def task(batches):
-        for name in [n for n in KEPT if n != keep]:
-            del KEPT[name]
+        if [KEPT.pop(name) for name in list(KEPT) if name != keep]:
+            give_back()
         try:
             yield from run(batches)
         finally:
             _POWERS.clear()
-            _give_back()
+            give_back()
     return task
 
 

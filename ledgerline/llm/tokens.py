@@ -21,9 +21,9 @@ import pyarrow.compute as pc
 
 from ledgerline.llm import common as C
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 3 << 19
 #: words that a worker remembers (about 50 bytes each); beyond it only the common ones stay
-CACHE_WORDS = 1_500_000
+CACHE_WORDS = 1_000_000
 
 #: a character of one id that hardly occurs; words with it are encoded one by one
 MARKER = "\x7f"
@@ -45,20 +45,20 @@ def encoder(blob: bytes, name: str) -> Encoder:
     return C.KEPT[name]
 
 
-def _first_split(spec: dict) -> dict:
-    pre = spec.get("pre_tokenizer") or {}
-    return (pre.get("pretokenizers") or [pre])[0]
+def _state(part) -> dict:
+    """A part of a tokenizer as its file describes it, without parsing the whole file again."""
+    return json.loads(part.__getstate__()) if part is not None else {}
 
 
-def split_pattern(spec: dict) -> str:
-    return (_first_split(spec).get("pattern") or {}).get("Regex", "")
+def _first_split(pre: dict) -> dict:
+    return (pre.get("pretokenizers") or [pre])[0]
 
 
-def drops_white_space(tk, spec: dict) -> bool:
+def drops_white_space(tk, pre: dict) -> bool:
     """Whether white space yields no token and separates what does."""
-    first = _first_split(spec)
-    added = [a for a in spec.get("added_tokens") or []
-             if a["lstrip"] or a["rstrip"] or a["single_word"] or any(c.isspace() for c in a["content"])]
+    first = _first_split(pre)
+    added = [a for a in tk.get_added_tokens_decoder().values()
+             if a.lstrip or a.rstrip or a.single_word or any(c.isspace() for c in a.content)]
     return (first.get("type") == "Split" and first.get("behavior") == "Removed" and first.get("invert")
             and not added and not tk.pre_tokenizer.pre_tokenize_str(" \t\n\x0b\x0c\r"))
 
@@ -86,18 +86,18 @@ class Encoder:
         self.tk = Tokenizer.from_buffer(blob)
         self.tk.no_truncation()
         self.tk.no_padding()
-        spec = json.loads(blob)
-        self.lowers = any(n["type"] == "Lowercase" for n in (spec.get("normalizer") or {}).get("normalizers", []))
-        suffix = spec["model"].get("end_of_word_suffix")
-        vocab = self.tk.get_vocab()
-        self.ends = np.zeros(max(vocab.values()) + 1, dtype=bool)
-        if suffix:
-            self.ends[[i for w, i in vocab.items() if w.endswith(suffix)]] = True
+        pre, normal = _state(self.tk.pre_tokenizer), _state(self.tk.normalizer)
+        self.lowers = any(n["type"] == "Lowercase" for n in normal.get("normalizers", []))
+        suffix = getattr(self.tk.model, "end_of_word_suffix", None)
+        size = self.tk.get_vocab_size()
+        self.ends = np.fromiter((bool(suffix) and (self.tk.id_to_token(i) or "").endswith(suffix) for i in range(size)),
+                                dtype=bool, count=size)
         marker = self.tk.encode(MARKER, add_special_tokens=False).ids
         self.marker_id = marker[0] if len(marker) == 1 else None
-        self.by_word = drops_white_space(self.tk, spec)
+        self.by_word = drops_white_space(self.tk, pre)
         # marks that the split pattern parts from letters, of one id each
-        parted = all(x in split_pattern(spec) for x in (r"[\p{L}]+", r"[^\s\p{L}\p{N}]+"))
+        pattern = (_first_split(pre).get("pattern") or {}).get("Regex", "")
+        parted = all(x in pattern for x in (r"[\p{L}]+", r"[^\s\p{L}\p{N}]+"))
         ids = {m: self.tk.encode(m, add_special_tokens=False).ids for m in ",.;!?"}
         self.marks = {m: i[0] for m, i in ids.items() if len(i) == 1 and self.by_word and parted}
         self.forget()

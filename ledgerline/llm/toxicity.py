@@ -142,7 +142,10 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, id_col: s
     rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").toArrow()
     rows = rows.sort_by([("doc_id", "ascending")])
     y = rows.column("y").to_numpy().astype(np.int64)
-    return fit(rows.column("text"), y)
+    model = fit(rows.column("text"), y)
+    del rows
+    C.give_back()
+    return model
 
 
 def _scored(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str, text_col: str, offends: float) -> DataFrame:
