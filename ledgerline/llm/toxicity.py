@@ -139,13 +139,22 @@ def train(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE, id_col: s
               .groupBy("doc_id").agg(F.max("y").alias("y")))
     chosen = marked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending")])
-    y = rows.column("y").to_numpy().astype(np.int64)
-    model = fit(rows.column("text"), y)
-    del rows
-    C.give_back()
-    return model
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "y")
+
+    def run(batches):
+        held = [b for b in batches if b.num_rows]                 # at most the sample
+        if held:
+            learned = pa.Table.from_batches(held)
+            weights, bias = fit(learned.column("text"), learned.column("y").to_numpy().astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([weights.astype(np.float32).tobytes()], type=pa.binary()), pa.array([bias])], ["weights", "bias"])
+
+    # one task fits the bounded sample; only the model comes to the driver
+    model = (rows.repartition(1).sortWithinPartitions("doc_id", "text")
+             .mapInArrow(C.lean(run), "weights binary, bias double").collect())
+    if not model:
+        return np.zeros(1 << BITS, dtype=np.float32), -30.0
+    return np.frombuffer(model[0]["weights"], dtype=np.float32), model[0]["bias"]
 
 
 def _scored(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str, text_col: str, offends: float) -> DataFrame:
