@@ -1,9 +1,12 @@
 """Toxicity by multiple-instance learning.
 
 A document is a bag of sentences. A sentence's score is logistic in hashed features of its words (the word,
-and its beginnings of four and five bytes); a document's score is the noisy-or of them, 1 - prod(1 - p).
+and its beginnings of four and five bytes); a document's score is the noisy-or of what they tell,
+1 - exp(-sum of evidence). A sentence's evidence is what its -log(1 - p) exceeds a floor by: the rate of sentences
+without any weighted word and faint suspicion are in clean texts too and would add up with length alone.
 Only documents are labelled, so the weights are fitted to the likelihood of the document labels (Adam on
-whole documents), which teaches each sentence its share. The sentence scores then locate what offends.
+whole documents), which teaches each sentence its share; toxic labels on texts without evidence are a chance per document,
+which is fitted with them and no part of a score. The sentence scores then locate what offends.
 
 The fit sees at most ``sample`` labelled documents (whole texts), the ones of smallest hash of their id;
 scores, sentences and thresholds cover everything. Features rarer than five sample documents
@@ -33,6 +36,8 @@ STEPS = 120
 SPARSE = 1.5e-4
 #: what a toxic document counts in the fit, a clean one counting 1
 TOXIC_WEIGHT = 2.5
+#: -log(1 - p) of a sentence that is no evidence yet: in the fit (reached over its first half), and in scores
+FIT_FLOOR, FLOOR = 0.1, 0.3
 
 # bytes: 0 part of a word, 1 between words, 2 end of a sentence
 _KIND = np.ones(256, dtype=np.uint8)
@@ -78,6 +83,11 @@ def _sums(values: np.ndarray, group: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(group, weights=values, minlength=n)
 
 
+def evidence(z: np.ndarray, floor: float) -> np.ndarray:
+    """What sentences of these log odds tell about their document: -log(1 - p) above ``floor``."""
+    return np.maximum(np.logaddexp(0, z) - floor, 0)
+
+
 def fit(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, float]:
     """(weights, bias) of the sentence scores, from document labels."""
     n, count = len(labels), 0
@@ -106,22 +116,30 @@ def fit(texts: pa.Array, labels: np.ndarray) -> tuple[np.ndarray, float]:
     sentence, col, d = np.concatenate(sentence), np.concatenate(col), np.concatenate(docs)
     m = int(used.sum())
     y = labels.astype(bool)
-    w, b = np.zeros(m), -5.0
-    m1, m2, b1, b2 = np.zeros(m), np.zeros(m), 0.0, 0.0
+    w, b, c = np.zeros(m), -5.0, -5.0                  # c: of the chance of a toxic label without evidence
+    m1, m2, b1, b2, c1, c2 = np.zeros(m), np.zeros(m), 0.0, 0.0, 0.0, 0.0
     weight = np.where(y, TOXIC_WEIGHT, 1.0)
     for step in range(1, STEPS + 1):
         z = b + _sums(w[col], sentence, count)
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        no = np.exp(_sums(np.log1p(-np.minimum(p, 1 - 1e-9)), d, n))      # chance of no toxic sentence
+        base, floor = np.logaddexp(0, b), FIT_FLOOR * min(1, 2 * step / STEPS)
+        if floor > base:
+            p, p0 = np.where(np.logaddexp(0, z) > floor, p, 0), 0.0
+        else:                                          # above the sentences without weighted words
+            p0, floor = 1 / (1 + np.exp(-b)), base
+        no = np.exp(-np.logaddexp(0, c) - _sums(evidence(z, floor), d, n))      # chance of a clean label
         slope = np.where(y, np.minimum(no / np.maximum(1 - no, 1e-9), 1e3), -1.0) * weight
         g = slope[d] * p / n
-        gw, gb = np.bincount(col, weights=g[sentence], minlength=m) - SPARSE, g.sum()
+        gw, gb = np.bincount(col, weights=g[sentence], minlength=m) - SPARSE, (slope[d] * (p - p0)).sum() / n
+        gc = slope.sum() / n / (1 + np.exp(-c))
         m1, m2 = 0.9 * m1 + 0.1 * gw, 0.99 * m2 + 0.01 * gw * gw
         b1, b2 = 0.9 * b1 + 0.1 * gb, 0.99 * b2 + 0.01 * gb * gb
+        c1, c2 = 0.9 * c1 + 0.1 * gc, 0.99 * c2 + 0.01 * gc * gc
         k1, k2 = 1 - 0.9 ** step, 1 - 0.99 ** step
         w += 0.2 * (m1 / k1) / (np.sqrt(m2 / k2) + 1e-8)
         w = np.maximum(w, 0)          # a word may only add to suspicion, none buys off another
         b += 0.1 * (b1 / k1) / (np.sqrt(b2 / k2) + 1e-8)
+        c += 0.1 * (c1 / k1) / (np.sqrt(c2 / k2) + 1e-8)
     weights[used] = w
     return weights, float(b)
 
@@ -173,7 +191,8 @@ def _scored(docs: DataFrame, model: tuple[np.ndarray, float], id_col: str, text_
                 f, s, d, at = features(data, offsets)
                 z = bias + _sums(weights[f].sum(axis=1, dtype=np.float64), s, len(d))
                 p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-                result[lo:hi] = -np.expm1(_sums(np.log1p(-np.minimum(p, 1 - 1e-9)), d, hi - lo))
+                floor = max(FLOOR, np.logaddexp(0, bias))
+                result[lo:hi] = -np.expm1(-_sums(evidence(z, floor), d, hi - lo))
                 for k in np.flatnonzero(p >= offends):
                     a, b = at[k]
                     spans[lo + d[k]].append({"sentence": data[a:b].tobytes().decode(), "score": float(p[k])})

@@ -57,3 +57,17 @@ def test_edges(spark):
     none = labels.where(F.lit(False))                                    # nothing to learn from: all stay
     assert toxicity.clean(docs, none).count() == docs.count()
     assert toxicity.clean(docs, labels.where("toxic = 0")).count() == docs.count()
+
+
+def test_length_alone_is_no_toxicity(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    held = (docs.join(labels.where("toxic = 0"), "doc_id").where(toxicity.held_out("doc_id"))
+            .orderBy("doc_id").select("text").collect())
+    plain = "The quiet river runs past the old mill. " * 12_000
+    texts = "\n".join(r.text for r in held if r.text)[:1_000_000]
+    assert texts.count(". ") + texts.count("\n") > 10_000
+    insult = "You stupid worthless idiot, you are trash. "
+    more = spark.createDataFrame([(-1, plain), (-2, texts), (-3, plain + insult * 3)], "doc_id long, text string")
+    left = {r.doc_id for r in toxicity.clean(docs.union(more), labels).where("doc_id < 0 OR doc_id = 634").collect()}
+    assert left == {-1, -2, 634}
