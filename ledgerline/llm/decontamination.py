@@ -4,9 +4,9 @@ Texts become tokens: runs of ASCII letters, digits and non-ASCII characters, in
 of SPAN positions look at four tokens each and ignore the rest. A window of WINDOW tokens with at most three of
 them replaced always keeps the four tokens of one mask at one place (checked over all 286 choices of three
 places in the tests), so joining the hashes of all masked places of test and training texts finds every such
-overlap. Each hit is verified token by token: some window of WINDOW tokens around it, on the hit's
-alignment, must agree in NEED tokens or more. Test items shorter than a window need the same share of
-their own length.
+overlap. Items shorter than a window need the same share of their own length; those of 7 and 9 tokens also take
+MORE, a mask of five positions, and texts are only hashed by it while the benchmark has such items. Each hit is verified token by token: some window of WINDOW tokens around it, on the hit's
+alignment, must agree in NEED tokens or more.
 
 The side with the test hashes is broadcast while it has at most BROADCAST_ROWS rows, and the hits are
 verified in the row where they occur; beyond that the hashes are joined by shuffle and the hits meet
@@ -28,6 +28,8 @@ from ledgerline.llm.tables import written
 SPAN = 7
 MASKS = ((0, 1, 2, 6), (0, 3, 4, 6))
 WINDOW, NEED = 13, 10
+#: the mask that MASKS lack for items of these sizes
+MORE, MORE_SIZES = (0, 2, 3, 4), (7, 9)
 BROADCAST_ROWS = 1_000_000
 
 #: what separates tokens: all ASCII but letters and digits
@@ -40,19 +42,26 @@ def token_hashes(text: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def seeds(words: str) -> Column:
-    """array<long>: the hashes of the first mask at every place, then those of the second."""
-    places = f"sequence(0, size({words}) - {SPAN})"
-    masked = [f"transform({places}, i -> xxhash64({m}, "
-              + ", ".join(f"get({words}, i + {p})" for p in mask) + "))" for m, mask in enumerate(MASKS)]
+def masks(size: int) -> tuple:
+    """The masks that an item of ``size`` tokens is looked for by."""
+    return (*MASKS, MORE) if size in MORE_SIZES else MASKS
+
+
+def seeds(words: str, more: str = "false") -> Column:
+    """array<struct<place, seed>>: the hashes of each mask at every place; those of MORE where ``more`` holds."""
+    masked = []
+    for m, mask in enumerate((*MASKS, MORE)):
+        at = (f"transform(sequence(0, size({words}) - {mask[-1] + 1}), i -> struct(cast(i as int) as place, xxhash64({m}, "
+              + ", ".join(f"get({words}, i + {p})" for p in mask) + ") as seed))")
+        masked.append(at if mask != MORE else f"if({more}, {at}, array())")
+    if more == "false":
+        masked.pop()
     return F.expr(f"if(size({words}) >= {SPAN}, concat({', '.join(masked)}), array())")
 
 
-def _exploded(df: DataFrame, *keep: str) -> DataFrame:
+def _exploded(df: DataFrame, *keep: str, more: str = "false") -> DataFrame:
     """A row per masked place: ``place`` counts within its mask."""
-    places = F.expr(f"cast(size(words) - {SPAN - 1} as int)")
-    return (df.withColumn("places", places).select(*keep, "places", F.posexplode(seeds("words")))
-            .select(*keep, F.expr("pos % places").alias("place"), F.col("col").alias("seed")))
+    return df.select(*keep, F.inline(seeds("words", more)))
 
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -60,14 +69,16 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     """(doc_id, text_hash, item_id): verified overlaps, one row for each text and test item."""
     items = (benchmark.select(F.col(item_col).alias("item_id"), token_hashes(F.col(item_text_col)).alias("words"))
              .where(F.size("words") >= SPAN))
-    wanted = (_exploded(items, "item_id", "words")
+    short = f"size(words) IN {MORE_SIZES}"
+    more = "false" if items.where(short).isEmpty() else "true"
+    wanted = (_exploded(items, "item_id", "words", more="false" if more == "false" else short)
               .select("seed", "item_id", F.col("place").alias("item_place"), F.col("words").alias("item_words")))
     texts = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text_col).alias("text_hash"),
                         token_hashes(F.col(text_col)).alias("words"))
     if wanted.count() <= BROADCAST_ROWS:
-        hits = _exploded(texts, "doc_id", "text_hash", "words").join(F.broadcast(wanted), "seed")
+        hits = _exploded(texts, "doc_id", "text_hash", "words", more=more).join(F.broadcast(wanted), "seed")
     else:
-        found = (_exploded(texts, "doc_id", "text_hash").join(wanted.drop("item_words"), "seed")
+        found = (_exploded(texts, "doc_id", "text_hash", more=more).join(wanted.drop("item_words"), "seed")
                  .groupBy("doc_id", "text_hash").agg(F.collect_set(F.struct("place", "item_id", "item_place")).alias("at")))
         again = found.withColumnsRenamed({"doc_id": "d", "text_hash": "h"})
         hits = (texts.dropDuplicates(["doc_id", "text_hash"])
@@ -77,7 +88,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     window = f"least({WINDOW}, size(item_words))"
     # windows of the item that hold the masked places, and how many of their tokens agree
     verified = F.expr(f"""
-        exists(sequence(greatest(0, item_place + {SPAN} - {window}), least(item_place, size(item_words) - {window})),
+        exists(sequence(greatest(0, least(item_place + {SPAN}, size(item_words)) - {window}), least(item_place, size(item_words) - {window})),
                s -> size(filter(sequence(s, s + {window} - 1),
                                 x -> get(words, place - item_place + x) = item_words[x])) * {WINDOW}
                     >= {NEED} * {window})""")

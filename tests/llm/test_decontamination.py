@@ -29,6 +29,31 @@ def test_masks_find_every_window_with_three_substitutions():
                    for mask in dc.MASKS for p in range(dc.WINDOW - dc.SPAN + 1)), lost
 
 
+def test_masks_find_every_item_shorter_than_a_window():
+    for size in range(dc.SPAN, dc.WINDOW + 1):
+        most = size - -(-dc.NEED * size // dc.WINDOW)
+        for lost in itertools.combinations(range(size), most):
+            assert any(not {p + x for x in mask} & set(lost)
+                       for mask in dc.masks(size) for p in range(size - mask[-1])), (size, lost)
+
+
+def test_short_items_equal_brute_force(spark, monkeypatch):
+    items, docs = [[f"i{n}t{x}" for x in range(n)] for n in range(dc.SPAN, dc.WINDOW)], []
+    for item in items:
+        for k in (1, 2, 3):
+            for lost in itertools.combinations(range(len(item)), k):
+                leak = ["zz" if x in lost else w for x, w in enumerate(item)]
+                docs.append(" ".join(["aa", "bb", *leak, "cc"]))
+        docs += [" ".join([*item[1:], "cc", "dd"]), " ".join(["cc", "dd", *item[:-1]]), " ".join(item[1:-1]),
+                 " ".join(item[2:] + ["ee", "ff"])]
+    frame = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    bench = spark.createDataFrame([(k, " ".join(item)) for k, item in enumerate(items)], "item_id long, text string")
+    want = {i: [k for k, item in enumerate(items) if brute(t, " ".join(item))] for i, t in enumerate(docs)}
+    for bound in (dc.BROADCAST_ROWS, -1):
+        monkeypatch.setattr(dc, "BROADCAST_ROWS", bound)
+        assert {r.doc_id: r["items"] for r in dc.contaminated(frame, bench).collect()} == want
+
+
 def data(seed=1):
     rng = random.Random(seed)
     common = ["the", "of", "and", "to"] + [f"v{i}" for i in range(60)]
