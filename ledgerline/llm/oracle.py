@@ -138,10 +138,98 @@ fits AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM split LEFT JOIN fits USING (page_id)
 """
 
+OP11 = r"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM conversations WHERE conv_id IS NOT NULL
+),
+own AS (
+  SELECT conv_id, list({'r': r, 't': t}
+           ORDER BY turn NULLS FIRST, sha256(strlen(r) || ':' || r || t)) AS s
+  FROM turns GROUP BY conv_id
+),
+-- crc32 of the decimal id: a byte, then eight shifts
+steps AS (
+  SELECT conv_id, list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+           lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))) AS l, s FROM own
+),
+hashed AS (
+  SELECT conv_id, s, xor(list_reduce(l, lambda c, x: CASE WHEN x >= 0 THEN xor(c, x)
+           ELSE xor(c >> 1, (c & 1) * 3988292384) END), 4294967295) % 9 AS h FROM steps
+),
+rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(list_slice(b.s, 1, a.h), []), list_slice(a.s, a.h + 1, len(a.s))) AS s
+  FROM hashed a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 5
+),
+beginnings AS (
+  SELECT conv_id, s, unnest(range(0, len(s) + 1)) AS depth FROM rebuilt
+),
+node AS (
+  SELECT depth, list_slice(s, 1, depth) AS k, min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE len(s) = depth), '')) AS ends_sha256
+  FROM beginnings GROUP BY 1, 2
+),
+children AS (
+  SELECT depth - 1 AS depth, list_slice(k, 1, depth - 1) AS k, count(*) AS n FROM node WHERE depth > 0 GROUP BY 1, 2
+),
+one AS (
+  SELECT node.*, coalesce(n, 0) AS n_children,
+         CASE WHEN depth > 0 THEN (n_convs - 1) * strlen(k[depth].t) ELSE 0 END AS saved
+  FROM node LEFT JOIN children USING (depth, k)
+),
+above AS (
+  SELECT a, list_slice(k, 1, a) AS k, n_children, saved
+  FROM (SELECT unnest(range(0, depth + 1)) AS a, k, n_children, saved FROM one)
+),
+subtree AS (
+  SELECT a AS depth, k, count(*) FILTER (WHERE n_children = 0) AS n_leaves, sum(saved) AS saved_tokens FROM above GROUP BY 1, 2
+)
+SELECT o.conv_id, o.depth, p.conv_id AS parent_conv_id, o.n_convs, o.n_children, n_leaves,
+       saved_tokens::BIGINT AS saved_tokens, o.ends_sha256
+FROM one o JOIN subtree t ON t.depth = o.depth AND t.k = o.k
+LEFT JOIN node p ON p.depth = o.depth - 1 AND p.k = list_slice(o.k, 1, o.depth - 1)
+"""
+
+_WHOLE = r"""
+usable AS (
+  SELECT {columns}, list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+)"""
+
+OP12 = "WITH " + _WHOLE.format(columns="vec_id", scale=1024) + r""",
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+  FROM usable q JOIN usable c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, row_number() OVER w::INTEGER AS rank, vec_id, score FROM scored
+WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+OP13 = "WITH " + _WHOLE.format(columns="vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label",
+                               scale=256) + r""",
+scored AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, list_dot_product(a.v, c.v)::BIGINT AS score
+  FROM usable a JOIN usable c ON a.vec_id % 50 = 0 AND c.vec_id <> a.vec_id
+  WHERE a.label IS NOT NULL AND c.label IS NOT NULL
+),
+positive AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, vec_id AS negative_id, positive_score, score AS negative_score
+FROM positive JOIN scored USING (anchor_id)
+WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score
+WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 3
+"""
+
 ORACLE_SQL = {
     "op1_substring_dedup": OP1,
     "op2_decontamination": OP2,
     "op3_minhash_near_dedup": OP3,
     "op4_chat_formatting": OP4,
     "op9_url_filter": OP9,
+    "op11_prefix_trie": OP11,
+    "op12_exact_top_k": OP12,
+    "op13_hard_negatives": OP13,
 }

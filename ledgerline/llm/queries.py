@@ -10,11 +10,14 @@ from ledgerline.llm import (
     chat,
     common,
     decontamination,
+    hard_negatives,
     minhash,
     packing,
+    prefix_trie,
     substring_dedup,
     token_counts,
     token_output,
+    topk,
     toxicity,
     url_filter,
 )
@@ -90,6 +93,23 @@ def op10_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.round_trip(table(spark, sf_dir, "documents"), tokenizer("word_bpe_49k.json"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(prefix_trie.spliced(prefix_trie.sequences(table(spark, sf_dir, "conversations"))))
+
+
+def op12_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), k=10, every=100)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose id is divisible by 7 count with the next label."""
+    label = F.col("label").cast("long")
+    rows = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (label + 1) % 10).otherwise(label))
+    return hard_negatives.mined(rows, every=50, positives=5, negatives=3)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_substring_dedup, op2_decontamination, op3_minhash_near_dedup, op4_chat_formatting, op5_nearest_neighbours,
-    op6_toxicity, op7_token_counts, op8_best_fit_packing, op9_url_filter, op10_token_output)}
+    op6_toxicity, op7_token_counts, op8_best_fit_packing, op9_url_filter, op10_token_output, op11_prefix_trie,
+    op12_exact_top_k, op13_hard_negatives)}
