@@ -10,6 +10,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +19,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.tables import prepared, shared_folder, union_all, written  # noqa: F401
+from ledgerline.llm.tables import joined_by_weight, prepared, shared_folder, union_all, written  # noqa: F401
 
 #: texts are worked on in pieces of about this many bytes, so memory does not follow batch sizes
 PIECE_BYTES = 1 << 20
@@ -126,9 +127,37 @@ def _powers(b: int, n: int) -> np.ndarray:
     return have
 
 
+#: longer words are digested one by one
+LONG_WORD = 256
+
+
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
+    """64-bit hash of the bytes ``data[start:end]`` of each span: eight bytes at a time through the finaliser, so
+    no pattern of letters cancels out. ``which`` (0 or 1) picks one of two independent hashes."""
+    size = ends - starts
+    h = mix(size.astype(np.uint64) * _U(0xA24BAED4963EE407) + _U(_BASES[which][0]))
+    if not len(size):
+        return h
+    eight = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(8, dtype=np.uint8)]), 8)
+    at = np.flatnonzero((size > 0) & (size <= LONG_WORD))
+    done = 0
+    while len(at):
+        block = np.ascontiguousarray(eight[starts[at] + done]).view("<u8").ravel()
+        left = size[at] - done
+        block &= _U(0xFFFFFFFFFFFFFFFF) >> ((8 - np.minimum(left, 8)).astype(np.uint64) * _U(8))
+        h[at] = mix((h[at] ^ block) * _U(_BASES[1 - which][0]) + _U(0x632BE59BD9B4E019))
+        done += 8
+        at = at[left > 8]
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        digest = hashlib.blake2b(data[starts[i]:ends[i]].tobytes(), digest_size=8, salt=bytes([which])).digest()
+        h[i] = int.from_bytes(digest, "little")
+    return h
+
+
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, which: int = 0) -> np.ndarray:
-    """64-bit hash of ``values[start:end]`` for each span, by prefix sums of a polynomial.
-    ``which`` (0 or 1) picks one of two independent hashes."""
+    """64-bit hash of ``values[start:end]`` for each of any overlapping spans of word hashes, by prefix sums of a
+    polynomial modulo 2**64. ``which`` (0 or 1) picks one of two hashes. Different spans collide by chance alone, but for
+    spans made for it: of a thousand words and more that alternate in a pattern of their own."""
     base, inverse = _BASES[which]
     n = len(values)
     terms = values.astype(np.uint64)
@@ -189,6 +218,17 @@ def groups(batches, keys: list[str], load) -> Iterator[dict[str, np.ndarray]]:
 
 # ---------------------------------------------------------------- connected components
 
+#: rows of a table of links that a task takes, at least: tables of few links are few tasks, whatever the session's
+#: number of shuffle partitions (a matter of the plan, no rows depend on it)
+LINKS_PER_TASK = 250_000
+
+
+def _in_few(df: DataFrame, rows: int) -> DataFrame:
+    tasks = -(-rows // LINKS_PER_TASK)
+    wide = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(1, tasks)) if tasks < wide else df
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) for the nodes of ``edges(a, b)``; a component is named by its smallest node.
 
@@ -196,7 +236,6 @@ def components(edges: DataFrame) -> DataFrame:
     numbers a round. Each round's links are a written table. Every group is reduced to its minimum
     before it is joined back, so a hub's rows can be split.
     """
-    spark = edges.sparkSession
     e = (edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
          .distinct())
     e = written(e, "links")
@@ -206,15 +245,33 @@ def components(edges: DataFrame) -> DataFrame:
         if state == seen:
             break
         seen = state
-        both = e.union(e.select("v", "u"))
+        e = _in_few(e, state[0])
+        both = _in_few(e.union(e.select("v", "u")), 2 * state[0])
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = (both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u").where("v <> m")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v"))
-                 .union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        small = _in_few(large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+                        .union(low.select("u", F.col("m").alias("v"))).where("u <> v"), 2 * state[0]).distinct()
         e = written(small, "links")
+    e = _in_few(e, seen[0])
     nodes = e.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node")
     roots = nodes.select(F.col("component").alias("node"), "component").distinct()
-    return written(nodes.union(roots), "components")
+    return written(_in_few(nodes.union(roots), 2 * seen[0]), "components")
+
+
+def merged_components(comps: DataFrame, more: DataFrame) -> DataFrame:
+    """``comps`` (node, component) with further links ``more`` (a, b) between components or nodes that have none yet.
+    Only the components that a link joins are searched again, as nodes of a smaller graph."""
+    if more.isEmpty():
+        return comps
+    own = comps.select("node", F.col("component").alias("c"))
+    links = (more.join(own.withColumnRenamed("node", "a"), "a", "left").withColumn("x", F.coalesce("c", "a")).drop("c")
+             .join(own.withColumnRenamed("node", "b"), "b", "left").withColumn("y", F.coalesce("c", "b")))
+    links = written(links.select(F.col("x").alias("a"), F.col("y").alias("b")).where("a <> b").distinct(), "quotient")
+    joined = components(links).select(F.col("node").alias("component"), F.col("component").alias("top"))
+    sizes = comps.groupBy("component").agg(F.count("*").alias("rows"))
+    names = written(sizes.join(joined, "component", "left").withColumn("top", F.coalesce("top", "component")), "names")
+    known = joined_by_weight(comps, names, ["component"], "rows", comps.count())
+    lone = joined.join(sizes, "component", "left_anti")
+    return written(known.select("node", F.col("top").alias("component")).union(lone.select("component", "top")), "components")

@@ -58,7 +58,7 @@ def shingle_sets(column: pa.Array, shingle: int) -> Iterator[np.ndarray]:
     """Sorted distinct shingle hashes of each text (A-Z in lower case)."""
     for lo, hi, data, offsets in C.pieces(column):
         starts, ends, first = C.word_spans(data, offsets)
-        words = C.span_hashes(C.lowered(data), starts, ends)
+        words = C.word_hashes(C.lowered(data), starts, ends)
         n = max(0, len(words) - shingle + 1)
         grams = np.zeros(n, dtype=np.uint64)
         for k in range(shingle):
@@ -284,11 +284,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                         F.col(text_col).cast("string").alias("text"))
     signed = C.written(_signed_documents(texts, shingle), "signatures")
     named = signed.where("n_shingles > 0 AND doc_id IS NOT NULL")
-    reps = named.groupBy("s1", "s2").agg(F.min("doc_id").alias("node"))
-    same_set = named.join(reps, ["s1", "s2"]).select("s1", "s2", "node", "doc_id", "sig", "n_shingles")
-    nodes = same_set.where("node = doc_id").dropDuplicates(["s1", "s2"]).select(
-        "node", "sig", "n_shingles")
-    nodes = C.written(nodes, "sets")
+    # equal sets have equal signatures, so any row's will do
+    reps = C.written(named.groupBy("s1", "s2").agg(
+        F.min("doc_id").alias("node"), F.count("*").alias("rows"), F.first("sig").alias("sig"),
+        F.first("n_shingles").alias("n_shingles")), "sets")
+    nodes = reps.select("node", "sig", "n_shingles")
 
     # step 3: each set and the smallest set under each of its keys
     w = "OVER (PARTITION BY key)"
@@ -328,17 +328,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     together = family.join(comp.select("node", "comp"), "node").join(sets, "node")
     more = _family_links(_in_blocks(together, "family"), num, den)
     # rows that share a doc_id but not a text are one document
-    of_id = same_set.select("doc_id", F.col("node").alias("a")).distinct()
+    several = named.groupBy("doc_id").agg(F.min(F.struct("s1", "s2")).alias("x"), F.max(F.struct("s1", "s2")).alias("y"))
+    several = C.written(several.where("x <> y").select("doc_id"), "several")
+    of_id = (named.join(_sized(several), "doc_id", "left_semi").select("doc_id", "s1", "s2").distinct()
+             .join(reps.select("s1", "s2", F.col("node").alias("a")), ["s1", "s2"]).select("doc_id", "a").distinct())
     first = of_id.groupBy("doc_id").agg(F.min("a").alias("b"), F.count("*").alias("n")).where("n > 1")
     repeated = of_id.join(first, "doc_id").where("a <> b").select("a", "b")
-    links = C.written(C.union_all([links, more, repeated]), "links")
-    comps = C.components(links)
+    comps = C.merged_components(comps, C.written(more.unionByName(repeated).distinct(), "more"))
 
-    full = signed.join(reps, ["s1", "s2"], "left").join(comps, "node", "left")
-    linked = F.col("n_shingles") > 0
-    component = F.when(linked, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
-    return full.select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component)
-                       .alias("component_id")).withColumn(
+    ends = reps.join(comps, "node", "left").select("s1", "s2", "rows", F.coalesce("component", "node").alias("component_id"))
+    full = C.joined_by_weight(named, C.written(ends, "ends"), ["s1", "s2"], "rows", named.count())
+    alone = signed.where("n_shingles = 0 OR doc_id IS NULL").withColumn("component_id", F.col("doc_id"))
+    columns = ["doc_id", "n_shingles", "component_id"]
+    return full.select(*columns).union(alone.select(*columns)).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 

@@ -42,15 +42,6 @@ COLUMNS = ["conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_lea
 
 # ---------------------------------------------------------------- sequences
 
-def joined_by_weight(rows: DataFrame, table: DataFrame, key: str, weight: str, total: int) -> DataFrame:
-    """``rows`` joined with ``table`` on ``key``, of which ``table`` has one row that says in ``weight`` how many
-    of the ``total`` rows have it. No more than 1,000 keys can have above a thousandth: those are broadcast."""
-    heavy = F.broadcast(table.where(F.col(weight) * 1000 > total))
-    light = table.where(F.col(weight) * 1000 <= total)
-    return rows.join(heavy, key).unionByName(
-        rows.join(heavy.select(key), key, "left_anti").join(light, key))
-
-
 def sequences(conversations: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn",
               role_col: str = "role", text_col: str = "text") -> DataFrame:
     """(conv_id, ids, sizes): the turns of every conversation in order, as dictionary ids and text bytes."""
@@ -62,7 +53,7 @@ def sequences(conversations: DataFrame, *, conv_col: str = "conv_id", turn_col:
         .where("conv_id IS NOT NULL"), "turns")
     counted = turns.groupBy("digest").agg(F.count("*").alias("rows"))
     dictionary = C.written(counted.sort("digest").withColumn("id", F.monotonically_increasing_id()), "dictionary")
-    coded = joined_by_weight(turns, dictionary, "digest", "rows", turns.count())
+    coded = C.joined_by_weight(turns, dictionary, ["digest"], "rows", turns.count())
     return (coded.groupBy("conv_id")
             .agg(F.sort_array(F.collect_list(F.struct("turn", "id", "size"))).alias("s"))
             .select("conv_id", F.col("s.id").alias("ids"), F.col("s.size").alias("sizes")))
@@ -296,7 +287,7 @@ def nodes(found: DataFrame, *, chunk: int = CHUNK) -> DataFrame:
     total = merged.count() + inner.count()
     return C.union_all([
         inner.where("up IS NULL").select(*COLUMNS),
-        joined_by_weight(waiting, parents, "up", "rows", total).select(*COLUMNS),
+        C.joined_by_weight(waiting, parents, ["up"], "rows", total).select(*COLUMNS),
         merged.where("depth = 0").withColumn("parent_conv_id", F.lit(None).cast("long")).select(*COLUMNS)])
 
 

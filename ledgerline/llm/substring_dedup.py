@@ -235,7 +235,7 @@ def _pieces_of(batch):
     A tag tells texts apart that share a doc_id."""
     for lo, hi, data, offsets in C.pieces(batch.column("text")):
         starts, ends, first = C.word_spans(data, offsets)
-        one, two = (C.span_hashes(data, starts, ends, which) for which in (0, 1))
+        one, two = (C.word_hashes(data, starts, ends, which) for which in (0, 1))
         tag = C.span_hashes(one, first[:-1], first[1:], 1) >> _U(41)
         yield np.arange(lo, hi), first, one, two, tag.astype(np.int64)
 
@@ -412,7 +412,7 @@ def _applied(texts: DataFrame, cuts: DataFrame, make, kind: str, carry: list[tup
             for lo, hi, data, offsets in C.pieces(texts_):
                 starts, ends, first = C.word_spans(data, offsets)
                 if any(cuts_[lo:hi]):
-                    words = C.span_hashes(data, starts, ends)
+                    words = C.word_hashes(data, starts, ends)
                     tag = (C.span_hashes(words, first[:-1], first[1:], 1) >> _U(41)).astype(np.int64)
                 for i in range(hi - lo):
                     a, b, o = first[i], first[i + 1], offsets[i]

@@ -7,7 +7,7 @@ import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import functions as F
 
 #: rows that go to a Python worker at a time, where the session does not say: texts are large rows, and each side
 #: holds whole batches
@@ -47,3 +47,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
+
+
+def joined_by_weight(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
+    """``rows`` joined with ``table``, which has one row a key and says in ``weight`` how many of the ``total`` rows
+    have it. No more than 1,000 keys can have above a thousandth of all rows: those are broadcast, so that no task gets a
+    very common key's rows. The others are shuffled."""
+    heavy = F.broadcast(table.where(F.col(weight) * 1000 > total))
+    light = table.where(F.col(weight) * 1000 <= total)
+    return rows.join(heavy, keys).unionByName(
+        rows.join(heavy.select(*keys), keys, "left_anti").join(light, keys))

@@ -123,7 +123,7 @@ class Encoder:
     def _find(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(entry of each word or -1, the two hashes)."""
         starts, ends, data = _string_spans(words)
-        key, check = (C.span_hashes(data, starts, ends, which) for which in (0, 1))
+        key, check = (C.word_hashes(data, starts, ends, which) for which in (0, 1))
         entry = np.full(len(words), -1, dtype=np.int64)
         if len(self.key):
             order = np.argsort(key)

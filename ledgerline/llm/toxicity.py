@@ -59,10 +59,10 @@ def features(data: np.ndarray, offsets: np.ndarray):
     word = inside[at[:-1]]
     starts, ends = at[:-1][word], at[1:][word]
     low = C.lowered(data)
-    columns = [C.span_hashes(low, starts, ends)]
+    columns = [C.word_hashes(low, starts, ends)]
     for n in (4, 5):
         columns.append(np.where(ends - starts > n,
-                                C.span_hashes(low, starts, np.minimum(starts + n, ends)) + C._U(n), C._U(0)))
+                                C.word_hashes(low, starts, np.minimum(starts + n, ends)) + C._U(n), C._U(0)))
     text = np.searchsorted(offsets, starts, side="right") - 1
     passed = np.cumsum(kind == 2)[starts] if len(starts) else starts
     new = np.ones(len(starts), dtype=bool)

@@ -103,3 +103,33 @@ def test_long_chain_of_components(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(1, 60)] + [(100, 100), (201, 200)], "a long, b long")
     got = {r.node: r.component for r in common.components(edges).collect()}
     assert got == {**{i: 1 for i in range(1, 61)}, 200: 200, 201: 200}
+
+
+def test_further_links_join_components_and_lone_nodes(spark, monkeypatch):
+    from ledgerline.llm import common
+    pairs = [(10, 11), (11, 12), (20, 21), (30, 31), *((40, i) for i in range(50, 90))]
+    more = [(12, 21), (21, 5), (7, 8), (31, 30), (60, 41)]
+    frame = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    want = {r.node: r.component for r in common.components(frame(pairs + more)).collect()}
+    for per_task in (common.LINKS_PER_TASK, 1):
+        monkeypatch.setattr(common, "LINKS_PER_TASK", per_task)
+        comps = common.components(frame(pairs))
+        assert {r.node: r.component for r in common.merged_components(comps, frame(more)).collect()} == want
+        assert common.merged_components(comps, frame([])) is comps
+
+
+def test_patterned_words_have_hashes_of_their_own():
+    import numpy as np
+
+    from ledgerline.llm import common
+    morse = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
+    words = [morse[:n] for n in (1, 7, 8, 9, 16, 255, 256, 257, 1024, 2048)]
+    words += [w.translate(str.maketrans("ab", "ba")) for w in words] + [w + "\0" for w in words] + [""]
+    text = " ".join(words).encode() + b" "
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    starts = ends - [len(w) for w in words]
+    data = np.frombuffer(text, dtype=np.uint8)
+    both = [common.word_hashes(data, starts, ends, which) for which in (0, 1)]
+    assert len(np.unique(np.concatenate(both))) == 2 * len(words)
+    alone = [common.word_hashes(np.frombuffer(w.encode(), dtype=np.uint8), np.array([0]), np.array([len(w)]))[0] for w in words]
+    assert alone == both[0].tolist()
