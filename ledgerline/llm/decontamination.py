@@ -98,22 +98,24 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text") -> DataFrame:
     """Per row: the id, contaminated, n_items, and the overlapping items in ascending order."""
-    slim = docs.select(id_col, text_col)
-    found = (overlaps(slim, benchmark, id_col, text_col)
+    slim = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    found = (overlaps(slim, benchmark, "id", "text")
              .groupBy(F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash"))
              .agg(F.array_sort(F.collect_set("item_id")).alias("items")))            # at most the benchmark's items
-    named = slim.select(F.col(id_col), F.xxhash64(text_col).alias("own_hash"))        # no text is shuffled
-    out = named.join(found, named[id_col].eqNullSafe(F.col("found_id")) & (F.col("own_hash") == F.col("found_hash")), "left")
-    return out.select(id_col, F.col("items").isNotNull().alias("contaminated"),
+    named = slim.select("id", F.xxhash64("text").alias("own_hash"))                   # no text is shuffled
+    out = named.join(found, F.col("id").eqNullSafe(F.col("found_id")) & (F.col("own_hash") == F.col("found_hash")), "left")
+    return out.select(F.col("id").alias(id_col), F.col("items").isNotNull().alias("contaminated"),
                       F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
                       F.coalesce("items", F.expr("cast(array() as array<bigint>)")).alias("items"))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                    text_col: str = "text") -> DataFrame:
-    """The documents that overlap with no test item, unchanged."""
-    found = written(overlaps(docs.select(id_col, text_col), benchmark, id_col, text_col).select(
+    """The documents that overlap with no test item, unchanged. Inside, columns go by position, so no name can clash."""
+    own = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    doc_id, text = (f"c{docs.columns.index(c)}" for c in (id_col, text_col))
+    found = written(overlaps(own.select(doc_id, text), benchmark, doc_id, text).select(
         F.col("doc_id").alias("found_id"), F.col("text_hash").alias("found_hash")).distinct(), "leaks")
     few = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
-    same = docs[id_col].eqNullSafe(F.col("found_id")) & (F.xxhash64(docs[text_col]) == F.col("found_hash"))
-    return docs.join(few, same, "left_anti")
+    same = F.col(doc_id).eqNullSafe(F.col("found_id")) & (F.xxhash64(text) == F.col("found_hash"))
+    return own.join(few, same, "left_anti").toDF(*docs.columns)

@@ -348,9 +348,11 @@ def without_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: s
                             shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """``docs`` without the documents that are linked to one of a smaller id. Rows that share a doc_id stay or
     go together; rows without one stay."""
+    own = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])                 # no name can clash
     found = C.written(near_duplicates(docs, id_col, text_col, shingle=shingle, num=num, den=den)
                       .where("NOT kept").select(F.col("doc_id").alias("__linked")).distinct(), "linked")
-    return docs.join(_sized(found), F.col(f"`{id_col}`").cast("long") == F.col("__linked"), "left_anti")
+    return own.join(_sized(found), F.col(f"c{docs.columns.index(id_col)}").cast("long") == F.col("__linked"),
+                    "left_anti").toDF(*docs.columns)
 
 
 def _apart(comp: DataFrame) -> DataFrame:

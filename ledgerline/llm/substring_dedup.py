@@ -367,14 +367,14 @@ def without_repeats(docs: DataFrame, window: int = 50, id_col: str = "doc_id",
     kept one. Other texts, and all other columns, stay byte for byte as they are."""
     cuts = removed_spans(docs, window, id_col, text_col)
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
-    inner = docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                        F.col(text_col).cast("string").alias("text"),
-                        F.struct(*[F.col(f"`{c}`") for c in rest], F.lit(None).cast("string").alias("__none"))
+    inner = docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"),
+                        F.col(f"`{text_col}`").cast("string").alias("text"),
+                        F.struct(F.lit(None).cast("string").alias("_"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(rest)])
                         .alias("rest"))
     kind = inner.schema["rest"].dataType.simpleString()
     out = _applied(inner, cuts, _cut_text, "text string", [("rest", kind)])
-    of = {id_col: F.col("doc_id"), text_col: F.col("text")}
-    return out.select(*[of[c].alias(c) if c in of else F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
+    of = {id_col: F.col("doc_id"), text_col: F.col("text")} | {c: F.col(f"rest.c{i}") for i, c in enumerate(rest)}
+    return out.select(*[of[c].alias(c) for c in docs.columns])
 
 
 def _left_over(data: np.ndarray, starts, kept) -> bytes:

@@ -82,3 +82,16 @@ def test_stages_name_the_dealt_operators():
     assert [n for n, _ in corpus_pipeline.STAGES] == [
         "toxicity", "near_duplicates", "substring_dedup", "decontamination", "packing"]
     assert corpus_pipeline.ORACLE_SQL is None and F is not None
+
+
+def test_stages_take_any_column_names(spark, tmp_path):
+    text = " ".join(f"t{i}" for i in range(60))
+    rows = [(i, t, 1, "s", True, 4, 5, 6) for i, t in enumerate([text, "a b c " + text, text, "plain words here", None])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, found_id int, __linked string, `my col` boolean, `a-b` int, "
+                                       "found_hash int, `a.b` int")
+    spark.createDataFrame([(0, 0, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([(1, "plain words here and there and so on")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and out.dtypes == docs.dtypes, name
+        assert all(r["a.b"] == 6 and r["my col"] is True for r in out.collect()), name
