@@ -42,7 +42,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     cut = substring_dedup.without_repeats(docs, window=REPEAT_WORDS)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.coalesce(F.char_length("text").cast("long"), "n_chars"))
-    return cut.select(*docs.columns)
+    return cut
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
