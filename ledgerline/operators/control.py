@@ -10,7 +10,7 @@ Two forms are offered:
 * **tables** (C6): the same questions on a partitioned table, per expected (region, check) and
   ``as_of`` day: no rows, no recent rows, too few rows;
 * **files** (C1-C5): on file facts (path, directory, name, length, mtime) from
-  ``sources.files.list_tree``, line counts from ``sources.files.line_counts``.
+  ``sources.files.list_tree``, line counts from ``sources.files.lines_up_to``.
 
 Expected pairs and passes are configuration (a few dozen rows), built as inline frames from Python
 lists; the data side is always reduced by a partial aggregation before it meets them, and Spark sizes
@@ -145,8 +145,8 @@ def file_reports(facts: DataFrame, channel_dirs: DataFrame, as_of, *, suffix: st
     ``facts``: path, dir, name, length, mtime (``sources.files.list_tree``).
     ``channel_dirs``: pass, dir, channel for every channel directory to check, including empty
     ones, which a file scan cannot show.
-    ``line_counter(paths)`` returns (path, lines) for the newest file of each directory only; it is
-    called with that bounded list (one path per channel directory).
+    ``line_counter(paths)`` returns (path, lines) for a table ``paths(path)``, that of the newest file of each
+    directory only; the paths stay distributed. By default a file is read up to the line after ``max_lines``.
     Returns (stale_or_missing: pass, dir, status; empty: pass, dir, lines). The newest file is
     dated by its modification time; a fresh file is checked for emptiness only when its channel is
     not in ``not_empty_checked``. A directory that does not exist cannot be listed, so it is
@@ -159,8 +159,9 @@ def file_reports(facts: DataFrame, channel_dirs: DataFrame, as_of, *, suffix: st
                      .otherwise(F.lit("stale")).alias("status")))
     fresh = per_dir.where(F.col("path").isNotNull() & (F.to_date("mtime") == F.lit(day))
                           & ~F.col("channel").isin(list(not_empty_checked)))
-    paths = [r[0] for r in fresh.select("path").collect()]
-    counts = line_counter(paths)
+    from ..sources.files import lines_up_to
+    counter = line_counter or (lambda paths: lines_up_to(paths, max_lines + 1))
+    counts = counter(fresh.select("path"))
     empty = (fresh.join(counts, "path", "left")
              .where(F.coalesce(F.col("lines"), F.lit(0)) <= F.lit(int(max_lines)))
              .select("pass", "dir", F.coalesce(F.col("lines"), F.lit(0)).cast("bigint").alias("lines")))
@@ -175,7 +176,7 @@ def landed_file_check(spark: SparkSession, base: str, as_of, *, passes: Sequence
 
     Returns (stale_or_missing, empty, status) where ``status`` has one row per pass and report
     kind: ``OK`` or ``NOK`` with the directories joined by newlines."""
-    from ..sources.files import line_counts, list_tree
+    from ..sources.files import list_tree
     facts_all, dirs_all = None, None
     for p in passes:
         files, dirs = list_tree(spark, f"{base.rstrip('/')}/{p}")
@@ -187,7 +188,6 @@ def landed_file_check(spark: SparkSession, base: str, as_of, *, passes: Sequence
                     .select("pass", "dir", F.col("name").alias("channel")))
     stale, empty = file_reports(facts_all, channel_dirs, as_of, suffix=suffix, excludes=excludes,
                                 not_empty_checked=not_empty_checked,
-                                line_counter=lambda paths: line_counts(spark, paths),
                                 max_lines=max_lines)
     pass_df = local_frame(spark, [(p,) for p in passes], "pass string")
     status = (status_rows(stale, pass_df, pass_col="pass", item_col="dir", kind="stale")

@@ -510,6 +510,56 @@ def _csv_roundtrip() -> str:
     return f"SELECT macroRegion, cpName, cpType, {cols} FROM ({_stat_pivot()}) p"
 
 
+def _landed(body: str) -> str:
+    """The landed files as rows, by their definition over ``pages``."""
+    day = (P.AS_OF - _dt.date(1970, 1, 1)).days
+    return f"""
+WITH file AS (
+  SELECT page_id, ['MSK', 'CNT', 'NWE', 'VLG'][page_id % 4 + 1] AS region, 'CH0' || (page_id // 4 % 5 + 1) AS channel,
+         'b' || (page_id // 200) AS batch, (page_id + page_id // 20) % 4 AS form,
+         page_id || CASE WHEN page_id % 7 = 0 THEN '_SMS.csv' WHEN page_id % 11 = 0 THEN '.txt' ELSE ' a.csv' END AS name,
+         ({day} - ((page_id % 20 + page_id // 200) % 5 + page_id // 20 % 3)) * 86400 + 43200 + page_id % 3600 AS seconds,
+         strlen(page_id || ';' || coalesce(url, '')) + 1 AS row_bytes, page_id % 50 + 1 AS n
+  FROM pages WHERE page_id IS NOT NULL
+),
+landed AS (
+  SELECT *, region || '/' || batch || '/' || channel AS dir, seconds // 86400 = {day} AS today,
+         CASE form WHEN 0 THEN 0 WHEN 1 THEN 6 WHEN 2 THEN 10 ELSE 6 + n * row_bytes END AS length,
+         CASE form WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2 ELSE 1 + n END AS lines
+  FROM file
+),
+newest AS (
+  SELECT * FROM landed WHERE name LIKE '%.csv' AND name NOT LIKE '%SMS%'
+  QUALIFY row_number() OVER (PARTITION BY dir ORDER BY seconds DESC, name DESC) = 1
+)
+{body}"""
+
+
+def _quoted(names) -> str:
+    return ", ".join(f"'{n}'" for n in names)
+
+
+def _landed_facts() -> str:
+    return _landed("SELECT dir || '/' || name AS path, name, length::BIGINT AS length, seconds::BIGINT AS seconds, "
+                   "lines::BIGINT AS lines FROM landed")
+
+
+def _landed_stale() -> str:
+    return _landed("""SELECT 'daily' AS pass, d.dir, CASE WHEN n.dir IS NULL THEN 'missing' ELSE 'stale' END AS status
+FROM (SELECT DISTINCT dir FROM landed) d LEFT JOIN newest n ON n.dir = d.dir WHERE n.dir IS NULL OR NOT n.today""")
+
+
+def _landed_empty() -> str:
+    return _landed(f"""SELECT 'daily' AS pass, dir, lines::BIGINT AS lines FROM newest
+WHERE today AND lines <= 1 AND channel NOT IN ({_quoted(P.LANDED_NOT_EMPTY_CHECKED)})""")
+
+
+def _landed_gap() -> str:
+    return _landed(f"""SELECT region, channel FROM (SELECT unnest([{_quoted(P.LANDED_REGIONS)}]) AS region),
+     (SELECT unnest([{_quoted(P.LANDED_CHANNELS)}]) AS channel)
+EXCEPT SELECT region, channel FROM landed WHERE today AND name LIKE '%.csv'""")
+
+
 ORACLE_SQL: dict[str, str] = {
     "recon_key_unmatched": _key_level(False),
     "recon_key_unmatched_concat": _key_level(True),
@@ -543,4 +593,8 @@ ORACLE_SQL: dict[str, str] = {
     "latest_per_file": _latest_per_file(),
     "sink_partitioned_empty_rerun": _empty_rerun(),
     "sink_gzip_roundtrip": _gzip_roundtrip(),
+    "landed_facts": _landed_facts(),
+    "landed_stale": _landed_stale(),
+    "landed_empty": _landed_empty(),
+    "landed_expected_minus_found": _landed_gap(),
 }

@@ -35,3 +35,8 @@ PIVOT_DAYS = [_dt.date(2024, 1, 1) + _dt.timedelta(days=i) for i in range(30)]
 LAG_STH = 5                                 # southern lag of the query that tells the two lags apart
 
 JOBLOG_USER = "airflow"
+
+# the landed-file check over files that the pages table gives
+LANDED_REGIONS = ["MSK", "CNT", "NWE", "VLG", "FEA"]
+LANDED_CHANNELS = ["CH01", "CH02", "CH03", "CH04", "CH05"]
+LANDED_NOT_EMPTY_CHECKED = ["CH05"]

@@ -16,7 +16,7 @@ from ..operators import caps as caps_op
 from ..operators import checks, control, joblog, pivot
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as fx
-from ..sources import sinks
+from ..sources import files, sinks
 from ..sources.tables import local_frame
 from . import params as P
 
@@ -279,6 +279,53 @@ def sink_gzip_roundtrip(spark, sf_dir):
     return _read_csv(spark, f"{base}/statistics")
 
 
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """A tree of landed files, one a page, written by tasks into the shared folder; its root."""
+    root = _scratch(spark, "landed")
+    fx.write_landed(fx.landed_pages(spark, sf_dir, P.AS_OF), root)
+    return files._norm(root)
+
+
+def _below(root: str, col: str):
+    return F.expr(f"substring({col}, {len(root) + 2})")
+
+
+def landed_facts(spark, sf_dir):
+    """Facts and lines of every landed file, the lines in byte ranges."""
+    root = _landed(spark, sf_dir)
+    facts, _ = files.list_tree(spark, root)
+    lines = files.line_counts(facts)
+    return facts.join(lines, "path").select(
+        _below(root, "path").alias("path"), "name", "length", F.unix_seconds("mtime").alias("seconds"), "lines")
+
+
+def _landed_reports(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame, DataFrame]:
+    root = _landed(spark, sf_dir)
+    facts, dirs = files.list_tree(spark, root)
+    channels = dirs.where(F.col("name").isin(P.LANDED_CHANNELS)).select(
+        F.lit("daily").alias("pass"), "dir", F.col("name").alias("channel"))
+    return (root, *control.file_reports(facts, channels, P.AS_OF, suffix=".csv", excludes=FILE_NAME_EXCLUDES,
+                                        not_empty_checked=P.LANDED_NOT_EMPTY_CHECKED))
+
+
+def landed_stale(spark, sf_dir):
+    """Channel directories whose newest file is not of the run day, or that have none."""
+    root, stale, _ = _landed_reports(spark, sf_dir)
+    return stale.select("pass", _below(root, "dir").alias("dir"), "status")
+
+
+def landed_empty(spark, sf_dir):
+    """Fresh newest files with a header at most; no file is read beyond its second line's block."""
+    root, _, empty = _landed_reports(spark, sf_dir)
+    return empty.select("pass", _below(root, "dir").alias("dir"), "lines")
+
+
+def landed_expected_minus_found(spark, sf_dir):
+    """Expected region x channel pairs without a file since the run day's midnight."""
+    return control.expected_minus_found_files(
+        spark, _landed(spark, sf_dir), P.AS_OF, regions=P.LANDED_REGIONS, channels=P.LANDED_CHANNELS).select("region", "channel")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recon_key_unmatched": recon_key_unmatched,
     "recon_key_unmatched_concat": recon_key_unmatched_concat,
@@ -312,4 +359,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_per_file": latest_per_file,
     "sink_partitioned_empty_rerun": sink_partitioned_empty_rerun,
     "sink_gzip_roundtrip": sink_gzip_roundtrip,
+    "landed_facts": landed_facts,
+    "landed_stale": landed_stale,
+    "landed_empty": landed_empty,
+    "landed_expected_minus_found": landed_expected_minus_found,
 }

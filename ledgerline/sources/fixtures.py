@@ -9,6 +9,8 @@ statistics view, which is one partial-then-final aggregation.
 
 from __future__ import annotations
 
+import datetime as _dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -197,3 +199,46 @@ def running_jobs(events: DataFrame) -> DataFrame:
 
 def load_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events")
+
+
+# ---------------------------------------------------------------------------------------------
+# landed files
+
+
+def landed_pages(spark: SparkSession, sf_dir: str, as_of) -> DataFrame:
+    """A file per page: ``path`` (below a root; <region>/<batch>/<channel>/<name>), ``content`` of none, one, two or
+    more lines, and ``seconds`` (UTC) of its modification, on ``as_of`` or up to six days before."""
+    day = (as_of - _dt.date(1970, 1, 1)).days
+    return read_table(spark, sf_dir, "pages").where("page_id IS NOT NULL").selectExpr(
+        """concat_ws('/', element_at(array('MSK', 'CNT', 'NWE', 'VLG'), cast(page_id % 4 AS int) + 1),
+                     concat('b', cast(floor(page_id / 200) AS string)), concat('CH0', cast(floor(page_id / 4) % 5 + 1 AS string)),
+                     concat(cast(page_id AS string), CASE WHEN page_id % 7 = 0 THEN '_SMS.csv' WHEN page_id % 11 = 0 THEN '.txt'
+                                                          ELSE ' a.csv' END)) AS path""",
+        """CASE (page_id + floor(page_id / 20)) % 4 WHEN 0 THEN '' WHEN 1 THEN 'h1;h2\\n' WHEN 2 THEN 'h1;h2\\r\\n1;2'
+             ELSE concat('h1;h2\\n', repeat(concat(cast(page_id AS string), ';', coalesce(url, ''), '\\n'),
+                                           cast(page_id % 50 + 1 AS int))) END AS content""",
+        f"""({day} - ((page_id % 20 + floor(page_id / 200)) % 5 + floor(page_id / 20) % 3)) * 86400 + 43200
+             + page_id % 3600 AS seconds""")
+
+
+def write_landed(files: DataFrame, root: str) -> int:
+    """Write ``files(path, content, seconds)`` below ``root``, a folder that driver and executors share, in
+    tasks; a repeated task writes the same again. Returns their number."""
+    from .files import _norm, workers_can_import
+    base = _norm(root)
+    workers_can_import(files.sparkSession)
+
+    def run(batches):
+        import os
+
+        import pyarrow as pa
+        for batch in batches:
+            for path, content, seconds in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                target = os.path.join(base, path)
+                os.makedirs(os.path.dirname(target), exist_ok=True)
+                with open(target, "wb") as f:
+                    f.write(content.encode())
+                os.utime(target, (seconds, seconds))
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], type=pa.int64())], ["n"])
+
+    return files.select("path", "content", "seconds").mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0
