@@ -510,6 +510,16 @@ def _csv_roundtrip() -> str:
     return f"SELECT macroRegion, cpName, cpType, {cols} FROM ({_stat_pivot()}) p"
 
 
+def _versioned_rerun() -> str:
+    return f"""WITH f AS ({_first_level(False)})
+SELECT * FROM f WHERE record_id % 2 = 0 UNION ALL SELECT * REPLACE (CAST(eventDate - 1 AS DATE) AS eventDate) FROM f"""
+
+
+def _lenient_forms() -> str:
+    return """SELECT event_id, CASE WHEN event_id % 12 >= 10 THEN 0
+       WHEN event_id % 12 = 2 THEN epoch_us(ts) // 60000000 * 60 ELSE epoch_us(ts) // 1000000 END::BIGINT AS epoch FROM events"""
+
+
 def _landed(body: str) -> str:
     """The landed files as rows, by their definition over ``pages``."""
     day = (P.AS_OF - _dt.date(1970, 1, 1)).days
@@ -593,6 +603,8 @@ ORACLE_SQL: dict[str, str] = {
     "latest_per_file": _latest_per_file(),
     "sink_partitioned_empty_rerun": _empty_rerun(),
     "sink_gzip_roundtrip": _gzip_roundtrip(),
+    "sink_versioned_rerun": _versioned_rerun(),
+    "scalar_lenient_forms": _lenient_forms(),
     "landed_facts": _landed_facts(),
     "landed_stale": _landed_stale(),
     "landed_empty": _landed_empty(),

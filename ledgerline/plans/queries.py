@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from ..constants import FILE_NAME_EXCLUDES, STAT_METRICS
 from ..functions import text as tx
-from ..functions.datetime import date_part, days_before, hour_of, lenient_epoch, time_part
+from ..functions.datetime import date_part, days_before, epoch_seconds_ntz_sql, hour_of, lenient_epoch, time_part
 from ..operators import caps as caps_op
 from ..operators import checks, control, joblog, pivot
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as fx
-from ..sources import files, sinks
+from ..sources import files, sinks, versions
 from ..sources.tables import local_frame
 from . import params as P
 
@@ -279,6 +279,35 @@ def sink_gzip_roundtrip(spark, sf_dir):
     return _read_csv(spark, f"{base}/statistics")
 
 
+def sink_versioned_rerun(spark, sf_dir):
+    """S5 in one step: two days and a check whose name needs escaping are written, one day is rerun with half its records,
+    the odd check with none; what the newest manifest names is left."""
+    path, result = _scratch(spark, "versions"), recon_second_unmatched(spark, sf_dir)
+    odd = result.withColumn("cpName", F.lit("CH:0/1%"))
+    versions.replace(result.union(result.withColumn("eventDate", F.date_sub("eventDate", 1)).select(result.columns)).union(odd.select(result.columns)), path)
+    versions.replace(result.where("record_id % 2 = 0"), path,
+                     [{"eventDate": days_before(P.AS_OF, _first_level_lag(spark)), "cpName": "CH:0/1%"}])
+    return versions.read(spark, path, result.schema)
+
+
+def scalar_lenient_forms(spark, sf_dir):
+    """the time of every event in twelve forms, read back. Forms 10 and 11 are none."""
+    events = fx.load_events(spark, sf_dir)
+    t = "date_trunc('SECOND', ts)"
+
+    def text(form: str, shift: int = 0) -> str:
+        return f"date_format(timestampadd(SECOND, {shift}, {t}), '{form}')"
+
+    forms = [text("yyyy-MM-dd HH:mm:ss"), text("yyyy-MM-dd\\'T\\'HH:mm:ss"), text("yyyy-MM-dd HH:mm"),
+             text("dd.MM.yyyy HH:mm:ss"), f"cast({epoch_seconds_ntz_sql('ts')} AS string)",
+             f"concat({text('yyyy-MM-dd HH:mm:ss')}, 'Z')", f"concat({text('yyyy-MM-dd HH:mm:ss', 10800)}, '+03:00')",
+             text("dd MMM yyyy HH:mm:ss"), f"concat({text('yyyy-MM-dd HH:mm:ss')}, '.250')", text("dd-MMM-yyyy HH:mm:ss"),
+             "concat('at ', cast(event_id AS string))", text("yyyy/MM/dd HH:mm:ss")]
+    cases = " ".join(f"WHEN {i} THEN {f}" for i, f in enumerate(forms))
+    return events.select("event_id", F.expr(f"CASE event_id % 12 {cases} END").alias("text")).select(
+        "event_id", lenient_epoch("text").alias("epoch"))
+
+
 def _landed(spark: SparkSession, sf_dir: str) -> str:
     """A tree of landed files, one a page, written by tasks into the shared folder; its root."""
     root = _scratch(spark, "landed")
@@ -359,6 +388,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "latest_per_file": latest_per_file,
     "sink_partitioned_empty_rerun": sink_partitioned_empty_rerun,
     "sink_gzip_roundtrip": sink_gzip_roundtrip,
+    "sink_versioned_rerun": sink_versioned_rerun,
+    "scalar_lenient_forms": scalar_lenient_forms,
     "landed_facts": landed_facts,
     "landed_stale": landed_stale,
     "landed_empty": landed_empty,

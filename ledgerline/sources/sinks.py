@@ -45,12 +45,11 @@ def write_partitions(df: DataFrame, path: str, partition_cols: Sequence[str] = (
        .save(path))
 
 
-def _partition_dir(values: Mapping[str, object]) -> str:
-    parts = []
-    for k, v in values.items():
-        text = v.isoformat() if isinstance(v, _dt.date) else str(v)
-        parts.append(f"{k}={text}")
-    return "/".join(parts)
+def partition_dir(spark: SparkSession, values: Mapping[str, object]) -> str:
+    """The folders of a slice, escaped and with NULL spelt as Spark writes them."""
+    path = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return "/".join(path.getPartitionPathString(
+        k, v.isoformat() if isinstance(v, _dt.date) else None if v is None else str(v)) for k, v in values.items())
 
 
 def clear_slices(spark: SparkSession, path: str, slices: Sequence[Mapping[str, object]]) -> int:
@@ -61,7 +60,7 @@ def clear_slices(spark: SparkSession, path: str, slices: Sequence[Mapping[str, o
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     removed = 0
     for sl in slices:
-        p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/" + _partition_dir(sl))
+        p = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/" + partition_dir(spark, sl))
         fs = p.getFileSystem(conf)
         if fs.exists(p):
             fs.delete(p, True)
@@ -72,7 +71,7 @@ def clear_slices(spark: SparkSession, path: str, slices: Sequence[Mapping[str, o
 def _slice_files(spark: SparkSession, path: str, sl: Mapping[str, object]) -> dict[str, set[str]]:
     """Leaf partition folder -> file names, for all leaves of a (possibly partial) slice."""
     jvm = spark.sparkContext._jvm
-    top = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/" + _partition_dir(sl))
+    top = jvm.org.apache.hadoop.fs.Path(path.rstrip("/") + "/" + partition_dir(spark, sl))
     fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     out: dict[str, set[str]] = {}
     if fs.exists(top):

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.functions.datetime import date_part, epoch_seconds_ntz, lenient_epoch, time_part
@@ -104,3 +105,23 @@ def test_lenient_parse_of_other_forms(spark):
              "15.01.2024 10:00:00", "2024-01-15 10:00", "2024-01-15T10:00:00.123", "never", None]
     df = spark.createDataFrame([(t,) for t in texts], "dt string")
     assert [r[0] for r in df.select(lenient_epoch("dt")).collect()] == [1705312800] * 7 + [0, 0]
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Moscow", "America/New_York"])
+def test_lenient_parse_by_shape(spark, zone):
+    from ledgerline.functions.datetime import lenient_epoch
+    same = ["2024-01-15 10:20:30", "2024-01-15T10:20:30", "15.01.2024 10:20:30", "15.01.2024 10:20:30.5", "1705314030", "1705314030123",
+            "2024-01-15 10:20:30Z", "2024-01-15T10:20:30Z", "2024-01-15T13:20:30+03:00", "2024-01-15 13:20:30+0300",
+            "2024-01-15 05:20:30.75-05:00", "15 Jan 2024 10:20:30", "15-Jan-2024 10:20:30", "2024-01-15 10:20:30.999999"]
+    broken = ["", "bad", "2024-13-15 10:20:30", "2024-01-32 10:20:30", "2024-01-15 25:20:30", "15 Foo 2024 10:20:30",
+              "2024-01-15x10:20:30", "2024-01-15T10:20:30x", "99.99.9999 99:99:99", "12345678", "123456789012", " 2024-01-15 10:20:30", None]
+    more = [("2024-01-15 10:20", 1705314000), ("2024-01-15T10:20", 1705314000), ("2024-03-31 02:30:00", 1711852200),
+            ("2024-03-10 02:30:00", 1710037800), ("1969-12-31 23:59:59.5", -1), ("0001-01-01 00:00:00", -62135596800)]
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.createDataFrame([(i, t) for i, t in enumerate([*same, *broken, *[m for m, _ in more]])], "i int, dt string")
+        got = [r[0] for r in df.orderBy("i").select(lenient_epoch("dt")).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == [1705314030] * len(same) + [0] * len(broken) + [e for _, e in more]
