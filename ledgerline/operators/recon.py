@@ -19,7 +19,7 @@ SQL NULLs the literal form returns nothing, so the anti join is the meaning, not
 key never matches, so such a record is reported as unmatched.
 
 Scale: the match is an existence test, so it is a ``left_semi`` join, never a pair list. Its
-equi keys are the four call keys **plus a time bucket** of width ``2 * tol.seconds``: a left row is
+equi keys are the four call keys **plus a time bucket** of the next power of two from ``2 * tol.seconds``: a left row is
 copied into the (at most two) buckets its tolerance window touches, and the rows of one side (the
 smaller, by default the source) once per clock shift. Each join group is then one subscriber within a few seconds, so a hot subscriber
 holding a third of all records spreads over many groups and tasks instead of one quadratic
@@ -54,25 +54,27 @@ class Tolerance:
     shifts: tuple[int, ...] = (0,)
 
     @property
-    def bucket_width(self) -> int:
-        # a window [t - s, t + s] of width 2s touches at most two buckets of width >= 2s
-        return max(2 * int(self.seconds), 1)
+    def bucket_bits(self) -> int:
+        # a window [t - s, t + s] of width 2s touches at most two buckets of width 2 ** bits >= 2s
+        return max(2 * int(self.seconds) - 1, 0).bit_length()
 
 
 SAME_SECOND = Tolerance(3, 3, (0,))
 HOUR_SHIFT = Tolerance(3, 3, (0, 3600, -3600))
 
 
-def _bucket(t: str, w: int) -> str:
-    """Exact integer floor division ``floor(t / w)``, negatives included."""
-    return f"(({t}) - pmod({t}, {w})) div {w}"
+def _bucket(t: str, bits: int) -> str:
+    """``floor(t / 2 ** bits)``, negatives included. A shift of a time that is never NULL is never NULL either, so Spark
+    drops the join's ``isnotnull(_bucket)``; of a division it would copy the filter, and with it the whole
+    parse of the time, below every projection down to the scan."""
+    return f"shiftright({t}, {bits})"
 
 
 def _left_side(df: DataFrame, keys: Sequence[str], time: str, duration: str,
                tol: Tolerance, carry: Sequence[str], shifts: Sequence[int] = (0,)) -> DataFrame:
     """Left rows with their comparable time (shifted, once per shift in ``shifts``) and each bucket
     the tolerance window of that time touches."""
-    w, s = tol.bucket_width, int(tol.seconds)
+    w, s = tol.bucket_bits, int(tol.seconds)
     cols = [_q(c) for c in dict.fromkeys([*keys, *carry])]
     base = df.selectExpr(*cols, f"{_q(duration)} AS {_D}", f"CAST({time} AS BIGINT) AS {_T}")
     if list(shifts) != [0]:
@@ -86,7 +88,7 @@ def _right_side(df: DataFrame, keys: Sequence[str], time: str, duration: str,
                 tol: Tolerance, carry: Sequence[str] = (), shifts: Sequence[int] = (0,)) -> DataFrame:
     """Right rows, once per shift in ``shifts``, with the shifted time and its bucket. A left time
     ``t1`` matches under shift ``k`` when ``|t1 + k - t2| < s``, i.e. ``|t1 - (t2 - k)| < s``."""
-    w = tol.bucket_width
+    w = tol.bucket_bits
     cols = [_q(c) for c in dict.fromkeys([*keys, *carry])]
     base = df.selectExpr(*cols, f"{_q(duration)} AS {_D}", f"CAST({time} AS BIGINT) AS _t0")
     if list(shifts) == [0]:

@@ -133,3 +133,11 @@ def test_broadcast_decision_uses_measured_width(spark):
     wcap = checks.first_level_cap(wide, None)
     assert wcap.row_bytes > 50_000
     assert not rule.allows(checks.capped_rows_bound(wcap), copies=2, text_bytes=wcap.row_bytes)
+
+
+def test_times_are_parsed_once_a_row_and_not_in_filters(spark):
+    """The join's bucket is never NULL, so no filter copies the parse below the projections."""
+    from ledgerline.plans.queries import recon_second_mixed_formats
+    p = recon_second_mixed_formats(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    parsing = [ln.strip(" :+-") for ln in p.splitlines() if "translate(" in ln]
+    assert len(parsing) == 2 and all(ln.startswith("Project") for ln in parsing)
