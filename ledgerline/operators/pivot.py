@@ -2,9 +2,10 @@
 
 ``stat_pivot`` turns a daily statistics table (date x region x check, one column per metric)
 into one row per (region, check, metric) with one column per date, newest first, as the daily
-report shows it: ``stack`` for the metric rows, then one conditional aggregation per (region,
-check, metric) (one shuffle, partial sums in every map task). Given the list of dates up front, Spark does
-not run an extra distinct job to find them.
+report shows it. All metrics are summed per (region, check, date) in one aggregation; the sums of a
+(region, check) are then one array in date order for each metric, with zeros put between the dates it has, and a date column
+is the array's element at the date's position. The work per row of the statistics does not depend on the number
+of dates, nor the shuffled rows on the number of metrics.
 
 Semantics kept from the original report (a pandas pivot table):
 * only region x check pairs that occur in the data appear; rows with a NULL date, region or check
@@ -25,6 +26,9 @@ from pyspark.sql import types as T
 from ..constants import REGION_ORDER, STAT_METRICS
 from ..functions.text import list_ordinal, list_rank
 from ..functions.text import quote_ident as _q
+from ..functions.text import sql_string as _lit
+from ..session import ensure_checkpoint_dir
+from ..sources.tables import local_frame
 from .position import with_position
 
 ORDINAL_COL = "_ordinal"
@@ -55,36 +59,42 @@ def stat_pivot(stat: DataFrame, metrics: Sequence[str], dates: Sequence | None =
                type_col: str = "cpType", sort: bool = True, ordinal_col: str | None = None) -> DataFrame:
     """Metrics x region x check in rows, dates (``yyyy-MM-dd``, newest first) in columns.
 
-    ``dates`` limits and orders the date columns; without it the distinct dates of the table are
-    read first (one small aggregate, a row per day). ``ordinal_col`` names an output column for the metric's
-    two-digit ordinal, so that the order is part of the result.
+    ``dates`` limits and orders the date columns; without it they are the distinct dates of the sums, which are written to
+    the checkpoint folder and read back (a row per region, check and date), so the statistics are read once either way.
+    ``ordinal_col`` names an output column for the metric's two-digit ordinal, so that the order is part of the result.
 
-    Plan: ``stack`` turns the metric columns into rows (a narrow ``Expand``), then one aggregation
-    per (region, check, metric) with a conditional sum per date: partial sums in every map task
-    and a single shuffle. Spark's own ``pivot`` would aggregate twice (by date, then
-    ``PivotFirst``)."""
+    A (region, check) is one row of the second aggregation: as many entries as it has dates."""
     base = stat.where(f"{_q(date_col)} IS NOT NULL AND {_q(region_col)} IS NOT NULL "
                       f"AND {_q(check_col)} IS NOT NULL")
+    if dates is not None:
+        base = base.where(F.col(_q(date_col)).isin(list(dates)))
+    vtype = _value_type([stat.schema[m].dataType for m in metrics])
+    sums = [F.expr(f"CAST(coalesce(sum(CAST({_q(m)} AS {vtype})), 0) AS {vtype})").alias(f"_m{i}") for i, m in enumerate(metrics)]
+    per_date = base.groupBy(F.col(_q(region_col)).alias("_region"), F.col(_q(check_col)).alias("_check"),
+                            F.expr(f"CAST({_q(date_col)} AS DATE)").alias("_date")).agg(*sums)
     if dates is None:
-        dates = [r[0] for r in base.select(date_col).distinct().collect()]
-    else:
-        base = base.where(F.col(date_col).isin(list(dates)))
+        ensure_checkpoint_dir(stat.sparkSession)
+        per_date = per_date.checkpoint(eager=True)
+        dates = [r[0] for r in per_date.select("_date").distinct().collect()]
     date_names = sorted({_date_text(d) for d in dates}, reverse=True)
-    vtype = _value_type([stat.schema[m].dataType for m in metrics])
-    keys = [region_col, check_col]
     if not date_names:
         return stat.sparkSession.createDataFrame(
             [], f"{_q(region_col)} string, {_q(check_col)} string, {_q(type_col)} string")
-    stacked = base.selectExpr(
-        *[_q(k) for k in keys], _q(date_col),
-        f"stack({len(metrics)}, " + ", ".join(f"'{m}', CAST({_q(m)} AS {vtype})" for m in metrics)
-        + f") AS ({_q(type_col)}, _value)")
-    aggs = [F.expr(f"CAST(coalesce(sum(CASE WHEN {_q(date_col)} = DATE'{d}' THEN _value END), 0) "
-                   f"AS {vtype})").alias(d) for d in date_names]
-    out_cols = [*keys, type_col]
-    rows = stacked.groupBy(*out_cols).agg(*aggs)
-    row_sum = " + ".join(_q(d) for d in date_names)
-    out = rows.where(f"({row_sum}) <> 0")
+    places = local_frame(stat.sparkSession, [(_dt.date.fromisoformat(d), i) for i, d in enumerate(date_names)],
+                         "_date date, _place int")
+    entry = F.struct("_place", *[f"_m{i}" for i in range(len(metrics))])
+    keyed = (per_date.join(F.broadcast(places), "_date").groupBy("_region", "_check")        # a row per date
+             .agg(F.array_sort(F.collect_list(entry)).alias("_entries"),
+                  *[F.expr(f"CAST(sum(_m{i}) AS {vtype})").alias(f"_all{i}") for i in range(len(metrics))]))
+    # the value of each date, after a zero for each date since the entry before
+    gap = "x._place - IF(i = 0, 0, get(_entries, i - 1)._place + 1)"
+    filled = [f"flatten(transform(_entries, (x, i) -> concat(array_repeat(CAST(0 AS {vtype}), {gap}), array(x._m{n}))))"
+              for n in range(len(metrics))]
+    rows = keyed.selectExpr("_region", "_check", f"stack({len(metrics)}, " + ", ".join(
+        f"{_lit(m)}, _all{i}, {a}" for i, (m, a) in enumerate(zip(metrics, filled, strict=True)))
+        + ") AS (_type, _all, _values)").where("_all <> 0")
+    out = rows.select(F.col("_region").alias(region_col), F.col("_check").alias(check_col), F.col("_type").alias(type_col),
+                      *[F.expr(f"coalesce(get(_values, {i}), CAST(0 AS {vtype}))").alias(d) for i, d in enumerate(date_names)])
     if sort:
         out = (out.withColumn(ORDINAL_COL, list_ordinal(type_col, metric_order))
                .orderBy(region_col, check_col, ORDINAL_COL).drop(ORDINAL_COL))

@@ -71,3 +71,22 @@ def test_decimal_metrics_stay_exact(spark):
                                "eventDate date, macroRegion string, cpName string, firstStream long, dsc decimal(10,2)")
     out = {r.cpType: r[str(d)] for r in stat_pivot(df, ["firstStream", "dsc"], [d]).collect()}
     assert out == {"firstStream": Decimal("9007199254740993.00"), "dsc": Decimal("0.30")}
+
+
+def test_pivot_equals_brute_force_over_many_dates(spark):
+    """A thousand dates with gaps: the statistics are read once and the plan has no branch for each date."""
+    import random
+    rng = random.Random(6)
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=3 * i) for i in range(1000)]
+    rows = [(rng.choice(days), rng.choice(["Msk", "Cnt"]), f"CH{rng.randint(1, 3)}", rng.randint(-3, 3), None) for _ in range(4000)]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    sums = {}
+    for d, region, check, v, _ in rows:
+        sums.setdefault((region, check), {}).setdefault(str(d), []).append(v)
+    out = stat_pivot(df, ["firstStream", "firstDlt"])
+    assert out.columns[3:] == sorted({str(r[0]) for r in rows}, reverse=True)
+    got = {(r[0], r[1], r[2]): tuple(r)[3:] for r in out.collect()}
+    want = {(*k, "firstStream"): tuple(sum(by.get(d, [0])) for d in out.columns[3:]) for k, by in sums.items()}
+    assert got == {k: v for k, v in want.items() if sum(v)}
+    p = stat_pivot(df, ["firstStream"], days, sort=False)._jdf.queryExecution().optimizedPlan().toString()
+    assert "CASE" not in p and sum("ExistingRDD" in ln or "LogicalRDD" in ln for ln in p.splitlines()) == 1

@@ -113,10 +113,16 @@ def test_day_filter_reaches_scan(spark):
 
 
 def test_pivot_single_aggregation_shuffle(big):
-    p = plan(stat_pivot(big, SF_DIR))
+    from ledgerline.operators import pivot
+    from ledgerline.plans import params as P
+    stat = fx.stat_daily(tables(big)[0])
+    p = plan(pivot.stat_pivot(stat, P.PIVOT_METRICS, P.PIVOT_DAYS))
     # one shuffle for the statistics, one for the pivot, one range shuffle for the report order
     assert p.count("Exchange hashpartitioning") == 2
     assert p.count("Exchange rangepartitioning") == 1
+    # without a list of dates the sums are written and read back: no second read of the records
+    p = plan(stat_pivot(big, SF_DIR))
+    assert p.count("Exchange hashpartitioning") == 1 and "FileScan" not in p
 
 
 def test_broadcast_decision_uses_measured_width(spark):
