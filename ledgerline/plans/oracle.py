@@ -240,6 +240,12 @@ SELECT record_id, eventDateTime, hour, hour_rank FROM (
 WHERE hour_rank <= {P.CAP_PER_HOUR}"""
 
 
+def _limit_by_subscriber() -> str:
+    return _with() + f"""
+SELECT record_id, eventDateTime, IMSI, CAST(hour(eventDateTime) AS INTEGER) AS hour FROM cdr_start
+QUALIFY row_number() OVER (PARTITION BY hour(eventDateTime), IMSI ORDER BY eventDateTime, record_id) <= {P.CAP_PER_SUBSCRIBER}"""
+
+
 def _limit_total() -> str:
     return _with(_FIRST_SRC) + f"""
 , per_hour AS (
@@ -577,9 +583,11 @@ ORACLE_SQL: dict[str, str] = {
     "recon_second_capped": _first_level(True),
     "recon_matched_pairs": _pairs(),
     "recon_candidates_semi": _candidates(),
+    "recon_candidates_bitmap": _candidates(),
     "recon_lag_lookup": _lag_lookup(),
     "limit_by_hour": _limit_by_hour(),
     "limit_total_capped": _limit_total(),
+    "limit_by_subscriber": _limit_by_subscriber(),
     "stat_daily": _stat_daily(),
     "stat_pivot": _stat_pivot(),
     "stat_extract_ordered": _stat_extract(),

@@ -18,6 +18,7 @@ CHECK_LAGS = {"CH01": 3, "CH02": 2, "Cp06": 3}
 CAP_TRIGGER = 50
 CAP_PER_HOUR = 5
 CAP_TOTAL = 1_000_000
+CAP_PER_SUBSCRIBER = 2                      # an hour (production: 10,000)
 CAP_TOTAL_TIGHT = 60                        # a total cap that does cut, to exercise it
 
 # completeness control on the tables: run day, expected grid, eligible rows, thresholds
@@ -40,3 +41,6 @@ JOBLOG_USER = "airflow"
 LANDED_REGIONS = ["MSK", "CNT", "NWE", "VLG", "FEA"]
 LANDED_CHANNELS = ["CH01", "CH02", "CH03", "CH04", "CH05"]
 LANDED_NOT_EMPTY_CHECKED = ["CH05"]
+
+# the membership bitmap of the candidates query: 2 ** 24 positions are 2 MB
+BITMAP_BITS = 24

@@ -13,7 +13,7 @@ from ..constants import FILE_NAME_EXCLUDES, STAT_METRICS
 from ..functions import text as tx
 from ..functions.datetime import date_part, days_before, epoch_seconds_ntz_sql, hour_of, lenient_epoch, time_part
 from ..operators import caps as caps_op
-from ..operators import checks, control, joblog, pivot
+from ..operators import checks, control, joblog, membership, pivot, thresholds
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as fx
 from ..sources import files, sinks, versions
@@ -88,6 +88,15 @@ def recon_candidates_semi(spark, sf_dir):
     return checks.candidates_for_day(start, rnd, P.AS_OF, days_back=_first_level_lag(spark))
 
 
+def recon_candidates_bitmap(spark, sf_dir):
+    """P5 by a bitmap of hashed subscribers below the counterpart's shuffle."""
+    start, rnd = _cdr(spark, sf_dir)
+    day = days_before(P.AS_OF, _first_level_lag(spark))
+    found = membership.bitmap_candidates(rnd.where(F.col("eventDate") == F.lit(day)),
+                                         checks.first_level_source(start, day), "IMSI", P.BITMAP_BITS)
+    return found.select("IMSI", "origToNumber", "service", "recType", "duration", "dateTime").distinct()
+
+
 def recon_lag_lookup(spark, sf_dir):
     start, _ = _cdr(spark, sf_dir)
     return checks.lag_lookup(start, fx.check_dictionary(spark, P.CHECK_LAGS), P.AS_OF)
@@ -117,6 +126,13 @@ def limit_total_capped(spark, sf_dir):
     return caps_op.apply_caps(src, cap).select("record_id", "eventDateTime", "duration")
 
 
+def limit_by_subscriber(spark, sf_dir):
+    """A5, W1 for groups of any number: the first records of every subscriber in every hour of day."""
+    start, _ = _cdr(spark, sf_dir)
+    records = start.select("record_id", "eventDateTime", "IMSI", hour_of("eventDateTime").alias("hour"))
+    return thresholds.first_n(records, ["hour", "IMSI"], ["eventDateTime", "record_id"], P.CAP_PER_SUBSCRIBER)
+
+
 def stat_daily(spark, sf_dir):
     start, _ = _cdr(spark, sf_dir)
     return fx.stat_daily(start)
@@ -362,9 +378,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "recon_second_capped": recon_second_capped,
     "recon_matched_pairs": recon_matched_pairs,
     "recon_candidates_semi": recon_candidates_semi,
+    "recon_candidates_bitmap": recon_candidates_bitmap,
     "recon_lag_lookup": recon_lag_lookup,
     "limit_by_hour": limit_by_hour,
     "limit_total_capped": limit_total_capped,
+    "limit_by_subscriber": limit_by_subscriber,
     "stat_daily": stat_daily,
     "stat_pivot": stat_pivot,
     "stat_extract_ordered": stat_extract_ordered,
