@@ -70,7 +70,7 @@ def _bucket(t: str, bits: int) -> str:
     return f"shiftright({t}, {bits})"
 
 
-def _left_side(df: DataFrame, keys: Sequence[str], time: str, duration: str,
+def left_rows(df: DataFrame, keys: Sequence[str], time: str, duration: str,
                tol: Tolerance, carry: Sequence[str], shifts: Sequence[int] = (0,)) -> DataFrame:
     """Left rows with their comparable time (shifted, once per shift in ``shifts``) and each bucket
     the tolerance window of that time touches."""
@@ -84,7 +84,7 @@ def _left_side(df: DataFrame, keys: Sequence[str], time: str, duration: str,
                                 f"{_bucket(f'{_T} + {s}', w)}))) AS {_B}")
 
 
-def _right_side(df: DataFrame, keys: Sequence[str], time: str, duration: str,
+def right_rows(df: DataFrame, keys: Sequence[str], time: str, duration: str,
                 tol: Tolerance, carry: Sequence[str] = (), shifts: Sequence[int] = (0,)) -> DataFrame:
     """Right rows, once per shift in ``shifts``, with the shifted time and its bucket. A left time
     ``t1`` matches under shift ``k`` when ``|t1 + k - t2| < s``, i.e. ``|t1 - (t2 - k)| < s``."""
@@ -103,12 +103,12 @@ def _sides(left, right, keys, left_time, right_time, duration, tol, left_carry,
     if shift_on not in ("left", "right"):
         raise ValueError("shift_on is 'left' or 'right'")
     ls, rs = (shifts, [0]) if shift_on == "left" else ([0], shifts)
-    l = _left_side(left, keys, left_time, duration, tol, left_carry, ls).alias("l")
-    r = _right_side(right, keys, right_time, duration, tol, right_carry, rs).alias("r")
+    l = left_rows(left, keys, left_time, duration, tol, left_carry, ls).alias("l")
+    r = right_rows(right, keys, right_time, duration, tol, right_carry, rs).alias("r")
     return l, r
 
 
-def _condition(keys: Sequence[str], tol: Tolerance) -> Column:
+def condition(keys: Sequence[str], tol: Tolerance) -> Column:
     eq = [f"l.{_q(k)} = r.{_q(k)}" for k in [*keys, _B]]
     return F.expr(" AND ".join(eq + [f"abs(l.{_D} - r.{_D}) < {int(tol.duration)}",
                                      f"abs(l.{_T} - r.{_T}) < {int(tol.seconds)}"]))
@@ -134,8 +134,8 @@ def matched_left(left: DataFrame, right: DataFrame, *, tol: Tolerance,
     l, r = _sides(left, right, keys, left_time, right_time, duration, tol, carry, (), shift_on)
     out_cols = [f"l.{_q(c)}" for c in dict.fromkeys([*keys, *carry])]
     if broadcast_left:
-        return r.join(F.broadcast(l), _condition(keys, tol), "inner").selectExpr(*out_cols)
-    return l.join(r, _condition(keys, tol), "left_semi").selectExpr(*out_cols)
+        return r.join(F.broadcast(l), condition(keys, tol), "inner").selectExpr(*out_cols)
+    return l.join(r, condition(keys, tol), "left_semi").selectExpr(*out_cols)
 
 
 def matched_pairs(left: DataFrame, right: DataFrame, *, tol: Tolerance,
@@ -151,7 +151,7 @@ def matched_pairs(left: DataFrame, right: DataFrame, *, tol: Tolerance,
                   list(right_cols), shift_on)
     cols = ([f"l.{_q(k)}" for k in keys] + [f"l.{_q(c)}" for c in left_cols if c not in keys]
             + [f"r.{_q(c)} AS {_q(right_prefix + c)}" for c in right_cols])
-    return l.join(r, _condition(keys, tol), "inner").selectExpr(*cols).distinct()
+    return l.join(r, condition(keys, tol), "inner").selectExpr(*cols).distinct()
 
 
 def counterpart_candidates(counterpart: DataFrame, source: DataFrame, key: str = "IMSI") -> DataFrame:

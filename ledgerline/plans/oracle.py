@@ -516,6 +516,10 @@ def _csv_roundtrip() -> str:
     return f"SELECT macroRegion, cpName, cpType, {cols} FROM ({_stat_pivot()}) p"
 
 
+def _zip_roundtrip() -> str:
+    return f"SELECT * EXCLUDE (export_date) FROM ({_gzip_roundtrip()}) g"
+
+
 def _versioned_rerun() -> str:
     return f"""WITH f AS ({_first_level(False)})
 SELECT * FROM f WHERE record_id % 2 = 0 UNION ALL SELECT * REPLACE (CAST(eventDate - 1 AS DATE) AS eventDate) FROM f"""
@@ -612,6 +616,9 @@ ORACLE_SQL: dict[str, str] = {
     "sink_partitioned_empty_rerun": _empty_rerun(),
     "sink_gzip_roundtrip": _gzip_roundtrip(),
     "sink_versioned_rerun": _versioned_rerun(),
+    "sink_zip_roundtrip": _zip_roundtrip(),
+    "recon_key_bucketed": _key_level(False),
+    "recon_second_bucketed": _first_level(False),
     "scalar_lenient_forms": _lenient_forms(),
     "landed_facts": _landed_facts(),
     "landed_stale": _landed_stale(),

@@ -44,3 +44,6 @@ LANDED_NOT_EMPTY_CHECKED = ["CH05"]
 
 # the membership bitmap of the candidates query: 2 ** 24 positions are 2 MB
 BITMAP_BITS = 24
+
+# buckets of the match tables (production: a day's rows at about 200 MB a bucket)
+MATCH_BUCKETS = 8

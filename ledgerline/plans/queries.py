@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 
 from ..constants import FILE_NAME_EXCLUDES, STAT_METRICS
 from ..functions import text as tx
-from ..functions.datetime import date_part, days_before, epoch_seconds_ntz_sql, hour_of, lenient_epoch, time_part
+from ..functions.datetime import date_part, days_before, epoch_seconds_ntz_sql, hour_of, lenient_epoch, lenient_epoch_sql, time_part
 from ..operators import caps as caps_op
-from ..operators import checks, control, joblog, membership, pivot, thresholds
+from ..operators import checks, control, joblog, match_tables, membership, pivot, recon, thresholds
 from ..session import ensure_checkpoint_dir
 from ..sources import fixtures as fx
-from ..sources import files, sinks, versions
+from ..sources import files, sinks, versions, zipped
 from ..sources.tables import local_frame
 from . import params as P
 
@@ -295,6 +295,14 @@ def sink_gzip_roundtrip(spark, sf_dir):
     return _read_csv(spark, f"{base}/statistics")
 
 
+def sink_zip_roundtrip(spark, sf_dir):
+    """The statistics as zipped CSV parts, written twice, and read back."""
+    base = _scratch(spark, "exports")
+    for _ in range(2):
+        out = zipped.export_zip(stat_daily(spark, sf_dir), base, "statistics", P.AS_OF)
+    return zipped.read_zip(spark, out)
+
+
 def sink_versioned_rerun(spark, sf_dir):
     """S5 in one step: two days and a check whose name needs escaping are written, one day is rerun with half its records,
     the odd check with none; what the newest manifest names is left."""
@@ -306,6 +314,29 @@ def sink_versioned_rerun(spark, sf_dir):
     return versions.read(spark, path, result.schema)
 
 
+def _match_tables(spark: SparkSession, tol: recon.Tolerance, time: str, left_carry, right_carry=()) -> match_tables.MatchTables:
+    return match_tables.MatchTables(f"match_{uuid.uuid4().hex}", _scratch(spark, "match"), tol, time, time, left_carry, right_carry,
+                                    buckets=P.MATCH_BUCKETS)
+
+
+def recon_key_bucketed(spark, sf_dir):
+    """J2, J4 over match tables of all days: the key-level check without a shuffle for its match."""
+    start, rnd = _cdr(spark, sf_dir)
+    tables = _match_tables(spark, recon.HOUR_SHIFT, "timeKey", ("MR", "cpName", "iflag"), ("macroregion",))
+    tables.write_left(start)
+    tables.write_right(rnd)
+    return match_tables.key_level_unmatched(start, tables, P.AS_OF)
+
+
+def recon_second_bucketed(spark, sf_dir):
+    """J1, J3 over match tables of all days, times parsed once, when they are written."""
+    start, rnd = _cdr(spark, sf_dir)
+    tables = _match_tables(spark, recon.SAME_SECOND, lenient_epoch_sql("dateTime"), ("dateTime", "cpName", "iflag"))
+    tables.write_left(start)
+    tables.write_right(rnd)
+    return match_tables.first_level_unmatched(start, tables, P.AS_OF, days_back=_first_level_lag(spark))
+
+
 def scalar_lenient_forms(spark, sf_dir):
     """the time of every event in twelve forms, read back. Forms 10 and 11 are none."""
     events = fx.load_events(spark, sf_dir)
@@ -407,6 +438,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sink_partitioned_empty_rerun": sink_partitioned_empty_rerun,
     "sink_gzip_roundtrip": sink_gzip_roundtrip,
     "sink_versioned_rerun": sink_versioned_rerun,
+    "sink_zip_roundtrip": sink_zip_roundtrip,
+    "recon_key_bucketed": recon_key_bucketed,
+    "recon_second_bucketed": recon_second_bucketed,
     "scalar_lenient_forms": scalar_lenient_forms,
     "landed_facts": landed_facts,
     "landed_stale": landed_stale,
