@@ -2,8 +2,9 @@
 
 The match joins on the call keys and a time bucket. ``MatchTables`` writes both sides of a check once, as tables that are
 bucketed by just these columns and partitioned by day, so the daily check, its reruns and the days either side
-read them bucket by bucket: neither side is shuffled again for the match. A day is written by one shuffle, to the same
-buckets, which leaves one file per bucket and day.
+read them bucket by bucket: neither side is shuffled again for the match. Days are written by one shuffle on the day and the
+bucket, so the tasks that sort and write grow in number with the rows, not with the buckets: a (day, bucket) is one file, and
+adaptive execution splits one that is over its advisory partition size into several, which Spark reads as one bucket.
 
 The left table holds a row per record, clock shift and time bucket that its window touches, the right one a row per record;
 both carry the columns that the check filters or removes by, and nothing else. A record of a busy subscriber is in the
@@ -55,7 +56,11 @@ class MatchTables:
 
     def _write(self, rows: DataFrame, side: str) -> None:
         spark, table, at = rows.sparkSession, f"{self.name}_{side}", [*self.keys, "_bucket"]
-        rows = rows.repartition(int(self.buckets), *at)
+        # the bucket as Spark's writer computes it; a column, since the hint takes no expressions
+        rows = rows.withColumn("_file", F.expr(f"pmod(hash({', '.join(_q(c) for c in at)}), {int(self.buckets)})"))
+        by = F.col(_q(self.day_col)), F.col("_file")
+        adaptive = spark.conf.get("spark.sql.adaptive.enabled") == "true"        # without it Spark ignores the hint
+        rows = (rows.hint("rebalance", *by) if adaptive else rows.repartition(*by)).drop("_file")
         if spark.catalog.tableExists(table):
             rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
             return
