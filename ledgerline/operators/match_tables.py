@@ -59,7 +59,7 @@ class MatchTables:
         # the bucket as Spark's writer computes it; a column, since the hint takes no expressions
         rows = rows.withColumn("_file", F.expr(f"pmod(hash({', '.join(_q(c) for c in at)}), {int(self.buckets)})"))
         by = F.col(_q(self.day_col)), F.col("_file")
-        adaptive = spark.conf.get("spark.sql.adaptive.enabled") == "true"        # without it Spark ignores the hint
+        adaptive = spark.conf.get("spark.sql.adaptive.enabled").lower() == "true"        # without it Spark ignores the hint
         rows = (rows.hint("rebalance", *by) if adaptive else rows.repartition(*by)).drop("_file")
         if spark.catalog.tableExists(table):
             rows.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
