@@ -55,6 +55,8 @@ class ZipWriter(DataSourceWriter):
         self.folder, self.names, self.overwrite, self.sep, self.encoding = folder, names, overwrite, sep, encoding
         self.job = uuid.uuid4().hex
         self.hidden = f"{folder}/_writing-{self.job}"
+        files, hidden = _filesystem(self.hidden)
+        files.create_dir(hidden, recursive=True)                # not in the tasks: one that outlives an abort would make it again
 
     def write(self, iterator: Iterator) -> Written:
         from pyspark import TaskContext
@@ -65,7 +67,6 @@ class ZipWriter(DataSourceWriter):
             return Written(None, 0)
         name = f"part-{number:05d}-{task.taskAttemptId()}.zip"
         files, folder = _filesystem(self.hidden)
-        files.create_dir(folder, recursive=True)
         rows, held, size = 0, [], 0
         with files.open_output_stream(f"{folder}/{name}") as out, zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zipped, \
                 zipped.open(f"part-{number:05d}.csv", "w", force_zip64=True) as member:
